@@ -152,7 +152,7 @@ RESULTS: dict[str, Result] = {
     ),
     "associations_top": lambda w: baskets.top_by_lift(w.associations),
     "associations_top_frequency": lambda w: baskets.top_by_frequency(w.associations),
-    "cross_sell": lambda w: w.cross_sell,
+    "cross_sell": lambda w: rounded_score(w.cross_sell),
     "cross_sell_summary": lambda w: baskets.cross_sell_counts(w.cross_sell, "AssociationType"),
     "cross_sell_summary_actions": lambda w: baskets.cross_sell_counts(w.cross_sell, "CommercialAction"),
     "cross_sell_summary_funnel": lambda w: baskets.cross_sell_funnel(w.scored, w.settings.cross_sell_top),
@@ -163,7 +163,7 @@ RESULTS: dict[str, Result] = {
     "dash_rfm": lambda w: w.dashboard()["rfm"],
     "dash_high_value_at_risk": lambda w: w.dashboard()["risk"],
     "dash_product_master": lambda w: w.dashboard()["products"],
-    "dash_cross_sell": lambda w: w.dashboard()["cross_sell"],
+    "dash_cross_sell": lambda w: rounded_score(w.dashboard()["cross_sell"]),
     "dash_build_counts": lambda w: dashboard.build_counts(served(w)),
     "serve_headline": lambda w: dashboard.headline(served(w)["kpis"]),
     "serve_monthly": lambda w: dashboard.monthly_series(served(w)["monthly"]),
@@ -206,6 +206,11 @@ def served(w: Workspace) -> dict[str, DataFrame]:
     return w.__dict__["_served"]
 
 
+def rounded_score(df: DataFrame) -> DataFrame:
+    """Score to nine digits: engines differ in the last bit of a logarithm."""
+    return df.withColumn("ExecutiveScore", F.round("ExecutiveScore", 9))
+
+
 def as_doubles(df: DataFrame) -> DataFrame:
     """Decimals become doubles on the way out."""
     return df.select(

@@ -41,5 +41,5 @@ def percent(top: Column | str, bottom: Column | str) -> Column:
 
 
 def month_of(timestamp: Column | str) -> Column:
-    """First day of the month, as a date (free of any time zone)."""
-    return F.trunc(F.to_date(timestamp), "MM")
+    """First instant of the month, as a timestamp without time zone."""
+    return F.trunc(F.to_date(timestamp), "MM").cast("timestamp_ntz")

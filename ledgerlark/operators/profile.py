@@ -40,12 +40,12 @@ def row_counts(df: DataFrame, groups: list[str], columns: list[str]) -> DataFram
 
 
 def numeric_summary(df: DataFrame, groups: list[str], columns: list[str]) -> DataFrame:
-    """Count, mean, deviation, extremes and exact quartiles per numeric column."""
+    """Count, mean, deviation (both to six digits), extremes and exact quartiles per numeric column."""
     long = to_long(df, groups, {c: F.col(f"`{c}`") for c in columns}, "column")
     basic = long.groupBy(*groups, "column").agg(
         F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
+        F.round(F.avg("value"), 6).alias("mean"),
+        F.round(F.stddev_samp("value"), 6).alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )

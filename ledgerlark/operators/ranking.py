@@ -168,14 +168,13 @@ def exact_quantiles(
         *[value_at(F.ceil(p)).alias(f"_hi{i}") for i, p in at.items()],
         F.max("_n").alias("_n"),
     )
-    return ends.select(
-        *groups,
-        "metric",
-        *[
-            (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (p - F.floor(p))).alias(f"q{i}")
-            for i, p in at.items()
-        ],
-    )
+
+    def between(i, place):
+        # The weighting that the built-in `percentile` uses.
+        part = place - F.floor(place)
+        return F.col(f"_lo{i}") * (1 - part) + F.col(f"_hi{i}") * part
+
+    return ends.select(*groups, "metric", *[between(i, place).alias(f"q{i}") for i, place in at.items()])
 
 
 def mean_ranks(df: DataFrame, metrics: dict[str, str]) -> DataFrame:

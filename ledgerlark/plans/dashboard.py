@@ -59,7 +59,7 @@ def monthly_series(monthly: DataFrame) -> DataFrame:
     if month is None:
         raise ValueError(f"no date column among {monthly.columns}")
     return monthly.select(
-        F.col(month).cast("string").try_cast("date").alias("Month"), number(find_column(monthly, NET_NAMES)).alias("net_revenue")
+        F.col(month).cast("string").try_cast("timestamp_ntz").alias("Month"), number(find_column(monthly, NET_NAMES)).alias("net_revenue")
     ).orderBy("Month")
 
 
