@@ -40,15 +40,15 @@ RESULTS: dict[str, Result] = {
     "q1_revenue_kpis": lambda w: kpis.revenue_kpis(w.orders),
     "q1_monthly_trend": lambda w: kpis.monthly_trend(w.orders),
     "q1_country": lambda w: kpis.country_performance(w.orders),
-    "q1_top_products": lambda w: kpis.top_products(w.products),
+    "q1_top_products": lambda w: kpis.top_products(w.products, w.names),
     "q1_top_customers": lambda w: kpis.top_customers(w.customers),
     "q1_customer_concentration": lambda w: kpis.customer_concentration(w.customers),
     "q1_return_risk_customer": lambda w: kpis.customer_returns(w.customers),
     "q1_type_distribution": lambda w: kpis.type_distribution(w.orders),
     # Product results over the taxonomy.
-    "q2_top_merchandise": lambda w: products.top_merchandise(w.products, w.taxonomy),
+    "q2_top_merchandise": lambda w: products.top_merchandise(w.products, w.names, w.taxonomy),
     "q2_merch_concentration": lambda w: products.merchandise_concentration(w.products, w.taxonomy),
-    "q2_product_return_risk": lambda w: products.merchandise_return_risk(w.products, w.taxonomy),
+    "q2_product_return_risk": lambda w: products.merchandise_return_risk(w.products, w.names, w.taxonomy),
     "q2_category_performance": lambda w: products.category_performance(w.products, w.taxonomy),
     "q2_monthly_merch": lambda w: products.monthly_merchandise(w.clean, w.taxonomy),
     # Customer results.

@@ -23,9 +23,8 @@ from pyspark.sql import functions as F
 from ledgerlark.storage import write_stage
 
 
-def multi_item_baskets(lines: DataFrame, basket: str, item: str) -> DataFrame:
-    """Distinct (basket, item) rows of baskets with at least two items."""
-    members = lines.select(basket, item).filter(F.col(basket).isNotNull() & F.col(item).isNotNull()).distinct()
+def multi_item_baskets(members: DataFrame, basket: str) -> DataFrame:
+    """Rows of baskets with at least two items; `members` holds distinct (basket, item) rows."""
     several = members.groupBy(basket).agg(F.count("*").alias("_size")).filter("_size >= 2").select(basket)
     return members.join(several, basket, "left_semi")
 
@@ -79,15 +78,17 @@ def _looked_up_pairs(light: DataFrame, members: DataFrame, counts: DataFrame, th
 
 
 def frequent_pairs(
-    members: DataFrame, basket: str, item: str, threshold: int, heavy: int = 2000
+    members: DataFrame, frequent: DataFrame, basket: str, item: str, threshold: int, heavy: int = 2000
 ) -> DataFrame:
     """Item pairs (a < b) in at least `threshold` baskets, with their exact count `n`.
 
-    `members` holds distinct (basket, item) rows.
+    `members` holds distinct (basket, item) rows, `frequent` the items in at
+    least `threshold` baskets as a stage table: a side that is a plain scan
+    lets a join split the partitions of an item that is in most baskets.
     """
     rows = members.select(F.col(basket).alias("basket"), F.col(item).alias("item"))
-    frequent = item_counts(rows, "item").filter(F.col("orders") >= threshold).select("item")
-    rows = write_stage(rows.join(frequent, "item", "left_semi"), "pair_members")
+    chosen = frequent.select(F.col(item).alias("item"))
+    rows = write_stage(rows.join(chosen, "item", "left_semi"), "pair_members")
     sizes = write_stage(
         rows.groupBy("basket").agg(F.count("*").alias("size")).filter(F.col("size") > heavy), "heavy_baskets"
     )
@@ -96,7 +97,7 @@ def frequent_pairs(
 
     light = write_stage(_light_pairs(rows.join(sizes, "basket", "left_anti")), "light_pairs")
     in_heavy = write_stage(rows.join(sizes, "basket"), "heavy_members")
-    counts = in_heavy.groupBy("item").agg(F.count("*").alias("heavy_orders"))
+    counts = write_stage(in_heavy.groupBy("item").agg(F.count("*").alias("heavy_orders")), "heavy_items")
     supported = counts.filter(F.col("heavy_orders") >= threshold).select("item")
     blocked = _blocked_pairs(in_heavy.join(supported, "item", "left_semi"), heavy)
     looked_up = _looked_up_pairs(light, in_heavy, counts, threshold)

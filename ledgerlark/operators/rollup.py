@@ -20,25 +20,60 @@ def order_facts(tx: DataFrame) -> DataFrame:
         "InvoiceNo", "CustomerID", "Country", month_of("InvoiceDate").alias("Month"), "TransactionType",
         "IsRevenueEligible", "IsReturn",
     ]
-    rolled = tx.groupBy(*keys).agg(
+    return tx.groupBy(*keys).agg(
         F.count("*").alias("Lines"),
         F.sum("LineRevenue").cast(PRICE).alias("Revenue"),
         F.sum("Quantity").alias("Units"),
         F.min("InvoiceDate").alias("FirstDate"),
         F.max("InvoiceDate").alias("LastDate"),
     )
-    return rolled
 
 
-def roll_up(orders: DataFrame, *keys: str) -> DataFrame:
+def _invoice_counts(df: DataFrame, keys: list[str], sale, returned) -> DataFrame:
+    """Distinct invoices per key: all, with a sale, with a return.
+
+    Only keys and two flags are shuffled per invoice, and all three counts come
+    from that one step. The second step merges partially, so a key that holds
+    most rows is no hot spot.
+    """
+    per_invoice = (
+        df.filter(F.col("InvoiceNo").isNotNull())
+        .groupBy(*keys, "InvoiceNo")
+        .agg(F.max(sale).alias("_sale"), F.max(returned).alias("_return"))
+    )
+    return per_invoice.groupBy(*keys).agg(
+        F.count("*").alias("Orders"),
+        F.count_if("_sale").alias("SalesOrders"),
+        F.count_if("_return").alias("ReturnOrders"),
+    )
+
+
+_COUNTS = ["Orders", "SalesOrders", "ReturnOrders"]
+
+
+def _attach_counts(sums: DataFrame, counts: DataFrame, keys: list[str], nulls: bool) -> DataFrame:
+    """Sums with the invoice counts of the same keys; zero where no invoice is known."""
+    if not keys:
+        found = counts.select(F.struct(*_COUNTS)).scalar()
+        return sums.withColumn("_found", found).select("*", "_found.*").drop("_found")
+    if nulls:
+        counts = counts.withColumnsRenamed({key: f"_{key}" for key in keys})
+        joined = sums.join(counts, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys], "left")
+        joined = joined.drop(*[f"_{key}" for key in keys])
+    else:
+        joined = sums.join(counts, keys, "left")
+    return joined.na.fill(0, _COUNTS)
+
+
+def roll_up(orders: DataFrame, *keys: str, nulls: bool = True) -> DataFrame:
     """Measures of `order_facts` per key, with exact distinct invoice counts.
 
-    Invoices are merged per key first; the second step then counts rows. One
-    row per invoice is shuffled whatever the number of distinct counts, and the
-    second step merges partially, so a key that holds most rows is no hot spot.
+    Sums and counts are two branches: sums merge to one row per key and task
+    before the shuffle, and the per-invoice shuffle of the counts stays narrow.
+    Without null keys (`nulls=False`) the two meet without another shuffle.
     """
     sale, returned = F.col("IsRevenueEligible"), F.col("IsReturn")
-    per_invoice = orders.groupBy(*keys, "InvoiceNo").agg(
+    sums = orders.groupBy(*keys).agg(
         F.sum("Lines").alias("Lines"),
         F.sum("Revenue").alias("NetAll"),
         F.sum(only(sale, "Revenue")).alias("GrossRevenue"),
@@ -47,37 +82,20 @@ def roll_up(orders: DataFrame, *keys: str) -> DataFrame:
         F.sum(only(returned, "Units")).alias("ReturnedUnits"),
         F.min(F.when(sale, F.col("FirstDate"))).alias("FirstSale"),
         F.max(F.when(sale, F.col("LastDate"))).alias("LastSale"),
-        F.max(sale).alias("HasSale"),
-        F.max(returned).alias("HasReturn"),
-    )
-    known = F.col("InvoiceNo").isNotNull()
-    return per_invoice.groupBy(*keys).agg(
-        F.sum("Lines").alias("Lines"),
-        F.sum("NetAll").alias("NetAll"),
-        F.sum("GrossRevenue").alias("GrossRevenue"),
-        F.sum("ReturnValue").alias("ReturnValue"),
-        F.sum("UnitsSold").alias("UnitsSold"),
-        F.sum("ReturnedUnits").alias("ReturnedUnits"),
-        F.min("FirstSale").alias("FirstSale"),
-        F.max("LastSale").alias("LastSale"),
-        F.count("InvoiceNo").alias("Orders"),
-        F.count_if(F.col("HasSale") & known).alias("SalesOrders"),
-        F.count_if(F.col("HasReturn") & known).alias("ReturnOrders"),
     )
+    return _attach_counts(sums, _invoice_counts(orders, list(keys), sale, returned), list(keys), nulls)
 
 
 def customer_facts(orders: DataFrame) -> DataFrame:
     """One row per identified customer, with or without sales."""
-    return roll_up(orders.filter(F.col("CustomerID").isNotNull()), "CustomerID")
+    return roll_up(orders.filter(F.col("CustomerID").isNotNull()), "CustomerID", nulls=False)
 
 
 def product_facts(tx: DataFrame) -> DataFrame:
-    """One row per stock code (null included): sales, returns, totals and order counts.
-
-    Merged per code and invoice first, for the same reasons as `roll_up`.
-    """
+    """One row per stock code (null included): sales, returns, totals and order counts."""
     sale, returned = F.col("IsRevenueEligible"), F.col("IsReturn")
-    per_invoice = tx.groupBy("StockCode", "InvoiceNo").agg(
+    price = F.when(sale, F.col("UnitPrice"))
+    sums = tx.groupBy("StockCode").agg(
         F.count("*").alias("Lines"),
         F.count_if(sale).alias("SalesLines"),
         F.count_if(returned).alias("ReturnLines"),
@@ -86,19 +104,19 @@ def product_facts(tx: DataFrame) -> DataFrame:
         F.sum(only(returned, "LineRevenue")).alias("ReturnValue"),
         F.sum(only(sale, "Quantity")).alias("UnitsSold"),
         F.sum(only(returned, "Quantity")).alias("ReturnedUnits"),
-        F.sum(F.when(sale, F.col("UnitPrice"))).alias("PriceSum"),
-        F.count(F.when(sale, F.col("UnitPrice"))).alias("PriceCount"),
-        F.max("Description").alias("MaxDescription"),
+        F.sum(price).alias("PriceSum"),
+        F.count(price).alias("PriceCount"),
     )
-    known = F.col("InvoiceNo").isNotNull()
-    sums = [
-        "Lines", "SalesLines", "ReturnLines", "NetAll", "GrossRevenue", "ReturnValue", "UnitsSold",
-        "ReturnedUnits", "PriceSum", "PriceCount",
-    ]
-    return per_invoice.groupBy("StockCode").agg(
-        *[F.sum(name).alias(name) for name in sums],
-        F.max("MaxDescription").alias("MaxDescription"),
-        F.count("InvoiceNo").alias("Orders"),
-        F.count_if((F.col("SalesLines") > 0) & known).alias("SalesOrders"),
-        F.count_if((F.col("ReturnLines") > 0) & known).alias("ReturnOrders"),
+    return _attach_counts(sums, _invoice_counts(tx, ["StockCode"], sale, returned), ["StockCode"], True)
+
+
+def name_facts(tx: DataFrame) -> DataFrame:
+    """One row per stock code and non-null description: sale lines and first date.
+
+    The picks of one description per product read this short table.
+    """
+    return (
+        tx.filter(F.col("Description").isNotNull())
+        .groupBy("StockCode", "Description")
+        .agg(F.count_if("IsRevenueEligible").alias("SaleLines"), F.min("InvoiceDate").alias("FirstDate"))
     )

@@ -13,6 +13,7 @@ from ledgerlark.operators.pairs import frequent_pairs, item_counts, multi_item_b
 from ledgerlark.operators.picks import first_row
 from ledgerlark.operators.profile import value_counts
 from ledgerlark.settings import Vocabulary
+from ledgerlark.storage import write_stage
 
 
 def basket_scope(tx: DataFrame, taxonomy: DataFrame, item: str = "StockCode") -> DataFrame:
@@ -21,7 +22,10 @@ def basket_scope(tx: DataFrame, taxonomy: DataFrame, item: str = "StockCode") ->
     genuine = taxonomy.filter("CommercialProduct").select("StockCode")
     # Distinct first: the semi join then sees one row per invoice and code, not every line.
     lines = sales.select(*dict.fromkeys(["InvoiceNo", "StockCode", item])).distinct()
-    return multi_item_baskets(lines.join(genuine, "StockCode", "left_semi"), "InvoiceNo", item)
+    lines = lines.filter(F.col("InvoiceNo").isNotNull()).join(genuine, "StockCode", "left_semi")
+    if item != "StockCode":
+        lines = lines.select("InvoiceNo", item).filter(F.col(item).isNotNull()).distinct()
+    return multi_item_baskets(lines.select("InvoiceNo", item), "InvoiceNo")
 
 
 def basket_totals(basket: DataFrame, item: str = "StockCode") -> DataFrame:
@@ -37,8 +41,8 @@ def product_associations(
     basket: DataFrame, taxonomy: DataFrame, item: str = "StockCode", min_pair_orders: int = 20, heavy_basket: int = 2000
 ) -> DataFrame:
     """Support, confidences and lift of item pairs bought together often enough."""
-    pairs = frequent_pairs(basket, "InvoiceNo", item, min_pair_orders, heavy_basket)
-    counts = item_counts(basket, item).filter(F.col("orders") >= min_pair_orders)
+    counts = write_stage(item_counts(basket, item).filter(F.col("orders") >= min_pair_orders), "frequent_items")
+    pairs = frequent_pairs(basket, counts, "InvoiceNo", item, min_pair_orders, heavy_basket)
     names = first_row(taxonomy.select("StockCode", "Description"), "StockCode").withColumnRenamed("StockCode", item)
     items = counts.join(names, item, "left") if item == "StockCode" else counts.withColumn("Description", F.col(item))
 

@@ -14,19 +14,10 @@ from ledgerlark.functions.labels import (
 )
 from ledgerlark.functions.measures import number, ratio
 from ledgerlark.functions.text import has_keyword, number_or_zero, strip, tidy
-from ledgerlark.operators.picks import first_text
 from ledgerlark.operators.profile import value_counts
 from ledgerlark.operators.ranking import exact_quantiles, global_rank, mean_ranks
 
 
-def first_descriptions(tx: DataFrame) -> DataFrame:
-    """Earliest known description of each code."""
-    return first_text(
-        tx.select("StockCode", "Description", "InvoiceDate", "InvoiceNo"),
-        "StockCode", "Description", "InvoiceDate", "InvoiceNo",
-    )
-
-
 def product_quality(products: DataFrame, descriptions: DataFrame) -> DataFrame:
     """Description quality, return risk, performance score and class of every stock code.
 

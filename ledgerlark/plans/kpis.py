@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark import constants as C
 from ledgerlark.functions.measures import net_commercial, number, ratio
+from ledgerlark.operators.picks import largest_names
 from ledgerlark.operators.ranking import top_share
 from ledgerlark.operators.rollup import roll_up
 
@@ -69,12 +70,11 @@ def country_performance(orders: DataFrame) -> DataFrame:
     )
 
 
-def top_products(products: DataFrame, n: int = 50) -> DataFrame:
-    """Products with the highest net value."""
-    return (
+def top_products(products: DataFrame, names: DataFrame, n: int = 50) -> DataFrame:
+    """Products with the highest net value; only the rows shown are given a description."""
+    best = (
         products.select(
             "StockCode",
-            F.col("MaxDescription").alias("Description"),
             F.col("UnitsSold").alias("units_sold"),
             F.col("SalesOrders").alias("orders"),
             number("GrossRevenue", 2).alias("gross_revenue"),
@@ -83,6 +83,12 @@ def top_products(products: DataFrame, n: int = 50) -> DataFrame:
         .orderBy(F.desc("net_revenue"), "StockCode")
         .limit(n)
     )
+    texts = largest_names(names).withColumnRenamed("StockCode", "_code")
+    return (
+        best.join(texts, F.col("StockCode").eqNullSafe(F.col("_code")), "left")
+        .select("StockCode", F.col("MaxDescription").alias("Description"), "units_sold", "orders", "gross_revenue", "net_revenue")
+        .orderBy(F.desc("net_revenue"), "StockCode")
+    )
 
 
 def top_customers(customers: DataFrame, n: int = 50) -> DataFrame:

@@ -12,16 +12,11 @@ from pyspark.sql import functions as F
 from ledgerlark import constants as C
 from ledgerlark.functions.labels import product_category
 from ledgerlark.functions.measures import month_of, net_commercial, number, only, percent, ratio
-from ledgerlark.operators.picks import modal_text
+from ledgerlark.operators.picks import largest_names
 from ledgerlark.operators.profile import share_of_total
 from ledgerlark.operators.ranking import global_rank, top_share
 
 
-def sale_descriptions(tx: DataFrame) -> DataFrame:
-    """Most frequent description of each code among its sales."""
-    return modal_text(tx.filter("IsRevenueEligible").select("StockCode", "Description"), "StockCode", "Description")
-
-
 def _sold(products: DataFrame) -> DataFrame:
     return products.filter("SalesLines > 0 AND StockCode IS NOT NULL")
 
@@ -148,10 +143,11 @@ def _merchandise(products: DataFrame, taxonomy: DataFrame) -> DataFrame:
     return products.join(genuine, "StockCode")
 
 
-def top_merchandise(products: DataFrame, taxonomy: DataFrame, n: int = 50) -> DataFrame:
+def top_merchandise(products: DataFrame, names: DataFrame, taxonomy: DataFrame, n: int = 50) -> DataFrame:
     """Merchandise by net value of all lines, with the mean sale price."""
     return (
         _merchandise(products, taxonomy)
+        .join(largest_names(names), "StockCode", "left")
         .select(
             "StockCode",
             F.col("MaxDescription").alias("Description"),
@@ -173,10 +169,11 @@ def merchandise_concentration(products: DataFrame, taxonomy: DataFrame) -> DataF
     return top_share(_merchandise(products, taxonomy), "GrossRevenue", "StockCode", C.TOP_PERCENTS, "ceil")
 
 
-def merchandise_return_risk(products: DataFrame, taxonomy: DataFrame, n: int = 50) -> DataFrame:
+def merchandise_return_risk(products: DataFrame, names: DataFrame, taxonomy: DataFrame, n: int = 50) -> DataFrame:
     """Merchandise with the highest return value rate."""
     return (
         _merchandise(products, taxonomy)
+        .join(largest_names(names), "StockCode", "left")
         .select(
             "StockCode",
             F.col("MaxDescription").alias("Description"),

@@ -14,7 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from ledgerlark.operators.cleaning import clean_transactions
-from ledgerlark.operators.rollup import customer_facts, order_facts, product_facts
+from ledgerlark.operators.picks import first_names, modal_names
+from ledgerlark.operators.rollup import customer_facts, name_facts, order_facts, product_facts
 from ledgerlark.plans import baskets, catalogue, cohorts, dashboard, products, rfm
 from ledgerlark.settings import Settings
 from ledgerlark.storage import write_stage
@@ -49,8 +50,9 @@ STAGES: dict[str, Callable[[Workspace], DataFrame]] = {
     "orders": lambda w: order_facts(w.clean),
     "customers": lambda w: customer_facts(w.orders),
     "products": lambda w: product_facts(w.clean),
-    "sale_names": lambda w: products.sale_descriptions(w.clean),
-    "first_names": lambda w: catalogue.first_descriptions(w.clean),
+    "names": lambda w: name_facts(w.clean),
+    "sale_names": lambda w: modal_names(w.names),
+    "first_names": lambda w: first_names(w.names, w.clean),
     "rfm": lambda w: rfm.customer_rfm(w.customers),
     "value": lambda w: rfm.customer_value(w.customers, w.rfm),
     "risk": lambda w: rfm.customer_risk(w.value),
