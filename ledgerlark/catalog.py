@@ -144,11 +144,11 @@ RESULTS: dict[str, Result] = {
     "anomaly_summary_severity": lambda w: catalogue.severity_counts(w.anomalies),
     "anomaly_summary_top": lambda w: catalogue.top_anomalies(w.anomalies),
     # Baskets.
-    "basket_scope": lambda w: baskets.basket_scope(w.clean, w.taxonomy),
+    "basket_scope": lambda w: w.basket_by_code,
     "basket_scope_totals": lambda w: baskets.basket_totals(w.basket, w.settings.basket_item),
     "product_associations": lambda w: w.associations,
     "product_associations_by_code": lambda w: baskets.product_associations(
-        baskets.basket_scope(w.clean, w.taxonomy), w.taxonomy, "StockCode", min_pair_orders=3
+        w.basket_by_code, w.taxonomy, "StockCode", min_pair_orders=3
     ),
     "associations_top": lambda w: baskets.top_by_lift(w.associations),
     "associations_top_frequency": lambda w: baskets.top_by_frequency(w.associations),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.operators.ranking import exact_quantiles
+from ledgerlark.storage import write_stage
 
 
 def to_long(df: DataFrame, groups: list[str], cells: dict[str, Column], name: str = "metric") -> DataFrame:
@@ -39,6 +40,23 @@ def row_counts(df: DataFrame, groups: list[str], columns: list[str]) -> DataFram
     )
 
 
+def count_copies(df: DataFrame) -> DataFrame:
+    """Duplicate rows over all columns, for a table that should have few.
+
+    A narrow pass counts row hashes; only rows whose hash occurs again are
+    compared in full, so a clean table is never shuffled whole.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    hashes = df.groupBy(F.xxhash64(*columns).alias("_hash")).agg(F.count("*").alias("_n"))
+    suspects = write_stage(hashes.filter("_n > 1").select("_hash"), "row_hashes")
+    same = df.withColumn("_hash", F.xxhash64(*columns)).join(suspects, "_hash", "left_semi")
+    return (
+        same.groupBy(*columns)
+        .agg(F.count("*").alias("_copies"))
+        .agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
+    )
+
+
 def numeric_summary(df: DataFrame, groups: list[str], columns: list[str]) -> DataFrame:
     """Count, mean, deviation (both to six digits), extremes and exact quartiles per numeric column."""
     long = to_long(df, groups, {c: F.col(f"`{c}`") for c in columns}, "column")

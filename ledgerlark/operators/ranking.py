@@ -60,14 +60,19 @@ def running_total(
 ) -> DataFrame:
     """Running sum of `amount` in the global order, and the position on request."""
     rows, ranges = _sorted_ranges(df, order, F.col(amount))
-    inside = Window.partitionBy("_range").orderBy("_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = rows.withColumn("_inside", F.sum(amount).over(inside)).join(F.broadcast(ranges), "_range")
-    result = summed.withColumn(name, F.col("_amount_before") + F.col("_inside"))
+    result = _run(rows, ranges, amount, name)
     if position:
         result = result.withColumn(position, F.col("_rows_before") + F.col("_row") + 1)
     return result.select(*df.columns, name, *([position] if position else []))
 
 
+def _run(rows: DataFrame, ranges: DataFrame, amount: str, name: str) -> DataFrame:
+    """Running sum: the sum inside the range plus what lies before the range."""
+    inside = Window.partitionBy("_range").orderBy("_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = rows.withColumn("_inside", F.sum(amount).over(inside)).join(F.broadcast(ranges), "_range")
+    return summed.withColumn(name, F.col("_amount_before") + F.col("_inside"))
+
+
 def rank_bucket(position: Column, total: Column, buckets: int) -> Column:
     """Quantile bucket (1..buckets) of a rank, with edges at equal steps of the rank range.
 
@@ -135,15 +140,15 @@ def _cumulative(df: DataFrame, groups: list[str], metrics: dict[str, Column]) ->
     """Value counts with the cumulative count and total inside each group and metric."""
     keys = [*groups, "metric"]
     counted = _value_counts(df, groups, metrics)
-    running = running_total(counted, [F.col(c).asc() for c in [*keys, "value"]], "_count", "_upto")
-    # One row per group and metric.
-    spans = running.groupBy(*keys).agg(
-        F.min(F.col("_upto") - F.col("_count")).alias("_start"), F.sum("_count").alias("_n")
-    )
+    rows, ranges = _sorted_ranges(counted, [F.col(c).asc() for c in [*keys, "value"]], F.col("_count"))
+    # One row per group and metric: its total and all counts sorted before it.
+    before = Window.orderBy(*[F.col(c).asc() for c in keys]).rowsBetween(Window.unboundedPreceding, -1)
+    spans = rows.groupBy(*keys).agg(F.sum("_count").alias("_n"))
+    spans = spans.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     spans = spans.withColumnsRenamed({c: f"_{c}" for c in keys})
-    condition = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
-    return running.join(spans, condition).select(
-        *keys, "value", "_count", "_n", (F.col("_upto") - F.col("_start")).alias("_upto")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    return _run(rows, ranges, "_count", "_all").join(spans, same).select(
+        *keys, "value", "_count", "_n", (F.col("_all") - F.col("_start")).alias("_upto")
     )
 
 

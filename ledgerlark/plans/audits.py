@@ -14,7 +14,7 @@ from ledgerlark.functions.measures import number
 from ledgerlark.functions.text import starts_with
 from ledgerlark.operators.cleaning import classify_audit
 from ledgerlark.operators.profile import (
-    null_report, numeric_summary, row_counts, to_long, top_per_group, value_counts,
+    count_copies, null_report, numeric_summary, row_counts, to_long, top_per_group, value_counts,
 )
 from ledgerlark.schema import RAW
 
@@ -244,10 +244,11 @@ def validate_clean(tx: DataFrame) -> DataFrame:
 
     cells = F.array(*[cell(k, True) for k in checks], *[cell(k, False) for k in dates])
     measured = totals.select(F.explode(cells).alias("_cell")).select("_cell.*")
-    # Copies are merged before they count, over every column of the table.
-    copies = tx.groupBy(*tx.columns).agg(F.count("*").alias("_copies"))
-    duplicates = copies.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).cast("double").alias("value")).select(
-        F.lit("duplicates").alias("check"), F.lit("rows").alias("metric"), "value", F.lit(None).cast("string").alias("text")
+    duplicates = count_copies(tx).select(
+        F.lit("duplicates").alias("check"),
+        F.lit("rows").alias("metric"),
+        F.col("duplicate_rows").cast("double").alias("value"),
+        F.lit(None).cast("string").alias("text"),
     )
     types = value_counts(tx, "TransactionType").select(
         F.lit("transaction_type").alias("check"),

@@ -64,6 +64,7 @@ STAGES: dict[str, Callable[[Workspace], DataFrame]] = {
     "scope": lambda w: catalogue.product_scope(w.master, w.settings.product_tiers),
     "anomalies": lambda w: catalogue.product_anomalies(w.scope),
     "basket": lambda w: baskets.basket_scope(w.clean, w.taxonomy, w.settings.basket_item),
+    "basket_by_code": lambda w: baskets.basket_scope(w.clean, w.taxonomy),
     "associations": lambda w: baskets.product_associations(
         w.basket, w.taxonomy, w.settings.basket_item, w.settings.min_pair_orders, w.settings.heavy_basket
     ),

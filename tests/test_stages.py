@@ -11,6 +11,7 @@ from ledgerlark import constants as C
 from ledgerlark.functions.lookup import find_column, find_date_column, first_value
 from ledgerlark.operators.cleaning import clean_transactions
 from ledgerlark.operators.picks import first_names, first_row, modal_names
+from ledgerlark.operators.profile import count_copies
 from ledgerlark.operators.rollup import customer_facts, name_facts, order_facts, product_facts, roll_up
 from ledgerlark.plans import baskets, cohorts, dashboard, rfm
 from ledgerlark.plans.workspace import Workspace
@@ -176,3 +177,9 @@ def test_serving_variants(spark):
     segments = spark.createDataFrame([("a",), ("a",), ("b",)], "Segment string")
     assert [tuple(r) for r in dashboard.segment_value(segments).collect()] == [("a", 2), ("b", 1)]
     assert tuple(dashboard.risk_summary(country.select("Country")).first()) == (3, 0.0)
+
+
+def test_count_copies(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "a"), (2, None), (2, None), (3, "c")], "n int, t string")
+    assert count_copies(df).first()[0] == 3
+    assert count_copies(df.distinct()).first()[0] == 0
