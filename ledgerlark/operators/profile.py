@@ -59,14 +59,20 @@ def count_copies(df: DataFrame) -> DataFrame:
 
 def numeric_summary(df: DataFrame, groups: list[str], columns: list[str]) -> DataFrame:
     """Count, mean, deviation (both to six digits), extremes and exact quartiles per numeric column."""
-    long = to_long(df, groups, {c: F.col(f"`{c}`") for c in columns}, "column")
-    basic = long.groupBy(*groups, "column").agg(
-        F.count("value").alias("count"),
-        F.round(F.avg("value"), 6).alias("mean"),
-        F.round(F.stddev_samp("value"), 6).alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+
+    def statistics(name):
+        value = F.col(f"`{name}`").cast("double")
+        return F.struct(
+            F.lit(name).alias("column"),
+            F.count(value).alias("count"),
+            F.round(F.avg(value), 6).alias("mean"),
+            F.round(F.stddev_samp(value), 6).alias("std"),
+            F.min(value).alias("min"),
+            F.max(value).alias("max"),
+        )
+
+    basic = df.groupBy(*groups).agg(F.array(*[statistics(c) for c in columns]).alias("_columns"))
+    basic = basic.select(*groups, F.explode("_columns").alias("_column")).select(*groups, "_column.*")
     quartiles = exact_quantiles(df, {c: F.col(f"`{c}`") for c in columns}, [0.25, 0.5, 0.75], groups)
     quartiles = quartiles.withColumnsRenamed({"metric": "column", "q0": "q25", "q1": "q50", "q2": "q75"})
     return basic.join(quartiles, [*groups, "column"])
