@@ -94,6 +94,7 @@ RESULTS: dict[str, Result] = {
     "validate_clean": lambda w: audits.validate_clean(w.clean),
     # Customer stages.
     "customer_rfm": lambda w: w.rfm,
+    "rfm_scope": lambda w: rfm.rfm_scope(w.orders),
     "rfm_summary": lambda w: rfm.segment_counts(w.rfm),
     "rfm_summary_top": lambda w: rfm.top_monetary(w.rfm),
     "customer_value": lambda w: w.value,
@@ -146,6 +147,9 @@ RESULTS: dict[str, Result] = {
     # Baskets.
     "basket_scope": lambda w: w.basket_by_code,
     "basket_scope_totals": lambda w: baskets.basket_totals(w.basket, w.settings.basket_item),
+    "basket_funnel": lambda w: baskets.basket_funnel(
+        baskets.basket_members(w.clean, w.taxonomy, w.settings.basket_item), w.associations, w.settings.basket_item
+    ),
     "product_associations": lambda w: w.associations,
     "product_associations_by_code": lambda w: baskets.product_associations(
         w.basket_by_code, w.taxonomy, "StockCode", min_pair_orders=3

@@ -26,7 +26,7 @@ from ledgerlark.storage import write_stage
 def multi_item_baskets(members: DataFrame, basket: str) -> DataFrame:
     """Rows of baskets with at least two items; `members` holds distinct (basket, item) rows."""
     several = members.groupBy(basket).agg(F.count("*").alias("_size")).filter("_size >= 2").select(basket)
-    return members.join(several, basket, "left_semi")
+    return members.join(write_stage(several, "multi_item_orders"), basket, "left_semi")
 
 
 def item_counts(members: DataFrame, item: str) -> DataFrame:

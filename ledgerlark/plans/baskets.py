@@ -16,16 +16,39 @@ from ledgerlark.settings import Vocabulary
 from ledgerlark.storage import write_stage
 
 
-def basket_scope(tx: DataFrame, taxonomy: DataFrame, item: str = "StockCode") -> DataFrame:
-    """Distinct items of multi-item merchandise sales, one row per invoice and item."""
-    sales = tx.filter(F.col("IsRevenueEligible") & ~starts_with(F.col("InvoiceNo"), "C"))
+def basket_members(tx: DataFrame, taxonomy: DataFrame, item: str = "StockCode") -> DataFrame:
+    """Distinct items of merchandise sales, one row per invoice and item."""
+    sales = tx.filter(F.col("IsRevenueEligible") & F.col("InvoiceNo").isNotNull() & ~starts_with(F.col("InvoiceNo"), "C"))
     genuine = taxonomy.filter("CommercialProduct").select("StockCode")
     # Distinct first: the semi join then sees one row per invoice and code, not every line.
     lines = sales.select(*dict.fromkeys(["InvoiceNo", "StockCode", item])).distinct()
-    lines = lines.filter(F.col("InvoiceNo").isNotNull()).join(genuine, "StockCode", "left_semi")
+    lines = lines.join(genuine, "StockCode", "left_semi")
     if item != "StockCode":
         lines = lines.select("InvoiceNo", item).filter(F.col(item).isNotNull()).distinct()
-    return multi_item_baskets(lines.select("InvoiceNo", item), "InvoiceNo")
+    return lines.select("InvoiceNo", item)
+
+
+def basket_scope(tx: DataFrame, taxonomy: DataFrame, item: str = "StockCode") -> DataFrame:
+    """Items of multi-item merchandise sales, one row per invoice and item."""
+    return multi_item_baskets(basket_members(tx, taxonomy, item), "InvoiceNo")
+
+
+def basket_funnel(members: DataFrame, associations: DataFrame, item: str = "StockCode") -> DataFrame:
+    """Orders, items, multi-item orders, item pairs in them, and the pairs kept as associations.
+
+    The number of pairs follows from the basket sizes; no pair is formed.
+    """
+    size = F.col("_size")
+    sizes = members.groupBy("InvoiceNo").agg(F.count("*").alias("_size"))
+    return sizes.agg(
+        F.count("*").alias("orders"),
+        F.count_if(size >= 2).alias("multi_item_orders"),
+        F.sum((size * (size - 1) / 2).cast("bigint")).alias("pairs"),
+    ).select(
+        "*",
+        members.agg(F.countDistinct(item)).scalar().alias("items"),
+        associations.agg(F.count("*")).scalar().alias("associations"),
+    )
 
 
 def basket_totals(basket: DataFrame, item: str = "StockCode") -> DataFrame:

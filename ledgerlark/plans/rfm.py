@@ -53,6 +53,16 @@ def customer_rfm(customers: DataFrame) -> DataFrame:
     )
 
 
+def rfm_scope(orders: DataFrame) -> DataFrame:
+    """Sale lines and customers that the scores stand for, and the observation date."""
+    sales = orders.filter(F.col("IsRevenueEligible") & F.col("CustomerID").isNotNull())
+    return sales.agg(
+        F.sum("Lines").alias("revenue_eligible_rows"),
+        F.countDistinct("CustomerID").alias("customers"),
+        F.date_add(F.to_date(F.max("LastDate")), 1).cast("timestamp_ntz").alias("observation_date"),
+    )
+
+
 def segment_counts(rfm: DataFrame) -> DataFrame:
     """Customers and revenue per segment."""
     return rfm.groupBy("Segment").agg(F.count("*").alias("customers"), number(F.sum("Monetary")).alias("revenue"))

@@ -339,6 +339,9 @@ RESULTS["validate_clean"] = " UNION ALL ".join(
 
 _RFM = f"SELECT * {doubles('Monetary')} FROM x_rfm"
 RESULTS["customer_rfm"] = _RFM
+RESULTS["rfm_scope"] = """
+SELECT count(*) AS revenue_eligible_rows, count(DISTINCT CustomerID) AS customers,
+  (max(InvoiceDate)::DATE + 1)::TIMESTAMP AS observation_date FROM x_tx WHERE IsRevenueEligible AND CustomerID IS NOT NULL"""
 RESULTS["rfm_summary"] = "SELECT Segment, count(*) AS customers, sum(Monetary)::DOUBLE AS revenue FROM x_rfm GROUP BY Segment"
 RESULTS["rfm_summary_top"] = """
 SELECT CustomerID, Recency, Frequency, Monetary::DOUBLE AS Monetary, AverageOrderValue, Segment
@@ -459,6 +462,10 @@ FROM x_anomaly WHERE AnomalyScore > 0 ORDER BY AnomalyScore DESC, x_anomaly.NetR
 RESULTS["basket_scope"] = "SELECT InvoiceNo, Item AS StockCode FROM x_basket_code"
 RESULTS["basket_scope_totals"] = """
 SELECT count(DISTINCT InvoiceNo) AS multi_item_orders, count(DISTINCT Item) AS items, count(*) AS rows FROM x_basket"""
+RESULTS["basket_funnel"] = """
+SELECT count(*) AS orders, count(*) FILTER (n >= 2) AS multi_item_orders, sum(n * (n - 1) // 2)::BIGINT AS pairs,
+  (SELECT count(DISTINCT Item) FROM x_members) AS items, (SELECT count(*) FROM x_assoc) AS associations
+FROM (SELECT InvoiceNo, count(*) AS n FROM x_members GROUP BY 1)"""
 RESULTS["product_associations"] = "SELECT * FROM x_assoc"
 RESULTS["product_associations_by_code"] = "SELECT * FROM x_assoc_code"
 RESULTS["associations_top"] = """

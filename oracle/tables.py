@@ -312,13 +312,16 @@ FROM (
 """
 
 
-def _basket(item: str) -> str:
+def _members(item: str) -> str:
     return f"""
-SELECT InvoiceNo, Item FROM (
-  SELECT *, count(*) OVER (PARTITION BY InvoiceNo) AS size FROM (
-    SELECT DISTINCT t.InvoiceNo, t.{item} AS Item FROM x_tx t JOIN x_tax p ON t.StockCode = p.StockCode
-    WHERE CommercialProduct AND IsRevenueEligible AND t.InvoiceNo NOT LIKE 'C%' AND t.{item} IS NOT NULL))
-WHERE size >= 2
+SELECT DISTINCT t.InvoiceNo, t.{item} AS Item FROM x_tx t JOIN x_tax p ON t.StockCode = p.StockCode
+WHERE CommercialProduct AND IsRevenueEligible AND t.InvoiceNo NOT LIKE 'C%' AND t.{item} IS NOT NULL
+"""
+
+
+def _basket(members: str) -> str:
+    return f"""
+SELECT InvoiceNo, Item FROM (SELECT *, count(*) OVER (PARTITION BY InvoiceNo) AS size FROM {members}) WHERE size >= 2
 """
 
 
@@ -337,8 +340,10 @@ CROSS JOIN (SELECT count(DISTINCT InvoiceNo) AS n FROM {basket})
 """
 
 
-TABLES["x_basket"] = _basket(S.basket_item)
-TABLES["x_basket_code"] = _basket("StockCode")
+TABLES["x_members"] = _members(S.basket_item)
+TABLES["x_members_code"] = _members("StockCode")
+TABLES["x_basket"] = _basket("x_members")
+TABLES["x_basket_code"] = _basket("x_members_code")
 TABLES["x_assoc"] = _pairs("x_basket", S.min_pair_orders, "p.Product{}")
 TABLES["x_assoc_code"] = _pairs(
     "x_basket_code", 3, "(SELECT Description FROM x_tax WHERE x_tax.StockCode = p.Product{})"
