@@ -95,35 +95,38 @@ def ntile_bucket(position: Column, total: Column, buckets: int) -> Column:
     )
 
 
-def top_share(
-    df: DataFrame, value: str, key: str, percents: list[int], rule: str, prefix: str = "top_", suffix: str = "pct_revenue_share"
+def share_of_top(
+    ranked: DataFrame, value: str, position: Column, total: Column, percents: list[int], rule: str, suffix: str
 ) -> DataFrame:
-    """Share of the total held by the top p percent of rows, one column per p.
+    """Share of the total held by the top p percent of ranked rows, one column `top_<p><suffix>` per p.
 
     `rule` is "ceil" (k = ceil(n*p)) or "floor" (k = max(1, floor(n*p))).
     """
-    ranked = global_rank(df.select(key, value), [F.col(value).desc_nulls_last(), F.col(key).asc()], "_at", "_n")
 
     def size(percent):
         # Integer arithmetic: n*p/100 in doubles can fall just beside a whole number.
-        whole = F.col("_n") * percent
-        if rule == "ceil":
-            return F.floor((whole + 99) / 100)
-        return F.greatest(F.lit(1), F.floor(whole / 100))
+        whole = total * percent
+        return F.floor((whole + 99) / 100) if rule == "ceil" else F.greatest(F.lit(1), F.floor(whole / 100))
 
-    held = [
-        F.sum(F.when(F.col("_at") <= size(p), F.col(value)).otherwise(0)).alias(f"_top{p}") for p in percents
-    ]
-    totals = ranked.agg(F.sum(value).alias("_total"), *held)
-    total = F.col("_total").cast("double")
-    return totals.select(
+    held = [F.sum(F.when(position <= size(p), F.col(value)).otherwise(0)).alias(f"_top{p}") for p in percents]
+    sums = ranked.agg(F.sum(value).alias("_all"), *held)
+    whole = F.col("_all").cast("double")
+    return sums.select(
         *[
-            F.round(F.try_divide(F.lit(100.0) * F.col(f"_top{p}").cast("double"), total), 2).alias(f"{prefix}{p}{suffix}")
+            F.round(F.try_divide(F.lit(100.0) * F.col(f"_top{p}").cast("double"), whole), 2).alias(f"top_{p}{suffix}")
             for p in percents
         ]
     )
 
 
+def top_share(
+    df: DataFrame, value: str, key: str, percents: list[int], rule: str, suffix: str = "pct_revenue_share"
+) -> DataFrame:
+    """`share_of_top` of rows ranked by value, ties by key."""
+    ranked = global_rank(df.select(key, value), [F.col(value).desc_nulls_last(), F.col(key).asc()], "_at", "_n")
+    return share_of_top(ranked, value, F.col("_at"), F.col("_n"), percents, rule, suffix)
+
+
 def _value_counts(df: DataFrame, groups: list[str], metrics: dict[str, Column]) -> DataFrame:
     """Distinct non-null values per metric with their frequency, in long form."""
     cells = F.array(*[F.struct(F.lit(name).alias("metric"), col.alias("value")) for name, col in metrics.items()])

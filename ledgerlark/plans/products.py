@@ -14,7 +14,7 @@ from ledgerlark.functions.labels import product_category
 from ledgerlark.functions.measures import month_of, net_commercial, number, only, percent, ratio
 from ledgerlark.operators.picks import largest_names
 from ledgerlark.operators.profile import share_of_total
-from ledgerlark.operators.ranking import global_rank, top_share
+from ledgerlark.operators.ranking import global_rank, share_of_top, top_share
 
 
 def _sold(products: DataFrame) -> DataFrame:
@@ -89,7 +89,8 @@ def top_by_returns(intelligence: DataFrame, n: int = 20) -> DataFrame:
 
 def product_concentration(intelligence: DataFrame) -> DataFrame:
     """Share of net revenue held by the top products; whole products only, at least one."""
-    return top_share(intelligence, "NetRevenue", "StockCode", C.TOP_PERCENTS, "floor", suffix="pct_share")
+    total = intelligence.agg(F.count("*")).scalar()
+    return share_of_top(intelligence, "NetRevenue", F.col("RevenueRank"), total, C.TOP_PERCENTS, "floor", "pct_share")
 
 
 def product_taxonomy(products: DataFrame, descriptions: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from ledgerlark import constants as C
 from ledgerlark.functions.labels import return_risk, rfm_segment, strategic_class
 from ledgerlark.functions.measures import net_commercial, number, ratio
 from ledgerlark.operators.profile import share_of_total
-from ledgerlark.operators.ranking import global_rank, rank_bucket, running_total, top_share
+from ledgerlark.operators.ranking import global_rank, rank_bucket, running_total, share_of_top
 
 
 def _day(column: str):
@@ -190,7 +190,8 @@ def top_value(value: DataFrame, n: int = 15) -> DataFrame:
 
 def value_concentration(value: DataFrame) -> DataFrame:
     """Share of net revenue held by the top customers; whole customers only, at least one."""
-    return top_share(value, "NetRevenue", "CustomerID", C.TOP_PERCENTS, "floor", suffix="pct_share")
+    total = value.agg(F.count("*")).scalar()
+    return share_of_top(value, "NetRevenue", F.col("RevenueRank"), total, C.TOP_PERCENTS, "floor", "pct_share")
 
 
 def customer_risk(value: DataFrame) -> DataFrame:
