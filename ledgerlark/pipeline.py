@@ -31,12 +31,20 @@ def run_pipeline(
     table_format: str = "parquet",
     only: list[str] | None = None,
     settings: Settings = Settings(),
+    resume: bool = False,
 ) -> Workspace:
-    """Build the tables of the given sheets and write them below `out`."""
-    tables = Workspace(load_raw(spark, sheets, sheet_format), settings)
+    """Build the tables of the given sheets and write them below `out`.
+
+    Parquet stage tables are written once, in place; named results, and CSV
+    copies of stages, are written beside them.
+    """
+    in_place = table_format == "parquet"
+    raw = load_raw(spark, sheets, sheet_format)
+    tables = Workspace(raw, settings, out if in_place else None, resume)
     for name in only or STAGES:
         df = tables.stage(name) if name in STAGES else RESULTS[name](tables)
-        write_table(df, f"{out}/{name}", table_format)
+        if name not in STAGES or not in_place:
+            write_table(df, f"{out}/{name}", table_format)
     if only is None:
         write_bundle(tables.dashboard(), f"{out}/dashboard")
     return tables
@@ -49,10 +57,13 @@ def main() -> None:
     parser.add_argument("--sheet-format", default="csv", choices=["csv", "parquet"])
     parser.add_argument("--table-format", default="parquet", choices=["csv", "parquet"])
     parser.add_argument("--only", nargs="+", choices=sorted({*STAGES, *RESULTS}), metavar="NAME")
+    parser.add_argument("--resume", action="store_true", help="keep stage tables that an earlier run has finished")
     options = parser.parse_args()
     spark = SparkSession.builder.appName("ledgerlark").getOrCreate()
     sheets = dict(item.split("=", 1) for item in options.sheet)
-    run_pipeline(spark, sheets, options.out, options.sheet_format, options.table_format, options.only)
+    run_pipeline(
+        spark, sheets, options.out, options.sheet_format, options.table_format, options.only, resume=options.resume
+    )
     spark.stop()
 
 

@@ -18,23 +18,37 @@ from ledgerlark.operators.picks import first_names, modal_names
 from ledgerlark.operators.rollup import customer_facts, name_facts, order_facts, product_facts
 from ledgerlark.plans import baskets, catalogue, cohorts, dashboard, products, rfm
 from ledgerlark.settings import Settings
-from ledgerlark.storage import write_stage
+from ledgerlark.storage import read_kept, write_once, write_stage
 
 
 class Workspace:
-    """Lazily built stage tables over raw invoice lines."""
+    """Lazily built stage tables over raw invoice lines.
 
-    def __init__(self, raw: DataFrame, settings: Settings = Settings()):
+    With a `folder`, stage tables are kept there under their names, and
+    `resume=True` reads those that an earlier run has finished. Without one
+    they go to the shared folder of the session.
+    """
+
+    def __init__(self, raw: DataFrame, settings: Settings = Settings(), folder: str | None = None, resume: bool = False):
         self.raw = raw
         self.settings = settings
+        self.folder = folder
+        self.resume = resume
         self._tables: dict[str, DataFrame] = {}
 
     def stage(self, name: str) -> DataFrame:
-        """Stage table `name`, written to the shared folder on first use."""
+        """Stage table `name`, written on first use."""
         if name not in self._tables:
-            self._tables[name] = write_stage(STAGES[name](self), name)
+            self._tables[name] = self._build(name)
         return self._tables[name]
 
+    def _build(self, name: str) -> DataFrame:
+        if self.folder is None:
+            return write_stage(STAGES[name](self), name)
+        path = f"{self.folder}/{name}"
+        kept = read_kept(self.raw.sparkSession, path) if self.resume else None
+        return kept if kept is not None else write_once(STAGES[name](self), path)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in STAGES:
             return self.stage(name)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,7 +28,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 def write_stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once as Parquet under the shared folder and return a reader of it."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return write_once(df, f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}")
+
+
+def write_once(df: DataFrame, path: str) -> DataFrame:
+    """Write `df` as Parquet to `path` and return a reader with the same schema."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_kept(spark: SparkSession, path: str) -> DataFrame | None:
+    """Table that an earlier run has written to `path`, or None."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None

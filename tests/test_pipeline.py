@@ -28,6 +28,10 @@ def test_pipeline_over_csv_sheets(spark):
     assert kpis.net_revenue == pytest.approx(bundle["country"].agg(F.sum("net_revenue")).first()[0])
     assert kpis.transaction_rows == tables.clean.count() == 6046
 
+    again = run_pipeline(spark, {"S1": sheets["S1"]}, f"{folder}/tables", only=["rfm", "q4_exec_kpis"], resume=True)
+    assert again.rfm.count() == tables.rfm.count()
+    assert spark.read.parquet(f"{folder}/tables/q4_exec_kpis").first().transaction_rows == 6046
+
     run_pipeline(spark, sheets, f"{folder}/named", only=["q4_exec_kpis"], table_format="csv")
     assert spark.read.csv(f"{folder}/named/q4_exec_kpis", header=True).count() == 1
 
