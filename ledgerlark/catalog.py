@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,7 +51,7 @@ RESULTS: dict[str, Result] = {
     "q2_merch_concentration": lambda w: products.merchandise_concentration(w.products, w.taxonomy),
     "q2_product_return_risk": lambda w: products.merchandise_return_risk(w.products, w.names, w.taxonomy),
     "q2_category_performance": lambda w: products.category_performance(w.products, w.taxonomy),
-    "q2_monthly_merch": lambda w: products.monthly_merchandise(w.clean, w.taxonomy),
+    "q2_monthly_merch": lambda w: products.monthly_merchandise(w.product_months, w.taxonomy),
     # Customer results.
     "q3_customer_value": lambda w: customers.customer_value_list(w.customers),
     "q3_customer_concentration": lambda w: customers.positive_concentration(w.customers),
@@ -87,7 +88,7 @@ RESULTS: dict[str, Result] = {
     "audit_business_countries": lambda w: audits.top_sales(w.raw, "Country"),
     "audit_business_customers": lambda w: audits.top_sales(w.raw, "Customer ID"),
     # Clean table.
-    "ingest_csv": lambda w: ingest_csv(w),
+    "ingest_csv": lambda w: csv_round_trip(w),
     "clean_transactions": lambda w: w.clean,
     "clean_summary": lambda w: audits.clean_type_counts(w.clean),
     "clean_summary_totals": lambda w: audits.clean_totals(w.clean),
@@ -183,13 +184,13 @@ RESULTS: dict[str, Result] = {
 }
 
 
-def ingest_csv(w: Workspace) -> DataFrame:
+def csv_round_trip(w: Workspace) -> DataFrame:
     """Landing sheets written as CSV, read back with the fixed schema and summed per sheet."""
     spark = w.raw.sparkSession
-    folder = f"{shared_folder(spark)}/landing-csv"
+    folder = f"{shared_folder(spark)}/landing-csv-{uuid.uuid4().hex}"
     write_table(w.raw, folder, "csv", partition_by="SourceYear")
-    sheets = {sheet: f"{folder}/SourceYear={sheet}" for sheet in ("S1", "S2")}
-    return load_raw(spark, sheets).groupBy("SourceYear").agg(
+    names = [row.SourceYear for row in w.raw.select("SourceYear").distinct().collect()]  # one per yearly sheet
+    return load_raw(spark, {name: f"{folder}/SourceYear={name}" for name in names}).groupBy("SourceYear").agg(
         F.count("*").alias("rows"),
         F.count("Description").alias("described"),
         F.count("Customer ID").alias("identified"),
@@ -204,7 +205,7 @@ def served(w: Workspace) -> dict[str, DataFrame]:
     """Serving tables as the pages see them: written once, then read back."""
     if "_served" not in w.__dict__:
         spark = w.raw.sparkSession
-        folder = f"{shared_folder(spark)}/dashboard-{id(w)}"
+        folder = f"{shared_folder(spark)}/dashboard-{uuid.uuid4().hex}"
         write_bundle(w.dashboard(), folder)
         w.__dict__["_served"] = load_bundle(spark, folder)
     return w.__dict__["_served"]

@@ -91,11 +91,11 @@ def customer_facts(orders: DataFrame) -> DataFrame:
     return roll_up(orders.filter(F.col("CustomerID").isNotNull()), "CustomerID", nulls=False)
 
 
-def product_facts(tx: DataFrame) -> DataFrame:
-    """One row per stock code (null included): sales, returns, totals and order counts."""
+def product_months(tx: DataFrame) -> DataFrame:
+    """Sums per stock code and month (nulls included)."""
     sale, returned = F.col("IsRevenueEligible"), F.col("IsReturn")
     price = F.when(sale, F.col("UnitPrice"))
-    sums = tx.groupBy("StockCode").agg(
+    return tx.groupBy("StockCode", month_of("InvoiceDate").alias("Month")).agg(
         F.count("*").alias("Lines"),
         F.count_if(sale).alias("SalesLines"),
         F.count_if(returned).alias("ReturnLines"),
@@ -107,7 +107,14 @@ def product_facts(tx: DataFrame) -> DataFrame:
         F.sum(price).alias("PriceSum"),
         F.count(price).alias("PriceCount"),
     )
-    return _attach_counts(sums, _invoice_counts(tx, ["StockCode"], sale, returned), ["StockCode"], True)
+
+
+def product_facts(months: DataFrame, tx: DataFrame) -> DataFrame:
+    """One row per stock code (null included): the sums of its months, and its order counts."""
+    measures = [name for name in months.columns if name not in ("StockCode", "Month")]
+    sums = months.groupBy("StockCode").agg(*[F.sum(name).alias(name) for name in measures])
+    counts = _invoice_counts(tx, ["StockCode"], F.col("IsRevenueEligible"), F.col("IsReturn"))
+    return _attach_counts(sums, counts, ["StockCode"], True)
 
 
 def name_facts(tx: DataFrame) -> DataFrame:

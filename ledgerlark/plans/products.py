@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark import constants as C
 from ledgerlark.functions.labels import product_category
-from ledgerlark.functions.measures import month_of, net_commercial, number, only, percent, ratio
+from ledgerlark.functions.measures import net_commercial, number, percent, ratio
 from ledgerlark.operators.picks import largest_names
 from ledgerlark.operators.profile import share_of_total
 from ledgerlark.operators.ranking import global_rank, share_of_top, top_share
@@ -205,17 +205,11 @@ def category_performance(products: DataFrame, taxonomy: DataFrame) -> DataFrame:
     )
 
 
-def monthly_merchandise(tx: DataFrame, taxonomy: DataFrame) -> DataFrame:
-    """Merchandise revenue and units per month, merged per product before the join."""
-    sale = F.col("IsRevenueEligible")
-    per_product = (
-        tx.filter(F.col("InvoiceDate").isNotNull())
-        .groupBy(month_of("InvoiceDate").alias("sales_month"), "StockCode")
-        .agg(F.sum(only(sale, "LineRevenue")).alias("_revenue"), F.sum(only(sale, "Quantity")).alias("_units"))
-    )
+def monthly_merchandise(months: DataFrame, taxonomy: DataFrame) -> DataFrame:
+    """Merchandise revenue and units per month, from the monthly sums of the products."""
     return (
-        _merchandise(per_product, taxonomy)
-        .groupBy("sales_month")
-        .agg(number(F.sum("_revenue"), 2).alias("merchandise_revenue"), F.sum("_units").alias("units_sold"))
+        _merchandise(months.filter(F.col("Month").isNotNull()), taxonomy)
+        .groupBy(F.col("Month").alias("sales_month"))
+        .agg(number(F.sum("GrossRevenue"), 2).alias("merchandise_revenue"), F.sum("UnitsSold").alias("units_sold"))
         .orderBy("sales_month")
     )

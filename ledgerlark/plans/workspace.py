@@ -2,9 +2,9 @@
 
     raw -> clean -> orders -> customers -> rfm -> value -> risk
                  |         `-> cohorts
-                 |-> products -> taxonomy -> basket -> associations -> cross_sell
-                 |          `-> intelligence
-                 `-> products -> quality -> master -> scope -> anomalies
+                 |-> product_months, names -> products -> taxonomy, intelligence
+                 |                                    `-> quality -> master -> scope -> anomalies
+                 `-> basket (with taxonomy) -> associations -> scored -> cross_sell
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 
 from ledgerlark.operators.cleaning import clean_transactions
 from ledgerlark.operators.picks import first_names, modal_names
-from ledgerlark.operators.rollup import customer_facts, name_facts, order_facts, product_facts
+from ledgerlark.operators.rollup import customer_facts, name_facts, order_facts, product_facts, product_months
 from ledgerlark.plans import baskets, catalogue, cohorts, dashboard, products, rfm
 from ledgerlark.settings import Settings
 from ledgerlark.storage import read_kept, write_once, write_stage
@@ -63,7 +63,8 @@ STAGES: dict[str, Callable[[Workspace], DataFrame]] = {
     "clean": lambda w: clean_transactions(w.raw),
     "orders": lambda w: order_facts(w.clean),
     "customers": lambda w: customer_facts(w.orders),
-    "products": lambda w: product_facts(w.clean),
+    "product_months": lambda w: product_months(w.clean),
+    "products": lambda w: product_facts(w.product_months, w.clean),
     "names": lambda w: name_facts(w.clean),
     "sale_names": lambda w: modal_names(w.names),
     "first_names": lambda w: first_names(w.names, w.clean),
