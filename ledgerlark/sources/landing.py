@@ -13,24 +13,49 @@ from ledgerlark.schema import RAW
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet") -> DataFrame:
-    """Scan one Parquet or CSV table. CSV needs a schema; nothing is inferred."""
+def read_table(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    fmt: str = "parquet",
+    timestamp_format: str = TIMESTAMP_FORMAT,
+) -> DataFrame:
+    """Scan one Parquet or CSV table.
+
+    CSV needs a schema: nothing is inferred, and a value that does not fit it
+    stops the job instead of turning into null.
+    """
+    if fmt != "csv":
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.format(fmt).load(path)
+    if schema is None:
+        raise ValueError("a CSV scan needs an explicit schema")
+    formats = {"timestampFormat": timestamp_format, "timestampNTZFormat": timestamp_format}
+    return spark.read.options(header=True, escape='"', mode="FAILFAST", **formats).schema(schema).csv(path)
+
+
+def load_raw(
+    spark: SparkSession, sheets: dict[str, str], fmt: str = "csv", timestamp_format: str = TIMESTAMP_FORMAT
+) -> DataFrame:
+    """Concatenate the yearly landing paths by name, each row tagged with its sheet.
+
+    Customer numbers may be written as floats (`12346.0`), as tables with gaps
+    in an integer column often are.
+    """
     if fmt == "csv":
-        if schema is None:
-            raise ValueError("a CSV scan needs an explicit schema")
-        return spark.read.csv(
-            path, schema=schema, header=True, timestampFormat=TIMESTAMP_FORMAT, escape='"', multiLine=False
+        textual = T.StructType(
+            [T.StructField(f.name, T.StringType() if f.name == "Customer ID" else f.dataType) for f in RAW]
         )
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.format(fmt).load(path)
-
-
-def load_raw(spark: SparkSession, sheets: dict[str, str], fmt: str = "csv") -> DataFrame:
-    """Concatenate the yearly landing paths by name, each row tagged with its sheet."""
-    frames = [
-        read_table(spark, path, RAW, fmt).withColumn("SourceYear", F.lit(sheet)) for sheet, path in sheets.items()
-    ]
-    return reduce(DataFrame.unionByName, frames)
+        number = F.col("Customer ID").cast("decimal(20,1)").cast("bigint")
+        frames = {
+            sheet: read_table(spark, path, textual, fmt, timestamp_format).withColumn("Customer ID", number)
+            for sheet, path in sheets.items()
+        }
+    else:
+        frames = {sheet: read_table(spark, path, RAW, fmt) for sheet, path in sheets.items()}
+    return reduce(
+        DataFrame.unionByName, [df.withColumn("SourceYear", F.lit(sheet)) for sheet, df in frames.items()]
+    )
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None) -> None:
@@ -39,8 +64,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: st
         df = df.hint("rebalance", partition_by)
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"').option("timestampFormat", TIMESTAMP_FORMAT)
-        writer = writer.option("timestampNTZFormat", TIMESTAMP_FORMAT)
+        formats = {"timestampFormat": TIMESTAMP_FORMAT, "timestampNTZFormat": TIMESTAMP_FORMAT}
+        blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        writer = writer.options(header=True, escape='"', **formats, **blanks)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.save(path)

@@ -144,7 +144,7 @@ def test_identities(spark):
 
 
 def test_csv_round_trip_with_awkward_text(spark):
-    rows = [("1", "A", 'say "hi", twice', 2, 0, "5.1234", 10, "S1"), ("2", "B", None, -1, 1, "-0.5", None, "S2")]
+    rows = [("1", "A", 'say "hi", twice', 2, 0, "5.1234", 10, "S1"), ("2", "B", " padded ", -1, 1, "-0.5", None, "S2")]
     df = _sheets(spark, rows)
     folder = f"{shared_folder(spark)}/test-csv"
     write_table(df, folder, "csv", partition_by="SourceYear")
@@ -152,6 +152,30 @@ def test_csv_round_trip_with_awkward_text(spark):
     assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
 
 
+def _landing_file(spark, name, lines):
+    path = f"{shared_folder(spark)}/{name}"
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
+HEADER = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country"
+
+
+def test_customer_number_written_as_float(spark):
+    lines = [HEADER, "1,A,LAMP,6,2010-12-01 08:26:00,2.55,17850.0,UK", "2,A,,6,2010-12-01 08:26:00,2.55,,UK",
+             "3,A, x ,6,2010-12-01 08:26:00,2.55,17851,UK"]
+    rows = load_raw(spark, {"S": _landing_file(spark, "float-customer", lines)}).orderBy("Invoice").collect()
+    assert [r["Customer ID"] for r in rows] == [17850, None, 17851]
+    assert [r["Description"] for r in rows] == ["LAMP", None, " x "]
+    assert rows[0].InvoiceDate == datetime.datetime(2010, 12, 1, 8, 26)
+
+
+def test_bad_csv_value_stops_the_job(spark):
+    lines = [HEADER, "1,A,LAMP,six,2010-12-01 08:26:00,2.55,1,UK"]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        load_raw(spark, {"S": _landing_file(spark, "bad-value", lines)}).collect()
+
+
 def test_csv_needs_a_schema(spark):
     with pytest.raises(ValueError):
         read_table(spark, "/nowhere", fmt="csv")
