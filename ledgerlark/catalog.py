@@ -146,14 +146,12 @@ RESULTS: dict[str, Result] = {
     "anomaly_summary_severity": lambda w: catalogue.severity_counts(w.anomalies),
     "anomaly_summary_top": lambda w: catalogue.top_anomalies(w.anomalies),
     # Baskets.
-    "basket_scope": lambda w: w.basket_by_code,
+    "basket_scope": lambda w: code_basket(w),
     "basket_scope_totals": lambda w: baskets.basket_totals(w.basket, w.settings.basket_item),
-    "basket_funnel": lambda w: baskets.basket_funnel(
-        baskets.basket_members(w.clean, w.taxonomy, w.settings.basket_item), w.associations, w.settings.basket_item
-    ),
+    "basket_funnel": lambda w: baskets.basket_funnel(w.basket_members(), w.associations, w.settings.basket_item),
     "product_associations": lambda w: w.associations,
     "product_associations_by_code": lambda w: baskets.product_associations(
-        w.basket_by_code, w.taxonomy, "StockCode", min_pair_orders=3
+        code_basket(w), w.taxonomy, "StockCode", min_pair_orders=3
     ),
     "associations_top": lambda w: baskets.top_by_lift(w.associations),
     "associations_top_frequency": lambda w: baskets.top_by_frequency(w.associations),
@@ -201,6 +199,16 @@ def csv_round_trip(w: Workspace) -> DataFrame:
     )
 
 
+def code_basket(w: Workspace) -> DataFrame:
+    """Basket table with the stock code as item, whatever the item of the settings is."""
+    if w.settings.basket_item == "StockCode":
+        return w.basket
+    if "_code_basket" not in w.__dict__:
+        members = baskets.basket_members(w.product_orders, w.taxonomy)
+        w.__dict__["_code_basket"] = write_stage(baskets.basket_scope(members), "code_basket")
+    return w.__dict__["_code_basket"]
+
+
 def served(w: Workspace) -> dict[str, DataFrame]:
     """Serving tables as the pages see them: written once, then read back."""
     if "_served" not in w.__dict__:

@@ -29,22 +29,28 @@ def order_facts(tx: DataFrame) -> DataFrame:
     )
 
 
-def _invoice_counts(df: DataFrame, keys: list[str], sale, returned) -> DataFrame:
-    """Distinct invoices per key: all, with a sale, with a return.
+def _per_invoice(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct keys and known invoices, with what the invoice holds for the key.
 
-    Only keys and two flags are shuffled per invoice, and all three counts come
-    from that one step. The second step merges partially, so a key that holds
-    most rows is no hot spot.
+    Only keys and two flags are shuffled, and every distinct count follows from
+    this one step.
     """
-    per_invoice = (
+    return (
         df.filter(F.col("InvoiceNo").isNotNull())
         .groupBy(*keys, "InvoiceNo")
-        .agg(F.max(sale).alias("_sale"), F.max(returned).alias("_return"))
+        .agg(F.max("IsRevenueEligible").alias("HasSale"), F.max("IsReturn").alias("HasReturn"))
     )
+
+
+def _invoice_counts(per_invoice: DataFrame, keys: list[str]) -> DataFrame:
+    """Invoices per key: all, with a sale, with a return.
+
+    Counts merge before the shuffle, so a key that holds most rows is no hot spot.
+    """
     return per_invoice.groupBy(*keys).agg(
         F.count("*").alias("Orders"),
-        F.count_if("_sale").alias("SalesOrders"),
-        F.count_if("_return").alias("ReturnOrders"),
+        F.count_if("HasSale").alias("SalesOrders"),
+        F.count_if("HasReturn").alias("ReturnOrders"),
     )
 
 
@@ -83,7 +89,8 @@ def roll_up(orders: DataFrame, *keys: str, nulls: bool = True) -> DataFrame:
         F.min(F.when(sale, F.col("FirstDate"))).alias("FirstSale"),
         F.max(F.when(sale, F.col("LastDate"))).alias("LastSale"),
     )
-    return _attach_counts(sums, _invoice_counts(orders, list(keys), sale, returned), list(keys), nulls)
+    counts = _invoice_counts(_per_invoice(orders, list(keys)), list(keys))
+    return _attach_counts(sums, counts, list(keys), nulls)
 
 
 def customer_facts(orders: DataFrame) -> DataFrame:
@@ -109,12 +116,16 @@ def product_months(tx: DataFrame) -> DataFrame:
     )
 
 
-def product_facts(months: DataFrame, tx: DataFrame) -> DataFrame:
-    """One row per stock code (null included): the sums of its months, and its order counts."""
+def product_orders(tx: DataFrame) -> DataFrame:
+    """One row per stock code and invoice: the base of order counts and of baskets."""
+    return _per_invoice(tx, ["StockCode"])
+
+
+def product_facts(months: DataFrame, orders: DataFrame) -> DataFrame:
+    """One row per stock code (null included), from `product_months` and `product_orders`."""
     measures = [name for name in months.columns if name not in ("StockCode", "Month")]
     sums = months.groupBy("StockCode").agg(*[F.sum(name).alias(name) for name in measures])
-    counts = _invoice_counts(tx, ["StockCode"], F.col("IsRevenueEligible"), F.col("IsReturn"))
-    return _attach_counts(sums, counts, ["StockCode"], True)
+    return _attach_counts(sums, _invoice_counts(orders, ["StockCode"]), ["StockCode"], True)
 
 
 def name_facts(tx: DataFrame) -> DataFrame:

@@ -16,21 +16,29 @@ from ledgerlark.settings import Vocabulary
 from ledgerlark.storage import write_stage
 
 
-def basket_members(tx: DataFrame, taxonomy: DataFrame, item: str = "StockCode") -> DataFrame:
-    """Distinct items of merchandise sales, one row per invoice and item."""
+def _genuine(rows: DataFrame, taxonomy: DataFrame) -> DataFrame:
+    return rows.join(taxonomy.filter("CommercialProduct").select("StockCode"), "StockCode", "left_semi")
+
+
+def basket_members(orders: DataFrame, taxonomy: DataFrame) -> DataFrame:
+    """Merchandise codes sold per invoice; `orders` is `product_orders`."""
+    sold = orders.filter(F.col("HasSale") & ~starts_with(F.col("InvoiceNo"), "C"))
+    return _genuine(sold.select("InvoiceNo", "StockCode"), taxonomy)
+
+
+def described_members(tx: DataFrame, taxonomy: DataFrame, item: str) -> DataFrame:
+    """Another item than the code (such as the description) sold per invoice.
+
+    Made distinct before the semi join, which then sees no repeated lines.
+    """
     sales = tx.filter(F.col("IsRevenueEligible") & F.col("InvoiceNo").isNotNull() & ~starts_with(F.col("InvoiceNo"), "C"))
-    genuine = taxonomy.filter("CommercialProduct").select("StockCode")
-    # Distinct first: the semi join then sees one row per invoice and code, not every line.
-    lines = sales.select(*dict.fromkeys(["InvoiceNo", "StockCode", item])).distinct()
-    lines = lines.join(genuine, "StockCode", "left_semi")
-    if item != "StockCode":
-        lines = lines.select("InvoiceNo", item).filter(F.col(item).isNotNull()).distinct()
-    return lines.select("InvoiceNo", item)
-
-
-def basket_scope(tx: DataFrame, taxonomy: DataFrame, item: str = "StockCode") -> DataFrame:
-    """Items of multi-item merchandise sales, one row per invoice and item."""
-    return multi_item_baskets(basket_members(tx, taxonomy, item), "InvoiceNo")
+    lines = sales.filter(F.col(item).isNotNull()).select("InvoiceNo", "StockCode", item).distinct()
+    return _genuine(lines, taxonomy).select("InvoiceNo", item).distinct()
+
+
+def basket_scope(members: DataFrame) -> DataFrame:
+    """Members of multi-item orders, one row per invoice and item."""
+    return multi_item_baskets(members, "InvoiceNo")
 
 
 def basket_funnel(members: DataFrame, associations: DataFrame, item: str = "StockCode") -> DataFrame:

@@ -2,9 +2,9 @@
 
     raw -> clean -> orders -> customers -> rfm -> value -> risk
                  |         `-> cohorts
-                 |-> product_months, names -> products -> taxonomy, intelligence
-                 |                                    `-> quality -> master -> scope -> anomalies
-                 `-> basket (with taxonomy) -> associations -> scored -> cross_sell
+                 |-> names, product_months, product_orders -> products -> taxonomy, intelligence
+                 |                                                    `-> quality -> master -> scope -> anomalies
+                 `-> basket (product_orders, taxonomy) -> associations -> scored -> cross_sell
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 
 from ledgerlark.operators.cleaning import clean_transactions
 from ledgerlark.operators.picks import first_names, modal_names
-from ledgerlark.operators.rollup import customer_facts, name_facts, order_facts, product_facts, product_months
+from ledgerlark.operators.rollup import customer_facts, name_facts, order_facts, product_facts, product_months, product_orders
 from ledgerlark.plans import baskets, catalogue, cohorts, dashboard, products, rfm
 from ledgerlark.settings import Settings
 from ledgerlark.storage import read_kept, write_once, write_stage
@@ -54,6 +54,13 @@ class Workspace:
             return self.stage(name)
         raise AttributeError(name)
 
+    def basket_members(self) -> DataFrame:
+        """Items of all merchandise orders, for the item of the settings."""
+        item = self.settings.basket_item
+        if item == "StockCode":
+            return baskets.basket_members(self.product_orders, self.taxonomy)
+        return baskets.described_members(self.clean, self.taxonomy, item)
+
     def dashboard(self) -> dict[str, DataFrame]:
         """Serving tables by role."""
         return dashboard.dashboard_tables(self.orders, self.products, self.rfm, self.master, self.cross_sell)
@@ -64,7 +71,8 @@ STAGES: dict[str, Callable[[Workspace], DataFrame]] = {
     "orders": lambda w: order_facts(w.clean),
     "customers": lambda w: customer_facts(w.orders),
     "product_months": lambda w: product_months(w.clean),
-    "products": lambda w: product_facts(w.product_months, w.clean),
+    "product_orders": lambda w: product_orders(w.clean),
+    "products": lambda w: product_facts(w.product_months, w.product_orders),
     "names": lambda w: name_facts(w.clean),
     "sale_names": lambda w: modal_names(w.names),
     "first_names": lambda w: first_names(w.names, w.clean),
@@ -78,8 +86,7 @@ STAGES: dict[str, Callable[[Workspace], DataFrame]] = {
     "master": lambda w: catalogue.product_master(w.quality, w.settings.product_tiers),
     "scope": lambda w: catalogue.product_scope(w.master, w.settings.product_tiers),
     "anomalies": lambda w: catalogue.product_anomalies(w.scope),
-    "basket": lambda w: baskets.basket_scope(w.clean, w.taxonomy, w.settings.basket_item),
-    "basket_by_code": lambda w: baskets.basket_scope(w.clean, w.taxonomy),
+    "basket": lambda w: baskets.basket_scope(w.basket_members()),
     "associations": lambda w: baskets.product_associations(
         w.basket, w.taxonomy, w.settings.basket_item, w.settings.min_pair_orders, w.settings.heavy_basket
     ),

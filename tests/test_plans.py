@@ -7,7 +7,7 @@ import re
 import pytest
 
 from ledgerlark.catalog import RESULTS, workspace
-from ledgerlark.operators.rollup import name_facts, order_facts, product_facts, product_months
+from ledgerlark.operators.rollup import name_facts, order_facts, product_months, product_orders
 from ledgerlark.plans import audits
 from ledgerlark.plans.workspace import STAGES
 
@@ -47,7 +47,7 @@ def test_line_aggregations_hash_and_merge_early(tables, rollup):
 
 
 def test_order_counts_shuffle_only_keys_and_flags(tables):
-    text = plan(product_facts(tables.product_months, tables.clean))
+    text = plan(product_orders(tables.clean))
     scans = re.findall(r"clean-.*?ReadSchema: struct<(.*?)>", text)
     assert scans == ["InvoiceNo:string,StockCode:string,IsReturn:boolean,IsRevenueEligible:boolean"]
     assert "SortAggregate" not in text

@@ -12,7 +12,7 @@ from ledgerlark.functions.lookup import find_column, find_date_column, first_val
 from ledgerlark.operators.cleaning import clean_transactions
 from ledgerlark.operators.picks import first_names, first_row, modal_names
 from ledgerlark.operators.profile import count_copies
-from ledgerlark.operators.rollup import customer_facts, name_facts, order_facts, product_facts, product_months, roll_up
+from ledgerlark.operators.rollup import customer_facts, name_facts, order_facts, product_facts, product_months, product_orders, roll_up
 from ledgerlark.plans import baskets, cohorts, dashboard, rfm
 from ledgerlark.plans.workspace import Workspace
 from ledgerlark.schema import RAW
@@ -74,7 +74,7 @@ def test_roll_up_counts_invoices_once(spark):
 
 def test_product_facts_keep_a_null_code(spark):
     tx = _tx(spark, LINES)
-    rows = {r.StockCode: r for r in product_facts(product_months(tx), tx).collect()}
+    rows = {r.StockCode: r for r in product_facts(product_months(tx), product_orders(tx)).collect()}
     assert rows[None].Orders == 1 and rows[None].GrossRevenue == 7
     assert rows["A"].Orders == 3 and rows["A"].SalesOrders == 2 and rows["A"].ReturnedUnits == -1
 
