@@ -228,7 +228,7 @@ def as_doubles(df: DataFrame) -> DataFrame:
     """Decimals become doubles on the way out."""
     return df.select(
         *[
-            F.col(f"`{f.name}`").cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f"`{f.name}`")
+            F.col(f"`{f.name}`").cast("double" if isinstance(f.dataType, T.DecimalType) else f.dataType).alias(f.name)
             for f in df.schema
         ]
     )

@@ -52,7 +52,9 @@ def run_pipeline(
 
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("--sheet", action="append", required=True, metavar="NAME=PATH", help="landing path of one yearly sheet")
+    parser.add_argument(
+        "--sheet", action="append", required=True, metavar="NAME=PATH", help="landing path of one yearly sheet"
+    )
     parser.add_argument("--out", required=True, help="folder for the tables")
     parser.add_argument("--sheet-format", default="csv", choices=["csv", "parquet"])
     parser.add_argument("--table-format", default="parquet", choices=["csv", "parquet"])

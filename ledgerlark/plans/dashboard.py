@@ -48,8 +48,12 @@ def headline(kpi_table: DataFrame) -> DataFrame:
     """Headline values by whichever candidate column is present, zero otherwise."""
     return kpi_table.select(
         first_value(kpi_table, ["net_revenue", "NetRevenue", "net_revenue_value"]).cast("double").alias("net_revenue"),
-        first_value(kpi_table, ["gross_sales_revenue", "GrossRevenue", "gross_revenue"]).cast("double").alias("gross_revenue"),
-        first_value(kpi_table, ["unique_orders", "UniqueOrders", "orders", "total_orders"]).cast("bigint").alias("orders"),
+        first_value(kpi_table, ["gross_sales_revenue", "GrossRevenue", "gross_revenue"])
+        .cast("double")
+        .alias("gross_revenue"),
+        first_value(kpi_table, ["unique_orders", "UniqueOrders", "orders", "total_orders"])
+        .cast("bigint")
+        .alias("orders"),
     )
 
 
@@ -59,7 +63,8 @@ def monthly_series(monthly: DataFrame) -> DataFrame:
     if month is None:
         raise ValueError(f"no date column among {monthly.columns}")
     return monthly.select(
-        F.col(month).cast("string").try_cast("timestamp_ntz").alias("Month"), number(find_column(monthly, NET_NAMES)).alias("net_revenue")
+        F.col(month).cast("string").try_cast("timestamp_ntz").alias("Month"),
+        number(find_column(monthly, NET_NAMES)).alias("net_revenue"),
     ).orderBy("Month")
 
 

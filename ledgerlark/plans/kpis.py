@@ -86,7 +86,10 @@ def top_products(products: DataFrame, names: DataFrame, n: int = 50) -> DataFram
     texts = largest_names(names).withColumnRenamed("StockCode", "_code")
     return (
         best.join(texts, F.col("StockCode").eqNullSafe(F.col("_code")), "left")
-        .select("StockCode", F.col("MaxDescription").alias("Description"), "units_sold", "orders", "gross_revenue", "net_revenue")
+        .select(
+            "StockCode", F.col("MaxDescription").alias("Description"), "units_sold", "orders", "gross_revenue",
+            "net_revenue",
+        )
         .orderBy(F.desc("net_revenue"), "StockCode")
     )
 

@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame
 
 from ledgerlark.operators.cleaning import clean_transactions
 from ledgerlark.operators.picks import first_names, modal_names
-from ledgerlark.operators.rollup import customer_facts, name_facts, order_facts, product_facts, product_months, product_orders
+from ledgerlark.operators.rollup import (
+    customer_facts, name_facts, order_facts, product_facts, product_months, product_orders,
+)
 from ledgerlark.plans import baskets, catalogue, cohorts, dashboard, products, rfm
 from ledgerlark.settings import Settings
 from ledgerlark.storage import read_kept, write_once, write_stage
