@@ -9,16 +9,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlark.llm import line_dedup, packing, simhash_pivots
+from ledgerlark.llm import line_dedup, packing, pii, simhash_pivots, toxicity
 from ledgerlark.llm.queries import tokenizer_file
 from ledgerlark.storage import write_stage
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score below 0.5."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.train(docs.select("doc_id", "text"), labels)
+    return toxicity.score(docs, model).where("_score < 0.5").select(*docs.columns)
+
+
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that three or more of them share; one holder keeps each."""
-    kept = line_dedup.remove_shared_lines(docs)
-    return kept.select(*docs.columns)
+    return _with_length(docs, line_dedup.remove_shared_lines(docs).select(*docs.columns))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,14 +33,27 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     return simhash_pivots.keep_one(docs)
 
 
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    return _with_length(docs, pii.redact(docs))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids in sequences."""
     return packing.pack_documents(docs, tokenizer_file("word_bpe_49k.json"))
 
 
+def _with_length(docs: DataFrame, changed: DataFrame) -> DataFrame:
+    if "n_chars" not in docs.columns:
+        return changed
+    return changed.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
     ("line_dedup", drop_shared_lines),
     ("simhash_near_dedup", keep_one_of_near_copies),
+    ("personal_data", mask_personal_data),
     ("packing", pack),
 ]
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import line_dedup, packing, simhash_pivots
+from ledgerlark.llm import line_dedup, packing, pii, simhash_pivots, toxicity
 
 
 def tokenizer_file(name: str) -> str:
@@ -44,10 +44,41 @@ def shared_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def toxic_documents(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, folder, "labels").select("doc_id", "toxic"))
+    held_out = F.crc32(F.col("doc_id").cast("string")) % toxicity.FOLDS == 0
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
+        F.col("_start").alias("worst_start"),
+        F.col("_end").alias("worst_end"),
+        F.col("_worst").alias("worst_score"),
+    )
+
+
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(_table(spark, folder, "documents").select("doc_id", "text"))
+
+    def count(number: int) -> Column:
+        return F.size(F.filter("base", lambda x: x["kind"] == number)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(count(number).alias(f"n_{kind}") for number, kind in enumerate(pii.KINDS)),
+        F.sha2(pii.written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": simhash_near_dedup,
     "op2_packing": packed_sequences,
+    "op4_toxicity": toxic_documents,
     "op5_line_dedup": shared_lines,
+    "op9_personal_data": personal_data,
 }
 
 ORACLE: dict[str, str] = {
