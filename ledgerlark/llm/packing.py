@@ -7,8 +7,8 @@ of documents, drawn by a hash, are packed independently, so the work is spread
 and a group has a bounded number of documents. After that the lightest bins of
 a group are cut up to fill the gaps of the others.
 
-Words are encoded once per task and looked up after that: the tokenizer drops
-white space and never joins across it.
+Words are encoded when a task first meets them and looked up after that: the
+tokenizer drops white space and never joins across it.
 
 Nulls: a null text counts as empty; an empty text has the end id alone. Rows
 with equal or null document ids are packed as documents of their own.
@@ -16,6 +16,8 @@ with equal or null document ids are packed as documents of their own.
 
 from __future__ import annotations
 
+import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,21 +37,57 @@ _BATCH_BYTES = 1 << 25
 _PIECE = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it shows, else one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [byte for byte in range(256) if byte not in shown]
+    return {byte: chr(byte) for byte in shown} | {byte: chr(256 + i) for i, byte in enumerate(hidden)}
+
+
 class _Words(dict):
-    """Ids of a word as bytes, encoded when first asked for."""
+    """Ids of words as bytes. Words are encoded only when first met.
+
+    A word of letters with a mark behind it is two tokens of the pre-tokenizer, encoded apart:
+    so the many words that differ in the mark alone cost one encoding. Letters of Latin-1 have
+    one normal form, their lower case, and go to the model at once; all else goes through the
+    whole tokenizer.
+    """
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model.tokenize
+        self.parted = regex.compile(r"(\p{L}+)([.,;:!?]*)").fullmatch
+        self.letters = _byte_letters()
+        self.parts: dict[str, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.encode(word.decode("utf-8"), add_special_tokens=False).ids
         if len(self) >= _CACHED_WORDS:
             self.clear()
-        self[word] = value = np.array(ids, "<u4").tobytes()
+            self.parts.clear()
+        text = word.decode("utf-8")
+        match = self.parted(text) if text.isascii() or max(text) < "\u0100" else None
+        if match:
+            letters, marks = match.groups()
+            value = self.part(letters.lower()) + (self.part(marks) if marks else b"")
+        else:
+            value = _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        self[word] = value
         return value
 
+    def part(self, part: str) -> bytes:
+        if part not in self.parts:
+            known = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(self.letters)
+            self.parts[part] = _bytes([token.id for token in self.model(known)])
+        return self.parts[part]
+
+
+def _bytes(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of at most `capacity` ids (unsigned 32-bit, little-endian) of docs (doc_id, text), with the end id."""
@@ -59,8 +97,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: in
         for batch in batches:
             rows, size = ([], [], [], [], []), 0
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = (text.as_py() or "").encode("utf-8")
-                ids = b"".join(map(words.__getitem__, data.split())) + end
+                ids = b"".join(map(words.__getitem__, (text.as_py() or "").encode("utf-8").split())) + end
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     length = min(capacity, total - start)

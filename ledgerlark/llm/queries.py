@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import line_dedup, packing, pii, simhash_pivots, toxicity
+from ledgerlark.llm import cross_polytope, html_text, line_dedup, packing, pii, simhash_pivots, toxicity
 
 
 def tokenizer_file(name: str) -> str:
@@ -73,11 +73,24 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    found = cross_polytope.near_duplicates(_table(spark, folder, "embeddings"))
+    kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))
+    return found.withColumn("kept", kept)
+
+
+def page_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages").select("page_id", "url", html_text.extract(F.col("html")).alias("text"))
+    return pages.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": simhash_near_dedup,
     "op2_packing": packed_sequences,
+    "op3_embedding_near_dedup": near_vectors,
     "op4_toxicity": toxic_documents,
     "op5_line_dedup": shared_lines,
+    "op6_html_extraction": page_text,
     "op9_personal_data": personal_data,
 }
 
