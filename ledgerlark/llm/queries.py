@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import cross_polytope, html_text, line_dedup, packing, pii, simhash_pivots, toxicity
+from ledgerlark.llm import (
+    class_ngrams,
+    cross_polytope,
+    html_text,
+    line_dedup,
+    packing,
+    pii,
+    sentencepiece_offsets,
+    simhash_blocks,
+    simhash_pivots,
+    toxicity,
+)
+from ledgerlark.storage import write_stage
 
 
 def tokenizer_file(name: str) -> str:
@@ -84,6 +96,43 @@ def page_text(spark: SparkSession, folder: str) -> DataFrame:
     return pages.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    rows = simhash_blocks.compare_edited(_table(spark, folder, "documents"))
+    rows = write_stage(rows, "compared")
+    names = [f"fp{n}" for n in range(simhash_blocks.WORDS)]
+    # every document whose id is divisible by 50 is searched for among all
+    asked = F.col("doc_id") % 50 == 0
+    near = simhash_blocks.count_near(rows, rows.where(asked)).withColumnRenamed("n_near", "_near")
+    return rows.join(near, names, "left").select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        simhash_blocks.written([F.col(n) for n in names]).alias("fingerprint"),
+        simhash_blocks.written([F.col(f"edited{n}") for n in range(len(names))]).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        F.when(asked, F.col("_near") - 1).alias("n_near"),
+        F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"),
+    )
+
+
+def language_model_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return class_ngrams.score(_table(spark, folder, "documents"))
+
+
+def piece_ids(spark: SparkSession, folder: str) -> DataFrame:
+    rows = sentencepiece_offsets.encode(
+        _table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model")
+    )
+    return rows.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.crc32("begins").alias("spans_crc32"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": simhash_near_dedup,
     "op2_packing": packed_sequences,
@@ -91,7 +140,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": toxic_documents,
     "op5_line_dedup": shared_lines,
     "op6_html_extraction": page_text,
+    "op7_document_fingerprints": document_fingerprints,
+    "op8_class_ngrams": language_model_scores,
     "op9_personal_data": personal_data,
+    "op10_sentencepiece": piece_ids,
 }
 
 ORACLE: dict[str, str] = {
