@@ -136,8 +136,8 @@ def edited(docs: DataFrame) -> DataFrame:
     document with `copies`. A document sends its neighbour only the part of its text that goes there.
     """
     key = ["_id", "_none", "_hash"]
+    # the same columns for both uses of the texts, so that they are shuffled once
     docs = docs.select(
-        "doc_id",
         F.coalesce("doc_id", F.lit(0)).cast("long").alias("_id"),
         F.col("doc_id").isNull().alias("_none"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"),
@@ -161,7 +161,7 @@ def edited(docs: DataFrame) -> DataFrame:
     )
     own = F.substr("text", F.lit(1), F.col("n_chars") - F.col("_half"))
     return once.join(sent, key).select(
-        "doc_id", "place", "next_place", "copies", F.col("n_chars").cast("long").alias("n_chars"), "text",
+        F.when(~F.col("_none"), F.col("_id")).alias("doc_id"), "place", "next_place", "copies", F.col("n_chars").cast("long").alias("n_chars"), "text",
         F.concat(own, "_head").alias("edited"),
     )
 
