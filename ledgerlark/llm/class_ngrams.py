@@ -9,8 +9,9 @@ transitions are smoothed with the class frequencies, and what an absolute
 discount takes from every word's count is the share of unseen words.
 
 Counting covers the whole training text. Documents are read in blocks; a block
-holds its own list of words, and only lists and counts are shuffled: counts of
-a word are merged over blocks, then each block gets the counts of its words.
+holds its own list of words, and only lists and counts are shuffled: a word
+meets its counts from all blocks, at most one from each, then each block gets
+the totals of its words.
 The clustering needs the pair counts of the frequent words and classes alone,
 a matrix whose size does not depend on the input.
 
@@ -27,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.storage import write_stage
@@ -37,7 +38,7 @@ CLASSES = 48
 BANDS = 32  # classes of the other words, by the power of two of their count; the last one is for unseen words
 ROUNDS = 12
 FOLDS, HELD_OUT = 7, 2
-_BLOCK_CHARS = 1 << 22
+_BLOCK_CHARS = 1 << 23
 _SMOOTHING = 4.0
 END = 0  # the end token has the first place among the frequent words
 
@@ -48,7 +49,9 @@ def _tokens(text: str | None) -> list[bytes]:
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per block: ids, held-out flags, lengths and local word numbers of its documents; its words and counts."""
-    number = TaskContext.get().partitionId() << 33
+    from zstandard import ZstdCompressor
+
+    number, squeeze = TaskContext.get().partitionId() << 33, ZstdCompressor(level=1).compress
     schema = pa.schema(
         [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
          ("lengths", pa.list_(pa.int32())), ("tokens", pa.binary()), ("words", pa.list_(pa.binary())),
@@ -59,7 +62,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat = np.concatenate(tokens)
         taught = np.repeat(~np.array(held), lengths)
         counts = np.bincount(flat[taught], minlength=len(local))
-        row = [number, ids, held, lengths, flat.tobytes(), list(local), counts]
+        row = [number, ids, held, lengths, squeeze(flat.tobytes()), list(local), counts]
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
     local: dict = defaultdict()
@@ -84,13 +87,16 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document its symbols: places of frequent words or bands, and what does not depend on classes."""
+    from zstandard import ZstdDecompressor
+
     for batch in batches:
-        for row in batch.to_pylist():
-            known = len(row["words"])
+        for place in range(batch.num_rows):
+            row = batch.slice(place, 1).to_pylist()[0]
+            known = row["n_local"]
             counts, symbols = np.zeros(known, np.int64), np.full(known, FREQUENT + BANDS - 1, np.uint16)
             local = np.array(row["locals"], np.int64)
             counts[local], symbols[local] = row["totals"], row["symbols"]
-            flat = np.frombuffer(row["tokens"], np.int32)
+            flat = np.frombuffer(ZstdDecompressor().decompress(row["tokens"]), np.int32)
             c, s = counts[flat], symbols[flat]
             ends = np.cumsum(row["lengths"])
             starts = ends - np.array(row["lengths"])
@@ -241,7 +247,16 @@ def score(docs: DataFrame) -> DataFrame:
     listed = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("local", "w")).select(
         "block", "local", F.col("w.words").alias("word"), F.col("w.counts").alias("n")
     )
-    counted = write_stage(listed.groupBy("word").agg(F.sum("n").alias("total")).where("total > 0"), "word_counts")
+    of_word = Window.partitionBy("word").orderBy("block")
+    everywhere = of_word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    seen = write_stage(
+        listed.withColumn("total", F.sum("n").over(everywhere))
+        .withColumn("first", F.row_number().over(of_word) == 1)
+        .where("total > 0")
+        .select("block", "local", "total", "first", F.xxhash64("word").alias("hash")),
+        "words",
+    )
+    counted = seen.where("first")
     n_train = docs.where(~held_out).count()
     words, distinct, once, twice = (
         int(x or 0)
@@ -252,25 +267,22 @@ def score(docs: DataFrame) -> DataFrame:
     train_tokens, vocabulary = words + n_train, distinct + (n_train > 0)
     discount = once / (once + 2.0 * twice) if once else 0.5
     # the most frequent words have symbols 1, 2, ... (0 is the end token), a bounded table
-    top = counted.orderBy(F.desc("total"), "word").limit(FREQUENT - 1).collect()
+    top = counted.orderBy(F.desc("total"), "hash").limit(FREQUENT - 1).collect()
     spark = docs.sparkSession
-    places = spark.createDataFrame([(r.word, i + 1) for i, r in enumerate(top)], "word binary, place int")
+    places = spark.createDataFrame([(r.hash, i + 1) for i, r in enumerate(top)], "hash long, place int")
     band = F.lit(FREQUENT) + F.least(F.floor(F.log2("total")), F.lit(BANDS - 2))
-    symbols = counted.join(F.broadcast(places), "word", "left").select(
-        "word", "total", F.coalesce("place", band).cast("int").alias("symbol")
+    symbols = seen.join(F.broadcast(places), "hash", "left").select(
+        "block", "local", "total", "first", F.coalesce("place", band).cast("int").alias("symbol")
     )
-    sizes = {r.symbol: r.n for r in symbols.groupBy("symbol").agg(F.count("*").alias("n")).collect()}
-    told = (
-        listed.select("block", "local", "word")
-        .join(symbols, "word")
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("local", "total", "symbol")).alias("t"))
+    sizes = {r.symbol: r.n for r in symbols.where("first").groupBy("symbol").agg(F.count("*").alias("n")).collect()}
+    told = symbols.groupBy("block").agg(
+        F.collect_list(F.struct(F.col("local").cast("int").alias("local"), "total", "symbol")).alias("t")
     )
     coded = write_stage(
-        blocks.drop("counts")
+        blocks.select("block", "doc_ids", "held", "lengths", "tokens", F.size("words").alias("n_local"))
         .join(told, "block", "left")
         .select(
-            "doc_ids", "held", "lengths", "tokens", "words",
+            "doc_ids", "held", "lengths", "tokens", "n_local",
             *(F.coalesce(F.col(f"t.{a}"), F.array().cast("array<long>")).alias(b)
               for a, b in (("local", "locals"), ("total", "totals"), ("symbol", "symbols"))),
             F.lit(discount).alias("discount"),
