@@ -38,7 +38,8 @@ CLASSES = 48
 BANDS = 32  # classes of the other words, by the power of two of their count; the last one is for unseen words
 ROUNDS = 12
 FOLDS, HELD_OUT = 7, 2
-_BLOCK_CHARS = 1 << 23
+_BLOCK_CHARS = 1 << 22
+_PAIR_DOCS = 256
 _SMOOTHING = 4.0
 END = 0  # the end token has the first place among the frequent words
 
@@ -119,20 +120,20 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of neighbouring symbols of training documents, summed per batch."""
+    """Counts of neighbouring symbols of training documents, summed per task in one matrix."""
     width = FREQUENT + BANDS
+    total = np.zeros(width * width, np.int64)
     for batch in batches:
-        total: dict = {}
         held, symbols = batch.column(0).to_pylist(), batch.column(1)
-        found = []
-        for out, value in zip(held, symbols):
-            if not out:
-                s = np.frombuffer(value.as_buffer(), np.uint16).astype(np.int64)
-                found.append(np.concatenate([[END], s]) * width + np.concatenate([s, [END]]))
-        if found:
-            pair, n = np.unique(np.concatenate(found), return_counts=True)
-            total = {"pair": pa.array(pair), "n": pa.array(n)}
-            yield pa.RecordBatch.from_arrays(list(total.values()), names=list(total))
+        for at in range(0, len(held), _PAIR_DOCS):
+            found = [np.zeros(0, np.int64)]
+            for out, value in zip(held[at : at + _PAIR_DOCS], symbols[at : at + _PAIR_DOCS]):
+                if not out:
+                    s = np.frombuffer(value.as_buffer(), np.uint16).astype(np.int32)
+                    found.append(np.concatenate([[END], s]) * width + np.concatenate([s, [END]]))
+            total += np.bincount(np.concatenate(found), minlength=len(total))
+    pair = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(total[pair])], names=["pair", "n"])
 
 
 def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -> np.ndarray:
