@@ -65,12 +65,15 @@ def features(word: str) -> list[int]:
     return [zlib.crc32(name.encode("utf-8")) % FEATURES for name in names]
 
 
-def fit(bags: list[list[list[int]]], labels: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, float, float]:
-    """(weights, bias, leak logit) of the noisy-or model. A bag is a list of sentences, a sentence a list of features."""
-    flat = np.fromiter((f for bag in bags for s in bag for f in s), np.int32)
-    sizes = np.fromiter((len(s) for bag in bags for s in bag), np.int32)
+def fit(
+    flat: np.ndarray, sizes: np.ndarray, bags: np.ndarray, labels: np.ndarray, shares: np.ndarray
+) -> tuple[np.ndarray, float, float]:
+    """(weights, bias, leak logit) of the noisy-or model.
+
+    flat: the features of all sentences; sizes: their number per sentence; bags: sentences per document.
+    """
     sentence = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-    bag_of = np.repeat(np.arange(len(bags), dtype=np.int32), [len(bag) for bag in bags])
+    bag_of = np.repeat(np.arange(len(bags), dtype=np.int32), bags)
     # a feature met in one document only says nothing about others
     first, last = np.full(FEATURES, len(bags), np.int32), np.full(FEATURES, -1, np.int32)
     np.minimum.at(first, flat, bag_of[sentence])
@@ -121,21 +124,26 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, fold
 
     def bag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            bags = [[[f for w in words for f in features(w)] for _, _, words in sentences(t)] for t in batch["text"]]
-            yield pd.DataFrame({"toxic": batch["toxic"], "bag": bags})
+            rows = []
+            for label, text in zip(batch["toxic"], batch["text"]):
+                found = [[f for word in words for f in features(word)] for _, _, words in sentences(text)]
+                flat = np.fromiter((f for sentence in found for f in sentence), "<i4")
+                rows.append((label, np.array([len(x) for x in found], "<i4").tobytes(), flat.tobytes()))
+            yield pd.DataFrame(rows, columns=["toxic", "sizes", "flat"])
 
     found = (
         docs.select("doc_id", "text")
         .join(chosen, "doc_id")
         .dropDuplicates(["doc_id"])
         .select("toxic", "text")
-        .mapInPandas(bag, "toxic int, bag array<array<int>>")
+        .mapInPandas(bag, "toxic int, sizes binary, flat binary")
         .toPandas()
     )
     target = found["toxic"].to_numpy()
     used = np.bincount(target, minlength=2)
     shares = np.where(target > 0, counts[1] / max(1, used[1]), counts[0] / max(1, used[0]))
-    return fit([list(b) for b in found["bag"]], target, shares)
+    flat, sizes = (np.frombuffer(b"".join(found[c]), "<i4") for c in ("flat", "sizes"))
+    return fit(flat, sizes, np.array([len(x) // 4 for x in found["sizes"]]), target, shares)
 
 
 class _Weights(dict):
