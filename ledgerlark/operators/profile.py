@@ -75,7 +75,8 @@ def numeric_summary(df: DataFrame, groups: list[str], columns: list[str]) -> Dat
     basic = basic.select(*groups, F.explode("_columns").alias("_column")).select(*groups, "_column.*")
     quartiles = exact_quantiles(df, {c: F.col(f"`{c}`") for c in columns}, [0.25, 0.5, 0.75], groups)
     quartiles = quartiles.withColumnsRenamed({"metric": "column", "q0": "q25", "q1": "q50", "q2": "q75"})
-    return basic.join(quartiles, [*groups, "column"])
+    # a column without any value in a group has no quartiles, but a row
+    return basic.join(quartiles, [*groups, "column"], "left")
 
 
 def value_counts(df: DataFrame, column: str, name: str = "rows") -> DataFrame:
