@@ -153,6 +153,9 @@ RESULTS: dict[str, Result] = {
     "product_associations_by_code": lambda w: baskets.product_associations(
         code_basket(w), w.taxonomy, "StockCode", min_pair_orders=3
     ),
+    "product_associations_heavy": lambda w: baskets.product_associations(
+        w.basket, w.taxonomy, w.settings.basket_item, w.settings.min_pair_orders, heavy_basket=2
+    ),
     "associations_top": lambda w: baskets.top_by_lift(w.associations),
     "associations_top_frequency": lambda w: baskets.top_by_frequency(w.associations),
     "cross_sell": lambda w: rounded_score(w.cross_sell),

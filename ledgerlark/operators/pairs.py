@@ -5,7 +5,9 @@ task. The counting is exact and stays even:
 
 * Items in fewer baskets than the threshold cannot be in a frequent pair and
   are dropped before pairing.
-* Light baskets (up to `heavy` remaining items) are joined with themselves.
+* Light baskets (up to `heavy` remaining items) are joined with themselves. Only
+  pairs that can still reach the threshold are kept: those whose light count plus
+  the heavy baskets of the rarer item are enough.
 * In heavy baskets, a pair can only reach the threshold through heavy baskets
   alone when both items are in that many heavy baskets. Those items are paired
   block by block: items are hashed to blocks of about `heavy` items and each
@@ -34,11 +36,17 @@ def item_counts(members: DataFrame, item: str) -> DataFrame:
     return members.groupBy(item).agg(F.count("*").alias("orders"))
 
 
-def _light_pairs(members: DataFrame) -> DataFrame:
-    """Pair counts of baskets that are small enough to be joined with themselves."""
-    left = members.select("basket", F.col("item").alias("a"))
-    right = members.select("basket", F.col("item").alias("b"))
-    return left.join(right, "basket").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("n"))
+def light_pairs(members: DataFrame, threshold: int) -> DataFrame:
+    """Pair counts of baskets that are small enough to be joined with themselves.
+
+    `heavy_orders` of a member is the number of heavy baskets with its item. It
+    bounds what heavy baskets can add, so a pair below the threshold even with
+    that is dropped in the same job, before anything is written.
+    """
+    left = members.select("basket", F.col("item").alias("a"), F.col("heavy_orders").alias("ha"))
+    right = members.select("basket", F.col("item").alias("b"), F.col("heavy_orders").alias("hb"))
+    met = left.join(right, "basket").filter("a < b").groupBy("a", "b", "ha", "hb").agg(F.count("*").alias("n"))
+    return met.filter(F.col("n") + F.least("ha", "hb") >= threshold)
 
 
 def _blocked_pairs(members: DataFrame, heavy: int) -> DataFrame:
@@ -59,14 +67,10 @@ def _blocked_pairs(members: DataFrame, heavy: int) -> DataFrame:
     return met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias("n"))
 
 
-def _looked_up_pairs(light: DataFrame, members: DataFrame, counts: DataFrame, threshold: int) -> DataFrame:
+def _looked_up_pairs(light: DataFrame, members: DataFrame, threshold: int) -> DataFrame:
     """Heavy-basket counts of light pairs that only light and heavy baskets together can carry."""
-    of_a = counts.select(F.col("item").alias("a"), F.col("heavy_orders").alias("ha"))
-    of_b = counts.select(F.col("item").alias("b"), F.col("heavy_orders").alias("hb"))
     fewer = F.least("ha", "hb")
-    open_pairs = (
-        light.join(of_a, "a").join(of_b, "b").filter((fewer < threshold) & (F.col("n") + fewer >= threshold))
-    )
+    open_pairs = light.filter((fewer > 0) & (fewer < threshold))
     a_leads = F.col("ha") <= F.col("hb")
     led = open_pairs.select(
         "a", "b", F.when(a_leads, F.col("a")).otherwise(F.col("b")).alias("item"),
@@ -92,17 +96,16 @@ def frequent_pairs(
     sizes = write_stage(
         rows.groupBy("basket").agg(F.count("*").alias("size")).filter(F.col("size") > heavy), "heavy_baskets"
     )
-    if sizes.isEmpty():
-        return _light_pairs(rows).filter(F.col("n") >= threshold)
-
-    light = write_stage(_light_pairs(rows.join(sizes, "basket", "left_anti")), "light_pairs")
     in_heavy = write_stage(rows.join(sizes, "basket"), "heavy_members")
     counts = write_stage(in_heavy.groupBy("item").agg(F.count("*").alias("heavy_orders")), "heavy_items")
+    in_light = rows.join(sizes, "basket", "left_anti").join(counts, "item", "left").na.fill(0, ["heavy_orders"])
+    light = write_stage(light_pairs(in_light, threshold), "light_pairs")
     supported = counts.filter(F.col("heavy_orders") >= threshold).select("item")
     blocked = _blocked_pairs(in_heavy.join(supported, "item", "left_semi"), heavy)
-    looked_up = _looked_up_pairs(light, in_heavy, counts, threshold)
+    looked_up = _looked_up_pairs(light, in_heavy, threshold)
     return (
-        light.unionByName(blocked)
+        light.select("a", "b", "n")
+        .unionByName(blocked)
         .unionByName(looked_up)
         .groupBy("a", "b")
         .agg(F.sum("n").alias("n"))

@@ -467,6 +467,7 @@ SELECT count(*) AS orders, count(*) FILTER (n >= 2) AS multi_item_orders, sum(n
   (SELECT count(DISTINCT Item) FROM x_members) AS items, (SELECT count(*) FROM x_assoc) AS associations
 FROM (SELECT InvoiceNo, count(*) AS n FROM x_members GROUP BY 1)"""
 RESULTS["product_associations"] = "SELECT * FROM x_assoc"
+RESULTS["product_associations_heavy"] = "SELECT * FROM x_assoc"
 RESULTS["product_associations_by_code"] = "SELECT * FROM x_assoc_code"
 RESULTS["associations_top"] = """
 SELECT * EXCLUDE (ProductAOrders, ProductBOrders) FROM x_assoc

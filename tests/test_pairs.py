@@ -6,7 +6,7 @@ from itertools import combinations
 
 import pytest
 
-from ledgerlark.operators.pairs import frequent_pairs, item_counts, multi_item_baskets
+from ledgerlark.operators.pairs import frequent_pairs, item_counts, light_pairs, multi_item_baskets
 from ledgerlark.storage import write_stage
 
 
@@ -40,6 +40,15 @@ def test_frequent_pairs(spark, giants, heavy):
     assert {(r.a, r.b): r.n for r in got.collect()} == _brute_force(rows, 5)
 
 
+def test_light_pairs_meet_the_bound(spark):
+    rows = [(b, i, int(i[1:]) % 4) for b, i in _baskets(5)]
+    members = spark.createDataFrame(rows, "basket string, item string, heavy_orders bigint")
+    possible = _brute_force([row[:2] for row in rows], 1)
+    expected = {p: n for p, n in possible.items() if n + min(int(i[1:]) % 4 for i in p) >= 6}
+    assert {(r.a, r.b): r.n for r in light_pairs(members, 6).collect()} == expected
+    assert 0 < len(expected) < len(possible)
+
+
 def test_multi_item_baskets(spark):
     members = spark.createDataFrame([("x", "1"), ("x", "2"), ("y", "1")], "basket string, item string")
     assert sorted(r.basket for r in multi_item_baskets(members, "basket").collect()) == ["x", "x"]
