@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ledgerlark.plans import audits, baskets, catalogue, cohorts, customers, dashboard, kpis, products, rfm
 from ledgerlark.plans.workspace import Workspace
 from ledgerlark.settings import Settings, Vocabulary
-from ledgerlark.sources.landing import load_bundle, load_raw, write_bundle, write_table
+from ledgerlark.sources.landing import BUNDLE, load_raw, load_served, write_bundle, write_table
 from ledgerlark.sources.star_view import raw_sheets
 from ledgerlark.storage import shared_folder, write_stage
 
@@ -99,6 +99,8 @@ RESULTS: dict[str, Result] = {
     "rfm_summary": lambda w: rfm.segment_counts(w.rfm),
     "rfm_summary_top": lambda w: rfm.top_monetary(w.rfm),
     "customer_value": lambda w: w.value,
+    "customer_value_unnumbered": lambda w: unnumbered(w).value,
+    "product_intelligence_unnumbered": lambda w: unnumbered(w).intelligence,
     "customer_value_summary": lambda w: rfm.value_totals(w.value),
     "customer_value_summary_top": lambda w: rfm.top_value(w.value),
     "customer_value_summary_shares": lambda w: rfm.value_concentration(w.value),
@@ -163,25 +165,25 @@ RESULTS: dict[str, Result] = {
     "cross_sell_summary_actions": lambda w: baskets.cross_sell_counts(w.cross_sell, "CommercialAction"),
     "cross_sell_summary_funnel": lambda w: baskets.cross_sell_funnel(w.scored, w.settings.cross_sell_top),
     # Dashboard tables and serving queries.
-    "dash_executive_kpis": lambda w: w.dashboard()["kpis"],
-    "dash_monthly": lambda w: w.dashboard()["monthly"],
-    "dash_country": lambda w: w.dashboard()["country"],
-    "dash_rfm": lambda w: w.dashboard()["rfm"],
-    "dash_high_value_at_risk": lambda w: w.dashboard()["risk"],
-    "dash_product_master": lambda w: w.dashboard()["products"],
-    "dash_cross_sell": lambda w: rounded_score(w.dashboard()["cross_sell"]),
-    "dash_build_counts": lambda w: dashboard.build_counts(served(w)),
-    "serve_headline": lambda w: dashboard.headline(served(w)["kpis"]),
-    "serve_monthly": lambda w: dashboard.monthly_series(served(w)["monthly"]),
-    "serve_top_markets": lambda w: dashboard.top_markets(served(w)["country"]),
-    "serve_one_market": lambda w: dashboard.top_markets(served(w)["country"], "NATION_7"),
-    "serve_segment_value": lambda w: dashboard.segment_value(served(w)["rfm"]),
-    "serve_one_segment": lambda w: dashboard.segment_value(served(w)["rfm"], "Champions"),
-    "serve_risk_summary": lambda w: dashboard.risk_summary(served(w)["risk"]),
-    "serve_risk_table": lambda w: dashboard.risk_table(served(w)["risk"]),
-    "serve_top_products": lambda w: dashboard.best_products(served(w)["products"]),
-    "serve_cross_sell": lambda w: dashboard.cross_sell_table(served(w)["cross_sell"], served(w)["products"]),
-    "serve_filter_options": lambda w: dashboard.filter_options(served(w)["country"], served(w)["rfm"]),
+    "dash_executive_kpis": lambda w: w.dashboard("kpis"),
+    "dash_monthly": lambda w: w.dashboard("monthly"),
+    "dash_country": lambda w: w.dashboard("country"),
+    "dash_rfm": lambda w: w.dashboard("rfm"),
+    "dash_high_value_at_risk": lambda w: w.dashboard("risk"),
+    "dash_product_master": lambda w: w.dashboard("products"),
+    "dash_cross_sell": lambda w: rounded_score(w.dashboard("cross_sell")),
+    "dash_build_counts": lambda w: dashboard.build_counts({role: served(w, role) for role in BUNDLE}),
+    "serve_headline": lambda w: dashboard.headline(served(w, "kpis")),
+    "serve_monthly": lambda w: dashboard.monthly_series(served(w, "monthly")),
+    "serve_top_markets": lambda w: dashboard.top_markets(served(w, "country")),
+    "serve_one_market": lambda w: dashboard.top_markets(served(w, "country"), "NATION_7"),
+    "serve_segment_value": lambda w: dashboard.segment_value(served(w, "rfm")),
+    "serve_one_segment": lambda w: dashboard.segment_value(served(w, "rfm"), "Champions"),
+    "serve_risk_summary": lambda w: dashboard.risk_summary(served(w, "risk")),
+    "serve_risk_table": lambda w: dashboard.risk_table(served(w, "risk")),
+    "serve_top_products": lambda w: dashboard.best_products(served(w, "products")),
+    "serve_cross_sell": lambda w: dashboard.cross_sell_table(served(w, "cross_sell"), served(w, "products")),
+    "serve_filter_options": lambda w: dashboard.filter_options(served(w, "country"), served(w, "rfm")),
 }
 
 
@@ -212,14 +214,24 @@ def code_basket(w: Workspace) -> DataFrame:
     return w.__dict__["_code_basket"]
 
 
-def served(w: Workspace) -> dict[str, DataFrame]:
-    """Serving tables as the pages see them: written once, then read back."""
-    if "_served" not in w.__dict__:
+def unnumbered(w: Workspace) -> Workspace:
+    """Workspace over the same lines, where every 13th customer has no invoice numbers."""
+    if "_unnumbered" not in w.__dict__:
+        blank = F.col("Customer ID") % 13 == 0
+        raw = w.raw.withColumn("Invoice", F.when(blank.isNull() | ~blank, F.col("Invoice")))
+        w.__dict__["_unnumbered"] = Workspace(raw, w.settings)
+    return w.__dict__["_unnumbered"]
+
+
+def served(w: Workspace, role: str) -> DataFrame:
+    """Serving table of a role as the pages see it: written once, then read back."""
+    kept = w.__dict__.setdefault("_served", {})
+    if role not in kept:
         spark = w.raw.sparkSession
         folder = f"{shared_folder(spark)}/dashboard-{uuid.uuid4().hex}"
-        write_bundle(w.dashboard(), folder)
-        w.__dict__["_served"] = load_bundle(spark, folder)
-    return w.__dict__["_served"]
+        write_bundle({role: w.dashboard(role)}, folder)
+        kept[role] = load_served(spark, folder, role)
+    return kept[role]
 
 
 def rounded_score(df: DataFrame) -> DataFrame:

@@ -81,6 +81,7 @@ def roll_up(orders: DataFrame, *keys: str, nulls: bool = True) -> DataFrame:
     sale, returned = F.col("IsRevenueEligible"), F.col("IsReturn")
     sums = orders.groupBy(*keys).agg(
         F.sum("Lines").alias("Lines"),
+        F.sum(only(sale, "Lines")).alias("SaleLines"),
         F.sum("Revenue").alias("NetAll"),
         F.sum(only(sale, "Revenue")).alias("GrossRevenue"),
         F.sum(only(returned, "Revenue")).alias("ReturnValue"),
@@ -99,12 +100,16 @@ def customer_facts(orders: DataFrame) -> DataFrame:
 
 
 def product_months(tx: DataFrame) -> DataFrame:
-    """Sums per stock code and month (nulls included)."""
+    """Sums per stock code and month (nulls included).
+
+    `SaleLines` counts all sale lines, `SalesLines` those with an invoice number.
+    """
     sale, returned = F.col("IsRevenueEligible"), F.col("IsReturn")
     price = F.when(sale, F.col("UnitPrice"))
     return tx.groupBy("StockCode", month_of("InvoiceDate").alias("Month")).agg(
         F.count("*").alias("Lines"),
-        F.count_if(sale).alias("SalesLines"),
+        F.count_if(sale).alias("SaleLines"),
+        F.count_if(sale & F.col("InvoiceNo").isNotNull()).alias("SalesLines"),
         F.count_if(returned).alias("ReturnLines"),
         F.sum("LineRevenue").alias("NetAll"),
         F.sum(only(sale, "LineRevenue")).alias("GrossRevenue"),

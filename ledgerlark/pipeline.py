@@ -9,6 +9,7 @@ the named stages or results.
 from __future__ import annotations
 
 import argparse
+import json
 import os
 import sys
 
@@ -20,7 +21,7 @@ from pyspark.sql import SparkSession
 from ledgerlark.catalog import RESULTS
 from ledgerlark.plans.workspace import STAGES, Workspace
 from ledgerlark.settings import Settings
-from ledgerlark.sources.landing import load_raw, write_bundle, write_table
+from ledgerlark.sources.landing import BUNDLE, load_raw, write_bundle, write_table
 
 
 def run_pipeline(
@@ -36,17 +37,18 @@ def run_pipeline(
     """Build the tables of the given sheets and write them below `out`.
 
     Parquet stage tables are written once, in place; named results, and CSV
-    copies of stages, are written beside them.
+    copies of stages, are written beside them. With `resume`, stage tables stay
+    that were finished from the same sheets, paths, format and settings.
     """
     in_place = table_format == "parquet"
     raw = load_raw(spark, sheets, sheet_format)
-    tables = Workspace(raw, settings, out if in_place else None, resume)
+    tables = Workspace(raw, settings, out if in_place else None, resume, json.dumps([sheets, sheet_format], sort_keys=True))
     for name in only or STAGES:
         df = tables.stage(name) if name in STAGES else RESULTS[name](tables)
         if name not in STAGES or not in_place:
             write_table(df, f"{out}/{name}", table_format)
     if only is None:
-        write_bundle(tables.dashboard(), f"{out}/dashboard")
+        write_bundle({role: tables.dashboard(role) for role in BUNDLE}, f"{out}/dashboard")
     return tables
 
 
@@ -59,7 +61,7 @@ def main() -> None:
     parser.add_argument("--sheet-format", default="csv", choices=["csv", "parquet"])
     parser.add_argument("--table-format", default="parquet", choices=["csv", "parquet"])
     parser.add_argument("--only", nargs="+", choices=sorted({*STAGES, *RESULTS}), metavar="NAME")
-    parser.add_argument("--resume", action="store_true", help="keep stage tables that an earlier run has finished")
+    parser.add_argument("--resume", action="store_true", help="keep finished stage tables of the same sheets and settings")
     options = parser.parse_args()
     spark = SparkSession.builder.appName("ledgerlark").getOrCreate()
     sheets = dict(item.split("=", 1) for item in options.sheet)

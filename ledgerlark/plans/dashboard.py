@@ -23,19 +23,16 @@ def high_value_at_risk(rfm: DataFrame) -> DataFrame:
     return rfm.filter(F.col("Segment") == C.AT_RISK_HIGH_VALUE).orderBy(F.desc("Monetary"), "CustomerID")
 
 
-def dashboard_tables(
-    orders: DataFrame, products: DataFrame, rfm: DataFrame, master: DataFrame, cross_sell: DataFrame
-) -> dict[str, DataFrame]:
-    """All serving tables by role, money unrounded."""
-    return {
-        "kpis": kpis.executive_kpis(orders, products, digits=None).drop("net_revenue_per_order"),
-        "monthly": kpis.monthly_net(orders, digits=None),
-        "country": kpis.country_net(orders, digits=None).drop("revenue_per_order"),
-        "rfm": rfm,
-        "risk": high_value_at_risk(rfm),
-        "products": master,
-        "cross_sell": cross_sell,
-    }
+#: Serving tables by role, money unrounded. Each takes the workspace and builds only the stages it reads.
+ROLES = {
+    "kpis": lambda w: kpis.executive_kpis(w.orders, w.products, digits=None).drop("net_revenue_per_order"),
+    "monthly": lambda w: kpis.monthly_net(w.orders, digits=None),
+    "country": lambda w: kpis.country_net(w.orders, digits=None).drop("revenue_per_order"),
+    "rfm": lambda w: w.rfm,
+    "risk": lambda w: high_value_at_risk(w.rfm),
+    "products": lambda w: w.master,
+    "cross_sell": lambda w: w.cross_sell,
+}
 
 
 def build_counts(tables: dict[str, DataFrame]) -> DataFrame:

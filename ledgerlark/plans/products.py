@@ -18,7 +18,7 @@ from ledgerlark.operators.ranking import global_rank, share_of_top, top_share
 
 
 def _sold(products: DataFrame) -> DataFrame:
-    return products.filter("SalesLines > 0 AND StockCode IS NOT NULL")
+    return products.filter("SaleLines > 0 AND StockCode IS NOT NULL")
 
 
 def product_intelligence(products: DataFrame, descriptions: DataFrame) -> DataFrame:

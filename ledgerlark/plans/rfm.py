@@ -21,9 +21,11 @@ def customer_rfm(customers: DataFrame) -> DataFrame:
 
     The observation date and the recency edges are scalar subqueries over
     customer rows. Recency has at most one value per day of history, so its
-    exact percentiles stay small; frequency and money are ranked globally.
+    exact percentiles stay small; frequency and money are ranked globally. A
+    customer whose sales carry no invoice number counts, with no order and no
+    average order value.
     """
-    buyers = customers.filter("SalesOrders > 0")
+    buyers = customers.filter("SaleLines > 0")
     observed = F.date_add(buyers.agg(F.to_date(F.max("LastSale"))).scalar(), 1)
     base = buyers.select(
         "CustomerID",
@@ -133,7 +135,7 @@ def recovery_opportunity(rfm: DataFrame) -> DataFrame:
 
 def customer_value(customers: DataFrame, rfm: DataFrame) -> DataFrame:
     """Net value, return rates, RFM attributes and running share of customers with sales."""
-    sold = customers.filter("SalesOrders > 0").select(
+    sold = customers.filter("SaleLines > 0").select(
         "CustomerID",
         "GrossRevenue",
         "SalesOrders",

@@ -20,22 +20,27 @@ from ledgerlark.operators.rollup import (
 )
 from ledgerlark.plans import baskets, catalogue, cohorts, dashboard, products, rfm
 from ledgerlark.settings import Settings
-from ledgerlark.storage import read_kept, write_once, write_stage
+from ledgerlark.storage import read_kept, write_kept, write_stage
 
 
 class Workspace:
     """Lazily built stage tables over raw invoice lines.
 
     With a `folder`, stage tables are kept there under their names, and
-    `resume=True` reads those that an earlier run has finished. Without one
-    they go to the shared folder of the session.
+    `resume=True` reads those that an earlier run has finished from the same
+    `source` (what names the raw lines) and settings. Without a folder they go
+    to the shared folder of the session.
     """
 
-    def __init__(self, raw: DataFrame, settings: Settings = Settings(), folder: str | None = None, resume: bool = False):
+    def __init__(
+        self, raw: DataFrame, settings: Settings = Settings(), folder: str | None = None, resume: bool = False,
+        source: str = "",
+    ):
         self.raw = raw
         self.settings = settings
         self.folder = folder
         self.resume = resume
+        self.origin = f"{source} {settings} {raw.schema.simpleString()}"
         self._tables: dict[str, DataFrame] = {}
 
     def stage(self, name: str) -> DataFrame:
@@ -48,8 +53,8 @@ class Workspace:
         if self.folder is None:
             return write_stage(STAGES[name](self), name)
         path = f"{self.folder}/{name}"
-        kept = read_kept(self.raw.sparkSession, path) if self.resume else None
-        return kept if kept is not None else write_once(STAGES[name](self), path)
+        kept = read_kept(self.raw.sparkSession, path, self.origin) if self.resume else None
+        return kept if kept is not None else write_kept(STAGES[name](self), path, self.origin)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in STAGES:
@@ -63,9 +68,9 @@ class Workspace:
             return baskets.basket_members(self.product_orders, self.taxonomy)
         return baskets.described_members(self.clean, self.taxonomy, item)
 
-    def dashboard(self) -> dict[str, DataFrame]:
-        """Serving tables by role."""
-        return dashboard.dashboard_tables(self.orders, self.products, self.rfm, self.master, self.cross_sell)
+    def dashboard(self, role: str) -> DataFrame:
+        """Serving table of a role."""
+        return dashboard.ROLES[role](self)
 
 
 STAGES: dict[str, Callable[[Workspace], DataFrame]] = {

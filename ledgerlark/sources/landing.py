@@ -98,4 +98,9 @@ def write_bundle(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet"
 
 def load_bundle(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Read all serving tables; a missing one raises `AnalysisException`."""
-    return {role: read_table(spark, f"{folder}/{name}") for role, name in BUNDLE.items()}
+    return {role: load_served(spark, folder, role) for role in BUNDLE}
+
+
+def load_served(spark: SparkSession, folder: str, role: str) -> DataFrame:
+    """Read the serving table of one role."""
+    return read_table(spark, f"{folder}/{BUNDLE[role]}")

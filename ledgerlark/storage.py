@@ -7,11 +7,14 @@ join strategy of everything that reads them.
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,9 +40,33 @@ def write_once(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def read_kept(spark: SparkSession, path: str) -> DataFrame | None:
-    """Table that an earlier run has written to `path`, or None."""
+def write_kept(df: DataFrame, path: str, origin: str) -> DataFrame:
+    """Write `df` as `write_once`, then a manifest inside its folder that says what made it.
+
+    The manifest is written when the table is complete, and goes with the folder
+    when the table is overwritten. Readers of the table do not see it.
+    """
+    table = write_once(df, path)
+    manifest = {"origin": origin, "schema": table.schema.json(), "rows": table.count()}
+    line = df.sparkSession.range(1).select(F.lit(json.dumps(manifest)).alias("value"))
+    line.coalesce(1).write.text(f"{path}/_manifest")
+    return table
+
+
+def read_kept(spark: SparkSession, path: str, origin: str) -> DataFrame | None:
+    """Table that an earlier run has finished at `path` from the same origin, or None.
+
+    A table without manifest, of another origin, or with other rows than it was
+    written with, does not count. Any fault but a missing path is raised.
+    """
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+        line = spark.read.schema("value string").text(f"{path}/_manifest").first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    manifest = json.loads(line.value) if line else {"origin": None}
+    if manifest["origin"] != origin:
         return None
+    table = spark.read.schema(T.StructType.fromJson(json.loads(manifest["schema"]))).parquet(path)
+    return table if table.count() == manifest["rows"] else None

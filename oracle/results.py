@@ -347,6 +347,8 @@ RESULTS["rfm_summary_top"] = """
 SELECT CustomerID, Recency, Frequency, Monetary::DOUBLE AS Monetary, AverageOrderValue, Segment
 FROM x_rfm ORDER BY x_rfm.Monetary DESC, CustomerID LIMIT 15"""
 _VALUE_DOUBLES = doubles("GrossRevenue ReturnValue NetRevenue Monetary CumulativeNetRevenue")
+RESULTS["customer_value_unnumbered"] = f"SELECT * {_VALUE_DOUBLES} FROM x_value"
+RESULTS["product_intelligence_unnumbered"] = RESULTS["product_intelligence"]
 RESULTS["customer_value"] = f"SELECT * {_VALUE_DOUBLES} FROM x_value"
 RESULTS["customer_value_summary"] = """
 SELECT count(*) AS customers, sum(GrossRevenue)::DOUBLE AS gross_revenue, sum(ReturnValue)::DOUBLE AS returns,

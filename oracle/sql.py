@@ -30,6 +30,15 @@ def query(text: str) -> str:
     return f"WITH {parts}\n{text.strip()}"
 
 
+def _unnumbered(sql: str) -> str:
+    """`sql` over raw lines of which every 13th customer has no invoice numbers."""
+    start = "x_raw AS MATERIALIZED ("
+    blanked = 'SELECT * REPLACE (CASE WHEN "Customer ID" % 13 = 0 THEN NULL ELSE Invoice END AS Invoice) FROM x_numbered'
+    body = TABLES["x_raw"].strip()
+    return sql.replace(f"{start}{body})", f"x_numbered AS MATERIALIZED ({body}),\n{start}{blanked})")
+
+
 def all_queries() -> dict[str, str]:
     """SQL per named result."""
-    return {name: query(text) for name, text in RESULTS.items()}
+    found = {name: query(text) for name, text in RESULTS.items()}
+    return {name: _unnumbered(sql) if name.endswith("_unnumbered") else sql for name, sql in found.items()}

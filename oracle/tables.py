@@ -65,10 +65,10 @@ FROM (
       '{C.OTHER}',
       CASE WHEN InvoicePrefix = 'A' THEN '{C.ACCOUNTING}' END,
       CASE WHEN InvoicePrefix = 'C' AND Quantity < 0 THEN '{C.RETURN}' END,
-      CASE WHEN InvoicePrefix NOT IN ('A', 'C') AND Quantity < 0 AND UnitPrice = 0 THEN '{C.OPERATIONAL}' END,
+      CASE WHEN coalesce(InvoicePrefix, '') NOT IN ('A', 'C') AND Quantity < 0 AND UnitPrice = 0 THEN '{C.OPERATIONAL}' END,
       CASE WHEN Quantity > 0 AND UnitPrice = 0 THEN '{C.ZERO_PRICE}' END,
-      CASE WHEN InvoicePrefix <> 'A' AND UnitPrice < 0 THEN '{C.NEGATIVE_PRICE}' END,
-      CASE WHEN Quantity > 0 AND UnitPrice > 0 AND InvoicePrefix NOT IN ('A', 'C') THEN '{C.SALE}' END
+      CASE WHEN coalesce(InvoicePrefix, '') <> 'A' AND UnitPrice < 0 THEN '{C.NEGATIVE_PRICE}' END,
+      CASE WHEN Quantity > 0 AND UnitPrice > 0 AND coalesce(InvoicePrefix, '') NOT IN ('A', 'C') THEN '{C.SALE}' END
     ], lambda x: x IS NOT NULL)) AS TransactionType
   FROM (SELECT DISTINCT Invoice AS InvoiceNo, StockCode, Description, Quantity, InvoiceDate, Price AS UnitPrice,
           "Customer ID" AS CustomerID, Country, SourceYear, substr(trim(Invoice), 1, 1) AS InvoicePrefix FROM x_raw)
@@ -76,7 +76,7 @@ FROM (
 """
 
 TABLES["x_cust"] = """
-SELECT CustomerID,
+SELECT CustomerID, count(*) FILTER (IsRevenueEligible) AS SaleLines,
   count(DISTINCT InvoiceNo) FILTER (IsRevenueEligible) AS SalesOrders,
   count(DISTINCT InvoiceNo) FILTER (IsReturn) AS ReturnOrders,
   coalesce(sum(LineRevenue) FILTER (IsRevenueEligible), 0) AS Gross,
@@ -89,7 +89,8 @@ FROM x_tx WHERE CustomerID IS NOT NULL GROUP BY CustomerID
 
 TABLES["x_prod"] = """
 SELECT StockCode, max(Description) AS MaxDescription, count(*) AS Lines,
-  count(*) FILTER (IsRevenueEligible) AS SalesLines, count(*) FILTER (IsReturn) AS ReturnLines,
+  count(*) FILTER (IsRevenueEligible) AS SaleLines,
+  count(InvoiceNo) FILTER (IsRevenueEligible) AS SalesLines, count(*) FILTER (IsReturn) AS ReturnLines,
   count(DISTINCT InvoiceNo) AS Orders,
   count(DISTINCT InvoiceNo) FILTER (IsRevenueEligible) AS SalesOrders,
   count(DISTINCT InvoiceNo) FILTER (IsReturn) AS ReturnOrders,
@@ -127,7 +128,7 @@ FROM x_tx WHERE IsRevenueEligible AND CustomerID IS NOT NULL GROUP BY CustomerID
 """
 
 TABLES["x_rfm_scored"] = """
-SELECT * EXCLUDE (fr, mr, n, edges), Monetary::DOUBLE / Frequency AS AverageOrderValue,
+SELECT * EXCLUDE (fr, mr, n, edges), Monetary::DOUBLE / nullif(Frequency, 0) AS AverageOrderValue,
   5 - (CASE WHEN Recency > edges[1] THEN 1 ELSE 0 END + CASE WHEN Recency > edges[2] THEN 1 ELSE 0 END
      + CASE WHEN Recency > edges[3] THEN 1 ELSE 0 END + CASE WHEN Recency > edges[4] THEN 1 ELSE 0 END)::BIGINT AS R_Score,
   greatest(1, (5 * (fr - 1) + n - 2) // (n - 1))::BIGINT AS F_Score,
@@ -152,14 +153,14 @@ FROM x_rfm_scored
 
 TABLES["x_value"] = """
 SELECT c.CustomerID, Gross AS GrossRevenue, SalesOrders, Units AS UnitsSold, Ret AS ReturnValue, ReturnOrders,
-  abs(RetUnits) AS ReturnedUnits, Gross + Ret AS NetRevenue, ReturnOrders::DOUBLE / SalesOrders AS ReturnRate,
+  abs(RetUnits) AS ReturnedUnits, Gross + Ret AS NetRevenue, ReturnOrders::DOUBLE / nullif(SalesOrders, 0) AS ReturnRate,
   abs(Ret)::DOUBLE / Gross::DOUBLE AS ReturnValueRate, Recency, Frequency, Monetary, Segment, CustomerLifetimeDays,
   AverageOrderValue,
   sum(Gross + Ret) OVER (ORDER BY Gross + Ret DESC, c.CustomerID ROWS UNBOUNDED PRECEDING) AS CumulativeNetRevenue,
   sum(Gross + Ret) OVER (ORDER BY Gross + Ret DESC, c.CustomerID ROWS UNBOUNDED PRECEDING)::DOUBLE
     / (sum(Gross + Ret) OVER ())::DOUBLE * 100 AS CumulativeRevenuePct,
   row_number() OVER (ORDER BY Gross + Ret DESC, c.CustomerID) AS RevenueRank
-FROM x_cust c LEFT JOIN x_rfm r ON c.CustomerID = r.CustomerID WHERE SalesOrders > 0
+FROM x_cust c LEFT JOIN x_rfm r ON c.CustomerID = r.CustomerID WHERE SaleLines > 0
 """
 
 TABLES["x_risk"] = """
@@ -202,7 +203,7 @@ SELECT p.StockCode, Gross AS GrossRevenue, Units AS UnitsSold, SalesLines, Sales
   Gross::DOUBLE / SalesOrders AS RevenuePerOrder,
   (Gross + Ret)::DOUBLE / (sum(Gross + Ret) OVER ())::DOUBLE * 100 AS RevenueShare,
   row_number() OVER (ORDER BY Gross + Ret DESC, p.StockCode) AS RevenueRank
-FROM x_prod p LEFT JOIN x_sale_names d ON p.StockCode = d.StockCode WHERE SalesLines > 0
+FROM x_prod p LEFT JOIN x_sale_names d ON p.StockCode = d.StockCode WHERE SaleLines > 0
 """
 
 TABLES["x_tax"] = f"""
@@ -215,7 +216,7 @@ FROM (
          WHEN upper(p.StockCode) = 'S' OR upper(coalesce(Description, '')) LIKE '%SAMPLE%' THEN 'Samples'
          WHEN upper(coalesce(Description, '')) LIKE '%MANUAL%' THEN 'Fees / Adjustments'
          ELSE 'Merchandise' END AS ProductCategory
-  FROM x_prod p LEFT JOIN x_sale_names d ON p.StockCode = d.StockCode WHERE SalesLines > 0)
+  FROM x_prod p LEFT JOIN x_sale_names d ON p.StockCode = d.StockCode WHERE SaleLines > 0)
 """
 
 # Score: exact integer arithmetic, rounded half up at four digits.

@@ -5,8 +5,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ledgerlark import load_bundle, write_table
+from ledgerlark.catalog import RESULTS
 from ledgerlark.pipeline import run_pipeline
-from ledgerlark.plans.workspace import STAGES
+from ledgerlark.plans.workspace import STAGES, Workspace
+from ledgerlark.settings import Settings
 from ledgerlark.sources.landing import BUNDLE
 from ledgerlark.sources.star_view import raw_sheets
 from ledgerlark.storage import shared_folder
@@ -28,10 +30,18 @@ def test_pipeline_over_csv_sheets(spark):
     assert kpis.net_revenue == pytest.approx(bundle["country"].agg(F.sum("net_revenue")).first()[0])
     assert kpis.transaction_rows == tables.clean.count() == 6046
 
-    again = run_pipeline(spark, {"S1": sheets["S1"]}, f"{folder}/tables", only=["rfm", "q4_exec_kpis"], resume=True)
-    assert again.rfm.count() == tables.rfm.count()
+    found = tables.rfm.inputFiles()
+    again = run_pipeline(spark, sheets, f"{folder}/tables", only=["rfm", "q4_exec_kpis"], resume=True)
+    assert again.rfm.inputFiles() == found
     assert spark.read.parquet(f"{folder}/tables/q4_exec_kpis").first().transaction_rows == 6046
 
+    other = Settings(min_pair_orders=7)
+    assert run_pipeline(spark, sheets, f"{folder}/tables", only=["rfm"], settings=other, resume=True).rfm.inputFiles() != found
+    first = raw.filter("SourceYear = 'S1'").distinct().count()
+    one = {"S1": sheets["S1"]}
+    run_pipeline(spark, one, f"{folder}/tables", only=["rfm", "q4_exec_kpis"], resume=True)
+    assert 0 < spark.read.parquet(f"{folder}/tables/q4_exec_kpis").first().transaction_rows <= first < 6046
+
     run_pipeline(spark, sheets, f"{folder}/named", only=["q4_exec_kpis"], table_format="csv")
     assert spark.read.csv(f"{folder}/named/q4_exec_kpis", header=True).count() == 1
 
@@ -39,3 +49,10 @@ def test_pipeline_over_csv_sheets(spark):
 def test_missing_serving_table_fails(spark):
     with pytest.raises(AnalysisException):
         load_bundle(spark, f"{shared_folder(spark)}/nothing-here")
+
+
+@pytest.mark.parametrize("name", ["dash_monthly", "serve_monthly"])
+def test_serving_tables_build_what_they_read(spark, name):
+    tables = Workspace(raw_sheets(spark, "/root/testdata/sf0.001"))
+    RESULTS[name](tables).count()
+    assert set(tables._tables) == {"clean", "orders"}

@@ -1,10 +1,11 @@
 """Where stage tables go."""
 
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 
-from ledgerlark.storage import read_kept, shared_folder, write_once
+from ledgerlark.storage import read_kept, shared_folder, write_kept, write_once
 
 
 class _Context:
@@ -45,5 +46,19 @@ def test_temporary_folder_in_local_mode():
 
 def test_kept_tables(spark):
     path = f"{shared_folder(spark)}/test-kept"
-    assert read_kept(spark, path + "-missing") is None
-    assert write_once(spark.range(3), path).count() == read_kept(spark, path).count() == 3
+    assert read_kept(spark, path + "-missing", "a") is None
+    assert write_kept(spark.range(100).repartition(4), path, "a").count() == 100
+    kept = read_kept(spark, path, "a")
+    assert kept.count() == 100 and kept.columns == ["id"]
+    assert read_kept(spark, path, "b") is None
+
+
+def test_unfinished_tables_do_not_count(spark):
+    path = f"{shared_folder(spark)}/test-unfinished"
+    write_once(spark.range(100), path)
+    assert read_kept(spark, path, "a") is None  # the manifest comes last
+    write_kept(spark.range(100).repartition(4), path, "a")
+    folder = Path(path.removeprefix("file:"))
+    next(folder.glob("part-*.parquet")).unlink()
+    (folder / "_SUCCESS").unlink()
+    assert read_kept(spark, path, "a") is None
