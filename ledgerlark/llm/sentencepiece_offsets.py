@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 _CACHED_WORDS = 1 << 18
+_CHUNK_CHARS = 1 << 21
 _SHORT = 64
+_SIDE_BY_SIDE = 4096
 _NONE = float("-inf")
 
 
@@ -99,6 +101,34 @@ class Encoder:
         across = re.compile(rf"[^{SPACE}]{SPACE}|.\n|\n.", re.S).search
         self.words = None if any(map(across, self.scores)) else re.compile(rf"{SPACE}+[^{SPACE}\n]*|\n+[^{SPACE}\n]*|[^{SPACE}\n]+")
         self.cache: dict[str, bytes] = {}
+        self._tabulate()
+
+    def _tabulate(self) -> None:
+        """Arrays for `learn`: pieces numbered by falling score, and the piece that two of them make."""
+        names = sorted(self.scores, key=lambda piece: -self.scores[piece])
+        place = {piece: i for i, piece in enumerate(names)}
+        scores = np.array([-self.scores[piece] for piece in names])
+        self.rank = np.append(np.unique(scores, return_inverse=True)[1], len(names)).astype(np.int32)  # ties share one
+        self.none = len(names)
+        self.piece_ids = np.array([self.ids[piece] for piece in names], "<u4")
+        self.of_char = np.full(0x110000, -1, np.int32)
+        made = {}
+        for piece, i in place.items():
+            if len(piece) == 1:
+                self.of_char[ord(piece)] = i
+            for cut in range(1, len(piece)):
+                left, right = place.get(piece[:cut]), place.get(piece[cut:])
+                if left is not None and right is not None:
+                    made[left * (self.none + 1) + right] = i
+        self.pairs = np.array(sorted(made), np.int64)
+        self.made = np.array([made[pair] for pair in self.pairs.tolist()] + [self.none], np.int32)
+
+    def _joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Number of the piece that two pieces make, `none` if there is none."""
+        pair = left.astype(np.int64) * (self.none + 1) + right
+        at = np.searchsorted(self.pairs, pair)
+        hit = self.pairs[np.minimum(at, len(self.pairs) - 1)] == pair
+        return np.where(hit, self.made[at], self.none).astype(np.int32)
 
     def normalize(self, text: str) -> tuple[str, np.ndarray | None]:
         """(normalised text, source byte of each of its bytes and the end); None for the plain case of `spans`."""
@@ -204,17 +234,73 @@ class Encoder:
                 offer(before[left], left)
         return [piece for piece in part if piece is not None]
 
-    def encode(self, normal: str) -> bytes:
-        """Ids of a normalised text, without begin and end."""
+    def learn(self, words: list[str]) -> None:
+        """Put the ids of words into the cache. Short words of known characters are merged side by side, as `_short` does."""
+        alone = words
+        if len(self.pairs):
+            alone = [word for word in words if len(word) > _SHORT]
+            words = sorted((word for word in words if len(word) <= _SHORT), key=len)
+            for at in range(0, len(words), _SIDE_BY_SIDE):
+                alone += self._side_by_side(words[at : at + _SIDE_BY_SIDE])
+        for word in alone:
+            self.cache[word] = self.merge(word)
+
+    def _side_by_side(self, words: list[str]) -> list[str]:
+        """Learn words of similar length; the words with characters that are no pieces are returned instead."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        filled = np.arange(sizes.max()) < sizes[:, None]
+        parts = np.full(filled.shape, self.none, np.int32)
+        parts[filled] = self.of_char[np.frombuffer("".join(words).encode("utf-32-le"), "<u4")]
+        known = (parts >= 0).all(axis=1)
+        left_out = [words[i] for i in np.flatnonzero(~known)]
+        rows = np.flatnonzero(known)
+        part, size, done = parts[rows], sizes[rows], {}
+        # the last column is never a pair: no piece joins with the number `none`
+        made = np.concatenate(
+            [self._joined(part[:, :-1], part[:, 1:]), np.full((len(part), 1), self.none, np.int32)], axis=1
+        )
+        while len(rows):
+            at = self.rank[made].argmin(axis=1)
+            best = made[np.arange(len(rows)), at]
+            ended = np.flatnonzero(best == self.none)
+            if len(ended):
+                inside = np.arange(part.shape[1]) < size[ended][:, None]
+                ids = self.piece_ids[part[ended][inside]].tobytes()
+                stops = (4 * np.cumsum(size[ended])).tolist()
+                for row, start, stop in zip(rows[ended].tolist(), [0, *stops[:-1]], stops):
+                    done[words[row]] = ids[start:stop]
+                going = np.flatnonzero(best < self.none)
+                rows, part, made, size, at, best = (x[going] for x in (rows, part, made, size, at, best))
+                if not len(rows):
+                    break
+            line = np.arange(len(rows))
+            part[line, at] = best
+            columns = np.arange(part.shape[1] - 1)
+            kept = columns + (columns > at[:, None])  # all but the right part of the merged pair
+            part = np.take_along_axis(part, kept, axis=1)
+            made = np.take_along_axis(made, kept, axis=1)
+            size = size - 1
+            after = np.where(at + 1 < size, part[line, np.minimum(at + 1, part.shape[1] - 1)], self.none)
+            made[line, at] = self._joined(part[line, at], after)
+            inner = np.flatnonzero(at)
+            before = at[inner] - 1
+            made[inner, before] = self._joined(part[inner, before], part[inner, at[inner]])
+        self.cache.update(done)
+        return left_out
+
+    def encode_all(self, normals: list[str]) -> list[bytes]:
+        """Ids of normalised texts, without begin and end."""
         if self.words is None:
-            return self.merge(normal)
-        cache, found = self.cache, self.words.findall(normal)
+            return [self.merge(normal) for normal in normals]
+        cache, found = self.cache, [self.words.findall(normal) for normal in normals]
         if len(cache) > _CACHED_WORDS:
             cache.clear()
-        for word in found:
-            if word not in cache:
-                cache[word] = self.merge(word)
-        return b"".join([cache[word] for word in found])
+        self.learn(list({word for words in found for word in words} - cache.keys()))
+        return [b"".join([cache[word] for word in words]) for words in found]
+
+    def encode(self, normal: str) -> bytes:
+        """Ids of one normalised text."""
+        return self.encode_all([normal])[0]
 
     def spans(self, text: str, source: np.ndarray | None, ids: np.ndarray) -> np.ndarray:
         """Byte of the source where each piece begins, and where the last one ends."""
@@ -244,18 +330,19 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
         encoder = Encoder(model)
         first, last = (np.array([i], "<u4").tobytes() for i in (encoder.begin, encoder.end))
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                some = batch.iloc[at : at + 512]
-                ids, decoded, begins = [], [], []
-                for text in some["text"]:
-                    text = text or ""
-                    normal, source = encoder.normalize(text)
-                    found = encoder.encode(normal)
-                    ids.append(first + found + last)
-                    numbers = np.frombuffer(found, "<u4").astype(np.int64)
+            texts = batch["text"].tolist()
+            chunk = np.cumsum([len(text) for text in texts]) // _CHUNK_CHARS
+            for at in (np.flatnonzero(chunk == number) for number in np.unique(chunk)):
+                some = [texts[i] for i in at]
+                normal = [encoder.normalize(text) for text in some]
+                found = encoder.encode_all([value for value, _ in normal])
+                decoded, begins = [], []
+                for text, (_, source), ids in zip(some, normal, found):
+                    numbers = np.frombuffer(ids, "<u4").astype(np.int64)
                     begins.append(encoder.spans(text, source, numbers).astype("<i8").tobytes())
                     decoded.append(encoder.decode.decode([encoder.begin, *numbers.tolist(), encoder.end]))
-                yield pd.DataFrame({"doc_id": some["doc_id"], "ids": ids, "decoded": decoded, "begins": begins})
+                ids = [first + value + last for value in found]
+                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[at], "ids": ids, "decoded": decoded, "begins": begins})
 
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(
         rows, "doc_id long, ids binary, decoded string, begins binary"
