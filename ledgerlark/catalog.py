@@ -173,7 +173,7 @@ RESULTS: dict[str, Result] = {
     "dash_product_master": lambda w: w.dashboard("products"),
     "dash_cross_sell": lambda w: rounded_score(w.dashboard("cross_sell")),
     "dash_build_counts": lambda w: dashboard.build_counts({role: served(w, role) for role in BUNDLE}),
-    "serve_headline": lambda w: dashboard.headline(served(w, "kpis")),
+    "serve_headline": lambda w: dashboard.headline(served(w, "kpis"), kpis.commercial_orders(w.orders)),
     "serve_monthly": lambda w: dashboard.monthly_series(served(w, "monthly")),
     "serve_top_markets": lambda w: dashboard.top_markets(served(w, "country")),
     "serve_one_market": lambda w: dashboard.top_markets(served(w, "country"), "NATION_7"),

@@ -13,7 +13,7 @@ def find_column(df: DataFrame, candidates: list[str]) -> str | None:
     return next((present[c.strip().lower()] for c in candidates if c.strip().lower() in present), None)
 
 
-def first_value(df: DataFrame, candidates: list[str], default: float | str = 0) -> Column:
+def first_value(df: DataFrame, candidates: list[str], default: float | str | Column = 0) -> Column:
     """First non-null of the candidate columns that exist, else the default."""
     found = [F.col(f"`{name}`") for name in candidates if name in df.columns]
     return F.coalesce(*found, F.lit(default)) if found else F.lit(default)

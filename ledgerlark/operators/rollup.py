@@ -94,6 +94,24 @@ def roll_up(orders: DataFrame, *keys: str, nulls: bool = True) -> DataFrame:
     return _attach_counts(sums, counts, list(keys), nulls)
 
 
+def with_distinct(rolled: DataFrame, rows: DataFrame, keys: list[str], names: dict[str, str]) -> DataFrame:
+    """`rolled` with the number of distinct values of columns of `rows` per key, null keys included.
+
+    `names` maps result names to columns. Every count is a branch of its own that
+    reads and shuffles its column and the keys; rows are never multiplied.
+    """
+    for name, column in names.items():
+        if not keys:
+            # distinct first: counts of the same rows would be merged into one step that multiplies them
+            rolled = rolled.withColumn(name, rows.select(column).distinct().agg(F.count(column)).scalar())
+            continue
+        found = rows.select(*keys, column).distinct().groupBy(*[F.col(key).alias(f"_{key}") for key in keys])
+        found = found.agg(F.count(column).alias(name))
+        same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
+        rolled = rolled.join(found, same, "left").drop(*[f"_{key}" for key in keys]).na.fill(0, [name])
+    return rolled
+
+
 def customer_facts(orders: DataFrame) -> DataFrame:
     """One row per identified customer, with or without sales."""
     return roll_up(orders.filter(F.col("CustomerID").isNotNull()), "CustomerID", nulls=False)

@@ -16,6 +16,7 @@ from ledgerlark.operators.cleaning import classify_audit
 from ledgerlark.operators.profile import (
     count_copies, null_report, numeric_summary, row_counts, to_long, top_per_group, value_counts,
 )
+from ledgerlark.operators.rollup import with_distinct
 from ledgerlark.schema import RAW
 
 SHEET = ["SourceYear"]
@@ -133,18 +134,21 @@ def top_countries_by_rows(raw: DataFrame, n: int = 10) -> DataFrame:
 def business_scale(raw: DataFrame) -> DataFrame:
     """Rows, distinct entities, date range and customer coverage per sheet."""
     identified = F.col("Customer ID").isNotNull()
-    return raw.groupBy(*SHEET).agg(
+    distinct = {
+        "unique_invoices": "Invoice",
+        "unique_products": "StockCode",
+        "unique_customers": "Customer ID",
+        "unique_countries": "Country",
+    }
+    sums = raw.groupBy(*SHEET).agg(
         F.count("*").alias("rows"),
-        F.countDistinct("Invoice").alias("unique_invoices"),
-        F.countDistinct("StockCode").alias("unique_products"),
-        F.countDistinct("Customer ID").alias("unique_customers"),
-        F.countDistinct("Country").alias("unique_countries"),
         F.min("InvoiceDate").alias("first_date"),
         F.max("InvoiceDate").alias("last_date"),
         F.count_if(identified).alias("rows_with_customer"),
         F.count_if(~identified).alias("rows_without_customer"),
         F.round(F.avg(identified.cast("double")) * 100, 2).alias("customer_coverage_pct"),
     )
+    return with_distinct(sums, raw, SHEET, distinct)
 
 
 def business_types(raw: DataFrame) -> DataFrame:

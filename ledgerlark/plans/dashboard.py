@@ -41,17 +41,22 @@ def build_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def headline(kpi_table: DataFrame) -> DataFrame:
-    """Headline values by whichever candidate column is present, zero otherwise."""
-    return kpi_table.select(
+def headline(kpi_table: DataFrame, commercial_orders: Column | int = 0) -> DataFrame:
+    """Headline values by whichever candidate column is present, and display texts of the money.
+
+    `commercial_orders` (invoices with a sale) serves a table without such a column; `total_orders` counts all invoices.
+    """
+    values = kpi_table.select(
         first_value(kpi_table, ["net_revenue", "NetRevenue", "net_revenue_value"]).cast("double").alias("net_revenue"),
         first_value(kpi_table, ["gross_sales_revenue", "GrossRevenue", "gross_revenue"])
         .cast("double")
         .alias("gross_revenue"),
-        first_value(kpi_table, ["unique_orders", "UniqueOrders", "orders", "total_orders"])
+        first_value(kpi_table, ["unique_orders", "UniqueOrders", "orders"], commercial_orders)
         .cast("bigint")
         .alias("orders"),
+        first_value(kpi_table, ["total_orders"]).cast("bigint").alias("total_orders"),
     )
+    return values.withColumns({f"{name}_text": millions(F.col(f"{name}_revenue")) for name in ("net", "gross")})
 
 
 def monthly_series(monthly: DataFrame) -> DataFrame:
@@ -144,6 +149,11 @@ def filter_options(country: DataFrame, rfm: DataFrame) -> DataFrame:
     return markets.unionByName(segments).filter(F.col("choice").isNotNull()).distinct().orderBy("filter", "choice")
 
 
+def millions(amount: Column) -> Column:
+    """Amount in millions of pounds with two decimals."""
+    return F.format_string("£%.2fM", amount / 1_000_000)
+
+
 def pounds(amount: Column) -> Column:
     """Amount as whole pounds with thousands separators."""
     return F.concat(F.lit("£"), F.format_number(F.round(amount, 0), 0))

@@ -13,7 +13,7 @@ from ledgerlark import constants as C
 from ledgerlark.functions.measures import net_commercial, number, ratio
 from ledgerlark.operators.picks import largest_names
 from ledgerlark.operators.ranking import top_share
-from ledgerlark.operators.rollup import roll_up
+from ledgerlark.operators.rollup import roll_up, with_distinct
 
 
 def _product_records(products: DataFrame):
@@ -22,12 +22,9 @@ def _product_records(products: DataFrame):
 
 def data_quality(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Rows and distinct invoices, products, customers and countries."""
-    return orders.agg(
-        F.sum("Lines").alias("total_transaction_rows"),
-        F.countDistinct("InvoiceNo").alias("unique_invoices"),
-        F.countDistinct("CustomerID").alias("identified_customers"),
-        F.countDistinct("Country").alias("countries"),
-    ).withColumn("unique_products", _product_records(products))
+    distinct = {"unique_invoices": "InvoiceNo", "identified_customers": "CustomerID", "countries": "Country"}
+    rows = orders.agg(F.sum("Lines").alias("total_transaction_rows"))
+    return with_distinct(rows, orders, [], distinct).withColumn("unique_products", _product_records(products))
 
 
 def revenue_kpis(orders: DataFrame) -> DataFrame:
@@ -56,15 +53,15 @@ def monthly_trend(orders: DataFrame) -> DataFrame:
 
 def country_performance(orders: DataFrame) -> DataFrame:
     """Orders, customers, units and revenue per country; net counts every type."""
-    sale = F.col("IsRevenueEligible")
     return (
-        orders.groupBy("Country")
-        .agg(
-            F.countDistinct("InvoiceNo").alias("orders"),
-            F.countDistinct("CustomerID").alias("customers"),
-            F.sum(F.when(sale, F.col("Units")).otherwise(0)).alias("units_sold"),
-            number(F.sum(F.when(sale, F.col("Revenue")).otherwise(0)), 2).alias("gross_revenue"),
-            number(F.sum("Revenue"), 2).alias("net_revenue"),
+        with_distinct(roll_up(orders, "Country"), orders, ["Country"], {"customers": "CustomerID"})
+        .select(
+            "Country",
+            F.col("Orders").alias("orders"),
+            "customers",
+            F.col("UnitsSold").alias("units_sold"),
+            number("GrossRevenue", 2).alias("gross_revenue"),
+            number("NetAll", 2).alias("net_revenue"),
         )
         .orderBy(F.desc("net_revenue"), "Country")
     )
@@ -146,34 +143,28 @@ def type_distribution(orders: DataFrame) -> DataFrame:
 
 def executive_kpis(orders: DataFrame, products: DataFrame, digits: int | None = 2) -> DataFrame:
     """Headline KPIs; `digits=None` keeps money unrounded."""
-    sale, returned = F.col("IsRevenueEligible"), F.col("IsReturn")
-    gross = F.sum(F.when(sale, F.col("Revenue")).otherwise(0))
-    returns = F.sum(F.when(returned, F.col("Revenue")).otherwise(0))
-    totals = orders.agg(
-        F.sum("Lines").alias("transaction_rows"),
-        F.countDistinct("InvoiceNo").alias("total_orders"),
-        F.countDistinct("CustomerID").alias("identified_customers"),
-        F.countDistinct("Country").alias("countries"),
-        gross.alias("_gross"),
-        returns.alias("_returns"),
-        F.sum(F.when(sale, F.col("Units")).otherwise(0)).alias("units_sold"),
-        F.countDistinct(F.when(sale, F.col("InvoiceNo"))).alias("_sales_orders"),
+    totals = with_distinct(
+        roll_up(orders), orders, [], {"identified_customers": "CustomerID", "countries": "Country"}
     )
-    net = F.col("_gross") + F.col("_returns")
     return totals.select(
-        "transaction_rows",
-        "total_orders",
+        F.col("Lines").alias("transaction_rows"),
+        F.col("Orders").alias("total_orders"),
         "identified_customers",
         _product_records(products).alias("product_records"),
         "countries",
-        number("_gross", digits).alias("gross_revenue"),
-        number("_returns", digits).alias("return_value"),
-        number(net, digits).alias("net_revenue"),
-        "units_sold",
-        F.round(ratio(net, F.col("_sales_orders")), 2).alias("net_revenue_per_order"),
+        number("GrossRevenue", digits).alias("gross_revenue"),
+        number("ReturnValue", digits).alias("return_value"),
+        number(net_commercial(), digits).alias("net_revenue"),
+        F.col("UnitsSold").alias("units_sold"),
+        F.round(ratio(net_commercial(), F.col("SalesOrders")), 2).alias("net_revenue_per_order"),
     )
 
 
+def commercial_orders(orders: DataFrame):
+    """Number of invoices with a commercial sale, as a scalar."""
+    return roll_up(orders).select("SalesOrders").scalar()
+
+
 def monthly_net(orders: DataFrame, digits: int | None = 2) -> DataFrame:
     """Net commercial revenue, sales orders and units per month."""
     return (
@@ -190,16 +181,11 @@ def monthly_net(orders: DataFrame, digits: int | None = 2) -> DataFrame:
 
 def country_net(orders: DataFrame, digits: int | None = 2) -> DataFrame:
     """Net commercial revenue, sales orders, customers and revenue per order by country."""
-    sale, returned = F.col("IsRevenueEligible"), F.col("IsReturn")
-    rolled = orders.groupBy("Country").agg(
-        F.sum(F.when(sale | returned, F.col("Revenue")).otherwise(0)).alias("_net"),
-        F.countDistinct(F.when(sale, F.col("InvoiceNo"))).alias("orders"),
-        F.countDistinct("CustomerID").alias("customers"),
-    )
+    rolled = with_distinct(roll_up(orders, "Country"), orders, ["Country"], {"customers": "CustomerID"})
     return rolled.select(
         "Country",
-        number("_net", digits).alias("net_revenue"),
-        "orders",
+        number(net_commercial(), digits).alias("net_revenue"),
+        F.col("SalesOrders").alias("orders"),
         "customers",
-        F.round(ratio("_net", "orders"), 2).alias("revenue_per_order"),
+        F.round(ratio(net_commercial(), F.col("SalesOrders")), 2).alias("revenue_per_order"),
     ).orderBy(F.desc("net_revenue"), "Country")

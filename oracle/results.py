@@ -512,7 +512,10 @@ UNION ALL SELECT 'risk', count(*) FROM x_rfm WHERE Segment = 'At Risk High Value
 UNION ALL SELECT 'products', count(*) FROM x_master
 UNION ALL SELECT 'cross_sell', count(*) FROM x_cross"""
 RESULTS["serve_headline"] = f"""
-SELECT {_NET}::DOUBLE AS net_revenue, ({GROSS})::DOUBLE AS gross_revenue, count(DISTINCT InvoiceNo) AS orders FROM x_tx"""
+SELECT {_NET}::DOUBLE AS net_revenue, ({GROSS})::DOUBLE AS gross_revenue,
+  count(DISTINCT CASE WHEN IsRevenueEligible THEN InvoiceNo END) AS orders, count(DISTINCT InvoiceNo) AS total_orders,
+  printf('£%.2fM', {_NET}::DOUBLE / 1e6) AS net_text, printf('£%.2fM', ({GROSS})::DOUBLE / 1e6) AS gross_text
+FROM x_tx"""
 RESULTS["serve_monthly"] = f"""
 SELECT date_trunc('month', InvoiceDate) AS Month, {_NET}::DOUBLE AS net_revenue FROM x_tx GROUP BY 1"""
 RESULTS["serve_top_markets"] = f"SELECT * FROM ({_COUNTRY}) ORDER BY net_revenue DESC, Country LIMIT 8"

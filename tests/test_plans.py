@@ -68,3 +68,11 @@ def test_top_lines_are_cut_before_the_shuffle(tables):
 
 def test_top_customers_are_not_sorted_whole(tables):
     assert "TakeOrderedAndProject" in plan(RESULTS["q1_top_customers"](tables))
+
+
+@pytest.mark.parametrize("name", [
+    "q1_data_quality", "q1_country", "q4_exec_kpis", "q4_country", "dash_executive_kpis", "dash_country",
+    "audit_business_profile",
+])
+def test_distinct_counts_do_not_multiply_rows(tables, name):
+    assert "Expand" not in plan(RESULTS[name](tables))
