@@ -30,18 +30,21 @@ def null_report(df: DataFrame, groups: list[str], columns: list[str]) -> DataFra
 
 
 def row_counts(df: DataFrame, groups: list[str], columns: list[str]) -> DataFrame:
-    """Rows and duplicate rows (beyond the first of each kind) per group.
-
-    Copies are merged before the shuffle, so many equal rows are no hot spot.
-    """
-    kinds = df.groupBy(*groups, *[F.col(f"`{c}`") for c in columns if c not in groups]).agg(F.count("*").alias("_copies"))
-    return kinds.groupBy(*groups).agg(
-        F.sum("_copies").alias("rows"), F.sum(F.col("_copies") - 1).alias("duplicate_rows")
-    )
+    """Rows and duplicate rows (beyond the first of each kind) per group."""
+    counted = df.groupBy(*groups).agg(F.count("*").alias("rows"))
+    kinds = _repeated(df.select(*groups, *[F.col(f"`{c}`") for c in columns if c not in groups]))
+    extra = kinds.groupBy(*[F.col(g).alias(f"_{g}") for g in groups]).agg(F.sum(F.col("_copies") - 1).alias("duplicate_rows"))
+    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups]
+    return counted.join(extra, same, "left").drop(*[f"_{g}" for g in groups]).na.fill(0, ["duplicate_rows"])
 
 
 def count_copies(df: DataFrame) -> DataFrame:
-    """Duplicate rows over all columns, for a table that should have few.
+    """Duplicate rows over all columns."""
+    return _repeated(df).agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
+
+
+def _repeated(df: DataFrame) -> DataFrame:
+    """Distinct rows whose hash occurs again, with `_copies`.
 
     A narrow pass counts row hashes; only rows whose hash occurs again are
     compared in full, so a clean table is never shuffled whole.
@@ -50,11 +53,7 @@ def count_copies(df: DataFrame) -> DataFrame:
     hashes = df.groupBy(F.xxhash64(*columns).alias("_hash")).agg(F.count("*").alias("_n"))
     suspects = write_stage(hashes.filter("_n > 1").select("_hash"), "row_hashes")
     same = df.withColumn("_hash", F.xxhash64(*columns)).join(suspects, "_hash", "left_semi")
-    return (
-        same.groupBy(*columns)
-        .agg(F.count("*").alias("_copies"))
-        .agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
-    )
+    return same.groupBy(*columns).agg(F.count("*").alias("_copies"))
 
 
 def numeric_summary(df: DataFrame, groups: list[str], columns: list[str]) -> DataFrame:

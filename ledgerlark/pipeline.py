@@ -33,6 +33,7 @@ def run_pipeline(
     only: list[str] | None = None,
     settings: Settings = Settings(),
     resume: bool = False,
+    multi_line: bool = False,
 ) -> Workspace:
     """Build the tables of the given sheets and write them below `out`.
 
@@ -41,7 +42,7 @@ def run_pipeline(
     that were finished from the same sheets, paths, format and settings.
     """
     in_place = table_format == "parquet"
-    raw = load_raw(spark, sheets, sheet_format)
+    raw = load_raw(spark, sheets, sheet_format, multi_line=multi_line)
     tables = Workspace(raw, settings, out if in_place else None, resume, json.dumps([sheets, sheet_format], sort_keys=True))
     for name in only or STAGES:
         df = tables.stage(name) if name in STAGES else RESULTS[name](tables)
@@ -59,6 +60,7 @@ def main() -> None:
     )
     parser.add_argument("--out", required=True, help="folder for the tables")
     parser.add_argument("--sheet-format", default="csv", choices=["csv", "parquet"])
+    parser.add_argument("--multi-line", action="store_true", help="CSV values may hold line breaks; a file is one task")
     parser.add_argument("--table-format", default="parquet", choices=["csv", "parquet"])
     parser.add_argument("--only", nargs="+", choices=sorted({*STAGES, *RESULTS}), metavar="NAME")
     parser.add_argument("--resume", action="store_true", help="keep finished stage tables of the same sheets and settings")
@@ -66,8 +68,9 @@ def main() -> None:
     spark = SparkSession.builder.appName("ledgerlark").getOrCreate()
     sheets = dict(item.split("=", 1) for item in options.sheet)
     run_pipeline(
-        spark, sheets, options.out, options.sheet_format, options.table_format, options.only, resume=options.resume
-    )
+        spark, sheets, options.out, options.sheet_format, options.table_format, options.only,
+        resume=options.resume, multi_line=options.multi_line,
+    )
     spark.stop()
 
 

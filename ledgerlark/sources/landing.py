@@ -19,11 +19,13 @@ def read_table(
     schema: T.StructType | None = None,
     fmt: str = "parquet",
     timestamp_format: str = TIMESTAMP_FORMAT,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Scan one Parquet or CSV table.
 
-    CSV needs a schema: nothing is inferred, and a value that does not fit it
-    stops the job instead of turning into null.
+    CSV needs a schema: nothing is inferred, and a value that is read and does
+    not fit it stops the job instead of turning into null. With `multi_line`
+    quoted values may hold line breaks; a file is then read by one task.
     """
     if fmt != "csv":
         reader = spark.read if schema is None else spark.read.schema(schema)
@@ -31,24 +33,60 @@ def read_table(
     if schema is None:
         raise ValueError("a CSV scan needs an explicit schema")
     formats = {"timestampFormat": timestamp_format, "timestampNTZFormat": timestamp_format}
-    return spark.read.options(header=True, escape='"', mode="FAILFAST", **formats).schema(schema).csv(path)
+    return (
+        spark.read.options(header=True, escape='"', mode="FAILFAST", columnPruning=False, multiLine=multi_line, **formats)
+        .schema(schema)
+        .csv(path)
+    )
+
+
+def _typed(text: DataFrame, timestamp_format: str) -> DataFrame:
+    """Landing text with the types of `RAW`; a value that does not fit stops the job, whichever columns are read.
+
+    Prices of more than four decimals and customer numbers with a fraction do not fit.
+    """
+    columns, misfits = {}, []
+    for field in RAW:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.StringType):
+            continue
+        value = F.nullif(F.btrim(value), F.lit(""))
+        if isinstance(field.dataType, T.TimestampNTZType):
+            found = F.to_timestamp_ntz(value, F.lit(timestamp_format))
+            fits = found.isNotNull()
+        elif field.name in ("Price", "Customer ID"):
+            found = value.try_cast(field.dataType if field.name == "Price" else T.DecimalType(20, 0))
+            fits = found == value.try_cast(T.DecimalType(38, 18))
+            found = found.try_cast(field.dataType)
+        else:
+            found = value.try_cast(field.dataType)
+            fits = found.isNotNull()
+        columns[field.name] = found
+        misfits.append((field.name, value, value.isNotNull() & ~F.coalesce(fits & found.isNotNull(), F.lit(False))))
+    checked = F.lit(True)
+    for name, value, misfit in misfits:
+        message = F.concat(F.lit(f"malformed value of {name}: "), value)
+        checked = F.when(misfit, F.raise_error(message).cast("boolean")).otherwise(checked)
+    return text.where(checked).withColumns(columns)
 
 
 def load_raw(
-    spark: SparkSession, sheets: dict[str, str], fmt: str = "csv", timestamp_format: str = TIMESTAMP_FORMAT
+    spark: SparkSession,
+    sheets: dict[str, str],
+    fmt: str = "csv",
+    timestamp_format: str = TIMESTAMP_FORMAT,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Concatenate the yearly landing paths by name, each row tagged with its sheet.
 
     Customer numbers may be written as floats (`12346.0`), as tables with gaps
-    in an integer column often are.
+    in an integer column often are. `multi_line` as in `read_table`; without it
+    a quoted line break stops the job.
     """
     if fmt == "csv":
-        textual = T.StructType(
-            [T.StructField(f.name, T.StringType() if f.name == "Customer ID" else f.dataType) for f in RAW]
-        )
-        number = F.col("Customer ID").cast("decimal(20,1)").cast("bigint")
+        textual = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW])
         frames = {
-            sheet: read_table(spark, path, textual, fmt, timestamp_format).withColumn("Customer ID", number)
+            sheet: _typed(read_table(spark, path, textual, fmt, timestamp_format, multi_line), timestamp_format)
             for sheet, path in sheets.items()
         }
     else:

@@ -176,6 +176,27 @@ def test_bad_csv_value_stops_the_job(spark):
         load_raw(spark, {"S": _landing_file(spark, "bad-value", lines)}).collect()
 
 
+@pytest.mark.parametrize("values", ["six,2010-12-01 08:26:00,2.55,1", "6,soon,2.55,1", "6,2010-12-01 08:26:00,2.555555,1",
+                                    "6,2010-12-01 08:26:00,2.55,12346.4", "6,2010-12-01 08:26:00,two,1"])
+def test_csv_misfit_stops_jobs_that_do_not_read_its_column(spark, values):
+    raw = load_raw(spark, {"S": _landing_file(spark, "misfit", [HEADER, f"1,A,LAMP,{values},UK"])})
+    with pytest.raises(Exception, match="(?i)malformed|parsed"):
+        raw.count()
+    with pytest.raises(Exception, match="(?i)malformed|parsed"):
+        raw.groupBy("Country").count().collect()
+
+
+def test_csv_line_breaks_in_quotes(spark):
+    df = _sheets(spark, [("1", "A", "two\nlines", 2, 0, "5.1234", 10, "S1"), ("2", "B", "one", 1, 0, "1", None, "S1")])
+    folder = f"{shared_folder(spark)}/test-csv-breaks"
+    write_table(df, folder, "csv", partition_by="SourceYear")
+    sheets = {"S1": f"{folder}/SourceYear=S1"}
+    back = load_raw(spark, sheets, multi_line=True).select(*df.columns)
+    assert back.count() == 2 and sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        load_raw(spark, sheets).count()
+
+
 def test_csv_needs_a_schema(spark):
     with pytest.raises(ValueError):
         read_table(spark, "/nowhere", fmt="csv")
