@@ -203,6 +203,37 @@ def test_op4_learns_words_and_finds_sentences(spark, odd, empty):
     assert toxicity.score(empty, toxicity.train(empty, labels)).count() == 0
 
 
+def test_op4_few_labels_are_not_learnt_by_heart(spark):
+    random = np.random.default_rng(6)
+    rows = []
+    for i in range(400):
+        words = ["".join(random.choice(list("abcdefgh"), 7)) for _ in range(30)]  # most of them met once
+        if i % 8 == 0:
+            words[5] = random.choice(["nasty", "rotten"])
+        rows.append((i, " ".join(words), int(i % 8 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    scored = toxicity.score(docs, toxicity.train(docs, docs)).collect()
+    held = [r for r in scored if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    assert sum(r.toxic for r in held) >= 5 and all((r._score >= 0.5) == bool(r.toxic) for r in held)
+
+
+def test_op4_telling_features():
+    flat = np.array([1, 2, 1, 1, 2, 3] + [2, 3] * 20, np.int32)
+    ends = [3, 4, 6, *range(8, 48, 2)]
+    positive = np.array([True, True] + [False] * 21)
+    assert not toxicity.telling(flat, ends, positive)[[2, 3]].any()
+    flat[4] = 4
+    assert toxicity.telling(flat, ends, positive)[1] and not toxicity.telling(flat, ends, positive)[4]
+
+
+def test_op10_words_side_by_side():
+    encoder = sentencepiece_offsets.Encoder(tokenizer_file("piece_bpe_32k.model"))
+    random = np.random.default_rng(8)
+    words = ["".join(random.choice(list("▁▁aeinstréxq日ß"), random.integers(1, 70))) for _ in range(3000)]
+    encoder.learn(words)
+    assert all(encoder.cache[word] == encoder.merge(word) for word in words)
+
+
 def test_op4_held_out_accuracy(spark):
     found = _query("op4_toxicity", spark, "/root/testdata/sf0.1").set_index("doc_id")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").toPandas().set_index("doc_id").toxic
