@@ -3,7 +3,12 @@
 Words get classes by exchange clustering: the `FREQUENT` words of the training
 text start in classes by rank and move, one at a time, to the class that raises
 the likelihood of the class bigrams most, until a round moves none. All other
-words have classes by their frequency. The probability of a word is that of its
+words of the training text start in classes by their frequency and move in
+rounds on Spark: the classes around a word are counted, and it goes to the class
+under which they are likeliest by the class bigrams of the round, taken without
+its own. All words move in the first round, then either half in turn, as
+neighbours that move together may spoil each other's gain. Rounds end when few
+words move, or with the last one that raised the likelihood. The probability of a word is that of its
 class after the class before it, times that of the word within its class:
 transitions are smoothed with the class frequencies, and what an absolute
 discount takes from every word's count is the share of unseen words.
@@ -12,8 +17,10 @@ Counting covers the whole training text. Documents are read in blocks; a block
 holds its own list of words, and only lists and counts are shuffled: a word
 meets its counts from all blocks, at most one from each, then each block gets
 the totals of its words.
-The clustering needs the pair counts of the frequent words and classes alone,
-a matrix whose size does not depend on the input.
+The clustering of the frequent words needs the pair counts of them and of classes
+alone, a matrix whose size does not depend on the input. A round for the others
+shuffles the counts of the classes around each word of a block, packed by ranges of
+word hashes. Stage tables that no later step reads are removed.
 
 Nulls and edges: a null or empty text has the end token alone. A null id is
 training text. With no training text every token is unseen.
@@ -22,7 +29,8 @@ training text. With no training text every token is unseen.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,15 +39,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.storage import write_stage
+from ledgerlark.storage import drop_stage, write_stage
 
 FREQUENT = 1000
 CLASSES = 48
-BANDS = 32  # classes of the other words, by the power of two of their count; the last one is for unseen words
+BANDS = 32  # first classes of the other words, by the power of two of their count; the last one is for unseen words
+ALL = 1 + CLASSES + BANDS  # the end token's class, those of frequent words, the bands
 ROUNDS = 12
+FEW = 0.1  # rounds end when at most this share of the words moves
 FOLDS, HELD_OUT = 7, 2
 _BLOCK_CHARS = 1 << 22
 _PAIR_DOCS = 256
+_PART_WORDS = 200_000  # words of blocks in a part of a round, about
+_ENTRIES = 10_000
 _SMOOTHING = 4.0
 END = 0  # the end token has the first place among the frequent words
 
@@ -86,42 +98,298 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield close()
 
 
-def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document its symbols: places of frequent words or bands, and what does not depend on classes."""
-    from zstandard import ZstdDecompressor
-
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for place in range(batch.num_rows):
-            row = batch.slice(place, 1).to_pylist()[0]
-            known = row["n_local"]
-            counts, symbols = np.zeros(known, np.int64), np.full(known, FREQUENT + BANDS - 1, np.uint16)
-            local = np.array(row["locals"], np.int64)
-            counts[local], symbols[local] = row["totals"], row["symbols"]
-            flat = np.frombuffer(ZstdDecompressor().decompress(row["tokens"]), np.int32)
-            c, s = counts[flat], symbols[flat]
-            ends = np.cumsum(row["lengths"])
-            starts = ends - np.array(row["lengths"])
-            known_before = np.concatenate([[0], np.cumsum(c > 0)])
-            base = np.concatenate([[0.0], np.cumsum(np.log10(c + 1.0))])
-            rare = np.where(s >= FREQUENT, np.log10(np.maximum(c - row["discount"], 1e-300)), 0.0)
-            rare = np.concatenate([[0.0], np.cumsum(np.where(c > 0, rare, 0.0))])
+            yield batch.slice(place, 1).to_pylist()[0]
+
+
+def _unpacked(value: bytes, kind: type) -> np.ndarray:
+    from zstandard import ZstdDecompressor
+
+    return np.frombuffer(ZstdDecompressor().decompress(value), kind)
+
+
+def _known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per block, by local word number: total, symbol, hash of the word, and whether this block is the word's first."""
+    from zstandard import ZstdCompressor
+
+    squeeze = ZstdCompressor(level=1).compress
+    for row in _rows(batches):
+        n = row["n_local"]
+        totals, symbols = np.zeros(n, np.int64), np.full(n, FREQUENT + BANDS - 1, np.uint16)
+        hashes, first = np.zeros(n, np.int64), np.zeros(n, bool)
+        local = np.array(row["locals"], np.int64)
+        totals[local], symbols[local], first[local], hashes[local] = row["totals"], row["symbols"], row["firsts"], row["hashes"]
+        packed = [pa.array([squeeze(x.tobytes())]) for x in (totals, symbols, hashes, first)]
+        kept = [pa.array([row["block"]]), pa.array([row["doc_ids"]], pa.list_(pa.int64())), pa.array([row["held"]], pa.list_(pa.bool_()))]
+        kept += [pa.array([row["lengths"]], pa.list_(pa.int32())), pa.array([row["tokens"]], pa.binary())]
+        names = ["block", "doc_ids", "held", "lengths", "tokens", "totals", "symbols", "hashes", "firsts"]
+        yield pa.RecordBatch.from_arrays(kept + packed, names=names)
+
+
+def _taught(row: dict) -> np.ndarray:
+    """Local word numbers of the training documents of a block, with -1 before, between and behind them."""
+    flat, lengths, held = _unpacked(row["tokens"], np.int32), np.array(row["lengths"], np.int64), np.array(row["held"], bool)
+    if held.all():
+        return np.zeros(0, np.int64)
+    kept = flat[np.repeat(~held, lengths)].astype(np.int64)
+    return np.concatenate([[-1], np.insert(kept, np.cumsum(lengths[~held]), -1)])
+
+
+def _first_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of neighbouring symbols of training documents, before other words than the frequent ones have moved."""
+    width = FREQUENT + BANDS
+    total = np.zeros(width * width, np.int64)
+    for row in _rows(batches):
+        s = np.append(_unpacked(row["symbols"], np.uint16), END).astype(np.int64)[_taught(row)]
+        total += np.bincount(s[:-1] * width + s[1:], minlength=len(total))
+    pair = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(total[pair])], names=["pair", "n"])
+
+
+def _around(label: np.ndarray, turn: int | None, parts: int) -> Callable:
+    """Task function: the classes of a block's words, their pairs and sizes, and those around each word that is not frequent.
+
+    `label` has the class of every symbol at first; `classes` and `moves` are those of the round before. With a `turn`, 0 or 1,
+    half of the words are listed, by their hash. Lists come in `parts`, by the hash too.
+    """
+
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from zstandard import ZstdCompressor
+
+        squeeze = ZstdCompressor(level=1).compress
+        for row in _rows(batches):
+            symbols = _unpacked(row["symbols"], np.uint16)
+            first, hashes = _unpacked(row["firsts"], bool), _unpacked(row["hashes"], np.int64)
+            classes = label[symbols].astype(np.uint8) if row["classes"] is None else _unpacked(row["classes"], np.uint8).copy()
+            other = (symbols >= FREQUENT) & (symbols != FREQUENT + BANDS - 1)
+            moved = 0
+            for move in row["moves"] or []:
+                move = _unpacked(move, np.int64)
+                at, new = move >> 8, (move & 255).astype(np.uint8)
+                moved += int((first[at] & (classes[at] != new)).sum())
+                classes[at] = new
+            sizes = np.append(np.bincount(classes[first & other], minlength=ALL), moved)
+            at = _taught(row)
+            c = np.append(classes, END)[at].astype(np.int64)
+            grid = np.bincount(c[:-1] * ALL + c[1:], minlength=ALL * ALL)
+            # the listed words by part and hash; also those that this block has in held-out documents only
+            listed = np.flatnonzero(other if turn is None else other & (hashes & 1 == turn))
+            part = (hashes[listed] >> 1) % parts
+            order = np.lexsort((hashes[listed], part))
+            listed, part = listed[order], part[order]
+            rank = np.full(len(symbols) + 1, -1)
+            rank[listed] = np.arange(len(listed))
+            place = np.flatnonzero(rank[at] >= 0)
+            keys = [rank[at[place]] * (2 * ALL) + c[place + 1], rank[at[place]] * (2 * ALL) + ALL + c[place - 1]]
+            key, n = np.unique(np.concatenate(keys), return_counts=True)
+            held = np.bincount(key // (2 * ALL), minlength=len(listed))
+            cut, entry = np.searchsorted(part, np.arange(parts + 1)), np.concatenate([[0], np.cumsum(held)])
+            packed = []
+            for x, y in zip(cut[:-1], cut[1:]):
+                e = slice(entry[x], entry[y])
+                lists = (hashes[listed[x:y]], listed[x:y].astype(np.int32), held[x:y].astype(np.int32), n[e].astype(np.int32))
+                lists += ((key[e] % (2 * ALL)).astype(np.uint8), classes[listed[x:y]])
+                packed.append(squeeze(np.array([y - x, e.stop - e.start], np.int64).tobytes() + b"".join(v.tobytes() for v in lists)))
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(row["doc_ids"], pa.int64()),
-                    pa.array(row["held"], pa.bool_()),
-                    pa.array(row["lengths"], pa.int64()),
-                    pa.array(known_before[ends] - known_before[starts]),
-                    pa.array(base[ends] - base[starts]),
-                    pa.array(rare[ends] - rare[starts]),
-                    pa.array([s[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-                ],
-                names=["doc_id", "held_out", "n_words", "n_known", "base", "rare", "symbols"],
-            )
+                [pa.array([row["block"]]), pa.array([squeeze(classes.tobytes())]), pa.array([grid], pa.list_(pa.int64())),
+                 pa.array([sizes], pa.list_(pa.int64())), pa.array([packed], pa.list_(pa.binary()))],
+                names=["block", "classes", "grid", "sizes", "packed"],
+            )
+
+    return around
+
+
+_AROUND = "block long, classes binary, grid array<long>, sizes array<long>, packed array<binary>"
+
+
+def _listed(packed: bytes) -> tuple[np.ndarray, ...]:
+    """Hashes, local numbers, numbers of entries, counts, codes and classes of a part, as `_around` packs them."""
+    from zstandard import ZstdDecompressor
+
+    raw = ZstdDecompressor().decompress(packed)
+    words, entries = np.frombuffer(raw, np.int64, 2)
+    found, at = [], 16
+    for kind, n in ((np.int64, words), (np.int32, words), (np.int32, words), (np.int32, entries), (np.uint8, entries), (np.uint8, words)):
+        found.append(np.frombuffer(raw, kind, n, at))
+        at += found[-1].nbytes
+    return tuple(found)
+
+
+def _xlogx(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1e-300))
+
+
+def likelihood(grid: np.ndarray) -> float:
+    """Of class bigrams, less what does not depend on the classes."""
+    return float(_xlogx(grid).sum() - _xlogx(grid.sum(axis=1)).sum() - _xlogx(grid.sum(axis=0)).sum())
+
+
+def best_classes(grid: np.ndarray, old: np.ndarray, word: np.ndarray, code: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Class under which what stands around each word is likeliest, by a grid of class bigrams.
+
+    `old` is the class of each word, whose own bigrams do not count there; entry i says that word[i] was met
+    n[i] times before class code[i], or, from ALL on, behind class code[i] - ALL. Many words move at once, so the
+    probabilities are those of the round, smoothed as in the model: a gain that a word would bring about by
+    itself, as in a class without words, does not count.
+    """
+    key, place = np.unique(word * (2 * ALL) + code, return_inverse=True)
+    n = np.bincount(place, n)
+    word, code = key // (2 * ALL), key % (2 * ALL)
+    begin = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+    times = np.bincount(word, np.where(code < ALL, n, 0))
+    counts, spread = grid.sum(axis=0), _SMOOTHING * ALL
+    overall = counts / max(counts.sum(), 1.0)
+
+    def after(cell, c, size):  # a class that follows a word of one with `size` words in the text
+        return np.log(np.maximum(cell + spread * overall[c], 1e-300)) - np.log(size + spread)
+
+    def before(cell, size):  # a word of a class that follows; what depends on the class before alone is left out
+        return np.log(cell + spread * size / max(counts.sum(), 1.0)) - np.log(size)
+
+    size = np.maximum(counts, 1e-9)
+    every = np.arange(ALL)
+    table = np.vstack([after(grid.T, every[:, None], size), before(grid, size)])
+    gain = n[:, None] * table[code]
+    at = old[word]
+    rest = np.maximum(size[at] - times[word], 1e-9)
+    c, follows = code % ALL, code < ALL
+    cell = np.maximum(np.where(follows, grid[at, c], grid[c, at]) - n, 0)
+    gain[np.arange(len(n)), at] = n * np.where(follows, after(cell, c, rest), before(cell, rest))
+    value = np.add.reduceat(gain, begin)
+    closed = counts == 0
+    closed[[END, ALL - 1]] = True  # the classes of the end token and of unseen words
+    value[:, closed] = -np.inf
+    new, every = value.argmax(axis=1), np.arange(len(old))
+    return np.where(value[every, new] > value[every, old] + 1e-9, new, old)
+
+
+def _moves(grid: np.ndarray) -> Callable:
+    """Task function over rows (part, block, packed) sorted by part: the new classes of each block's words in the part."""
+
+    def part_moves(blocks: list[int], packed: list[bytes]) -> pa.RecordBatch:
+        from zstandard import ZstdCompressor
+
+        squeeze = ZstdCompressor(level=1).compress
+        lists = [_listed(x) for x in packed]
+        hashes, local, held, n, code, old = (np.concatenate(x) for x in zip(*lists))
+        _, first, word = np.unique(hashes, return_index=True, return_inverse=True)
+        old = old[first].astype(np.int64)
+        of = np.repeat(word, held)
+        order = np.argsort(of, kind="stable")
+        of, code, n = of[order], code[order].astype(np.int64), n[order]
+        new, at = old.copy(), 0
+        while at < len(of):  # whole words, as many as hold _ENTRIES or a little more
+            last = of[min(at + _ENTRIES, len(of)) - 1]
+            end = int(np.searchsorted(of, last, side="right"))
+            low = of[at]
+            new[low : last + 1] = best_classes(grid, old[low : last + 1], of[at:end] - low, code[at:end], n[at:end])
+            at = end
+        move = (local.astype(np.int64) << 8) + new[word]
+        cut = np.cumsum([len(x[0]) for x in lists])[:-1]
+        moves = [squeeze(x.tobytes()) for x in np.split(move, cut)]
+        return pa.RecordBatch.from_arrays([pa.array(blocks), pa.array(moves, pa.binary())], names=["block", "move"])
+
+    def moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, blocks, packed = None, [], []
+        for batch in batches:
+            for now, block, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if now != part and blocks:
+                    yield part_moves(blocks, packed)
+                    blocks, packed = [], []
+                part = now
+                blocks.append(block)
+                packed.append(value.as_py())
+        if blocks:
+            yield part_moves(blocks, packed)
+
+    return moves
+
+
+def _sums(table: DataFrame, *names: str) -> list[np.ndarray]:
+    """Sums by place over the rows of columns of equally long lists."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = [0] * len(names)
+        for row in _rows(batches):
+            totals = [t + np.array(row[x], np.int64) for t, x in zip(totals, names)]
+        if not isinstance(totals[0], int):
+            yield pa.RecordBatch.from_arrays([pa.array([t], pa.list_(pa.int64())) for t in totals], names=list(names))
+
+    parts = table.select(*names).mapInArrow(add, ", ".join(f"{x} array<long>" for x in names)).collect()
+    return [sum((np.array(r[x], float) for r in parts), np.zeros(1)) for x in names]
+
+
+def classes_of_all(texts: DataFrame, label: np.ndarray, parts: int) -> tuple[DataFrame, np.ndarray]:
+    """(block, classes) of the words of every block, and the number of distinct words that are not frequent per class.
+
+    `texts` has the rows of `_known`, `label` the class of every symbol. A round deals its words to `parts`.
+    """
+    narrow = texts.select("block", "held", "lengths", "tokens", "symbols", "hashes", "firsts")
+    moves, best, done = None, None, []
+    for turn in range(ROUNDS + 1):
+        if best is None:
+            told = narrow.select("*", F.lit(None).cast("binary").alias("classes"), F.lit(None).cast("array<binary>").alias("moves"))
+        else:
+            told = narrow.join(best[1], "block").join(moves, "block", "left")
+        found = write_stage(told.mapInArrow(_around(label, turn % 2 if turn else None, parts), _AROUND), "around")
+        grid, sizes = _sums(found, "grid", "sizes")
+        if len(grid) < ALL * ALL:  # no rows
+            return found.select("block", "classes"), np.zeros(ALL)
+        grid = grid.reshape(ALL, ALL)
+        reached = likelihood(grid)
+        if best is not None and reached <= best[0]:
+            drop_stage(found)
+            break
+        # the lists of a round are the bulk of its table: what stays is the classes
+        best = (reached, write_stage(found.select("block", "classes"), "classes"), sizes)
+        drop_stage(*done)
+        if turn and sizes[ALL] <= FEW * sizes[:ALL].sum():
+            drop_stage(found)
+            break
+        rows = found.select(F.posexplode("packed").alias("part", "value"), "block").select("part", "block", "value")
+        moves = write_stage(
+            rows.repartition("part").sortWithinPartitions("part").mapInArrow(_moves(grid), "block long, move binary")
+            .groupBy("block").agg(F.collect_list("move").alias("moves")),
+            "moves",
+        )
+        done = [best[1], moves]
+        drop_stage(found)
+    return best[1], best[2][:ALL]
+
+
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per document its symbols: places of frequent words or classes, and what does not depend on classes."""
+    for row in _rows(batches):
+        counts, symbols = _unpacked(row["totals"], np.int64), _unpacked(row["symbols"], np.uint16)
+        classes = _unpacked(row["classes"], np.uint8).astype(np.uint16)
+        symbols = np.where(symbols < FREQUENT, symbols, FREQUENT + classes).astype(np.uint16)
+        flat = _unpacked(row["tokens"], np.int32)
+        c, s = counts[flat], symbols[flat]
+        ends = np.cumsum(row["lengths"])
+        starts = ends - np.array(row["lengths"])
+        known_before = np.concatenate([[0], np.cumsum(c > 0)])
+        base = np.concatenate([[0.0], np.cumsum(np.log10(c + 1.0))])
+        rare = np.where(s >= FREQUENT, np.log10(np.maximum(c - row["discount"], 1e-300)), 0.0)
+        rare = np.concatenate([[0.0], np.cumsum(np.where(c > 0, rare, 0.0))])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(row["doc_ids"], pa.int64()),
+                pa.array(row["held"], pa.bool_()),
+                pa.array(row["lengths"], pa.int64()),
+                pa.array(known_before[ends] - known_before[starts]),
+                pa.array(base[ends] - base[starts]),
+                pa.array(rare[ends] - rare[starts]),
+                pa.array([s[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+            ],
+            names=["doc_id", "held_out", "n_words", "n_known", "base", "rare", "symbols"],
+        )
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of neighbouring symbols of training documents, summed per task in one matrix."""
-    width = FREQUENT + BANDS
+    width = FREQUENT + ALL
     total = np.zeros(width * width, np.int64)
     for batch in batches:
         held, symbols = batch.column(0).to_pylist(), batch.column(1)
@@ -156,9 +424,6 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) ->
     after, before = pairs @ member, pairs.T @ member  # counts of a symbol with the classes after and before it
     grid = member.T @ after
 
-    def xlogx(x: np.ndarray) -> np.ndarray:
-        return x * np.log(np.maximum(x, 1e-300))
-
     places = np.arange(1, classes + 1)
     for _ in range(rounds):
         moved = 0
@@ -172,13 +437,13 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) ->
             grid[:, old] -= into
             grid[old, old] -= own
             rows, columns = grid.sum(axis=1), grid.sum(axis=0)
-            gain_out = (xlogx(grid[places] + out) - xlogx(grid[places])).sum(axis=1)
-            gain_in = (xlogx(grid[:, places] + into[:, None]) - xlogx(grid[:, places])).sum(axis=0)
+            gain_out = (_xlogx(grid[places] + out) - _xlogx(grid[places])).sum(axis=1)
+            gain_in = (_xlogx(grid[:, places] + into[:, None]) - _xlogx(grid[:, places])).sum(axis=0)
             corner = grid[places, places]
-            both = xlogx(corner + out[places] + into[places] + own)
-            both += xlogx(corner) - xlogx(corner + out[places]) - xlogx(corner + into[places])
+            both = _xlogx(corner + out[places] + into[places] + own)
+            both += _xlogx(corner) - _xlogx(corner + out[places]) - _xlogx(corner + into[places])
             n_out, n_in = out.sum() + own, into.sum() + own
-            loss = xlogx(rows[places] + n_out) - xlogx(rows[places]) + xlogx(columns[places] + n_in) - xlogx(columns[places])
+            loss = _xlogx(rows[places] + n_out) - _xlogx(rows[places]) + _xlogx(columns[places] + n_in) - _xlogx(columns[places])
             value = gain_out + gain_in + both - loss
             new = int(places[int(np.argmax(value))])
             if value[new - 1] <= value[old - 1] + 1e-9:
@@ -201,9 +466,12 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) ->
 class Model:
     """Log10 probabilities per pair of classes and per symbol."""
 
-    def __init__(self, pairs: np.ndarray, band_words: np.ndarray, discount: float):
-        """`band_words`: number of distinct words per symbol; `discount` is taken from each of their counts."""
-        label = exchange(pairs)
+    def __init__(self, pairs: np.ndarray, band_words: np.ndarray, discount: float, label: np.ndarray | None = None):
+        """`band_words`: number of distinct words per symbol; `discount` is taken from each of their counts.
+
+        `label`: class of every symbol, by exchange if not given. The last symbol stands for unseen words.
+        """
+        label = exchange(pairs) if label is None else label
         size = int(label.max()) + 1
         member = np.zeros((len(pairs), size))
         member[np.arange(len(pairs)), label] = 1
@@ -226,7 +494,7 @@ class Model:
     def score(self, symbols: np.ndarray) -> float:
         before = self.label[np.concatenate([[END], symbols])]
         current = np.concatenate([symbols, [END]])
-        seen = current != FREQUENT + BANDS - 1
+        seen = current != len(self.label) - 1
         known = self.after[before[seen], self.label[current[seen]]].sum() + self.emit[current].sum()
         return float(known + self.unseen[before[~seen]].sum())
 
@@ -273,35 +541,54 @@ def score(docs: DataFrame) -> DataFrame:
     places = spark.createDataFrame([(r.hash, i + 1) for i, r in enumerate(top)], "hash long, place int")
     band = F.lit(FREQUENT) + F.least(F.floor(F.log2("total")), F.lit(BANDS - 2))
     symbols = seen.join(F.broadcast(places), "hash", "left").select(
-        "block", "local", "total", "first", F.coalesce("place", band).cast("int").alias("symbol")
+        "block", "local", "total", "first", "hash", F.coalesce("place", band).cast("int").alias("symbol")
     )
-    sizes = {r.symbol: r.n for r in symbols.where("first").groupBy("symbol").agg(F.count("*").alias("n")).collect()}
     told = symbols.groupBy("block").agg(
-        F.collect_list(F.struct(F.col("local").cast("int").alias("local"), "total", "symbol")).alias("t")
+        F.collect_list(F.struct(F.col("local").cast("int").alias("local"), "total", "symbol", "first", "hash")).alias("t")
     )
-    coded = write_stage(
+    kinds = {"local": "int", "total": "long", "symbol": "int", "hash": "long", "first": "boolean"}
+    texts = write_stage(
         blocks.select("block", "doc_ids", "held", "lengths", "tokens", F.size("words").alias("n_local"))
         .join(told, "block", "left")
         .select(
-            "doc_ids", "held", "lengths", "tokens", "n_local",
-            *(F.coalesce(F.col(f"t.{a}"), F.array().cast("array<long>")).alias(b)
-              for a, b in (("local", "locals"), ("total", "totals"), ("symbol", "symbols"))),
-            F.lit(discount).alias("discount"),
+            "block", "doc_ids", "held", "lengths", "tokens", "n_local",
+            *(F.coalesce(F.col(f"t.{x}"), F.array().cast(f"array<{kind}>")).alias(x + ("es" if x == "hash" else "s"))
+              for x, kind in kinds.items()),
         )
+        .mapInArrow(
+            _known,
+            "block long, doc_ids array<long>, held array<boolean>, lengths array<int>, tokens binary, totals binary,"
+            " symbols binary, hashes binary, firsts binary",
+        ),
+        "texts",
+    )
+
+    def matrix(table: DataFrame, count: Callable, width: int) -> np.ndarray:
+        pairs = np.zeros((width, width))
+        summed = table.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+        pairs[summed.pair // width, summed.pair % width] = summed.n
+        return pairs
+
+    known = seen.count()
+    drop_stage(blocks, seen)
+    first = matrix(texts.select("held", "lengths", "tokens", "symbols"), _first_pairs, FREQUENT + BANDS)
+    label = exchange(first)
+    classes, sizes = classes_of_all(texts, label, known // _PART_WORDS + 1)
+    coded = write_stage(
+        texts.select("block", "doc_ids", "held", "lengths", "tokens", "totals", "symbols", F.lit(discount).alias("discount"))
+        .join(classes, "block")
         .mapInArrow(
             _coded,
             "doc_id long, held_out boolean, n_words long, n_known long, base double, rare double, symbols binary",
         ),
         "coded",
-    )
-    width = FREQUENT + BANDS
-    pairs = np.zeros((width, width))
-    summed = coded.select("held_out", "symbols").mapInArrow(_pairs, "pair long, n long").groupBy("pair")
-    for row in summed.agg(F.sum("n").alias("n")).toPandas().itertuples():
-        pairs[row.pair // width, row.pair % width] = row.n
-    band_words = np.array([sizes.get(s, 0) for s in range(width)], float)
-    band_words[END] = 1 if n_train else 0
-    model = Model(pairs, band_words, discount)
+    )
+    drop_stage(texts, classes)
+    pairs = matrix(coded.select("held_out", "symbols"), _pairs, FREQUENT + ALL)
+    kept = np.zeros(FREQUENT)
+    kept[1 : len(top) + 1] = 1
+    kept[END] = 1 if n_train else 0
+    model = Model(pairs, np.concatenate([kept, sizes]), discount, np.concatenate([label[:FREQUENT], np.arange(ALL)]))
 
     @F.pandas_udf("double")
     def probability(symbols: pd.Series) -> pd.Series:

@@ -345,6 +345,29 @@ def test_op8_probabilities_sum_to_one():
     assert mass == pytest.approx(1.0, abs=0.02)
 
 
+def test_op8_neighbours_decide_the_class_of_rare_words(spark):
+    # words between "the" and "runs", or alone; 500 of either are frequent, the others equally rare
+    nouns, verbs = [f"noun{i}" for i in range(600)], [f"verb{i}" for i in range(600)]
+    lines = [f"the {n} runs" for n in nouns] + verbs
+    often = [x for x in lines if int(re.sub("[^0-9]", "", x)) < 500] * 4
+    # ids that are not held out
+    ids = (i for i in range(10**6) if zlib.crc32(str(i).encode()) % class_ngrams.FOLDS != class_ngrams.HELD_OUT)
+    held = [i for i in range(100) if zlib.crc32(str(i).encode()) % class_ngrams.FOLDS == class_ngrams.HELD_OUT][:2]
+    rows = [(next(ids), line) for line in lines * 2 + often] + [(held[0], "the noun599 runs"), (held[1], "the verb599 runs")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.score for r in class_ngrams.score(docs).where("held_out").collect()}
+    assert found[held[0]] > found[held[1]] + 1
+
+
+def test_op8_best_class_is_that_of_the_likeliest_neighbours():
+    grid = np.zeros((class_ngrams.ALL, class_ngrams.ALL))
+    grid[1, 3] = grid[3, 2] = grid[4, 5] = grid[5, 6] = 100
+    grid[2, 1] = grid[6, 4] = 99
+    ahead = class_ngrams.ALL
+    word, code = np.array([0, 0, 1, 1]), np.array([2, ahead + 1, 6, ahead + 4])
+    assert class_ngrams.best_classes(grid, np.array([60, 60]), word, code, np.ones(4, int)).tolist() == [3, 5]
+
+
 FORMS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
