@@ -3,10 +3,13 @@
 The fixed forms (e-mail, IP address, payment card, phone number) give the seed
 entities. Each seed induces lexical patterns: its kind with the word, and the
 two words, to the left. Patterns and the values met behind them form a graph
-that is scored in turns: a pattern is as good as the values behind it, a value
-as good as its best pattern. Patterns that stay above a threshold find values
+that is scored in turns: a pattern is as good as the distinct values known
+behind it, against those that contradict it (of another kind, or of a shape that
+the kind cannot have); a value as good as its best pattern. A value that is not
+known yet counts neither way. Patterns above a threshold find values
 in other forms that the fixed ones miss (a phone number without country code,
-a card number that fails its check digit, an e-mail address written out).
+a card number that fails its check digit, an e-mail address written out), and
+these are seeds of the next turn, until no pattern is added.
 
 Offsets are code points; a span is [start, end). Every quantifier that could
 run over a long word is possessive or starts behind a look-behind, so time
@@ -24,7 +27,6 @@ from pyspark.sql import functions as F
 from ledgerlark.storage import write_stage
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
 LEAST_CONFIDENCE = 0.8
 LEAST_SEEDS = 3
 
@@ -143,41 +145,66 @@ def _patterns(left: Column) -> Column:
 
 
 def trusted_patterns(
-    facts: DataFrame,
-    rounds: int = ROUNDS,
-    least_confidence: float = LEAST_CONFIDENCE,
-    least_seeds: int = LEAST_SEEDS,
+    facts: DataFrame, least_confidence: float = LEAST_CONFIDENCE, least_seeds: int = LEAST_SEEDS
 ) -> DataFrame:
-    """(pattern, kind) of the patterns that the pattern-instance graph confirms.
+    """(pattern, kind, confidence) of the patterns that the pattern-instance graph confirms.
 
     `facts` has a row per occurrence: pattern, value, kind (null for a value in another form)
-    and may (places in KINDS). Confidence of a pattern for a kind: the summed scores of the
-    occurrences behind it over their number plus one; a seed has score 1, another value the
-    best confidence of a pattern that has found it.
+    and may (places in KINDS that its shape allows). Confidence of a pattern for a kind: the summed scores
+    of the distinct values of the kind behind it, over that sum and the number of values that contradict it.
+    A seed has score 1, a value that was found the confidence of the best pattern that has found it; it is
+    of that pattern's kind from then on.
     """
     edges = write_stage(
-        facts.groupBy("pattern", "value").agg(F.count("*").alias("n"), F.min("kind").alias("kind"), F.first("may").alias("may")),
-        "pattern_edges",
+        facts.groupBy("pattern", "value").agg(F.min("kind").alias("kind"), F.first("may").alias("may")), "pattern_edges"
     )
-    totals = edges.groupBy("pattern").agg(F.sum("n").alias("all"))
-    seeds = edges.where("kind is not null").select("pattern", "value", "n", "kind", F.lit(1.0).alias("score"))
-    others = edges.where("kind is null").select("pattern", "value", "n", F.explode("may").alias("kind"))
-    seeded = seeds.groupBy("pattern", "kind").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= least_seeds)
-    scored, found = seeds, None
-    for _ in range(rounds):
-        summed = scored.groupBy("pattern", "kind").agg(F.sum(F.col("n") * F.col("score")).alias("good"))
-        confidence = F.col("good") / (F.col("all") + 1)
-        found = write_stage(
-            summed.join(seeded.select("pattern", "kind"), ["pattern", "kind"])
-            .join(totals, "pattern")
-            .select("pattern", "kind", confidence.alias("confidence")),
-            "patterns",
+    labelled = edges.withColumn("score", F.lit(1.0))
+    trusted, n_trusted = None, 0
+    while True:
+        of = {k: F.col("kind") == k for k in range(len(KINDS))}
+        against = {k: F.when(F.col("kind").isNull(), ~F.array_contains("may", k)).otherwise(~of[k]) for k in of}
+        sums = [
+            F.struct(
+                F.lit(k).alias("kind"),
+                F.count_if(of[k]).alias("seeds"),
+                F.coalesce(F.sum(F.when(of[k], F.col("score"))), F.lit(0.0)).alias("good"),
+                F.count_if(against[k]).alias("bad"),
+            )
+            for k in of
+        ]
+        sure = (
+            labelled.groupBy("pattern")
+            .agg(F.array(*sums).alias("sums"))
+            .select("pattern", F.explode("sums").alias("s"))
+            .where(F.col("s.seeds") >= least_seeds)
+            .select("pattern", "s.kind", (F.col("s.good") / (F.col("s.good") + F.col("s.bad"))).alias("confidence"))
+            .where(F.col("confidence") >= least_confidence)
+        )
+        if trusted is not None:  # what was trusted stays, with the confidence that it was trusted for
+            sure = trusted.unionByName(sure.join(trusted, ["pattern", "kind"], "left_anti"))
+        trusted = write_stage(sure, "patterns")
+        n = trusted.count()
+        if n == n_trusted:
+            return trusted
+        n_trusted = n
+        best = F.max(F.struct("confidence", (-F.col("kind")).alias("kind"))).alias("best")
+        found = (
+            edges.where("kind is null")
+            .select("pattern", "value", F.explode("may").alias("kind"))
+            .join(trusted, ["pattern", "kind"])
+            .groupBy("value")
+            .agg(best)
+            .select("value", (-F.col("best.kind")).alias("_kind"), F.col("best.confidence").alias("_score"))
+        )
+        labelled = write_stage(
+            edges.join(found, "value", "left").select(
+                "pattern",
+                F.coalesce("kind", "_kind").alias("kind"),
+                "may",
+                F.when(F.col("kind").isNull(), F.col("_score")).otherwise(1.0).alias("score"),
+            ),
+            "pattern_labels",
         )
-        good = found.where(F.col("confidence") >= least_confidence)
-        best = others.join(good, ["pattern", "kind"]).groupBy("value", "kind").agg(F.max("confidence").alias("score"))
-        reached = others.join(best, ["value", "kind"]).select("pattern", "value", "n", "kind", "score")
-        scored = seeds.unionByName(reached)
-    return found.where(F.col("confidence") >= least_confidence).select("pattern", "kind")
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -201,7 +228,7 @@ def find(docs: DataFrame) -> DataFrame:
             "doc_id",
             F.xxhash64("text").alias("row_hash"),
             "base",
-            F.filter(other, lambda x: F.size(x["may"]) > 0).alias("other"),
+            other.alias("other"),
         )
     )
     rows = write_stage(rows, "spans")
@@ -226,7 +253,7 @@ def find(docs: DataFrame) -> DataFrame:
         ).alias("s"),
     ).select("doc_id", "row_hash", "s.*")
     facts = seen.withColumn("pattern", F.explode(_patterns(F.col("left"))))
-    trusted = trusted_patterns(facts)
+    trusted = trusted_patterns(facts).select("pattern", "kind")
     added = (
         facts.where("kind is null")
         .select("doc_id", "row_hash", "start", "end", "pattern", F.explode("may").alias("kind"))
