@@ -3,12 +3,15 @@
 A page is cut into text blocks at block-level tags. A block is described by its
 number of words and its link density, the same of its neighbours, and by where
 it stands: inside page furniture by tag, by a name in class or id that
-tells furniture, or inside an article. A decision tree, grown on the small
+tells furniture, or inside an article. Forms, and names that merely have a part that
+tells furniture ("has-sidebar"), do not decide for an article or main element inside
+them, nor if they hold most words of the page: then they are its layout. A decision tree, grown on the small
 labelled table below, decides which blocks are main text.
 
 Nulls and edges: a null page is empty and has the text "". Tags that are never
-closed end with the element around them; a tag cut off at the end of the page
-is dropped. Repeated rows are treated alike.
+closed end with the element around them; a script, style, title or text area goes
+on to the end of the page, other elements without text of the page (svg, select)
+to the next block of text. A tag cut off at the end of the page is dropped. Repeated rows are treated alike.
 """
 
 from __future__ import annotations
@@ -27,12 +30,18 @@ _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidd
 
 # Fixed lists: elements by their role in a page.
 _RAW = {"script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "title", "select", "math"}
+_TO_END = {"script", "style", "title", "textarea"}  # without an end tag the rest of the page is theirs
+_BREAK_OUT = set(
+    "address article aside blockquote body center dd div dl dt footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p"
+    " pre section table td tr ul".split()
+)
 _INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp"
     " small span strike strong sub sup time tt u var wbr".split()
 )
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _FURNITURE = set("nav footer aside form button head menu dialog fieldset".split())
+_FORM = {"form", "fieldset"}  # furniture unless they are around the text
 _BODY = {"article", "main"}
 _ITEMS = {"li", "dt", "dd", "tr", "td", "th", "option"}
 _COMMENT_NAME = re.compile(r"(?:^|[\s_-])(?:comments?|replies|reply|disqus)(?:$|[\s_-])", re.I)
@@ -43,6 +52,11 @@ _FURNITURE_NAME = re.compile(
     r"social|tags?|pagination|pager|copyright|legal|disclaimer|complementary|contentinfo|navigation)(?:$|[\s_-])",
     re.I,
 )
+# Names of what stands beside the text, whichever part of a name tells it.
+_BESIDE_NAME = re.compile(
+    r"(?:^|[\s_-])(?:comments?|replies|reply|respon\w+|disqus|discussion|related|recommend\w*)(?:$|[\s_-])", re.I
+)
+_FORM_NAME = re.compile(r"(?:form|search\w*|login|signup)$", re.I)
 
 #: Names of the features of a block, in order.
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "furniture", "article", "heading")
@@ -135,17 +149,39 @@ def is_main(tree, block: tuple) -> bool:
     return tree >= 0.5
 
 
+def _tells_furniture(names: str) -> int:
+    """0 if names do not tell furniture, 1 if just a part of one does or it tells a form, 2 if a whole one does."""
+    if not _FURNITURE_NAME.search(names):
+        return 0
+    whole = any(_FURNITURE_NAME.fullmatch(name) and not _FORM_NAME.match(name) for name in names.split())
+    return 2 if whole or _BESIDE_NAME.search(names) else 1
+
+
+def _ends(page: str, name: str) -> dict[int, int]:
+    """Where the elements of a name end, by the end of their start tag, if they have an end tag of their own."""
+    ends, starts = {}, []
+    for match in re.finditer(rf"<(/?){re.escape(name)}(?=[\s/>]|\Z)([^>]*)(?:>|\Z)", page, re.I):
+        if not match[1] and not match[2].endswith("/"):
+            starts.append(match.end())
+        elif match[1] and starts:
+            ends[starts.pop()] = match.end()
+    return ends
+
+
 class _Blocks:
     """Text blocks of a page in order: [text, words, linked words, furniture, article, heading]."""
 
     def __init__(self, page: str):
         self.found: list[list] = []
-        self.open: list[tuple[str, bool, bool, bool]] = []  # element, furniture, article, hidden
+        # element, furniture, numbers of the possible furniture around, article, hidden
+        self.open: list[tuple[str, bool, tuple[int, ...], bool, bool]] = []
+        self.possible = 0
         self.parts: list[str] = []
         self.linked = 0
         self.in_link = False
         self.heading = False
         at, page = 0, page.replace("\x00", "")
+        ends: dict[str, dict[int, int]] = {}
         while match := _TOKEN.search(page, at):
             self.text(page[at : match.start()])
             at = match.end()
@@ -154,15 +190,29 @@ class _Blocks:
             name = match[2].lower()
             if not match[1] and name in _RAW:
                 if not match[3].endswith("/"):
-                    close = re.compile(rf"</{re.escape(name)}\s*(?:>|\Z)", re.I).search(page, at)
-                    at = close.end() if close else len(page)
+                    at = self.skip(page, name, at, ends)
                 continue
             self.tag(name, bool(match[1]), match[3])
         self.text(page[at:])
         self.end()
+        self.settle()
+
+    def skip(self, page: str, name: str, at: int, ends: dict[str, dict[int, int]]) -> int:
+        """End of an element whose content is no text of the page. One without end tag stays open, hidden."""
+        if name in _TO_END:
+            close = re.compile(rf"</{re.escape(name)}\s*(?:>|\Z)", re.I).search(page, at)
+            return close.end() if close else len(page)
+        if name not in ends:
+            ends[name] = _ends(page, name)
+        if at in ends[name]:
+            return ends[name][at]
+        self.end()
+        _, furniture, possible, article, _ = self.open[-1] if self.open else ("", False, (), False, False)
+        self.open.append((name, furniture, possible, article, True))
+        return at
 
     def text(self, raw: str) -> None:
-        if raw and not (self.open and self.open[-1][3]):
+        if raw and not (self.open and self.open[-1][4]):
             self.parts.append(raw)
             if self.in_link:
                 self.linked += len(raw.split())
@@ -170,17 +220,32 @@ class _Blocks:
     def end(self) -> None:
         text = " ".join(html.unescape("".join(self.parts)).split())
         if text:
-            _, furniture, article, _ = self.open[-1] if self.open else ("", False, False, False)
+            _, furniture, possible, article, _ = self.open[-1] if self.open else ("", False, (), False, False)
             words = text.count(" ") + 1
-            self.found.append([text, words, min(1.0, self.linked / words), furniture, article, self.heading])
+            self.found.append([text, words, min(1.0, self.linked / words), (furniture, possible), article, self.heading])
         self.parts, self.linked = [], 0
 
+    def settle(self) -> None:
+        """Possible furniture is none if it holds most of the words that are not in links or in sure furniture."""
+        held, whole = [0.0] * self.possible, 0.0
+        for _, words, links, (furniture, possible), _, _ in self.found:
+            if not furniture:
+                whole += words * (1 - links)
+                for number in possible:
+                    held[number] += words * (1 - links)
+        for block in self.found:
+            furniture, possible = block[3]
+            block[3] = furniture or any(held[number] <= whole / 2 for number in possible)
+
     def tag(self, name: str, closing: bool, rest: str) -> None:
         if name == "a":
             self.in_link = not closing
         if name in _INLINE:
             return
         self.end()
+        if not closing and name in _BREAK_OUT:
+            while self.open and self.open[-1][0] in _RAW:
+                self.open.pop()
         if name in _VOID:
             return
         self.heading = not closing and len(name) == 2 and name[0] == "h" and name[1].isdigit()
@@ -193,15 +258,25 @@ class _Blocks:
         # a paragraph ends at any block, an item of a list or table at the next of its kind
         if self.open and (self.open[-1][0] == "p" or self.open[-1][0] == name and name in _ITEMS):
             self.open.pop()
-        _, furniture, article, hidden = self.open[-1] if self.open else ("", False, False, False)
+        _, furniture, possible, article, hidden = self.open[-1] if self.open else ("", False, (), False, False)
         names = " ".join(a or b or c for a, b, c in _NAME.findall(rest)) if rest else ""
+        if name in _BODY:
+            furniture, possible = furniture and name != "main", ()
         if name in ("article", "section"):
             furniture = furniture or bool(names and _COMMENT_NAME.search(names))
         if name not in ("html", "body", "article", "main"):
-            furniture = furniture or name in _FURNITURE or (name == "header" and not article)
-            furniture = furniture or bool(names and _FURNITURE_NAME.search(names))
+            told = _tells_furniture(names) if names else 0
+            furniture = furniture or (name in _FURNITURE and name not in _FORM) or (name == "header" and not article)
+            furniture = furniture or told == 2
+            if not furniture and (told or name in _FORM):
+                # a form or part of a name inside an article is beside its text
+                if article:
+                    furniture = True
+                else:
+                    possible = (*possible, self.possible)
+                    self.possible += 1
         hidden = hidden or bool(rest and _HIDDEN.search(rest))
-        self.open.append((name, furniture, article or name in _BODY, hidden))
+        self.open.append((name, furniture, possible, article or name in _BODY, hidden))
 
 
 def blocks(page: str | None) -> list[tuple[str, tuple]]:

@@ -280,6 +280,28 @@ def test_op6_pages():
     assert np.mean([html_text.is_main(tree, row[:-1]) == bool(row[-1]) for row in rows]) > 0.9
 
 
+def test_op6_forms_layout_names_and_unclosed_elements():
+    tree = html_text.grow_tree(np.array(html_text.LABELLED, float))
+    text = " ".join(["many words of the article stand here"] * 6)
+    paragraphs = f"<p>{text}</p><p>{text}</p>"
+    menu = "<nav><a href=x>Home</a> <a href=y>News</a></nav>"
+    both = f"{text} {text}"
+    for around in ("form action=x", "div class=has-sidebar", 'div class="page with-nav"', "div id=page-search"):
+        end = around.split()[0]
+        for inside in (f"<article>{paragraphs}</article>", f"<main>{paragraphs}</main>", paragraphs):
+            page = f"<html><body><{around}>{menu}{inside}<div class=footer>All rights</div></{end}></body></html>"
+            assert html_text.main_text(page, tree) == both, (around, inside)
+    beside = f"<article>{paragraphs}</article><div class=related-posts><article><p>{text}</p></article></div>"
+    assert html_text.main_text(beside, tree) == both
+    form = f"<article>{paragraphs}<form><p>Your name and mail, and then some more words</p></form></article>"
+    assert html_text.main_text(form, tree) == both
+    for name in ("svg", "object", "noscript", "select", "math", "iframe"):
+        page = f"<article><p>{text}</p><div><{name}><b>not text</b></div><p>{text}</p></article>"
+        assert html_text.main_text(page, tree) == both, name
+        assert html_text.main_text(page.replace("</div>", f"<{name}>x</{name}></div>"), tree) == both, name
+    assert html_text.main_text(f"<article><p>{text}</p><script>var x<p>{text}</p></article>", tree) == text
+
+
 def test_op6_keeps_articles(spark):
     found = _query("op6_html_extraction", spark).set_index("page_id")
     for row in spark.read.parquet(f"{FOLDER}/pages.parquet").collect():
