@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +15,14 @@ from ledgerlark.llm import (
     html_text,
     line_dedup,
     packing,
+    periodic_runs,
     pii,
     sentencepiece_offsets,
     simhash_blocks,
     simhash_pivots,
+    source_divergence,
     toxicity,
+    warc,
 )
 from ledgerlark.storage import write_stage
 
@@ -133,6 +138,50 @@ def piece_ids(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def source_divergences(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence.divergence(_table(spark, folder, "documents"))
+
+
+def periodic_tail(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Places of the words of a tenth of the documents, which go round in a part of their text from some word on."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    places = np.arange(n)
+    return np.where(places < a, places, a + (places - a) % (1 + (n - a) // (3 + g % 8)))
+
+
+def periodic_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.detect(_table(spark, folder, "documents"), periodic_tail)
+    longest = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("top", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("top.s")).alias("start"),
+        F.col("top.n").alias("length"),
+        (-F.col("top.p")).alias("period"),
+        F.floor(1000 * F.col("top.n") / -F.col("top.p")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def archived_pages(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.read_archives(warc.write_archives(_table(spark, folder, "pages")), keep_payload=False)
+    return records.where("record_type != 'warcinfo'").select(
+        warc.page_column("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_column("refers_to").alias("refers_to"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": simhash_near_dedup,
     "op2_packing": packed_sequences,
@@ -144,6 +193,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_class_ngrams": language_model_scores,
     "op9_personal_data": personal_data,
     "op10_sentencepiece": piece_ids,
+    "op11_source_divergence": source_divergences,
+    "op12_periodic_runs": periodic_text,
+    "op13_warc": archived_pages,
 }
 
 ORACLE: dict[str, str] = {
@@ -164,5 +216,59 @@ WITH split AS (
 SELECT doc_id, count(*)::BIGINT AS n_lines, count_if(gone)::BIGINT AS n_dropped,
     sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
+""",
+    "op11_source_divergence": r"""
+WITH doc AS (
+    SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), held AS (
+    SELECT id, lang, source, unnest(terms) AS term FROM doc
+), kept AS (
+    SELECT lang, term FROM held GROUP BY lang, term HAVING count(DISTINCT id) >= 30
+), counts AS (
+    SELECT lang, source, term, count(*) AS n FROM held JOIN kept USING (lang, term) GROUP BY ALL
+), grp AS (
+    SELECT DISTINCT lang, source FROM doc
+), size AS (
+    SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), total AS (
+    SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL
+), share AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+        1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(t.total, 0)::HUGEINT + 5 * s.v) AS p
+    FROM grp g JOIN kept k USING (lang) JOIN size s USING (lang)
+    LEFT JOIN total t USING (lang, source) LEFT JOIN counts c USING (lang, source, term)
+), whole AS (
+    SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n)::HUGEINT + 5)) // (any_value(total)::HUGEINT + 5 * any_value(v)) AS q
+    FROM counts JOIN (SELECT lang, sum(total) AS total FROM total GROUP BY lang) USING (lang) JOIN size USING (lang)
+    GROUP BY lang, term
+), pair AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+        coalesce((SELECT sum(abs(x.p - y.p)) FROM share x JOIN share y USING (lang, term)
+            WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+    FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+), term AS (
+    SELECT s.lang, s.source, 'term' AS part, s.term AS item, (s.p - w.q)::BIGINT AS value
+    FROM share s JOIN whole w USING (lang, term) WHERE s.n > 0 AND s.p > w.q
+)
+SELECT lang, source, part, item, value,
+    row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM (SELECT * FROM pair UNION ALL SELECT * FROM term)
+QUALIFY part = 'pair' OR rank <= 50
+""",
+    "op13_warc": r"""
+WITH page AS (
+    SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages
+), payload AS (
+    SELECT *, sha1(html) AS payload_digest,
+        CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY html) END AS last_page
+    FROM page
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id < last_page THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id < last_page THEN last_page END AS refers_to
+FROM payload
 """,
 }
