@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.operators.ranking import exact_quantiles
+from ledgerlark.operators.selection import long_values, quantiles_of
 from ledgerlark.storage import write_stage
 
 
@@ -72,10 +72,15 @@ def numeric_summary(df: DataFrame, groups: list[str], columns: list[str]) -> Dat
 
     basic = df.groupBy(*groups).agg(F.array(*[statistics(c) for c in columns]).alias("_columns"))
     basic = basic.select(*groups, F.explode("_columns").alias("_column")).select(*groups, "_column.*")
-    quartiles = exact_quantiles(df, {c: F.col(f"`{c}`") for c in columns}, [0.25, 0.5, 0.75], groups)
-    quartiles = quartiles.withColumnsRenamed({"metric": "column", "q0": "q25", "q1": "q50", "q2": "q75"})
+    basic = write_stage(basic, "numeric_summary")
+    keys = [*groups, "metric"]
+    spans = basic.select(*groups, F.col("column").alias("metric"), F.col("count").alias("n"), F.col("min").alias("lo"), F.col("max").alias("hi"))
+    values = long_values(df, {c: F.col(f"`{c}`") for c in columns}, groups)
+    quartiles = quantiles_of(values, keys, spans, [0.25, 0.5, 0.75])
+    names = {key: f"_{key}" for key in keys} | {"q0": "q25", "q1": "q50", "q2": "q75"}
+    same = [F.col("column" if key == "metric" else key).eqNullSafe(F.col(f"_{key}")) for key in keys]
     # a column without any value in a group has no quartiles, but a row
-    return basic.join(quartiles, [*groups, "column"], "left")
+    return basic.join(quartiles.withColumnsRenamed(names), same, "left").drop(*[f"_{key}" for key in keys])
 
 
 def value_counts(df: DataFrame, column: str, name: str = "rows") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Exact global ranks, running totals, quantiles and shares without a one-task window.
+"""Exact global ranks, running totals and shares without a one-task window.
 
 A window without partition keys runs in a single task. Here the rows are range
 sorted instead, numbered inside each range, and each range is shifted by the
@@ -127,71 +127,38 @@ def top_share(
     return share_of_top(ranked, value, F.col("_at"), F.col("_n"), percents, rule, suffix)
 
 
-def _value_counts(df: DataFrame, groups: list[str], metrics: dict[str, Column]) -> DataFrame:
+def _value_counts(df: DataFrame, metrics: dict[str, Column]) -> DataFrame:
     """Distinct non-null values per metric with their frequency, in long form."""
     cells = F.array(*[F.struct(F.lit(name).alias("metric"), col.alias("value")) for name, col in metrics.items()])
     return (
-        df.select(*groups, F.explode(cells).alias("_cell"))
-        .select(*groups, "_cell.metric", "_cell.value")
+        df.select(F.explode(cells).alias("_cell"))
+        .select("_cell.metric", "_cell.value")
         .filter(F.col("value").isNotNull())
-        .groupBy(*groups, "metric", "value")
+        .groupBy("metric", "value")
         .agg(F.count("*").alias("_count"))
     )
 
 
-def _cumulative(df: DataFrame, groups: list[str], metrics: dict[str, Column]) -> DataFrame:
-    """Value counts with the cumulative count and total inside each group and metric."""
-    keys = [*groups, "metric"]
-    counted = _value_counts(df, groups, metrics)
-    rows, ranges = _sorted_ranges(counted, [F.col(c).asc() for c in [*keys, "value"]], F.col("_count"))
-    # One row per group and metric: its total and all counts sorted before it.
-    before = Window.orderBy(*[F.col(c).asc() for c in keys]).rowsBetween(Window.unboundedPreceding, -1)
-    spans = rows.groupBy(*keys).agg(F.sum("_count").alias("_n"))
-    spans = spans.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    spans = spans.withColumnsRenamed({c: f"_{c}" for c in keys})
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
-    return _run(rows, ranges, "_count", "_all").join(spans, same).select(
-        *keys, "value", "_count", "_n", (F.col("_all") - F.col("_start")).alias("_upto")
+def _cumulative(df: DataFrame, metrics: dict[str, Column]) -> DataFrame:
+    """Value counts with the cumulative count inside each metric."""
+    counted = _value_counts(df, metrics)
+    rows, ranges = _sorted_ranges(counted, [F.col("metric").asc(), F.col("value").asc()], F.col("_count"))
+    # One row per metric, of which there are a few: all counts sorted before it.
+    before = Window.orderBy("metric").rowsBetween(Window.unboundedPreceding, -1)
+    spans = rows.groupBy("metric").agg(F.sum("_count").alias("_n"))
+    spans = spans.select("metric", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return _run(rows, ranges, "_count", "_all").join(spans, "metric").select(
+        "metric", "value", "_count", (F.col("_all") - F.col("_start")).alias("_upto")
     )
 
 
-def exact_quantiles(
-    df: DataFrame, metrics: dict[str, Column], probabilities: list[float], groups: list[str] | None = None
-) -> DataFrame:
-    """Exact quantiles with linear interpolation, one row per group and metric.
-
-    Columns `q0`, `q1`, ... follow `probabilities`. All metrics share one sort
-    of their distinct values; nothing is gathered in one task.
-    """
-    groups = groups or []
-    spread = _cumulative(df, groups, {name: col.cast("double") for name, col in metrics.items()})
-    at = {i: F.lit(p) * (F.col("_n") - 1) for i, p in enumerate(probabilities)}
-
-    def value_at(place):
-        inside = (F.col("_upto") - F.col("_count") < place + 1) & (place + 1 <= F.col("_upto"))
-        return F.max(F.when(inside, F.col("value")))
-
-    ends = spread.groupBy(*groups, "metric").agg(
-        *[value_at(F.floor(p)).alias(f"_lo{i}") for i, p in at.items()],
-        *[value_at(F.ceil(p)).alias(f"_hi{i}") for i, p in at.items()],
-        F.max("_n").alias("_n"),
-    )
-
-    def between(i, place):
-        # The weighting that the built-in `percentile` uses.
-        part = place - F.floor(place)
-        return F.col(f"_lo{i}") * (1 - part) + F.col(f"_hi{i}") * part
-
-    return ends.select(*groups, "metric", *[between(i, place).alias(f"q{i}") for i, place in at.items()])
-
-
 def mean_ranks(df: DataFrame, metrics: dict[str, str]) -> DataFrame:
     """Ascending rank per numeric column, tied values sharing their mean rank; null for null.
 
     `metrics` maps a column to the name of its rank column. Ranks are found per
     distinct value and joined back, so a value that most rows share costs one row.
     """
-    spread = _cumulative(df, [], {name: F.col(name).cast("decimal(38,4)") for name in metrics})
+    spread = _cumulative(df, {name: F.col(name).cast("decimal(38,4)") for name in metrics})
     mean = F.col("_upto") - (F.col("_count") - 1) / F.lit(2.0)
     for name, target in metrics.items():
         ranks = spread.filter(F.col("metric") == name).select(F.col("value").alias("_value"), mean.alias(target))

@@ -15,7 +15,8 @@ from ledgerlark.functions.labels import (
 from ledgerlark.functions.measures import number, ratio
 from ledgerlark.functions.text import has_keyword, number_or_zero, strip, tidy
 from ledgerlark.operators.profile import value_counts
-from ledgerlark.operators.ranking import exact_quantiles, global_rank, mean_ranks
+from ledgerlark.operators.ranking import global_rank, mean_ranks
+from ledgerlark.operators.selection import exact_quantiles
 
 
 def product_quality(products: DataFrame, descriptions: DataFrame) -> DataFrame:

@@ -1,9 +1,8 @@
-"""Global ranks, running totals, buckets, shares and quantiles against pandas and plain windows."""
+"""Global ranks, running totals, buckets and shares against pandas and plain windows."""
 
 import random
 from decimal import Decimal
 
-import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import Window
@@ -71,16 +70,6 @@ def test_top_share_rules(spark):
     assert list(floor) == [50.0, 50.0, 70.0]
 
 
-def test_exact_quantiles_equal_pandas(spark):
-    df = _skewed(spark).withColumn("g", F.col("k") % 2)
-    frame = df.toPandas().astype({"v": float})
-    got = ranking.exact_quantiles(df, {"v": F.col("v"), "k": F.col("k")}, [0.0, 0.25, 0.95, 0.99, 1.0], ["g"])
-    for row in got.collect():
-        values = frame[frame.g == row.g][row.metric].to_numpy()
-        assert [row[f"q{i}"] for i in range(5)] == pytest.approx(list(np.quantile(values, [0, 0.25, 0.95, 0.99, 1])))
-    assert got.count() == 4
-
-
 def test_mean_ranks_equal_pandas(spark):
     df = _skewed(spark).withColumn("u", (F.col("k") % 17))
     got = ranking.mean_ranks(df, {"v": "rv", "u": "ru"}).toPandas().sort_values("k")
