@@ -1,10 +1,12 @@
 """How the word use of sources differs: term shares per source, compared pairwise and with their language.
 
-Terms are counted by task; what is shuffled is a fixed-width digest per term,
-never its text. Digests that enough documents hold are kept. Only for those the
-smallest and the greatest text are taken: where the two differ, several terms
-share a digest, and that digest alone is counted again by text. Text is joined
-back to the rows of the result only.
+Terms are counted by task. What is shuffled is a fixed-width digest per term, never its
+text: first with the number of documents, which tells the digests that enough documents
+hold; then, for those alone, with the counts per source. For kept digests the smallest
+and the greatest text are taken: where the two differ, several terms share a digest, and
+that digest alone is counted again by text. Text is joined back to the rows of the
+result only. A bit table of the kept digests, of bounded size, drops the rows of other
+terms before each shuffle; an exact join follows.
 
 A term's share in a group is 1 + floor(SCALE * (count + PRIOR) / (N + PRIOR * V)),
 with N occurrences of the V kept terms of the language in the group. The distance
@@ -21,14 +23,15 @@ empty table has an empty result. Other columns of the documents are not read.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlark.operators.bit_filter import BitFilter
 from ledgerlark.storage import write_stage
 
 LEAST_DOCS = 30
@@ -36,7 +39,8 @@ PRIOR = 5
 SCALE = 1_000_000_000
 TOP_TERMS = 50
 _DIGEST_BITS = 64
-_HELD_TERMS = 1 << 18
+_HELD_TERMS = 1 << 19
+_HELD_COUNTS = 1 << 22
 _PIECE_BYTES = 1 << 22
 _SALTS = 32
 _GROUP, _TERM = ["lang", "source"], ["lang", "digest", "split"]
@@ -60,78 +64,106 @@ def _pieces(text: bytes) -> Iterator[list[bytes]]:
     yield text[start:].split()
 
 
-def count_terms(docs: DataFrame, digest_bits: int = _DIGEST_BITS) -> DataFrame:
-    """(lang, source, digest, term, n, docs) of docs (lang, source, text): counts by part of a task, not yet merged."""
+class _Part:
+    """Counts of the terms of one language in a part of a task."""
+
+    def __init__(self):
+        self.terms: dict[bytes, int] = {}
+        self.sources: dict[str, int] = {}
+        self.docs: list[np.ndarray] = []  # per document its source and terms in one number, and their counts
+        self.size = 0
+
+    def add(self, source: str, text: bytes) -> None:
+        terms, number, found = self.terms, self.sources.setdefault(source, len(self.sources)), []
+        for words in _pieces(text):
+            places = [terms.setdefault(word, len(terms)) for word in words]
+            found.append(np.unique(np.array(places, np.int64), return_counts=True))
+        term = np.concatenate([f[0] for f in found])
+        own, place = np.unique(term, return_inverse=True)
+        n = np.bincount(place, np.concatenate([f[1] for f in found])).astype(np.int64)
+        self.docs.append(np.stack([own << 32 | number, n[: len(own)]]))
+        self.size += len(own)
+
+    def rows(self, lang: str) -> pa.RecordBatch:
+        """One row per term: its documents, and its sources with their counts."""
+        key, n = np.concatenate(self.docs, axis=1)
+        docs = np.bincount(key >> 32, minlength=len(self.terms))
+        pair, place = np.unique(key, return_inverse=True)
+        counts = np.bincount(place, n).astype(np.int64)
+        term, source = pair >> 32, pair & 0xFFFFFFFF
+        cuts = pa.array(np.searchsorted(term, np.arange(len(self.terms) + 1)).astype(np.int32))
+        names = pa.array(list(self.sources), pa.string()).take(pa.array(source))
+        columns = [
+            pa.array([lang] * len(self.terms), pa.string()), pa.array(list(self.terms), pa.binary()), pa.array(docs, pa.int64()),
+            pa.ListArray.from_arrays(cuts, names), pa.ListArray.from_arrays(cuts, pa.array(counts)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "term", "docs", "sources", "counts"])
+
+
+def count_terms(docs: DataFrame) -> DataFrame:
+    """(lang, term, docs, sources, counts) of docs (lang, source, text): by part of a task, not yet merged.
+
+    `docs` is the number of documents with the term, `counts` has its occurrences in each of `sources`.
+    """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, groups, held = _letters(), {}, 0
+        table, parts = _letters(), {}
         for batch in batches:
             langs, sources, texts = batch.columns
-            texts = texts.cast(pa.binary())
-            for lang, source, text in zip(langs.to_pylist(), sources.to_pylist(), texts):
-                found, holders = groups.setdefault((lang or "", source or ""), (Counter(), Counter()))
-                before, own = len(found), set()
-                for words in _pieces((text.as_py() or b"").translate(table)):
-                    found.update(words)
-                    own.update(words)
-                holders.update(own)
-                held += len(found) - before
-                if held >= _HELD_TERMS:
-                    yield from map(_rows, groups.items())
-                    groups, held = {}, 0
-        yield from map(_rows, groups.items())
+            for lang, source, text in zip(langs.to_pylist(), sources.to_pylist(), texts.cast(pa.binary())):
+                part = parts.setdefault(lang or "", _Part())
+                part.add(source or "", (text.as_py() or b"").translate(table))
+                if len(part.terms) >= _HELD_TERMS or part.size >= _HELD_COUNTS:
+                    yield parts.pop(lang or "").rows(lang or "")
+        yield from (part.rows(lang) for lang, part in parts.items())
 
     parts = docs.select("lang", "source", "text").mapInArrow(
-        counted, "lang string, source string, term binary, n long, docs long"
+        counted, "lang string, term binary, docs long, sources array<string>, counts array<long>"
     )
-    term = F.col("term").cast("string")
-    digest = F.shiftrightunsigned(F.xxhash64(term), _DIGEST_BITS - digest_bits)
-    return parts.select("lang", "source", digest.alias("digest"), term.alias("term"), "n", "docs")
+    return parts.withColumn("term", F.col("term").cast("string"))
 
 
-def _rows(item: tuple[tuple[str, str], tuple[Counter, Counter]]) -> pa.RecordBatch:
-    (lang, source), (found, holders) = item
-    terms = list(found)
-    columns = [
-        pa.array([lang] * len(terms), pa.string()), pa.array([source] * len(terms), pa.string()),
-        pa.array(terms, pa.binary()), pa.array(list(found.values()), pa.int64()),
-        pa.array([holders[t] for t in terms], pa.int64()),
-    ]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "docs"])
+def _kept(parts: DataFrame, least_docs: int, *term: str) -> DataFrame:
+    """Terms of each language that enough documents hold."""
+    return parts.groupBy("lang", *term).agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs).drop("docs")
 
 
-def _kept(counted: DataFrame, least_docs: int, *term: str) -> DataFrame:
-    """Counts per group and term of the terms that enough documents of their language hold, in one shuffle.
+def _in_sources(parts: DataFrame, kept: DataFrame, *term: str) -> DataFrame:
+    """(lang, source, term..., n) of the kept terms.
 
-    Parts of tasks hold a term once per group, so rows of the most frequent term grow with the tasks only.
+    A part of a task holds a term once per source, so rows of the most frequent term grow with the parts only.
     """
-    merged = counted.repartition("lang", *term).groupBy(*_GROUP, *term).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    holders = F.sum("docs").over(Window.partitionBy("lang", *term))
-    return merged.withColumn("_holders", holders).where(F.col("_holders") >= least_docs).drop("_holders", "docs")
+    each = parts.select("lang", *term, F.explode(F.arrays_zip("sources", "counts")).alias("_of"))
+    each = each.select("lang", *term, F.col("_of.sources").alias("source"), F.col("_of.counts").alias("n"))
+    merged = each.repartition("lang", *term).groupBy(*_GROUP, *term).agg(F.sum("n").alias("n"))
+    return merged.join(kept, ["lang", *term], "left_semi")
 
 
-def kept_terms(counted: DataFrame, least_docs: int = LEAST_DOCS) -> tuple[DataFrame, DataFrame]:
+def kept_terms(
+    counted: DataFrame, least_docs: int = LEAST_DOCS, digest_bits: int = _DIGEST_BITS
+) -> tuple[DataFrame, DataFrame]:
     """(lang, source, digest, split, n) per group and kept term, and (lang, digest, split, term) per kept term.
 
-    `split` is empty, or the text of a term whose digest another term has too.
+    `counted` is `count_terms` as a stage table. `split` is empty, or the text of a term whose digest another
+    kept digest's term has too.
     """
-    kept = write_stage(_kept(counted, least_docs, "digest"), "kept_digests")
-    names = write_stage(
-        counted.select("lang", "digest", "term")
-        .join(kept.select("lang", "digest").distinct(), ["lang", "digest"], "left_semi")
-        .groupBy("lang", "digest")
-        .agg(F.min("term").alias("term"), F.max("term").alias("_last")),
-        "term_names",
-    )
+    digest = F.shiftrightunsigned(F.xxhash64("term"), _DIGEST_BITS - digest_bits)
+    parts = counted.withColumn("digest", digest)
+    kept = write_stage(_kept(parts.select("lang", "digest", "docs"), least_docs, "digest"), "kept_digests")
+    held = BitFilter(kept.select(F.xxhash64("lang", "digest").alias("h")), "h")
+    parts = parts.where(held.may_hold(F.xxhash64("lang", "digest")))
+    counts = write_stage(_in_sources(parts, kept, "digest"), "digest_counts")
+    names = parts.groupBy("lang", "digest").agg(F.min("term").alias("term"), F.max("term").alias("_last"))
+    names = write_stage(names.join(kept, ["lang", "digest"], "left_semi"), "term_names")
     shared = names.where("term != _last").select("lang", "digest")
     clean = names.where("term = _last").select("lang", "digest", F.lit("").alias("split"), "term")
     if shared.isEmpty():
-        return kept.withColumn("split", F.lit("")), clean
-    apart = counted.join(shared, ["lang", "digest"], "left_semi").withColumnRenamed("term", "split")
-    apart = write_stage(_kept(apart, least_docs, "digest", "split"), "split_digests")
-    whole = kept.join(shared, ["lang", "digest"], "left_anti").withColumn("split", F.lit(""))
-    texts = apart.select(*_TERM).distinct().withColumn("term", F.col("split"))
-    return whole.unionByName(apart), clean.unionByName(texts)
+        return counts.withColumn("split", F.lit("")), clean
+    apart = write_stage(parts.join(shared, ["lang", "digest"], "left_semi").withColumnRenamed("term", "split"), "shared_digests")
+    kept_apart = write_stage(_kept(apart, least_docs, "digest", "split"), "kept_texts")
+    whole = counts.join(shared, ["lang", "digest"], "left_anti").withColumn("split", F.lit(""))
+    texts = kept_apart.withColumn("term", F.col("split"))
+    return whole.unionByName(_in_sources(apart, kept_apart, "digest", "split")), clean.unionByName(texts)
 
 
 def _share(count: str | int, prior: int = PRIOR, scale: int = SCALE) -> Column:
@@ -151,8 +183,8 @@ def divergence(
     Part `pair`: every other source of the language with its distance. Part `term`: the
     `top_terms` terms whose share in the source is furthest above that in the language.
     """
-    counted = write_stage(count_terms(docs, digest_bits), "term_counts")
-    kept, names = kept_terms(counted, least_docs)
+    counted = write_stage(count_terms(docs), "term_counts")
+    kept, names = kept_terms(counted, least_docs, digest_bits)
     kept = write_stage(kept, "kept_terms")
     in_lang = write_stage(kept.groupBy(*_TERM).agg(F.sum("n").alias("n")), "language_terms")
     langs = in_lang.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("n").alias("all"))

@@ -71,10 +71,14 @@ def test_divergence_of_an_empty_table(odd_sources):
 def test_counts_in_parts_and_long_texts(odd_sources, monkeypatch):
     monkeypatch.setattr(source_divergence, "_HELD_TERMS", 2)
     monkeypatch.setattr(source_divergence, "_PIECE_BYTES", 16)
-    found = source_divergence.count_terms(odd_sources).groupBy("lang", "source", "term").agg(F.sum("n"), F.sum("docs"))
-    counts = {tuple(r)[:3]: tuple(r)[3:] for r in found.collect()}
-    assert counts["fr", "only", "un"] == (6000, 1) and counts["en", "x", "a"] == (2, 2)
-    assert counts["en", "y", "b"] == (2, 1) and counts["en", "", "a"] == (2, 1)
+    counted = source_divergence.count_terms(odd_sources)
+    docs = {(r.lang, r.term): r.n for r in counted.groupBy("lang", "term").agg(F.sum("docs").alias("n")).collect()}
+    assert docs["fr", "un"] == 1 and docs["en", "a"] == 3 and docs["en", "é"] == 2
+    each = counted.select("lang", "term", F.explode(F.arrays_zip("sources", "counts")).alias("s"))
+    found = each.groupBy("lang", "s.sources", "term").agg(F.sum("s.counts").alias("n")).collect()
+    counts = {tuple(r)[:3]: r.n for r in found}
+    assert counts["fr", "only", "un"] == 6000 and counts["en", "x", "a"] == 2
+    assert counts["en", "y", "b"] == 2 and counts["en", "", "a"] == 2 and counts["en", "x", "é"] == 2
 
 
 def test_shares_are_exact_beyond_long_products(spark):
