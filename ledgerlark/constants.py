@@ -9,6 +9,9 @@ ZERO_PRICE = "Zero-Price Transaction"
 NEGATIVE_PRICE = "Negative Price Adjustment"
 OTHER = "Other"
 
+# The types that the clean table holds.
+CLEAN_TYPES = [SALE, RETURN, ACCOUNTING, OPERATIONAL, ZERO_PRICE, NEGATIVE_PRICE]
+
 # Product categories and the codes that decide them.
 MERCHANDISE = "Merchandise"
 FEES = "Fees / Adjustments"
@@ -21,7 +24,8 @@ SAMPLE_CODES = ["S"]
 # Codes outside the executive merchandise universe (case-sensitive).
 NON_MERCHANDISE_CODES = [
     "POST", "DOT", "AMAZONFEE", "BANK CHARGES", "D", "S", "M",
-    *[f"gift_0001_{amount}" for amount in range(10, 101, 10)],
+    "gift_0001_10", "gift_0001_20", "gift_0001_30", "gift_0001_40", "gift_0001_50",
+    "gift_0001_60", "gift_0001_70", "gift_0001_80", "gift_0001_90", "gift_0001_100",
 ]
 
 # Keyword lists. The three differ on purpose.

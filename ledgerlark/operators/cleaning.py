@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ledgerlark import constants as C
 from ledgerlark.functions.labels import audit_type, clean_type
 from ledgerlark.functions.text import starts_with, strip
+from ledgerlark.operators.bit_filter import BitFilter
+from ledgerlark.operators.profile import row_hash
 from ledgerlark.schema import CLEAN_COLUMNS, CLEAN_NAMES, PRICE
 
 
@@ -16,14 +18,15 @@ def standardize(raw: DataFrame) -> DataFrame:
     return raw.withColumnsRenamed(CLEAN_NAMES)
 
 
-def deduplicate(df: DataFrame) -> DataFrame:
-    """Exact duplicates removed over all columns.
+def deduplicate(df: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Exact duplicates removed over all columns; `repeated` is `repeated_hashes` of these columns, as a stage table.
 
-    Identical lines of two yearly sheets differ in `SourceYear` and both stay.
-    Partial aggregation drops copies before the shuffle, so a line that is
-    repeated many times never gathers in one task.
+    A row whose hash occurs once is kept where it is. Only rows whose hash may occur again are shuffled
+    and compared in full, after copies were dropped in each task, so a line that is repeated many times
+    never gathers in one. Identical lines of two yearly sheets differ in `SourceYear` and both stay.
     """
-    return df.distinct()
+    suspect = BitFilter(repeated, "hash").may_hold(row_hash(df.columns))
+    return df.where(~suspect).unionByName(df.where(suspect).distinct())
 
 
 def classify_clean(df: DataFrame) -> DataFrame:
@@ -69,11 +72,11 @@ def drop_other(df: DataFrame) -> DataFrame:
     return df.filter(F.col("TransactionType") != C.OTHER)
 
 
-def clean_transactions(raw: DataFrame) -> DataFrame:
-    """Clean transaction table of raw invoice lines.
+def clean_transactions(raw: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Clean transaction table of raw invoice lines; `repeated` is `repeated_hashes` of them.
 
     All added columns depend on the raw ones alone, so the duplicates are taken
     out first, over nine columns instead of eighteen.
     """
-    lines = deduplicate(standardize(raw))
+    lines = deduplicate(standardize(raw), repeated)
     return drop_other(add_flags(classify_clean(lines))).select(*CLEAN_COLUMNS)

@@ -12,6 +12,10 @@ task. The counting is exact and stays even:
   alone when both items are in that many heavy baskets. Those items are paired
   block by block: items are hashed to blocks of about `heavy` items and each
   pair of blocks is a join key of its own, so the work spreads over tasks.
+* Where light baskets hold very many pairs, a count-min table of pair hashes is
+  taken first: one counter per hash bucket, merged over all tasks. A counter is
+  never below the count of a pair in it, so a pair in a bucket that stays below
+  what it needs is dropped before the exact shuffle, and no other one.
 * Any other pair needs light baskets too. It is looked up, not generated: the
   item of the pair with fewer heavy baskets (fewer than the threshold) leads to
   them, and the other item is tested there.
@@ -22,8 +26,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlark.operators.bit_filter import BITS_PER_HASH, BitFilter
 from ledgerlark.storage import write_stage
 
+#: (basket, pair) rows from which pairs are sketched first: the join then runs twice, the shuffle carries less.
+SKETCH_FROM = 1 << 26
+
 
 def multi_item_baskets(members: DataFrame, basket: str) -> DataFrame:
     """Rows of baskets with at least two items; `members` holds distinct (basket, item) rows."""
@@ -36,17 +44,64 @@ def item_counts(members: DataFrame, item: str) -> DataFrame:
     return members.groupBy(item).agg(F.count("*").alias("orders"))
 
 
-def light_pairs(members: DataFrame, threshold: int) -> DataFrame:
+def _met(members: DataFrame) -> DataFrame:
+    """One row per light basket and pair in it (a < b); `heavy` bounds what heavy baskets can add to the pair."""
+    left = members.select("basket", F.col("item").alias("a"), F.col("heavy_orders").alias("ha"))
+    right = members.select("basket", F.col("item").alias("b"), F.col("heavy_orders").alias("hb"))
+    return left.join(right, "basket").filter("a < b")
+
+
+class PairSketch:
+    """Count-min table of the pairs of `_met`: `DEPTH` counters for every pair, each shared with other pairs.
+
+    Only buckets that reach what some pair in them needs are kept, as bit tables of bounded size.
+    """
+
+    DEPTH = 2
+
+    def __init__(self, met: DataFrame, threshold: int, pairs: int):
+        """`pairs` is about the number of rows of `met`; buckets are so many that few reach the threshold by chance."""
+        self.buckets = 1 << min(26, max(10, (4 * pairs // threshold).bit_length()))
+        rows = met.select(
+            F.least("ha", "hb").alias("more"),
+            F.explode(F.array(*[F.struct(F.lit(d).alias("d"), self.bucket(d).alias("bucket")) for d in range(self.DEPTH)])).alias("_at"),
+        )
+        counters = rows.groupBy("_at.d", "_at.bucket").agg(F.count("*").alias("n"), F.max("more").alias("more"))
+        live = write_stage(counters.filter(F.col("n") + F.col("more") >= threshold).select("d", "bucket"), "live_pairs")
+        self.tables = [
+            BitFilter(live.filter(F.col("d") == d).select("bucket"), "bucket", self.buckets // BITS_PER_HASH)
+            for d in range(self.DEPTH)
+        ]
+
+    def bucket(self, depth: int):
+        return F.xxhash64(F.lit(depth), "a", "b").bitwiseAND(F.lit(self.buckets - 1).cast("long"))
+
+    def may_reach(self, met: DataFrame) -> DataFrame:
+        """Rows of pairs that may reach the threshold: all that do, and a few others."""
+        for depth, table in enumerate(self.tables):
+            met = met.filter(table.may_hold(self.bucket(depth)))
+        return met
+
+
+def pair_rows(members: DataFrame) -> int:
+    """Number of (basket, pair) rows of light baskets."""
+    sizes = members.groupBy("basket").agg(F.count("*").alias("m"))
+    return sizes.agg(F.coalesce(F.sum(F.col("m") * (F.col("m") - 1) / 2), F.lit(0)).cast("long")).first()[0]
+
+
+def light_pairs(members: DataFrame, threshold: int, sketch_from: int = SKETCH_FROM) -> DataFrame:
     """Pair counts of baskets that are small enough to be joined with themselves.
 
     `heavy_orders` of a member is the number of heavy baskets with its item. It
     bounds what heavy baskets can add, so a pair below the threshold even with
-    that is dropped in the same job, before anything is written.
+    that is dropped in the same job, before anything is written. From `sketch_from`
+    (basket, pair) rows on, most of these pairs are dropped before the shuffle.
     """
-    left = members.select("basket", F.col("item").alias("a"), F.col("heavy_orders").alias("ha"))
-    right = members.select("basket", F.col("item").alias("b"), F.col("heavy_orders").alias("hb"))
-    met = left.join(right, "basket").filter("a < b").groupBy("a", "b", "ha", "hb").agg(F.count("*").alias("n"))
-    return met.filter(F.col("n") + F.least("ha", "hb") >= threshold)
+    met, rows = _met(members), pair_rows(members)
+    if rows >= sketch_from:
+        met = PairSketch(met, threshold, rows).may_reach(met)
+    counted = met.groupBy("a", "b", "ha", "hb").agg(F.count("*").alias("n"))
+    return counted.filter(F.col("n") + F.least("ha", "hb") >= threshold)
 
 
 def _blocked_pairs(members: DataFrame, heavy: int) -> DataFrame:
@@ -82,7 +137,8 @@ def _looked_up_pairs(light: DataFrame, members: DataFrame, threshold: int) -> Da
 
 
 def frequent_pairs(
-    members: DataFrame, frequent: DataFrame, basket: str, item: str, threshold: int, heavy: int = 2000
+    members: DataFrame, frequent: DataFrame, basket: str, item: str, threshold: int, heavy: int = 2000,
+    sketch_from: int = SKETCH_FROM,
 ) -> DataFrame:
     """Item pairs (a < b) in at least `threshold` baskets, with their exact count `n`.
 
@@ -99,7 +155,7 @@ def frequent_pairs(
     in_heavy = write_stage(rows.join(sizes, "basket"), "heavy_members")
     counts = write_stage(in_heavy.groupBy("item").agg(F.count("*").alias("heavy_orders")), "heavy_items")
     in_light = rows.join(sizes, "basket", "left_anti").join(counts, "item", "left").na.fill(0, ["heavy_orders"])
-    light = write_stage(light_pairs(in_light, threshold), "light_pairs")
+    light = write_stage(light_pairs(in_light, threshold, sketch_from), "light_pairs")
     supported = counts.filter(F.col("heavy_orders") >= threshold).select("item")
     blocked = _blocked_pairs(in_heavy.join(supported, "item", "left_semi"), heavy)
     looked_up = _looked_up_pairs(light, in_heavy, threshold)

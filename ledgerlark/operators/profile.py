@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlark.operators.bit_filter import BitFilter
 from ledgerlark.operators.selection import long_values, quantiles_of
 from ledgerlark.storage import write_stage
 
@@ -29,31 +32,38 @@ def null_report(df: DataFrame, groups: list[str], columns: list[str]) -> DataFra
     )
 
 
-def row_counts(df: DataFrame, groups: list[str], columns: list[str]) -> DataFrame:
-    """Rows and duplicate rows (beyond the first of each kind) per group."""
+def row_hash(columns: list[str]) -> Column:
+    """Hash of the values of a row, whatever the columns are called."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+
+
+def repeated_hashes(df: DataFrame) -> DataFrame:
+    """(hash, copies) of the rows whose hash occurs more than once: all that can have a duplicate.
+
+    Only hashes are shuffled, merged in each task before.
+    """
+    counted = df.groupBy(row_hash(df.columns).alias("hash")).agg(F.count("*").alias("copies"))
+    return counted.filter("copies > 1")
+
+
+def row_counts(df: DataFrame, groups: list[str], repeated: DataFrame) -> DataFrame:
+    """Rows and duplicate rows (beyond the first of each kind) per group; `repeated` is `repeated_hashes` of df."""
     counted = df.groupBy(*groups).agg(F.count("*").alias("rows"))
-    kinds = _repeated(df.select(*groups, *[F.col(f"`{c}`") for c in columns if c not in groups]))
+    kinds = _repeated(df, repeated)
     extra = kinds.groupBy(*[F.col(g).alias(f"_{g}") for g in groups]).agg(F.sum(F.col("_copies") - 1).alias("duplicate_rows"))
     same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups]
     return counted.join(extra, same, "left").drop(*[f"_{g}" for g in groups]).na.fill(0, ["duplicate_rows"])
 
 
-def count_copies(df: DataFrame) -> DataFrame:
-    """Duplicate rows over all columns."""
-    return _repeated(df).agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
-
+def count_copies(df: DataFrame, repeated: DataFrame, hashed: list[str] | None = None) -> DataFrame:
+    """Duplicate rows over all columns; `repeated` holds the hashes of the columns `hashed` that can occur again."""
+    return _repeated(df, repeated, hashed).agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
 
-def _repeated(df: DataFrame) -> DataFrame:
-    """Distinct rows whose hash occurs again, with `_copies`.
 
-    A narrow pass counts row hashes; only rows whose hash occurs again are
-    compared in full, so a clean table is never shuffled whole.
-    """
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    hashes = df.groupBy(F.xxhash64(*columns).alias("_hash")).agg(F.count("*").alias("_n"))
-    suspects = write_stage(hashes.filter("_n > 1").select("_hash"), "row_hashes")
-    same = df.withColumn("_hash", F.xxhash64(*columns)).join(suspects, "_hash", "left_semi")
-    return same.groupBy(*columns).agg(F.count("*").alias("_copies"))
+def _repeated(df: DataFrame, repeated: DataFrame, hashed: list[str] | None = None) -> DataFrame:
+    """Distinct rows among those whose hash may occur again, with `_copies`; no other row is shuffled."""
+    suspect = BitFilter(repeated, "hash").may_hold(row_hash(hashed or df.columns))
+    return df.where(suspect).groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count("*").alias("_copies"))
 
 
 def numeric_summary(df: DataFrame, groups: list[str], columns: list[str]) -> DataFrame:
@@ -98,3 +108,13 @@ def top_per_group(df: DataFrame, group: str, order: list[Column], n: int, name:
     """First `n` rows per group; each task keeps `n` rows per group before the shuffle."""
     window = Window.partitionBy(group).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window).cast("bigint")).filter(F.col(name) <= n)
+
+
+def top_of_each(
+    df: DataFrame, group: str, names: list, order: list[Column], n: int, name: str = "position"
+) -> DataFrame:
+    """First `n` rows of each of a few known groups, by a bounded heap per task; no group is sorted."""
+    best = [df.filter(F.col(group) == value).orderBy(*order).limit(n) for value in names]
+    rows = reduce(DataFrame.unionByName, best) if best else df.limit(0)
+    # at most n rows of each
+    return rows.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("bigint"))

@@ -18,10 +18,13 @@ from ledgerlark.storage import write_stage
 _ROW_BITS = 33
 
 
-def _sorted_ranges(df: DataFrame, order: list[Column], amount: Column | None) -> tuple[DataFrame, DataFrame]:
-    """Sorted rows with range and row number, and one row per range with what lies before it."""
-    numbered = df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id())
-    stored = write_stage(numbered, "ranked")
+def numbered(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Rows in the global order with `_slot`, their range and row in it. Write it once; ranks are read from that table."""
+    return df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id())
+
+
+def _ranges(stored: DataFrame, amount: Column | None) -> tuple[DataFrame, DataFrame]:
+    """Rows of a numbered table with range and row number, and one row per range with what lies before it."""
     rows = stored.withColumns(
         {
             "_range": F.shiftright("_slot", _ROW_BITS),
@@ -43,16 +46,26 @@ def _sorted_ranges(df: DataFrame, order: list[Column], amount: Column | None) ->
     return rows, ranges.select(*shifted)
 
 
+def _sorted_ranges(df: DataFrame, order: list[Column], amount: Column | None) -> tuple[DataFrame, DataFrame]:
+    return _ranges(write_stage(numbered(df, order), "ranked"), amount)
+
+
+def positions(stored: DataFrame, name: str = "position", total: str | None = None) -> DataFrame:
+    """1-based position of every row of a numbered table; `total` adds the row count. Nothing is sorted or written."""
+    rows, ranges = _ranges(stored, None)
+    placed = rows.join(F.broadcast(ranges), "_range").withColumn(name, F.col("_rows_before") + F.col("_row") + 1)
+    if total:
+        placed = placed.withColumn(total, F.col("_all_rows"))
+    columns = [c for c in stored.columns if c != "_slot"]
+    return placed.select(*columns, name, *([total] if total else []))
+
+
 def global_rank(df: DataFrame, order: list[Column], name: str = "position", total: str | None = None) -> DataFrame:
     """1-based position of every row in the global order; `total` adds the row count.
 
     The order must be unique (end it with a key) to give one answer.
     """
-    rows, ranges = _sorted_ranges(df, order, None)
-    placed = rows.join(F.broadcast(ranges), "_range").withColumn(name, F.col("_rows_before") + F.col("_row") + 1)
-    if total:
-        placed = placed.withColumn(total, F.col("_all_rows"))
-    return placed.select(*df.columns, name, *([total] if total else []))
+    return positions(write_stage(numbered(df, order), "ranked"), name, total)
 
 
 def running_total(
@@ -120,11 +133,17 @@ def share_of_top(
 
 
 def top_share(
-    df: DataFrame, value: str, key: str, percents: list[int], rule: str, suffix: str = "pct_revenue_share"
+    stored: DataFrame, value: str, percents: list[int], rule: str, suffix: str = "pct_revenue_share",
+    leading: Column | str | None = None,
 ) -> DataFrame:
-    """`share_of_top` of rows ranked by value, ties by key."""
-    ranked = global_rank(df.select(key, value), [F.col(value).desc_nulls_last(), F.col(key).asc()], "_at", "_n")
-    return share_of_top(ranked, value, F.col("_at"), F.col("_n"), percents, rule, suffix)
+    """`share_of_top` of a table numbered by falling value.
+
+    `leading` may limit it to rows that stand before all others in that order.
+    """
+    ranked = positions(stored, "_at")
+    if leading is not None:
+        ranked = ranked.filter(leading)
+    return share_of_top(ranked, value, F.col("_at"), ranked.agg(F.count("*")).scalar(), percents, rule, suffix)
 
 
 def _value_counts(df: DataFrame, metrics: dict[str, Column]) -> DataFrame:

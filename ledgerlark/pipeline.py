@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 from ledgerlark.catalog import RESULTS
 from ledgerlark.plans.workspace import STAGES, Workspace
 from ledgerlark.settings import Settings
-from ledgerlark.sources.landing import BUNDLE, load_raw, write_bundle, write_table
+from ledgerlark.sources.landing import BUNDLE, landing_identity, load_raw, write_bundle, write_table
 
 
 def run_pipeline(
@@ -39,11 +39,13 @@ def run_pipeline(
 
     Parquet stage tables are written once, in place; named results, and CSV
     copies of stages, are written beside them. With `resume`, stage tables stay
-    that were finished from the same sheets, paths, format and settings.
+    that were finished from the same sheets, files (by path, length and modification
+    time), format and settings.
     """
     in_place = table_format == "parquet"
     raw = load_raw(spark, sheets, sheet_format, multi_line=multi_line)
-    tables = Workspace(raw, settings, out if in_place else None, resume, json.dumps([sheets, sheet_format], sort_keys=True))
+    source = json.dumps([sheets, landing_identity(spark, sheets), sheet_format, multi_line], sort_keys=True)
+    tables = Workspace(raw, settings, out if in_place else None, resume, source)
     for name in only or STAGES:
         df = tables.stage(name) if name in STAGES else RESULTS[name](tables)
         if name not in STAGES or not in_place:

@@ -6,7 +6,7 @@ All metrics of a kind come from one aggregation over all sheets, grouped by
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark import constants as C
@@ -14,10 +14,10 @@ from ledgerlark.functions.measures import number
 from ledgerlark.functions.text import starts_with
 from ledgerlark.operators.cleaning import classify_audit
 from ledgerlark.operators.profile import (
-    count_copies, null_report, numeric_summary, row_counts, to_long, top_per_group, value_counts,
+    count_copies, null_report, numeric_summary, row_counts, to_long, top_of_each, top_per_group, value_counts,
 )
 from ledgerlark.operators.rollup import with_distinct
-from ledgerlark.schema import RAW
+from ledgerlark.schema import CLEAN_BASE, RAW
 
 SHEET = ["SourceYear"]
 RAW_COLUMNS = RAW.names
@@ -32,9 +32,9 @@ def _line_order(*first):
 # ---- raw table profile -------------------------------------------------------
 
 
-def profile_rows(raw: DataFrame) -> DataFrame:
-    """Rows, columns and duplicate rows per sheet."""
-    return row_counts(raw, SHEET, RAW_COLUMNS).withColumn("columns", F.lit(len(RAW_COLUMNS)).cast("bigint"))
+def profile_rows(raw: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Rows, columns and duplicate rows per sheet; `repeated` is `repeated_hashes` of the raw lines."""
+    return row_counts(raw, SHEET, repeated).withColumn("columns", F.lit(len(RAW_COLUMNS)).cast("bigint"))
 
 
 def profile_types(raw: DataFrame) -> DataFrame:
@@ -60,11 +60,10 @@ def profile_numbers(raw: DataFrame) -> DataFrame:
     return numeric_summary(raw, SHEET, ["Quantity", "Price", "Customer ID"])
 
 
-def profile_sample(raw: DataFrame, n: int = 5) -> DataFrame:
+def profile_sample(raw: DataFrame, sheets: list[str], n: int = 5) -> DataFrame:
     """First lines of every sheet by date and invoice."""
-    return top_per_group(raw, "SourceYear", _line_order(F.col("InvoiceDate").asc_nulls_last()), n).withColumn(
-        "Price", number("Price")
-    )
+    order = _line_order(F.col("InvoiceDate").asc_nulls_last())
+    return top_of_each(raw, "SourceYear", sheets, order, n).withColumn("Price", number("Price"))
 
 
 # ---- transaction audit -------------------------------------------------------
@@ -97,29 +96,29 @@ def transaction_audit(raw: DataFrame) -> DataFrame:
     return to_long(raw.groupBy(*SHEET).agg(*[m.alias(n) for n, m in metrics.items()]), SHEET, {n: F.col(n) for n in metrics})
 
 
-def _lines(raw: DataFrame, order, n: int) -> DataFrame:
+def _lines(raw: DataFrame, sheets: list[str], order, n: int) -> DataFrame:
     return (
-        top_per_group(raw, "SourceYear", order, n)
+        top_of_each(raw, "SourceYear", sheets, order, n)
         .select("SourceYear", "position", *_LINE)
         .withColumn("Price", number("Price"))
     )
 
 
-def cancellation_examples(raw: DataFrame, n: int = 10) -> DataFrame:
+def cancellation_examples(raw: DataFrame, sheets: list[str], n: int = 10) -> DataFrame:
     """First cancellation lines per sheet."""
     return _lines(
-        raw.filter(starts_with(F.col("Invoice"), "C")), _line_order(F.col("InvoiceDate").asc_nulls_last()), n
+        raw.filter(starts_with(F.col("Invoice"), "C")), sheets, _line_order(F.col("InvoiceDate").asc_nulls_last()), n
     )
 
 
-def most_negative_quantities(raw: DataFrame, n: int = 10) -> DataFrame:
+def most_negative_quantities(raw: DataFrame, sheets: list[str], n: int = 10) -> DataFrame:
     """Lines with the most negative quantity per sheet."""
-    return _lines(raw.filter("Quantity < 0"), _line_order(F.col("Quantity").asc()), n)
+    return _lines(raw.filter("Quantity < 0"), sheets, _line_order(F.col("Quantity").asc()), n)
 
 
-def most_negative_prices(raw: DataFrame, n: int = 10) -> DataFrame:
+def most_negative_prices(raw: DataFrame, sheets: list[str], n: int = 10) -> DataFrame:
     """Lines with the most negative price per sheet."""
-    return _lines(raw.filter("Price < 0"), _line_order(F.col("Price").asc()), n)
+    return _lines(raw.filter("Price < 0"), sheets, _line_order(F.col("Price").asc()), n)
 
 
 def top_countries_by_rows(raw: DataFrame, n: int = 10) -> DataFrame:
@@ -183,30 +182,14 @@ def top_sales(raw: DataFrame, column: str, n: int = 15) -> DataFrame:
 
 # ---- clean table -------------------------------------------------------------
 
-
-def clean_type_counts(tx: DataFrame) -> DataFrame:
-    """Clean rows per transaction type."""
-    return value_counts(tx, "TransactionType")
-
-
-def clean_totals(tx: DataFrame) -> DataFrame:
-    """Clean rows, eligible rows, identified rows and date range."""
-    return tx.agg(
-        F.count("*").alias("rows"),
-        F.count_if("IsRevenueEligible").alias("revenue_eligible_rows"),
-        F.count_if("IsCustomerIdentified").alias("customer_identified_rows"),
-        F.min("InvoiceDate").alias("first_date"),
-        F.max("InvoiceDate").alias("last_date"),
-    )
+_TYPES = {name: f"type__{place}" for place, name in enumerate(C.CLEAN_TYPES)}
 
 
-def validate_clean(tx: DataFrame) -> DataFrame:
-    """Invariant counts and totals of the clean table as (check, metric, value, text) rows."""
+def clean_measures() -> list[Column]:
+    """What is observed of the clean table while it is written: counts, sums and dates that need no other scan."""
     eligible, returned = F.col("IsRevenueEligible"), F.col("IsReturn")
     accounting = F.col("TransactionType") == C.ACCOUNTING
     quantity, price, value = F.col("Quantity"), F.col("UnitPrice"), F.col("LineRevenue")
-    gross = F.sum(F.when(eligible, value).otherwise(0))
-    returns = F.sum(F.when(returned, value).otherwise(0))
     checks = {
         ("rows", "rows"): F.count("*"),
         ("revenue_eligibility", "eligible_rows"): F.count_if(eligible),
@@ -224,43 +207,63 @@ def validate_clean(tx: DataFrame) -> DataFrame:
         ("customer", "present"): F.count("CustomerID"),
         ("customer", "missing"): F.count_if(F.col("CustomerID").isNull()),
         ("date", "missing"): F.count_if(F.col("InvoiceDate").isNull()),
-        ("financial", "gross_sales"): gross,
-        ("financial", "return_value"): returns,
-        ("financial", "net_value"): gross + returns,
+        ("date", "minimum"): F.min("InvoiceDate"),
+        ("date", "maximum"): F.max("InvoiceDate"),
+        ("financial", "gross_sales"): F.sum(F.when(eligible, value).otherwise(0)),
+        ("financial", "return_value"): F.sum(F.when(returned, value).otherwise(0)),
     }
-    dates = {
-        ("date", "minimum"): F.min("InvoiceDate").cast("string"),
-        ("date", "maximum"): F.max("InvoiceDate").cast("string"),
-    }
-    # A subquery of its own: beside the sums, every customer would carry all of them through the shuffle.
-    unique = ("customer", "unique")
-    names = {key: "_".join(key) for key in [*checks, *dates, unique]}
-    totals = tx.agg(*[col.alias(names[key]) for key, col in {**checks, **dates}.items()]).withColumn(
-        names[unique], tx.agg(F.countDistinct("CustomerID")).scalar()
+    measures = {"__".join(key): measure for key, measure in checks.items()}
+    measures |= {column: F.count_if(F.col("TransactionType") == name) for name, column in _TYPES.items()}
+    return [measure.alias(name) for name, measure in measures.items()]
+
+
+def _type_rows(observed: DataFrame) -> DataFrame:
+    """(TransactionType, rows) of the types that occur."""
+    cells = F.array(*[F.struct(F.lit(name).alias("TransactionType"), F.col(column).alias("rows")) for name, column in _TYPES.items()])
+    return observed.select(F.explode(cells).alias("_cell")).select("_cell.*").filter("rows > 0")
+
+
+def clean_type_counts(observed: DataFrame) -> DataFrame:
+    """Clean rows per transaction type, as observed."""
+    return _type_rows(observed)
+
+
+def clean_totals(observed: DataFrame) -> DataFrame:
+    """Clean rows, eligible rows, identified rows and date range, as observed."""
+    return observed.select(
+        F.col("rows__rows").alias("rows"),
+        F.col("revenue_eligibility__eligible_rows").alias("revenue_eligible_rows"),
+        F.col("customer__present").alias("customer_identified_rows"),
+        F.col("date__minimum").alias("first_date"),
+        F.col("date__maximum").alias("last_date"),
     )
 
-    def cell(key, numeric):
-        empty_text, empty_value = F.lit(None).cast("string"), F.lit(None).cast("double")
-        column = F.col(names[key])
+
+def validate_clean(observed: DataFrame, tx: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Invariant counts and totals of the clean table as (check, metric, value, text) rows.
+
+    `observed` holds what was seen while the table was written. The table itself is read for two checks
+    alone: its distinct customers, and duplicates among the lines whose hash was `repeated` before cleaning.
+    """
+    empty_text, empty_value = F.lit(None).cast("string"), F.lit(None).cast("double")
+
+    def cell(check: str, metric: str, value: Column, text: Column = empty_text) -> Column:
         return F.struct(
-            F.lit(key[0]).alias("check"),
-            F.lit(key[1]).alias("metric"),
-            (column.cast("double") if numeric else empty_value).alias("value"),
-            (empty_text if numeric else column).alias("text"),
+            F.lit(check).alias("check"), F.lit(metric).alias("metric"), value.cast("double").alias("value"), text.alias("text")
         )
 
-    cells = F.array(*[cell(k, True) for k in [*checks, unique]], *[cell(k, False) for k in dates])
-    measured = totals.select(F.explode(cells).alias("_cell")).select("_cell.*")
-    duplicates = count_copies(tx).select(
-        F.lit("duplicates").alias("check"),
-        F.lit("rows").alias("metric"),
-        F.col("duplicate_rows").cast("double").alias("value"),
-        F.lit(None).cast("string").alias("text"),
-    )
-    types = value_counts(tx, "TransactionType").select(
+    dates = ["date__minimum", "date__maximum"]
+    names = [name for name in observed.columns if name not in [*dates, *_TYPES.values()]]
+    cells = [cell(*name.split("__"), F.col(name)) for name in names]
+    cells += [cell(*name.split("__"), empty_value, F.col(name).cast("string")) for name in dates]
+    cells.append(cell("financial", "net_value", F.col("financial__gross_sales") + F.col("financial__return_value")))
+    cells.append(cell("customer", "unique", tx.agg(F.countDistinct("CustomerID")).scalar()))
+    cells.append(cell("duplicates", "rows", count_copies(tx, repeated, CLEAN_BASE).scalar()))
+    measured = observed.select(F.explode(F.array(*cells)).alias("_cell")).select("_cell.*")
+    types = _type_rows(observed).select(
         F.lit("transaction_type").alias("check"),
         F.col("TransactionType").alias("metric"),
         F.col("rows").cast("double").alias("value"),
-        F.lit(None).cast("string").alias("text"),
+        empty_text.alias("text"),
     )
-    return measured.unionByName(duplicates).unionByName(types)
+    return measured.unionByName(types)

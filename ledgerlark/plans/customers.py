@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlark import constants as C
 from ledgerlark.functions.labels import first_label
 from ledgerlark.functions.measures import net_commercial, number, percent, ratio
-from ledgerlark.operators.ranking import global_rank, ntile_bucket, top_share
+from ledgerlark.operators.ranking import ntile_bucket, numbered, positions, top_share
 
 
 def _with_net(customers: DataFrame) -> DataFrame:
@@ -36,16 +36,22 @@ def customer_value_list(customers: DataFrame, n: int = 50) -> DataFrame:
     )
 
 
-def positive_concentration(customers: DataFrame) -> DataFrame:
-    """Top shares among customers with a positive net value."""
-    return top_share(_with_net(customers).filter("Net > 0"), "Net", "CustomerID", C.TOP_PERCENTS, "ceil")
+def by_net(customers: DataFrame) -> DataFrame:
+    """Customers numbered by net value, greatest first. Those with a positive value stand before all others."""
+    return numbered(_with_net(customers).select("CustomerID", "Net"), [F.desc_nulls_last("Net"), F.asc("CustomerID")])
 
 
-def identified_concentration(customers: DataFrame) -> DataFrame:
-    """Top shares among all identified customers."""
-    return top_share(
-        _with_net(customers), "Net", "CustomerID", C.TOP_PERCENTS, "ceil", suffix="pct_share"
-    )
+_POSITIVE = "Net > 0"
+
+
+def positive_concentration(ranked: DataFrame) -> DataFrame:
+    """Top shares among customers with a positive net value, from `by_net`."""
+    return top_share(ranked, "Net", C.TOP_PERCENTS, "ceil", leading=_POSITIVE)
+
+
+def identified_concentration(ranked: DataFrame) -> DataFrame:
+    """Top shares among all identified customers, from `by_net`."""
+    return top_share(ranked, "Net", C.TOP_PERCENTS, "ceil", suffix="pct_share")
 
 
 def return_risk_list(customers: DataFrame, n: int = 50) -> DataFrame:
@@ -66,12 +72,16 @@ def return_risk_list(customers: DataFrame, n: int = 50) -> DataFrame:
     )
 
 
-def value_quartiles(customers: DataFrame) -> DataFrame:
-    """Customers and value per quartile of positive net value."""
-    valued = _with_net(customers).filter("Net > 0").select("CustomerID", "Net")
-    placed = global_rank(valued, [F.col("Net").asc(), F.col("CustomerID").asc()], "_at", "_n")
+def value_quartiles(ranked: DataFrame) -> DataFrame:
+    """Customers and value per quartile of positive net value, from `by_net`.
+
+    Quartiles count from the least value up; customers of equal value may change places, which changes no result.
+    """
+    placed = positions(ranked, "_at").filter(_POSITIVE)
+    total = placed.agg(F.count("*")).scalar()
+    tile = ntile_bucket(total - F.col("_at") + 1, total, 4)
     return (
-        placed.groupBy(ntile_bucket(F.col("_at"), F.col("_n"), 4).alias("value_quartile"))
+        placed.groupBy(tile.alias("value_quartile"))
         .agg(F.count("*").alias("customers"), F.sum("Net").alias("_net"))
         .select(
             "value_quartile",

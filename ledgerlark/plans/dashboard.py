@@ -23,9 +23,15 @@ def high_value_at_risk(rfm: DataFrame) -> DataFrame:
     return rfm.filter(F.col("Segment") == C.AT_RISK_HIGH_VALUE).orderBy(F.desc("Monetary"), "CustomerID")
 
 
+def serving_kpis(orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Headline KPIs, and in `orders` the invoices with a sale, so that a page need not count them."""
+    sales = F.col("SalesOrders").alias("orders")
+    return kpis.executive_kpis(orders, products, None, sales).drop("net_revenue_per_order")
+
+
 #: Serving tables by role, money unrounded. Each takes the workspace and builds only the stages it reads.
 ROLES = {
-    "kpis": lambda w: kpis.executive_kpis(w.orders, w.products, digits=None).drop("net_revenue_per_order"),
+    "kpis": lambda w: serving_kpis(w.orders, w.products),
     "monthly": lambda w: kpis.monthly_net(w.orders, digits=None),
     "country": lambda w: kpis.country_net(w.orders, digits=None).drop("revenue_per_order"),
     "rfm": lambda w: w.rfm,
@@ -41,17 +47,17 @@ def build_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def headline(kpi_table: DataFrame, commercial_orders: Column | int = 0) -> DataFrame:
+def headline(kpi_table: DataFrame) -> DataFrame:
     """Headline values by whichever candidate column is present, and display texts of the money.
 
-    `commercial_orders` (invoices with a sale) serves a table without such a column; `total_orders` counts all invoices.
+    `orders` are the invoices with a sale; `total_orders` counts all invoices.
     """
     values = kpi_table.select(
         first_value(kpi_table, ["net_revenue", "NetRevenue", "net_revenue_value"]).cast("double").alias("net_revenue"),
         first_value(kpi_table, ["gross_sales_revenue", "GrossRevenue", "gross_revenue"])
         .cast("double")
         .alias("gross_revenue"),
-        first_value(kpi_table, ["unique_orders", "UniqueOrders", "orders"], commercial_orders)
+        first_value(kpi_table, ["unique_orders", "UniqueOrders", "orders"])
         .cast("bigint")
         .alias("orders"),
         first_value(kpi_table, ["total_orders"]).cast("bigint").alias("total_orders"),

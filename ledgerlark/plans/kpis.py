@@ -6,13 +6,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark import constants as C
 from ledgerlark.functions.measures import net_commercial, number, ratio
 from ledgerlark.operators.picks import largest_names
-from ledgerlark.operators.ranking import top_share
+from ledgerlark.operators.ranking import numbered, top_share
 from ledgerlark.operators.rollup import roll_up, with_distinct
 
 
@@ -106,9 +106,14 @@ def top_customers(customers: DataFrame, n: int = 50) -> DataFrame:
     )
 
 
-def customer_concentration(customers: DataFrame) -> DataFrame:
-    """Share of the top customers in the value of all lines."""
-    return top_share(customers, "NetAll", "CustomerID", C.TOP_PERCENTS, "ceil")
+def by_all_lines(customers: DataFrame) -> DataFrame:
+    """Customers numbered by the value of all their lines, greatest first."""
+    return numbered(customers.select("CustomerID", "NetAll"), [F.desc_nulls_last("NetAll"), F.asc("CustomerID")])
+
+
+def customer_concentration(ranked: DataFrame) -> DataFrame:
+    """Share of the top customers in the value of all lines, from `by_all_lines`."""
+    return top_share(ranked, "NetAll", C.TOP_PERCENTS, "ceil")
 
 
 def customer_returns(customers: DataFrame) -> DataFrame:
@@ -141,8 +146,8 @@ def type_distribution(orders: DataFrame) -> DataFrame:
     )
 
 
-def executive_kpis(orders: DataFrame, products: DataFrame, digits: int | None = 2) -> DataFrame:
-    """Headline KPIs; `digits=None` keeps money unrounded."""
+def executive_kpis(orders: DataFrame, products: DataFrame, digits: int | None = 2, *more: Column) -> DataFrame:
+    """Headline KPIs; `digits=None` keeps money unrounded, `more` adds columns of `roll_up`."""
     totals = with_distinct(
         roll_up(orders), orders, [], {"identified_customers": "CustomerID", "countries": "Country"}
     )
@@ -157,14 +162,10 @@ def executive_kpis(orders: DataFrame, products: DataFrame, digits: int | None =
         number(net_commercial(), digits).alias("net_revenue"),
         F.col("UnitsSold").alias("units_sold"),
         F.round(ratio(net_commercial(), F.col("SalesOrders")), 2).alias("net_revenue_per_order"),
+        *more,
     )
 
 
-def commercial_orders(orders: DataFrame):
-    """Number of invoices with a commercial sale, as a scalar."""
-    return roll_up(orders).select("SalesOrders").scalar()
-
-
 def monthly_net(orders: DataFrame, digits: int | None = 2) -> DataFrame:
     """Net commercial revenue, sales orders and units per month."""
     return (

@@ -14,7 +14,7 @@ from ledgerlark.functions.labels import product_category
 from ledgerlark.functions.measures import net_commercial, number, percent, ratio
 from ledgerlark.operators.picks import largest_names
 from ledgerlark.operators.profile import share_of_total
-from ledgerlark.operators.ranking import global_rank, share_of_top, top_share
+from ledgerlark.operators.ranking import global_rank, numbered, share_of_top, top_share
 
 
 def _sold(products: DataFrame) -> DataFrame:
@@ -165,9 +165,15 @@ def top_merchandise(products: DataFrame, names: DataFrame, taxonomy: DataFrame,
     )
 
 
-def merchandise_concentration(products: DataFrame, taxonomy: DataFrame) -> DataFrame:
-    """Top shares of gross merchandise revenue."""
-    return top_share(_merchandise(products, taxonomy), "GrossRevenue", "StockCode", C.TOP_PERCENTS, "ceil")
+def merchandise_by_gross(products: DataFrame, taxonomy: DataFrame) -> DataFrame:
+    """Merchandise numbered by gross revenue, greatest first."""
+    rows = _merchandise(products, taxonomy).select("StockCode", "GrossRevenue")
+    return numbered(rows, [F.desc_nulls_last("GrossRevenue"), F.asc("StockCode")])
+
+
+def merchandise_concentration(ranked: DataFrame) -> DataFrame:
+    """Top shares of gross merchandise revenue, from `merchandise_by_gross`."""
+    return top_share(ranked, "GrossRevenue", C.TOP_PERCENTS, "ceil")
 
 
 def merchandise_return_risk(products: DataFrame, names: DataFrame, taxonomy: DataFrame, n: int = 50) -> DataFrame:

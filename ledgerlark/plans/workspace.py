@@ -1,24 +1,28 @@
 """Stage tables of one landing set, each built once per session on first use.
 
-    raw -> clean -> orders -> customers -> rfm -> value -> risk
-                 |         `-> cohorts
-                 |-> names, product_months, product_orders -> products -> taxonomy, intelligence
-                 |                                                    `-> quality -> master -> scope -> anomalies
-                 `-> basket (product_orders, taxonomy) -> associations -> scored -> cross_sell
+    raw -> repeated_lines -> clean -> clean_measures
+    clean -> orders -> customers -> rfm -> value -> risk
+          |         |           `-> customers_by_all_lines, customers_by_net (sorted and numbered)
+          |         `-> cohorts
+          |-> names, product_months, product_orders -> products -> taxonomy, intelligence
+          |                                         |           |-> merchandise_by_gross (sorted and numbered)
+          |                                         |           `-> quality -> master -> scope -> anomalies
+          `-> basket (product_orders, taxonomy) -> associations -> scored -> cross_sell
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 from ledgerlark.operators.cleaning import clean_transactions
 from ledgerlark.operators.picks import first_names, modal_names
 from ledgerlark.operators.rollup import (
     customer_facts, name_facts, order_facts, product_facts, product_months, product_orders,
 )
-from ledgerlark.plans import baskets, catalogue, cohorts, dashboard, products, rfm
+from ledgerlark.operators.profile import repeated_hashes
+from ledgerlark.plans import audits, baskets, catalogue, cohorts, customers, dashboard, kpis, products, rfm
 from ledgerlark.settings import Settings
 from ledgerlark.storage import read_kept, write_kept, write_stage
 
@@ -42,6 +46,8 @@ class Workspace:
         self.resume = resume
         self.origin = f"{source} {settings} {raw.schema.simpleString()}"
         self._tables: dict[str, DataFrame] = {}
+        self._seen: dict[str, Observation] = {}
+        self._sheets: list[str] | None = None
 
     def stage(self, name: str) -> DataFrame:
         """Stage table `name`, written on first use."""
@@ -50,11 +56,35 @@ class Workspace:
         return self._tables[name]
 
     def _build(self, name: str) -> DataFrame:
-        if self.folder is None:
-            return write_stage(STAGES[name](self), name)
         path = f"{self.folder}/{name}"
-        kept = read_kept(self.raw.sparkSession, path, self.origin) if self.resume else None
-        return kept if kept is not None else write_kept(STAGES[name](self), path, self.origin)
+        if self.folder is not None and self.resume:
+            kept = read_kept(self.raw.sparkSession, path, self.origin)
+            if kept is not None:
+                return kept
+        df = STAGES[name](self)
+        if name in OBSERVED:
+            self._seen[name] = Observation(name)
+            df = df.observe(self._seen[name], *OBSERVED[name]())
+        return write_stage(df, name) if self.folder is None else write_kept(df, path, self.origin)
+
+    def observed(self, name: str) -> DataFrame:
+        """What was observed of a stage table while it was written, as one row.
+
+        A table that an earlier run has written is scanned instead.
+        """
+        table, measures = self.stage(name), OBSERVED[name]()
+        if name not in self._seen:
+            return table.agg(*measures)
+        found = self._seen[name].get
+        schema = table.agg(*measures).schema
+        return table.sparkSession.createDataFrame([tuple(found[c] for c in schema.names)], schema)
+
+    @property
+    def sheets(self) -> list[str]:
+        """Names of the yearly sheets."""
+        if self._sheets is None:
+            self._sheets = [row.SourceYear for row in self.raw.select("SourceYear").distinct().collect()]
+        return self._sheets
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in STAGES:
@@ -74,9 +104,13 @@ class Workspace:
 
 
 STAGES: dict[str, Callable[[Workspace], DataFrame]] = {
-    "clean": lambda w: clean_transactions(w.raw),
+    "repeated_lines": lambda w: repeated_hashes(w.raw),
+    "clean": lambda w: clean_transactions(w.raw, w.repeated_lines),
+    "clean_measures": lambda w: w.observed("clean"),
     "orders": lambda w: order_facts(w.clean),
     "customers": lambda w: customer_facts(w.orders),
+    "customers_by_all_lines": lambda w: kpis.by_all_lines(w.customers),
+    "customers_by_net": lambda w: customers.by_net(w.customers),
     "product_months": lambda w: product_months(w.clean),
     "product_orders": lambda w: product_orders(w.clean),
     "products": lambda w: product_facts(w.product_months, w.product_orders),
@@ -89,6 +123,7 @@ STAGES: dict[str, Callable[[Workspace], DataFrame]] = {
     "cohorts": lambda w: cohorts.cohort_retention(w.orders),
     "intelligence": lambda w: products.product_intelligence(w.products, w.sale_names),
     "taxonomy": lambda w: products.product_taxonomy(w.products, w.sale_names),
+    "merchandise_by_gross": lambda w: products.merchandise_by_gross(w.products, w.taxonomy),
     "quality": lambda w: catalogue.product_quality(w.products, w.first_names),
     "master": lambda w: catalogue.product_master(w.quality, w.settings.product_tiers),
     "scope": lambda w: catalogue.product_scope(w.master, w.settings.product_tiers),
@@ -103,3 +138,7 @@ STAGES: dict[str, Callable[[Workspace], DataFrame]] = {
     ),
     "cross_sell": lambda w: baskets.cross_sell(w.scored, w.settings.cross_sell_top),
 }
+
+
+#: What is observed of a stage table while it is written.
+OBSERVED: dict[str, Callable[[], list[Column]]] = {"clean": audits.clean_measures}

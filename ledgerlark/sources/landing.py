@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,6 +97,20 @@ def load_raw(
     )
 
 
+def landing_identity(spark: SparkSession, sheets: dict[str, str]) -> dict[str, list]:
+    """What tells whether the files of each sheet are the same: their number, bytes, and two sums of hashes.
+
+    Hashed are path, length and modification time as the file system lists them; no file is opened.
+    """
+    found = {}
+    for sheet, path in sheets.items():
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        stated = [F.col("path"), F.col("length"), F.col("modificationTime")]
+        sums = [F.sum(F.xxhash64(F.lit(seed), *stated).cast("decimal(38,0)")).cast("string") for seed in (1, 2)]
+        found[sheet] = list(listed.agg(F.count("*"), F.sum("length"), *sums).first())
+    return found
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None) -> None:
     """Write a table. Partitioned output is rebalanced first, so a hot value is split over several files."""
     if partition_by:
@@ -128,17 +143,36 @@ BUNDLE = {
 }
 
 
-def write_bundle(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> None:
-    """Write the serving tables, one folder each."""
+def write_bundle(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> str:
+    """Write the serving tables as a new version of the bundle, then publish it; return the version.
+
+    A version is a folder of its own. The list of published versions grows by one row when all tables are
+    complete, so a reader sees a whole version, the one before or this one, also when a write is stopped
+    half-way. Earlier versions stay for readers that still use them.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    names = f"{folder}/published"
+    line = spark.range(1).coalesce(1)
+    line.select(F.lit("").alias("value")).where("id < 0").write.mode("append").text(names)  # the list is there from now on
+    before = _published(spark, folder)
+    version = f"{1 + (int(before.split('-')[0]) if before else 0):08d}-{uuid.uuid4().hex}"
     for role, df in tables.items():
-        write_table(df, f"{folder}/{BUNDLE[role]}", fmt)
+        write_table(df, f"{folder}/{version}/{BUNDLE[role]}", fmt)
+    line.select(F.lit(version).alias("value")).write.mode("append").text(names)
+    return version
+
+
+def _published(spark: SparkSession, folder: str) -> str | None:
+    """Last published version of a bundle, or None."""
+    return spark.read.schema("value string").text(f"{folder}/published").agg(F.max("value")).first()[0]
 
 
 def load_bundle(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Read all serving tables; a missing one raises `AnalysisException`."""
-    return {role: load_served(spark, folder, role) for role in BUNDLE}
+    """All serving tables of the last published version; a missing one raises `AnalysisException`."""
+    version = _published(spark, folder)
+    return {role: read_table(spark, f"{folder}/{version}/{BUNDLE[role]}") for role in BUNDLE}
 
 
 def load_served(spark: SparkSession, folder: str, role: str) -> DataFrame:
-    """Read the serving table of one role."""
-    return read_table(spark, f"{folder}/{BUNDLE[role]}")
+    """Serving table of one role, of the last published version."""
+    return read_table(spark, f"{folder}/{_published(spark, folder)}/{BUNDLE[role]}")

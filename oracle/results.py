@@ -479,6 +479,7 @@ SELECT ProductA, ProductB, ProductA_Description, ProductB_Description, PairOrder
 FROM x_assoc ORDER BY PairOrders DESC, Lift DESC, ProductA, ProductB LIMIT 25"""
 _CROSS = "SELECT * REPLACE (round(ExecutiveScore, 9) AS ExecutiveScore) FROM x_cross"
 RESULTS["cross_sell"] = _CROSS
+RESULTS["cross_sell_by_code"] = _CROSS.replace("x_cross", "x_cross_code")
 RESULTS["cross_sell_summary"] = "SELECT AssociationType, count(*) AS opportunities FROM x_cross GROUP BY 1"
 RESULTS["cross_sell_summary_actions"] = "SELECT CommercialAction, count(*) AS opportunities FROM x_cross GROUP BY 1"
 RESULTS["cross_sell_summary_funnel"] = f"""
@@ -518,6 +519,8 @@ SELECT {_NET}::DOUBLE AS net_revenue, ({GROSS})::DOUBLE AS gross_revenue,
 FROM x_tx"""
 RESULTS["serve_monthly"] = f"""
 SELECT date_trunc('month', InvoiceDate) AS Month, {_NET}::DOUBLE AS net_revenue FROM x_tx GROUP BY 1"""
+RESULTS["serve_monthly_found"] = RESULTS["serve_monthly"]
+RESULTS["view_product_categories"] = "SELECT ProductCategory, count(*) AS products FROM x_tax GROUP BY 1"
 RESULTS["serve_top_markets"] = f"SELECT * FROM ({_COUNTRY}) ORDER BY net_revenue DESC, Country LIMIT 8"
 RESULTS["serve_one_market"] = f"SELECT * FROM ({_COUNTRY}) WHERE Country = 'NATION_7'"
 RESULTS["serve_segment_value"] = "SELECT Segment, sum(Monetary)::DOUBLE AS Monetary FROM x_rfm GROUP BY Segment"
@@ -532,10 +535,11 @@ RESULTS["serve_top_products"] = f"""
 SELECT StockCode AS Product, Description, '£' || format('{{:,}}', round(NetRevenue, 0)::BIGINT) AS "Net Revenue",
   format('{{:,}}', UnitsSold) AS "Units Sold"
 FROM x_master WHERE StockCode NOT IN ({texts(C.NON_MERCHANDISE_CODES)}) ORDER BY NetRevenue DESC, StockCode LIMIT 6"""
-RESULTS["serve_cross_sell"] = """
+for _name, _table in [("serve_cross_sell", "x_cross"), ("serve_cross_sell_by_code", "x_cross_code")]:
+    RESULTS[_name] = f"""
 SELECT coalesce(a.Description, ProductA) AS "Product A", coalesce(b.Description, ProductB) AS "Product B", PairOrders,
   printf('%.1fx', Lift) AS Lift, printf('%.1f%%', Confidence_A_to_B * 100) AS Confidence
-FROM x_cross c LEFT JOIN x_master a ON c.ProductA = a.StockCode LEFT JOIN x_master b ON c.ProductB = b.StockCode
+FROM {_table} c LEFT JOIN x_master a ON c.ProductA = a.StockCode LEFT JOIN x_master b ON c.ProductB = b.StockCode
 WHERE ExecutiveRank <= 6"""
 RESULTS["serve_filter_options"] = """
 SELECT 'market' AS filter, Country AS choice FROM x_tx GROUP BY 2 UNION ALL SELECT 'segment', Segment FROM x_rfm GROUP BY 2"""

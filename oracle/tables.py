@@ -353,7 +353,9 @@ TABLES["x_assoc_code"] = _pairs(
 _V = S.vocabulary
 _COMPLEMENTARY = " OR ".join(f"(contains(a, '{x}') AND contains(b, '{y}'))" for x, y in _V.complementary)
 
-TABLES["x_scored"] = f"""
+
+def _scored(pairs: str, orders: int) -> str:
+    return f"""
 SELECT * EXCLUDE (a, b), ln(1 + PairOrders::DOUBLE) * ln(1 + Lift) * Confidence_A_to_B
     * CASE AssociationType WHEN 'Complementary Cross-Sell' THEN 1.35::DOUBLE WHEN 'Coordinated Set' THEN 1.2::DOUBLE
         WHEN 'Cross-Sell' THEN 1.0::DOUBLE ELSE 0.75::DOUBLE END AS ExecutiveScore
@@ -363,11 +365,13 @@ FROM (
       WHEN {any_of("a", _V.family)} AND {any_of("b", _V.family)} THEN 'Variant / Product Family'
       ELSE 'Cross-Sell' END AS AssociationType
   FROM (SELECT *, upper(coalesce(ProductA_Description, '')) AS a, upper(coalesce(ProductB_Description, '')) AS b
-        FROM x_assoc WHERE PairOrders >= {S.cross_sell_orders} AND Lift >= {S.cross_sell_lift}
+        FROM {pairs} WHERE PairOrders >= {orders} AND Lift >= {S.cross_sell_lift}
           AND Confidence_A_to_B >= {S.cross_sell_confidence}))
 """
 
-TABLES["x_cross"] = f"""
+
+def _cross(scored: str) -> str:
+    return f"""
 SELECT row_number() OVER (ORDER BY ExecutiveScore DESC, PairOrders DESC, Lift DESC, ProductA, ProductB) AS ExecutiveRank,
   ProductA, ProductA_Description, ProductB, ProductB_Description, AssociationType,
   CASE AssociationType WHEN 'Complementary Cross-Sell' THEN 'Accessory / Complementary Recommendation'
@@ -376,6 +380,12 @@ SELECT row_number() OVER (ORDER BY ExecutiveScore DESC, PairOrders DESC, Lift DE
   CASE AssociationType
     WHEN 'Complementary Cross-Sell' THEN '{C.ADVICE[C.COMPLEMENTARY]}'
     WHEN 'Coordinated Set' THEN '{C.ADVICE[C.COORDINATED]}' ELSE '{C.DEFAULT_ADVICE}' END AS BusinessRecommendation
-FROM x_scored WHERE AssociationType <> 'Variant / Product Family'
+FROM {scored} WHERE AssociationType <> 'Variant / Product Family'
 ORDER BY 1 LIMIT {S.cross_sell_top}
 """
+
+
+TABLES["x_scored"] = _scored("x_assoc", S.cross_sell_orders)
+TABLES["x_scored_code"] = _scored("x_assoc_code", 3)
+TABLES["x_cross"] = _cross("x_scored")
+TABLES["x_cross_code"] = _cross("x_scored_code")

@@ -6,7 +6,10 @@ from itertools import combinations
 
 import pytest
 
-from ledgerlark.operators.pairs import frequent_pairs, item_counts, light_pairs, multi_item_baskets
+from ledgerlark.operators import pairs
+from ledgerlark.operators.pairs import (
+    PairSketch, frequent_pairs, item_counts, light_pairs, multi_item_baskets, pair_rows,
+)
 from ledgerlark.storage import write_stage
 
 
@@ -25,8 +28,8 @@ def _brute_force(rows, threshold):
     groups = {}
     for basket, item in rows:
         groups.setdefault(basket, []).append(item)
-    pairs = Counter(pair for items in groups.values() for pair in combinations(sorted(items), 2))
-    return {pair: n for pair, n in pairs.items() if n >= threshold}
+    found = Counter(pair for items in groups.values() for pair in combinations(sorted(items), 2))
+    return {pair: n for pair, n in found.items() if n >= threshold}
 
 
 # One giant basket can hold a third of all rows; several giants outnumber the threshold.
@@ -40,6 +43,29 @@ def test_frequent_pairs(spark, giants, heavy):
     assert {(r.a, r.b): r.n for r in got.collect()} == _brute_force(rows, 5)
 
 
+@pytest.mark.parametrize("giants", [0, 6])
+def test_frequent_pairs_with_a_sketch(spark, giants):
+    rows = _baskets(giants + 1, baskets=400, items=60, giants=giants)
+    members = spark.createDataFrame(rows, "basket string, item string")
+    counts = item_counts(members, "item").filter("orders >= 12")
+    got = frequent_pairs(members, write_stage(counts, "test_items"), "basket", "item", 12, 20, sketch_from=0)
+    assert {(r.a, r.b): r.n for r in got.collect()} == _brute_force(rows, 12)
+
+
+def test_the_sketch_drops_most_rows_and_no_frequent_pair(spark):
+    rng = random.Random(4)
+    rows = sorted({(f"b{b}", f"i{rng.randrange(3000):04d}", 0) for b in range(3000) for _ in range(10)}
+                  | {(f"b{b}", f"j{j}", 0) for b in range(0, 3000, 50) for j in range(4)})
+    members = write_stage(spark.createDataFrame(rows, "basket string, item string, heavy_orders bigint"), "test_members")
+    met = pairs._met(members)
+    before = pair_rows(members)
+    assert before == met.count()
+    kept = PairSketch(met, 20, before).may_reach(met)
+    frequent = _brute_force([row[:2] for row in rows], 20)
+    assert {(r.a, r.b): r.n for r in light_pairs(members, 20, 0).collect()} == frequent and len(frequent) == 6
+    assert sum(frequent.values()) <= kept.count() < before / 20
+
+
 def test_light_pairs_meet_the_bound(spark):
     rows = [(b, i, int(i[1:]) % 4) for b, i in _baskets(5)]
     members = spark.createDataFrame(rows, "basket string, item string, heavy_orders bigint")

@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerlark.operators import ranking
+from ledgerlark.storage import write_stage
 
 
 def _skewed(spark, n=5000):
@@ -64,10 +65,13 @@ def test_ntile_bucket_equals_ntile(spark, n):
 
 def test_top_share_rules(spark):
     df = spark.createDataFrame([(k, float(v)) for k, v in enumerate([50, 20, 10, 5, 5, 4, 3, 1, 1, 1, 0])], "k long, v double")
-    ceil = ranking.top_share(df, "v", "k", [1, 10, 20], "ceil", suffix="").first()
-    floor = ranking.top_share(df, "v", "k", [1, 10, 20], "floor", suffix="").first()
+    stored = write_stage(ranking.numbered(df, [F.desc("v"), F.asc("k")]), "test_numbered")
+    ceil = ranking.top_share(stored, "v", [1, 10, 20], "ceil", suffix="").first()
+    floor = ranking.top_share(stored, "v", [1, 10, 20], "floor", suffix="").first()
     assert list(ceil) == [50.0, 70.0, 80.0]
     assert list(floor) == [50.0, 50.0, 70.0]
+    leading = ranking.top_share(stored, "v", [50], "ceil", suffix="", leading=F.col("v") > 3).first()
+    assert list(leading) == [round(100 * 80 / 94, 2)]
 
 
 def test_mean_ranks_equal_pandas(spark):

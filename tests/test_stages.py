@@ -11,7 +11,7 @@ from ledgerlark import constants as C
 from ledgerlark.functions.lookup import find_column, find_date_column, first_value
 from ledgerlark.operators.cleaning import clean_transactions
 from ledgerlark.operators.picks import first_names, first_row, modal_names
-from ledgerlark.operators.profile import count_copies
+from ledgerlark.operators.profile import count_copies, repeated_hashes
 from ledgerlark.operators.rollup import customer_facts, name_facts, order_facts, product_facts, product_months, product_orders, roll_up
 from ledgerlark.plans import baskets, cohorts, dashboard, rfm
 from ledgerlark.plans.workspace import Workspace
@@ -37,7 +37,8 @@ def _sheets(spark, rows):
 
 
 def _tx(spark, rows):
-    return clean_transactions(_sheets(spark, rows))
+    raw = _sheets(spark, rows)
+    return clean_transactions(raw, repeated_hashes(raw))
 
 
 LINES = [
@@ -227,5 +228,5 @@ def test_serving_variants(spark):
 
 def test_count_copies(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "a"), (2, None), (2, None), (3, "c")], "n int, t string")
-    assert count_copies(df).first()[0] == 3
-    assert count_copies(df.distinct()).first()[0] == 0
+    assert count_copies(df, repeated_hashes(df)).first()[0] == 3
+    assert count_copies(df.distinct(), repeated_hashes(df)).first()[0] == 0
