@@ -6,7 +6,7 @@ two words, to the left. Patterns and the values met behind them form a graph
 that is scored in turns: a pattern is as good as the distinct values known
 behind it, against those that contradict it (of another kind, or of a shape that
 the kind cannot have); a value as good as its best pattern. A value that is not
-known yet counts neither way. Patterns above a threshold find values
+known yet counts a little against a pattern. Patterns above a threshold find values
 in other forms that the fixed ones miss (a phone number without country code,
 a card number that fails its check digit, an e-mail address written out), and
 these are seeds of the next turn, until no pattern is added.
@@ -16,19 +16,25 @@ run over a long word is possessive or starts behind a look-behind, so time
 grows with the length of the text, not with its square.
 
 Nulls: a null text counts as empty. Rows with equal text and equal or null id
-are treated alike; every row is returned.
+are treated alike; every row is returned, other columns stay, whatever their names.
+An empty table has an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlark.llm.rows import folded, unfolded
 from ledgerlark.storage import write_stage
 
 KINDS = ("email", "ip", "card", "phone")
 LEAST_CONFIDENCE = 0.8
 LEAST_SEEDS = 3
+UNKNOWN = 0.05  # weight of a value that is not known against a pattern
+PRIOR = 0.5
+LOSS = 0.9
+ONE_PHRASE = 3
 
 # The same matches as the plain forms of the contract: \G or the look-behind skips only starts that cannot match.
 FORMS = {
@@ -49,38 +55,68 @@ _OTHER = (
     r"|(?<![A-Za-z0-9._-])[A-Za-z0-9._-]++ ?[(\[]at[)\]] ?[A-Za-z0-9-]++(?: ?(?:[(\[]dot[)\]]|\.) ?[A-Za-z0-9-]++)++"
 )
 _OTHER_HINT = r"[0-9][0-9(). -]{4}|[(\[]at[)\]]"
-_LEFT = 48
+_BLOCK = 64
+_FOUND = "array<struct<start:int,end:int,from:int,to:int,value:string,patterns:array<string>>>"
+_GAPS = "array<struct<gap:int,chars:int,gap_bytes:int,bytes:int,value:string,patterns:array<string>>>"
 
-_SPAN = "array<struct<start:int,end:int,value:string,left:string>>"
 
+def with_matches(rows: DataFrame, name: str, form: str, hint: str) -> DataFrame:
+    """rows (text, ...) with an array `name` of all matches of a form in the text.
 
-def _none() -> Column:
-    return F.array().cast(_SPAN)
+    A match has its code points [start, end), its bytes [from, to), its value and the patterns to its left.
+    A text is scanned only if the cheaper `hint` is found in it. Places are sums over what lies before: over
+    blocks of matches, then inside the block, so time grows with the length of the text and not with its square.
+    """
+    parts, blocks, before = (f"{name}_{x}" for x in ("parts", "blocks", "before"))
+    found = F.arrays_zip(
+        F.split("text", form).alias("gap"), F.regexp_extract_all(F.col("text"), F.lit(form), F.lit(0)).alias("value")
+    )
+    sized = F.transform(
+        F.filter(found, lambda x: x["value"].isNotNull()),
+        lambda x: F.struct(
+            F.char_length(x["gap"]).alias("gap"),
+            (F.char_length(x["gap"]) + F.char_length(x["value"])).alias("chars"),
+            F.octet_length(x["gap"]).alias("gap_bytes"),
+            (F.octet_length(x["gap"]) + F.octet_length(x["value"])).alias("bytes"),
+            x["value"],
+            _patterns(x["gap"]).alias("patterns"),
+        ),
+    )
 
+    def total(items: Column) -> Column:
+        zero = F.struct(F.lit(0).alias("chars"), F.lit(0).alias("bytes"))
+        return F.aggregate(
+            items,
+            zero,
+            lambda t, x: F.struct((t["chars"] + x["chars"]).alias("chars"), (t["bytes"] + x["bytes"]).alias("bytes")),
+        )
 
-def matches(text: Column, form: str, hint: str) -> Column:
-    """All matches of a form as (start, end, value, left): left is the text just before it, at most a few words.
+    def every(count: Column, make) -> Column:
+        return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), make)).otherwise(F.array())
 
-    A text is scanned only if the cheaper `hint` is found in it.
-    """
-    found = F.regexp_extract_all(text, F.lit(form), F.lit(0))
-    parts = F.arrays_zip(F.split(text, form).alias("gap"), found.alias("value"))
-    parts = F.filter(parts, lambda x: x["value"].isNotNull())
-    # (end so far, spans so far)
-    start = F.struct(F.lit(0).alias("at"), _none().alias("spans"))
-
-    def add(state: Column, part: Column) -> Column:
-        begin = state["at"] + F.char_length(part["gap"])
-        end = begin + F.char_length(part["value"])
-        span = F.struct(
-            begin.alias("start"),
-            end.alias("end"),
-            part["value"].alias("value"),
-            F.right(part["gap"], F.lit(_LEFT)).alias("left"),
+    def placed(x: Column, i: Column) -> Column:
+        block = F.floor(i / _BLOCK).cast("int")
+        inside = total(F.slice(parts, block * _BLOCK + 1, i % _BLOCK))
+        chars = F.get(before, block)["chars"] + inside["chars"]
+        octets = F.get(before, block)["bytes"] + inside["bytes"]
+        return F.struct(
+            (chars + x["gap"]).alias("start"),
+            (chars + x["chars"]).alias("end"),
+            (octets + x["gap_bytes"]).alias("from"),
+            (octets + x["bytes"]).alias("to"),
+            x["value"],
+            x["patterns"],
         )
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
-    return F.when(text.rlike(hint), F.aggregate(parts, start, add, lambda s: s["spans"])).otherwise(_none())
+    # every step reads the one before more than once, so that none is evaluated anew for each match
+    count = F.ceil(F.size(parts) / _BLOCK).cast("int")
+    return (
+        rows.withColumn(parts, F.when(F.col("text").rlike(hint), sized).otherwise(F.array().cast(_GAPS)))
+        .withColumn(blocks, every(count, lambda b: total(F.slice(parts, b * _BLOCK + 1, F.lit(_BLOCK)))))
+        .withColumn(before, every(F.size(blocks), lambda b: total(F.slice(blocks, F.lit(1), b))))
+        .withColumn(name, F.when(F.size(before) > 0, F.transform(parts, placed)).otherwise(F.array().cast(_FOUND)))
+        .drop(parts, blocks, before)
+    )
 
 
 def passes_luhn(digits: Column) -> Column:
@@ -113,16 +149,24 @@ def _is_valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def base_spans(text: Column) -> Column:
-    """Array of (kind, start, end, value, left) of the fixed forms, by kind, then start. kind is a place in KINDS."""
-    return F.concat(*(_of_kind(text, number, kind) for number, kind in enumerate(KINDS)))
+def with_base(rows: DataFrame) -> DataFrame:
+    """rows with an array `base` of the fixed forms, by kind, then start: the matches with `kind`, a place in KINDS."""
+    columns = rows.columns
+    found = []
+    for number, kind in enumerate(KINDS):
+        rows = with_matches(rows, f"of_{kind}", FORMS[kind], _HINTS[kind])
+        found.append(_valid(f"of_{kind}", number, kind))
+    return rows.select(*columns, F.concat(*found).alias("base"))
 
 
-def _of_kind(text: Column, number: int, kind: str) -> Column:
-    valid = F.filter(matches(text, FORMS[kind], _HINTS[kind]), lambda x: _is_valid(kind, x["value"]))
-    return F.transform(
-        valid, lambda x: F.struct(F.lit(number).alias("kind"), x["start"], x["end"], x["value"], x["left"])
-    )
+def _valid(matches: str, number: int, kind: str) -> Column:
+    """The matches that pass the checks of their kind."""
+    return F.transform(F.filter(matches, lambda x: _is_valid(kind, x["value"])), lambda x: _span(F.lit(number), x))
+
+
+def _span(kind: Column, x: Column) -> Column:
+    fields = ("start", "end", "from", "to", "value", "patterns")
+    return F.struct(kind.cast("int").alias("kind"), *[x[f].alias(f) for f in fields])
 
 
 def possible_kinds(value: Column) -> Column:
@@ -140,8 +184,9 @@ def possible_kinds(value: Column) -> Column:
 def _patterns(left: Column) -> Column:
     """The last word and the last two words, in lower case, with their punctuation."""
     words = F.filter(F.split(F.lower(left), r"[\x20\x09-\x0D]+"), lambda x: x != "")
-    two = F.when(F.size(words) > 1, F.concat_ws(" ", F.slice(words, -2, 2)))
-    return F.array_compact(F.array(F.when(F.size(words) > 0, F.get(words, F.size(words) - 1)), two))
+    last = F.slice(F.concat(F.array(F.lit(None).cast("string")), F.reverse(words)), 2, 2)
+    return F.transform(F.array_compact(F.array(F.get(last, F.lit(0)), F.get(last, F.lit(1)))), lambda x, i: F.when(
+        i == 0, x).otherwise(F.concat(x, F.lit(" "), F.get(last, F.lit(0)))))
 
 
 def trusted_patterns(
@@ -149,14 +194,19 @@ def trusted_patterns(
 ) -> DataFrame:
     """(pattern, kind, confidence) of the patterns that the pattern-instance graph confirms.
 
-    `facts` has a row per occurrence: pattern, value, kind (null for a value in another form)
-    and may (places in KINDS that its shape allows). Confidence of a pattern for a kind: the summed scores
-    of the distinct values of the kind behind it, over that sum and the number of values that contradict it.
-    A seed has score 1, a value that was found the confidence of the best pattern that has found it; it is
-    of that pattern's kind from then on.
+    `facts` has a row per occurrence: pattern, wider (for a pattern of one word, the one of two words around it),
+    value, kind (null for a value in another form) and may (places in KINDS that its shape allows). Confidence of
+    a pattern for a kind: the summed scores of the distinct values of the kind behind it, over that sum, the number
+    of values that contradict it, `UNKNOWN` for every value that is not known, and `PRIOR`. A seed has score 1; a
+    value that was found has the confidence of the best pattern that has found it times `LOSS`, and is of that
+    pattern's kind from then on. A pattern of one word whose known values all stand behind one phrase of two words
+    needs `ONE_PHRASE` times as many: a phrase says little about its last word alone.
     """
     edges = write_stage(
-        facts.groupBy("pattern", "value").agg(F.min("kind").alias("kind"), F.first("may").alias("may")), "pattern_edges"
+        facts.groupBy("pattern", "value").agg(
+            F.min("kind").alias("kind"), F.first("may").alias("may"), F.min("wider").alias("first"), F.max("wider").alias("last")
+        ),
+        "pattern_edges",
     )
     labelled = edges.withColumn("score", F.lit(1.0))
     trusted, n_trusted = None, 0
@@ -169,15 +219,20 @@ def trusted_patterns(
                 F.count_if(of[k]).alias("seeds"),
                 F.coalesce(F.sum(F.when(of[k], F.col("score"))), F.lit(0.0)).alias("good"),
                 F.count_if(against[k]).alias("bad"),
+                F.count_if(F.col("kind").isNull() & F.array_contains("may", k)).alias("unknown"),
+                F.min(F.when(of[k], F.col("first"))).alias("first"),
+                F.max(F.when(of[k], F.col("last"))).alias("last"),
             )
             for k in of
         ]
+        several = F.contains("pattern", F.lit(" ")) | (F.col("s.first") != F.col("s.last"))
+        against_all = F.col("s.good") + F.col("s.bad") + UNKNOWN * F.col("s.unknown") + PRIOR
         sure = (
             labelled.groupBy("pattern")
             .agg(F.array(*sums).alias("sums"))
             .select("pattern", F.explode("sums").alias("s"))
-            .where(F.col("s.seeds") >= least_seeds)
-            .select("pattern", "s.kind", (F.col("s.good") / (F.col("s.good") + F.col("s.bad"))).alias("confidence"))
+            .where(F.col("s.seeds") >= F.when(several, least_seeds).otherwise(ONE_PHRASE * least_seeds))
+            .select("pattern", "s.kind", (F.col("s.good") / against_all).alias("confidence"))
             .where(F.col("confidence") >= least_confidence)
         )
         if trusted is not None:  # what was trusted stays, with the confidence that it was trusted for
@@ -194,81 +249,66 @@ def trusted_patterns(
             .join(trusted, ["pattern", "kind"])
             .groupBy("value")
             .agg(best)
-            .select("value", (-F.col("best.kind")).alias("_kind"), F.col("best.confidence").alias("_score"))
+            .select("value", (-F.col("best.kind")).alias("_kind"), (F.col("best.confidence") * LOSS).alias("_score"))
         )
         labelled = write_stage(
             edges.join(found, "value", "left").select(
                 "pattern",
                 F.coalesce("kind", "_kind").alias("kind"),
                 "may",
+                "first",
+                "last",
                 F.when(F.col("kind").isNull(), F.col("_score")).otherwise(1.0).alias("score"),
             ),
             "pattern_labels",
         )
 
 
+def _apart(seen: DataFrame) -> DataFrame:
+    """Spans of fixed forms, and those of the other spans that overlap none of them."""
+    of_text, fixed = Window.partitionBy("doc_id", "row_hash"), F.col("kind").isNotNull()
+    # both windows grow from their first row: one that ends with the last row would be computed anew for each
+    forth = of_text.orderBy(F.asc("start"), F.asc_nulls_last("kind")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    back = of_text.orderBy(F.desc("start"), F.desc_nulls_first("kind")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.max(F.when(fixed, F.col("end"))).over(forth)
+    after = F.min(F.when(fixed, F.col("start"))).over(back)
+    free = (F.coalesce("_before", F.lit(0)) <= F.col("start")) & (F.coalesce("_after", F.col("end")) >= F.col("end"))
+    return seen.withColumns({"_before": before, "_after": after}).where(fixed | free).drop("_before", "_after")
+
+
 def find(docs: DataFrame) -> DataFrame:
     """(doc_id, row_hash, base, spans) per row of docs (doc_id, text).
 
-    base and spans are arrays of (kind, start, end) by kind, then start; spans has the base spans and
-    those that learned patterns add.
+    base and spans are arrays of (kind, start, end, from, to) by kind, then start: code points [start, end) and bytes
+    [from, to). spans has the base spans and those that learned patterns add.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    other = F.transform(
-        F.filter(
-            matches(text, _OTHER, _OTHER_HINT),
-            lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])),
-        ),
-        lambda x: F.struct(x["start"], x["end"], x["value"], x["left"], possible_kinds(x["value"]).alias("may")),
-    )
-    rows = (
-        docs.select("doc_id", text.alias("text"))
-        .withColumn("base", base_spans(F.col("text")))
-        .select(
-            "doc_id",
-            F.xxhash64("text").alias("row_hash"),
-            "base",
-            other.alias("other"),
-        )
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = with_matches(with_base(rows), "other", _OTHER, _OTHER_HINT)
+    rows = write_stage(rows.select("doc_id", F.xxhash64("text").alias("row_hash"), "base", "other"), "spans")
+    other = F.transform("other", lambda x: F.struct(_span(F.lit(None), x).alias("x"), possible_kinds(x["value"]).alias("may")))
+    fixed = F.transform("base", lambda x: F.struct(x.alias("x"), F.array(x["kind"]).alias("may")))
+    seen = rows.select("doc_id", "row_hash", F.explode(F.concat(fixed, other)).alias("s"))
+    seen = _apart(seen.select("doc_id", "row_hash", "s.x.*", "s.may"))
+    facts = seen.select("*", F.posexplode("patterns").alias("words", "pattern")).withColumn(
+        "wider", F.when(F.col("words") == 0, F.coalesce(F.get("patterns", F.lit(1)), F.lit("")))
     )
-    rows = write_stage(rows, "spans")
-    seen = rows.select(
-        "doc_id",
-        "row_hash",
-        F.explode(
-            F.concat(
-                F.transform(
-                    "base",
-                    lambda x: F.struct(
-                        x["kind"], x["start"], x["end"], x["value"], x["left"], F.array(x["kind"]).alias("may")
-                    ),
-                ),
-                F.transform(
-                    "other",
-                    lambda x: F.struct(
-                        F.lit(None).cast("int").alias("kind"), x["start"], x["end"], x["value"], x["left"], x["may"]
-                    ),
-                ),
-            )
-        ).alias("s"),
-    ).select("doc_id", "row_hash", "s.*")
-    facts = seen.withColumn("pattern", F.explode(_patterns(F.col("left"))))
     trusted = trusted_patterns(facts).select("pattern", "kind")
+    place = ["kind", "start", "end", "from", "to"]
     added = (
         facts.where("kind is null")
-        .select("doc_id", "row_hash", "start", "end", "pattern", F.explode("may").alias("kind"))
+        .select("doc_id", "row_hash", *place[1:], "pattern", F.explode("may").alias("kind"))
         .join(trusted, ["pattern", "kind"])
         .groupBy("doc_id", "row_hash")
-        .agg(F.sort_array(F.collect_set(F.struct("kind", "start", "end"))).alias("_added"))
-        .toDF("_id", "_hash", "_added")
+        .agg(F.sort_array(F.collect_set(F.struct(*place))).alias("added"))
+        .withColumnsRenamed({"doc_id": "id", "row_hash": "hash"})
     )
-    base = F.transform("base", lambda x: F.struct(x["kind"], x["start"], x["end"]))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row_hash") == F.col("_hash"))
+    base = F.transform("base", lambda x: F.struct(*[x[p].alias(p) for p in place]))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row_hash") == F.col("hash"))
     return rows.join(added, same, "left").select(
         "doc_id",
         "row_hash",
         base.alias("base"),
-        F.when(F.col("_added").isNull(), base).otherwise(F.sort_array(F.concat(base, F.col("_added")))).alias("spans"),
+        F.when(F.col("added").isNull(), base).otherwise(F.sort_array(F.concat(base, F.col("added")))).alias("spans"),
     )
 
 
@@ -280,23 +320,40 @@ def written(spans: Column) -> Column:
     )
 
 
+def _marks(found: DataFrame) -> DataFrame:
+    """(id, hash, marks) per text with spans: the places to replace, (from, to, kind) in order; spans that overlap are one."""
+    spans = found.where("size(spans) > 0").dropDuplicates(["doc_id", "row_hash"])
+    spans = spans.select(F.col("doc_id").alias("id"), F.col("row_hash").alias("hash"), F.explode("spans").alias("s"))
+    spans = spans.select("id", "hash", "s.from", "s.to", "s.kind")
+    of_text = Window.partitionBy("id", "hash").orderBy("from", "to", "kind")
+    before = F.max("to").over(of_text.rowsBetween(Window.unboundedPreceding, -1))
+    opens = (F.coalesce(before, F.lit(0)) <= F.col("from")).cast("int")
+    group = F.sum("opens").over(of_text.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    merged = spans.withColumn("opens", opens).withColumn("group", group).groupBy("id", "hash", "group")
+    first = F.min(F.struct("from", "to", "kind"))
+    places = merged.agg(first.alias("first"), F.max("to").alias("to"))
+    place = F.struct(F.col("first.from").alias("from"), "to", F.col("first.kind").alias("kind"))
+    return places.groupBy("id", "hash").agg(F.sort_array(F.collect_list(place)).alias("marks"))
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """docs with every span replaced by its kind in capitals and brackets; spans that overlap become one."""
-    found = find(docs.select("doc_id", "text")).where("size(spans) > 0").dropDuplicates(["doc_id", "row_hash"])
-    found = found.select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"), F.col("spans").alias("_spans"))
+    marks = _marks(find(docs.select("doc_id", "text")))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    by_place = F.array_sort(F.transform("_spans", lambda x: F.struct(x["start"], x["end"], x["kind"])))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("hash"))
+    rows = folded(docs).join(marks, same, "left")
 
-    def replace(state: Column, span: Column) -> Column:
-        gap = F.substr("text", state["at"] + 1, span["start"] - state["at"])
-        done = F.concat(state["done"], gap, F.get(names, span["kind"]))
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(span["start"] >= state["at"], done).otherwise(state["done"]).alias("done"),
-        )
+    def masked(data: Column) -> Column:
+        def part(begin: Column, length: Column) -> Column:
+            return F.substr(data, begin + 1, length).cast("string")  # of bytes: its time is its own length
+
+        def piece(x: Column, i: Column) -> Column:
+            begin = F.coalesce(F.get("marks", i - 1)["to"], F.lit(0))
+            return F.concat(part(begin, x["from"] - begin), F.get(names, x["kind"]))
+
+        last = F.element_at("marks", -1)["to"]
+        return F.array_join(F.concat(F.transform("marks", piece), F.array(part(last, F.octet_length(data) - last))), "")
 
-    rest = lambda s: F.concat(s["done"], F.substr("text", s["at"] + 1))
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.aggregate(by_place, start, replace, rest))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash"))
-    return docs.join(found, same, "left").withColumn("text", text).select(*docs.columns)
+    # a list of one, so that the bytes are taken once for a text and not once for every span
+    whole = F.get(F.transform(F.array(F.col("text").cast("binary")), masked), F.lit(0))
+    return unfolded(rows, docs, F.when(F.col("marks").isNull(), F.col("text")).otherwise(whole))

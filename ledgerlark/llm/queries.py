@@ -52,12 +52,9 @@ def packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def shared_lines(spark: SparkSession, folder: str) -> DataFrame:
-    kept = line_dedup.remove_shared_lines(_table(spark, folder, "documents").select("doc_id", "text"))
+    kept = line_dedup.deduplicated(_table(spark, folder, "documents").select("doc_id", "text"))
     return kept.select(
-        "doc_id",
-        F.col("_n_lines").alias("n_lines"),
-        F.col("_n_dropped").alias("n_dropped"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
+        "row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
     )
 
 
@@ -68,11 +65,11 @@ def toxic_documents(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, model).select(
         "doc_id",
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
-        F.col("_score").alias("score"),
-        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
-        F.col("_start").alias("worst_start"),
-        F.col("_end").alias("worst_end"),
-        F.col("_worst").alias("worst_score"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.col("start").alias("worst_start"),
+        F.col("end").alias("worst_end"),
+        F.col("worst").alias("worst_score"),
     )
 
 

@@ -18,11 +18,11 @@ the component id null.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -30,13 +30,16 @@ from pyspark.sql import functions as F
 
 from ledgerlark.llm.buckets import Forest, cells, neighbours, runs
 from ledgerlark.llm.components import connected_components
+from ledgerlark.llm.rows import folded, unfolded
 from ledgerlark.storage import write_stage
 
 SHINGLE_WORDS = 3
 RADIUS = 3
 PIVOTS = 16
 _SEED = 42
-_CHUNK = 1 << 16
+_CHUNK = 1 << 14
+_PIECE = 1 << 20
+_SPACE = re.compile(rb"[ \t-\r]")
 
 
 def references(count: int = PIVOTS) -> list[int]:
@@ -44,32 +47,47 @@ def references(count: int = PIVOTS) -> list[int]:
     return [xxhash.xxh64_intdigest(str(i)) for i in range(count)]
 
 
-def simhash(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
-    """Majority of the bits of the hashes of all word shingles, as a signed long; zero without words."""
-    words = (text or "").encode("utf-8").lower().split()
-    if not words:
-        return 0
-    flat = b" ".join(words)
-    if len(words) <= shingle_words:
-        return int.from_bytes(xxhash.xxh64_digest(flat, _SEED), "big", signed=True)
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    ends = np.cumsum(sizes + 1) - 1
-    starts = (ends - sizes)[: 1 - shingle_words] if shingle_words > 1 else ends - sizes
-    ends = ends[shingle_words - 1 :]
-    digest, ones = xxhash.xxh64_digest, np.zeros(64, np.int64)
-    for at in range(0, len(starts), _CHUNK):
-        spans = zip(starts[at : at + _CHUNK].tolist(), ends[at : at + _CHUNK].tolist())
-        hashes = b"".join([digest(flat[s:e], _SEED) for s, e in spans])
-        ones += np.unpackbits(np.frombuffer(hashes, np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.uint32)
-    return int.from_bytes(np.packbits(2 * ones > len(starts)).tobytes(), "big", signed=True)
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """The text in pieces of bounded size that end between words."""
+    start = 0
+    while len(text) - start > _PIECE:
+        cut = _SPACE.search(text, start + _PIECE)
+        if not cut:
+            break
+        yield text[start : cut.start()]
+        start = cut.start()
+    yield text[start:]
+
+
+def simhash(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
+    """Majority of the bits of the hashes of all word shingles of a UTF-8 text, as a signed long; zero without words."""
+    digest, ones, count, words = xxhash.xxh64_digest, np.zeros(64, np.int64), 0, []
+    for piece in _pieces(text):
+        words = words[len(words) - shingle_words + 1 :] if count else words  # those that go on in this piece
+        words += piece.lower().split()
+        if len(words) < shingle_words:
+            continue
+        flat = b" ".join(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(sizes + 1) - 1
+        starts = (ends - sizes)[: len(words) - shingle_words + 1].tolist()
+        ends = ends[shingle_words - 1 :].tolist()
+        for at in range(0, len(starts), _CHUNK):
+            spans = zip(starts[at : at + _CHUNK], ends[at : at + _CHUNK])
+            hashes = b"".join([digest(flat[s:e], _SEED) for s, e in spans])
+            ones += np.unpackbits(np.frombuffer(hashes, np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.uint32)
+        count += len(starts)
+    if not count:
+        return int.from_bytes(digest(b" ".join(words), _SEED), "big", signed=True) if words else 0
+    return int.from_bytes(np.packbits(2 * ones > count).tobytes(), "big", signed=True)
 
 
 def fingerprint(text: Column, shingle_words: int = SHINGLE_WORDS) -> Column:
     """SimHash of a text column as a long."""
 
-    @F.pandas_udf("long")
-    def column(texts: pd.Series) -> pd.Series:
-        return pd.Series([simhash(t, shingle_words) for t in texts], dtype="int64")
+    @F.arrow_udf("long")
+    def column(texts: pa.Array) -> pa.Array:
+        return pa.array([simhash(t.as_py() or b"", shingle_words) for t in texts.cast(pa.binary())], pa.int64())
 
     return column(text)
 
@@ -157,15 +175,19 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """The rows of docs with one document of each component: the one with the least doc_id (any, if all are null)."""
-    marked = write_stage(
-        docs.withColumn("_fp", fingerprint(F.col("text"), shingle_words)), "fingerprinted"
-    )
-    groups = components(marked.select("doc_id", F.col("_fp").alias("fp")), radius)
-    groups = groups.select(F.col("fp").alias("_fp"), F.col("root").alias("_root"), F.col("component_id").alias("_least"))
-    return (
-        marked.join(groups, "_fp")
-        .where(F.col("doc_id").eqNullSafe(F.col("_least")))
-        .dropDuplicates(["_root"])
-        .select(*docs.columns)
+    """The rows of docs with one document of each component: the one with the least doc_id (any, if all are null).
+
+    Which rows stay is found from ids, hashes and fingerprints alone; then texts are shuffled once.
+    """
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    marks = write_stage(
+        docs.select("doc_id", text_hash.alias("hash"), fingerprint(F.col("text"), shingle_words).alias("fp")), "fingerprinted"
     )
+    groups = components(marks.select("doc_id", "fp"), radius)
+    least = marks.join(groups, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = least.groupBy("root").agg(F.min(F.struct("doc_id", "hash")).alias("kept"))
+    kept = kept.select(F.col("kept.doc_id").alias("id"), "kept.hash")
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (text_hash == F.col("hash"))
+    rows = folded(docs).join(write_stage(kept, "kept_documents"), same)
+    # a repeated row is there once, and so is one of several without an id
+    return unfolded(rows.dropDuplicates(["id", "hash"]), docs)

@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TRAIN_DOCS = 2000
@@ -174,14 +174,14 @@ class _Weights(dict):
         return value
 
 
-def score(docs: DataFrame, model: tuple) -> DataFrame:
-    """docs with _score and the worst sentence: _start, _end (code points) and _worst, its own score."""
+def scored(text: Column, model: tuple) -> Column:
+    """(score, start, end, worst) of a text: its score, and its worst sentence with that sentence's own score."""
     weights, bias, leak = model
     weights = None if weights is None else weights.astype(np.float32)
     stray = math.log1p(math.exp(leak))
 
     @F.pandas_udf("score double, start int, end int, worst double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         of = None if weights is None else _Weights(weights).__getitem__
         for texts in batches:
             rows = []
@@ -197,6 +197,14 @@ def score(docs: DataFrame, model: tuple) -> DataFrame:
                 rows.append((-math.expm1(-none), start, end, 1.0 / (1.0 + math.exp(-max(-500.0, logits[worst])))))
             yield pd.DataFrame(rows, columns=["score", "start", "end", "worst"])
 
-    return docs.withColumn("_found", scored("text")).select(
-        *docs.columns, *[F.col(f"_found.{c}").alias(f"_{c}") for c in ("score", "start", "end", "worst")]
-    )
+    return found(text)
+
+
+def score(docs: DataFrame, model: tuple) -> DataFrame:
+    """(doc_id, text, score, start, end, worst) per row of docs: offsets of the worst sentence are code points."""
+    return docs.select("doc_id", "text", scored(F.col("text"), model).alias("found")).select("doc_id", "text", "found.*")
+
+
+def accepted(docs: DataFrame, model: tuple, threshold: float = 0.5) -> DataFrame:
+    """The rows of docs with a score below the threshold."""
+    return docs.where(scored(F.col("text"), model)["score"] < threshold)

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 from check import connect, difference
+from pyspark.sql import functions as F
 
 from ledgerlark.llm import (
     buckets,
@@ -112,8 +113,9 @@ def test_op1_odd_rows(odd, empty):
     by_id = {r.doc_id: r for r in found if r.doc_id}
     assert by_id[1].fp == 0 and by_id[3].component_id == 1 and by_id[6].component_id == 5
     assert {r.component_id for r in found if r.doc_id is None} == {1, None}
+    odd = odd.withColumns({name: F.lit(7) for name in ("_root", "_fp", "_least", "row", "hash", "id", "root")})
     kept = simhash_pivots.keep_one(odd)
-    assert kept.columns == odd.columns
+    assert kept.columns == odd.columns and all(r._root == r.hash == 7 and r.fp == "x" for r in kept.collect())
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 4, 5, 7, 9]
     assert simhash_pivots.near_duplicates(empty).count() == 0
 
@@ -195,11 +197,15 @@ def test_op4_learns_words_and_finds_sentences(spark, odd, empty):
             sentences[len(sentences) // 2] += " nasty"
         rows.append((i, ". ".join(sentences), int(i % 4 == 0)))
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
-    scored = toxicity.score(docs, toxicity.train(docs, docs)).collect()
-    assert all((r._score >= 0.5) == bool(r.toxic) for r in scored)
-    assert all("nasty" in r.text[r._start : r._end] for r in scored if r.toxic)
+    model = toxicity.train(docs, docs)
+    scored = toxicity.score(docs, model).join(docs.select("doc_id", "toxic"), "doc_id").collect()
+    assert all((r.score >= 0.5) == bool(r.toxic) for r in scored)
+    assert all("nasty" in r.text[r.start : r.end] for r in scored if r.toxic)
+    clashing = docs.withColumnsRenamed({"toxic": "_score"}).withColumns({"score": F.lit(1), "found": F.lit("x")})
+    kept = toxicity.accepted(clashing, model)
+    assert kept.columns == clashing.columns and {r.doc_id for r in kept.collect()} == {r[0] for r in rows if not r[2]}
     labels = spark.createDataFrame([(4, None), (None, 1), (5, 0)], "doc_id long, toxic int")
-    assert {r._score for r in toxicity.score(odd, toxicity.train(odd, labels)).collect()} == {0.0}
+    assert {r.score for r in toxicity.score(odd, toxicity.train(odd, labels)).collect()} == {0.0}
     assert toxicity.score(empty, toxicity.train(empty, labels)).count() == 0
 
 
@@ -212,9 +218,9 @@ def test_op4_few_labels_are_not_learnt_by_heart(spark):
             words[5] = random.choice(["nasty", "rotten"])
         rows.append((i, " ".join(words), int(i % 8 == 0)))
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
-    scored = toxicity.score(docs, toxicity.train(docs, docs)).collect()
+    scored = toxicity.score(docs, toxicity.train(docs, docs)).join(docs.select("doc_id", "toxic"), "doc_id").collect()
     held = [r for r in scored if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
-    assert sum(r.toxic for r in held) >= 5 and all((r._score >= 0.5) == bool(r.toxic) for r in held)
+    assert sum(r.toxic for r in held) >= 5 and all((r.score >= 0.5) == bool(r.toxic) for r in held)
 
 
 def test_op4_telling_features():
@@ -250,12 +256,17 @@ def test_sql_twins(spark, name):
 def test_op5_odd_rows(spark, empty):
     line = "A line that is long enough"
     rows = [(i, f"{line}\nown {i}\n\t{line.upper()} ") for i in range(4)] + [(None, line), (9, None), (3, f"{line}\nown 3")]
-    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, _lines int")
-    found = line_dedup.remove_shared_lines(docs).collect()
-    assert Counter((r.doc_id, r.text, r._n_lines, r._n_dropped) for r in found) == Counter(
-        [(i, f"own {i}", 3, 2) for i in range(3)]
-        + [(3, rows[3][1], 3, 0), (3, f"{line}\nown 3", 2, 0), (None, "", 1, 1), (9, "", 1, 0)]
+    names = ["_lines", "lines", "words", "keeps", "row", "id", "_id", "row_hash", "_dropped", "kept", "n_lines", "n_dropped"]
+    docs = spark.createDataFrame(
+        [(i, t, *range(len(names))) for i, t in rows], f"doc_id long, text string, {', '.join(f'{n} int' for n in names)}"
     )
+    found = line_dedup.deduplicated(docs).collect()
+    want = [(i, f"own {i}", 3, 2) for i in range(3)]
+    want += [(3, rows[3][1], 3, 0), (3, f"{line}\nown 3", 2, 0), (None, "", 1, 1), (9, "", 1, 0)]
+    assert Counter((r.row.doc_id, r.kept, r.n_lines, r.n_dropped) for r in found) == Counter(want)
+    kept = line_dedup.remove_shared_lines(docs)
+    assert kept.columns == docs.columns
+    assert Counter(map(tuple, kept.collect())) == Counter((i, t, *range(len(names))) for i, t, _, _ in want)
     assert line_dedup.remove_shared_lines(empty.select("doc_id", "text")).count() == 0
 
 
@@ -263,8 +274,17 @@ def test_op5_lines_behind_the_first_word_of_the_bitmap(spark):
     line = "A line that is long enough"
     text = "\n".join([f"line {i}" for i in range(200)] + [line] + [f"more {i}" for i in range(100)] + [line])
     docs = spark.createDataFrame([(i, text) for i in range(3)], "doc_id long, text string")
-    found = {r.doc_id: (r.text, r._n_dropped) for r in line_dedup.remove_shared_lines(docs).collect()}
+    found = {r.row.doc_id: (r.kept, r.n_dropped) for r in line_dedup.deduplicated(docs).collect()}
     assert found[0][0] == text.replace(f"\n{line}", "") and found[0][1] == 2 and found[2] == (text, 0)
+    # only the words of lines 200 and 301 are written down
+    bitmaps = line_dedup.keep_bitmaps(docs).collect()
+    assert [[(p.word, p.mask) for p in r.keeps] for r in bitmaps] == [[(3, ~(1 << 8)), (4, ~(1 << 45))]] * 2
+
+
+def test_op5_a_line_in_every_document(spark):
+    rows = [(i, f"A line that all documents hold\nown line number {i} of them") for i in range(3000)]
+    found = line_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.row.doc_id for r in found if not r.n_dropped) == [2999] and len(found) == 3000
 
 
 def test_op6_pages():
@@ -450,6 +470,40 @@ def test_op9_unknown_values_do_not_count_as_errors_and_found_values_are_seeds(sp
         assert (masked[i] == text) == (text in kept), (text, masked[i])
 
 
+def test_op9_leaves_ordinary_numbers_alone(spark):
+    at = [f"get us at +49 30 555{i:04d} now" for i in range(3)]
+    amounts = [f"the stock was valued at 12{i:06d} units" for i in range(200)]
+    dates = [f"it stood at 2019-{1 + i % 12:02d}-{1 + i % 28:02d} again" for i in range(50)]
+    ring = [f"so ring us at: +49 30 666{i:04d} now" for i in range(3)] + [f"so ring us at: 030 77{i} 88{i} now" for i in range(5)]
+    shared = [f"see invoice 030 77{i} 88{i} there" for i in range(5)]
+    invoices = [f"see invoice 7770{i:05d} there" for i in range(300)]
+    texts = [*at, *amounts, *dates, *ring, *shared, *invoices]
+    masked = {r.doc_id: r.text for r in pii.redact(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, text in enumerate(texts):
+        assert (masked[i] == text) == (text in {*amounts, *dates, *invoices, *shared}), (text, masked[i])
+
+
+def test_op9_many_spans_and_long_words(spark):
+    import time
+
+    number = [f"+49 30 {i:07d}" for i in range(50_000)]
+    text = "ü call " + " and ".join(number) + " " + "w" * 300 + " +49 30 1234567"
+    names = ["_spans", "_id", "marks", "id", "hash", "data", "row"]
+    docs = spark.createDataFrame([(1, text, *range(7))], f"doc_id long, text string, {', '.join(f'{n} int' for n in names)}")
+    start = time.time()
+    found = pii.find(docs).collect()[0]
+    want = [(m.start(), m.end()) for m in re.finditer(r"\+49 30 \d{7}", text)]
+    assert [(s.start, s.end) for s in found.base if s.kind == 3] == want
+    assert [text.encode()[s["from"] : s.to].decode() for s in found.base if s.kind == 3][-2:] == [number[-1], "+49 30 1234567"]
+    clean = pii.redact(docs)
+    assert clean.columns == docs.columns
+    assert tuple(clean.collect()[0]) == (1, re.sub(r"\+49 30 \d{7}", "[PHONE]", text), *range(7))
+    assert time.time() - start < 60
+    rows = spark.createDataFrame([("a " + "w" * 300 + " 1",), ("one",), ("",), ("A  b\tC ",)], "t string")
+    patterns = [r.p for r in rows.select(pii._patterns(F.col("t")).alias("p")).collect()]
+    assert patterns == [["1", "w" * 300 + " 1"], ["one"], [], ["c", "b c"]]
+
+
 def test_op10_against_the_library(spark, texts, odd):
     from sentencepiece import SentencePieceProcessor
 
