@@ -20,12 +20,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below 0.5."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     model = toxicity.train(docs.select("doc_id", "text"), labels)
-    return toxicity.score(docs, model).where("_score < 0.5").select(*docs.columns)
+    return toxicity.accepted(docs, model)
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that three or more of them share; one holder keeps each."""
-    return _with_length(docs, line_dedup.remove_shared_lines(docs).select(*docs.columns))
+    return _with_length(docs, line_dedup.remove_shared_lines(docs))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
