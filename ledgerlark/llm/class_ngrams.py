@@ -48,7 +48,7 @@ ALL = 1 + CLASSES + BANDS  # the end token's class, those of frequent words, the
 ROUNDS = 12
 FEW = 0.1  # rounds end when at most this share of the words moves
 FOLDS, HELD_OUT = 7, 2
-_BLOCK_CHARS = 1 << 22
+_BLOCK_CHARS = 6 << 20
 _PAIR_DOCS = 256
 _PART_WORDS = 200_000  # words of blocks in a part of a round, about
 _ENTRIES = 10_000
@@ -148,32 +148,59 @@ def _first_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(total[pair])], names=["pair", "n"])
 
 
-def _around(label: np.ndarray, turn: int | None, parts: int) -> Callable:
-    """Task function: the classes of a block's words, their pairs and sizes, and those around each word that is not frequent.
+def _classes(label: np.ndarray) -> Callable:
+    """Task function: the classes of a block's words after the moves of the round before, their pairs and sizes.
 
-    `label` has the class of every symbol at first; `classes` and `moves` are those of the round before. With a `turn`, 0 or 1,
-    half of the words are listed, by their hash. Lists come in `parts`, by the hash too.
+    `label` has the class of every symbol at first.
     """
 
-    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from zstandard import ZstdCompressor
 
         squeeze = ZstdCompressor(level=1).compress
         for row in _rows(batches):
-            symbols = _unpacked(row["symbols"], np.uint16)
-            first, hashes = _unpacked(row["firsts"], bool), _unpacked(row["hashes"], np.int64)
+            symbols, first = _unpacked(row["symbols"], np.uint16), _unpacked(row["firsts"], bool)
             classes = label[symbols].astype(np.uint8) if row["classes"] is None else _unpacked(row["classes"], np.uint8).copy()
-            other = (symbols >= FREQUENT) & (symbols != FREQUENT + BANDS - 1)
             moved = 0
             for move in row["moves"] or []:
                 move = _unpacked(move, np.int64)
                 at, new = move >> 8, (move & 255).astype(np.uint8)
                 moved += int((first[at] & (classes[at] != new)).sum())
                 classes[at] = new
-            sizes = np.append(np.bincount(classes[first & other], minlength=ALL), moved)
-            at = _taught(row)
-            c = np.append(classes, END)[at].astype(np.int64)
+            sizes = np.append(np.bincount(classes[first & _is_other(symbols)], minlength=ALL), moved)
+            c = np.append(classes, END)[_taught(row)].astype(np.int32)
             grid = np.bincount(c[:-1] * ALL + c[1:], minlength=ALL * ALL)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["block"]]), pa.array([squeeze(classes.tobytes())]), pa.array([grid], pa.list_(pa.int64())),
+                 pa.array([sizes], pa.list_(pa.int64()))],
+                names=["block", "classes", "grid", "sizes"],
+            )
+
+    return settle
+
+
+_SETTLED = "block long, classes binary, grid array<long>, sizes array<long>"
+
+
+def _is_other(symbols: np.ndarray) -> np.ndarray:
+    """Words of the training text that are not frequent."""
+    return (symbols >= FREQUENT) & (symbols != FREQUENT + BANDS - 1)
+
+
+def _around(turn: int | None, parts: int) -> Callable:
+    """Task function: the counts of the classes around each word of a block that is not frequent, by part.
+
+    With a `turn`, 0 or 1, half of the words are listed, by their hash. Lists come in `parts`, by the hash too.
+    """
+
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from zstandard import ZstdCompressor
+
+        squeeze = ZstdCompressor(level=1).compress
+        for row in _rows(batches):
+            symbols, hashes = _unpacked(row["symbols"], np.uint16), _unpacked(row["hashes"], np.int64)
+            classes, other, at = _unpacked(row["classes"], np.uint8), _is_other(symbols), _taught(row)
+            c = np.append(classes, END)[at].astype(np.int64)
             # the listed words by part and hash; also those that this block has in held-out documents only
             listed = np.flatnonzero(other if turn is None else other & (hashes & 1 == turn))
             part = (hashes[listed] >> 1) % parts
@@ -182,8 +209,8 @@ def _around(label: np.ndarray, turn: int | None, parts: int) -> Callable:
             rank = np.full(len(symbols) + 1, -1)
             rank[listed] = np.arange(len(listed))
             place = np.flatnonzero(rank[at] >= 0)
-            keys = [rank[at[place]] * (2 * ALL) + c[place + 1], rank[at[place]] * (2 * ALL) + ALL + c[place - 1]]
-            key, n = np.unique(np.concatenate(keys), return_counts=True)
+            base = rank[at[place]] * (2 * ALL)
+            key, n = np.unique(np.concatenate([base + c[place + 1], base + ALL + c[place - 1]]), return_counts=True)
             held = np.bincount(key // (2 * ALL), minlength=len(listed))
             cut, entry = np.searchsorted(part, np.arange(parts + 1)), np.concatenate([[0], np.cumsum(held)])
             packed = []
@@ -193,17 +220,13 @@ def _around(label: np.ndarray, turn: int | None, parts: int) -> Callable:
                 lists += ((key[e] % (2 * ALL)).astype(np.uint8), classes[listed[x:y]])
                 packed.append(squeeze(np.array([y - x, e.stop - e.start], np.int64).tobytes() + b"".join(v.tobytes() for v in lists)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([row["block"]]), pa.array([squeeze(classes.tobytes())]), pa.array([grid], pa.list_(pa.int64())),
-                 pa.array([sizes], pa.list_(pa.int64())), pa.array([packed], pa.list_(pa.binary()))],
-                names=["block", "classes", "grid", "sizes", "packed"],
-            )
+                [pa.array(np.arange(parts)), pa.array(np.full(parts, row["block"])), pa.array(packed, pa.binary())],
+                names=["part", "block", "packed"],
+            )
 
     return around
 
 
-_AROUND = "block long, classes binary, grid array<long>, sizes array<long>, packed array<binary>"
-
-
 def _listed(packed: bytes) -> tuple[np.ndarray, ...]:
     """Hashes, local numbers, numbers of entries, counts, codes and classes of a part, as `_around` packs them."""
     from zstandard import ZstdDecompressor
@@ -308,7 +331,7 @@ def _moves(grid: np.ndarray) -> Callable:
 
 
 def _sums(table: DataFrame, *names: str) -> list[np.ndarray]:
-    """Sums by place over the rows of columns of equally long lists."""
+    """Sums by place over the rows of columns of equally long lists; one row per place comes to the driver."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = [0] * len(names)
@@ -317,14 +340,21 @@ def _sums(table: DataFrame, *names: str) -> list[np.ndarray]:
         if not isinstance(totals[0], int):
             yield pa.RecordBatch.from_arrays([pa.array([t], pa.list_(pa.int64())) for t in totals], names=list(names))
 
-    parts = table.select(*names).mapInArrow(add, ", ".join(f"{x} array<long>" for x in names)).collect()
-    return [sum((np.array(r[x], float) for r in parts), np.zeros(1)) for x in names]
+    parts = table.select(*names).mapInArrow(add, ", ".join(f"{x} array<long>" for x in names))
+    each = parts.select(F.explode(F.array(*[F.struct(F.lit(i).alias("of"), F.col(x).alias("v")) for i, x in enumerate(names)])).alias("c"))
+    summed = each.select("c.of", F.posexplode("c.v").alias("place", "n")).groupBy("of", "place").agg(F.sum("n").alias("n")).toPandas()
+    found = []
+    for i in range(len(names)):
+        own = summed[summed.of == i].sort_values("place")
+        found.append(own.n.to_numpy(float) if len(own) else np.zeros(1))
+    return found
 
 
 def classes_of_all(texts: DataFrame, label: np.ndarray, parts: int) -> tuple[DataFrame, np.ndarray]:
     """(block, classes) of the words of every block, and the number of distinct words that are not frequent per class.
 
-    `texts` has the rows of `_known`, `label` the class of every symbol. A round deals its words to `parts`.
+    `texts` has the rows of `_known`, `label` the class of every symbol. A round deals its words to `parts`; their lists
+    go straight into the shuffle, what is written of a round are classes and moves.
     """
     narrow = texts.select("block", "held", "lengths", "tokens", "symbols", "hashes", "firsts")
     moves, best, done = None, None, []
@@ -332,31 +362,29 @@ def classes_of_all(texts: DataFrame, label: np.ndarray, parts: int) -> tuple[Dat
         if best is None:
             told = narrow.select("*", F.lit(None).cast("binary").alias("classes"), F.lit(None).cast("array<binary>").alias("moves"))
         else:
-            told = narrow.join(best[1], "block").join(moves, "block", "left")
-        found = write_stage(told.mapInArrow(_around(label, turn % 2 if turn else None, parts), _AROUND), "around")
-        grid, sizes = _sums(found, "grid", "sizes")
+            told = narrow.join(best[1].select("block", "classes"), "block").join(moves, "block", "left")
+        settled = write_stage(told.drop("hashes").mapInArrow(_classes(label), _SETTLED), "classes")
+        grid, sizes = _sums(settled, "grid", "sizes")
         if len(grid) < ALL * ALL:  # no rows
-            return found.select("block", "classes"), np.zeros(ALL)
+            return settled.select("block", "classes"), np.zeros(ALL)
         grid = grid.reshape(ALL, ALL)
         reached = likelihood(grid)
         if best is not None and reached <= best[0]:
-            drop_stage(found)
+            drop_stage(settled)
             break
-        # the lists of a round are the bulk of its table: what stays is the classes
-        best = (reached, write_stage(found.select("block", "classes"), "classes"), sizes)
+        best = (reached, settled, sizes)
         drop_stage(*done)
         if turn and sizes[ALL] <= FEW * sizes[:ALL].sum():
-            drop_stage(found)
             break
-        rows = found.select(F.posexplode("packed").alias("part", "value"), "block").select("part", "block", "value")
+        told = narrow.drop("firsts").join(settled.select("block", "classes"), "block")
+        rows = told.mapInArrow(_around(turn % 2 if turn else None, parts), "part long, block long, packed binary")
         moves = write_stage(
-            rows.repartition("part").sortWithinPartitions("part").mapInArrow(_moves(grid), "block long, move binary")
+            rows.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_moves(grid), "block long, move binary")
             .groupBy("block").agg(F.collect_list("move").alias("moves")),
             "moves",
         )
         done = [best[1], moves]
-        drop_stage(found)
-    return best[1], best[2][:ALL]
+    return best[1].select("block", "classes"), best[2][:ALL]
 
 
 def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
