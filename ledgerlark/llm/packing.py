@@ -7,8 +7,8 @@ of documents, drawn by a hash, are packed independently, so the work is spread
 and a group has a bounded number of documents. After that the lightest bins of
 a group are cut up to fill the gaps of the others.
 
-Words are encoded when a task first meets them, many in one call, and looked up
-after that: the tokenizer drops white space and never joins across it.
+Words are encoded when a worker process first meets them and looked up after
+that: the tokenizer drops white space and never joins across it.
 
 Nulls: a null text counts as empty; an empty text has the end id alone. Rows
 with equal or null document ids are packed as documents of their own.
@@ -17,6 +17,9 @@ with equal or null document ids are packed as documents of their own.
 from __future__ import annotations
 
 import os
+import sys
+import types
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,102 +33,102 @@ END_ID = 2
 GROUP_DOCS = 8192
 GROUP_TOKENS = 1 << 24
 LEAST_CUT = 16
-_CACHED_WORDS = 1 << 19
-_BATCH_BYTES = 1 << 23
-_JOINED = 4096
+_CACHED_WORDS = 3 << 18
+_CACHED_PARTS = 3 << 18
+_BATCH_BYTES = 1 << 25
+_MARKS = ".,;:!?"
 
 _PIECE = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it shows, else one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [byte for byte in range(256) if byte not in shown]
+    return {byte: chr(byte) for byte in shown} | {byte: chr(256 + i) for i, byte in enumerate(hidden)}
+
+
 class _Words(dict):
-    """Ids of words as bytes. Words that are new in a batch of texts are encoded together, in one text.
+    """Ids of words as bytes. Words are encoded only when first met.
 
-    The tokenizer drops white space and never joins across it, so a text of words is the words' ids in a row.
-    A word of Latin-1 letters with a mark behind it is two tokens of the pre-tokenizer, encoded apart: so the many
-    words that differ in the mark or in case alone cost one encoding. All else is encoded as it is.
+    A word of letters with a mark behind it is two tokens of the pre-tokenizer, encoded apart:
+    so the many words that differ in the mark alone cost one encoding. Letters of Latin-1 have
+    one normal form, their lower case, and go to the model at once; all else goes through the
+    whole tokenizer.
     """
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.encode = Tokenizer.from_file(path).encode
-        self.parted = regex.compile(r"(\p{L}+)([.,;:!?]*)").fullmatch
-        self.parts: dict[str, bytes] = {"": b""}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model.tokenize
+        self.letters = _byte_letters()
+        self.parts: dict[str, bytes] = {}
 
-    def learn(self, words: set[bytes]) -> None:
-        """Hold the ids of all these words."""
-        if len(self) + len(words) > _CACHED_WORDS:
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= _CACHED_WORDS:
             self.clear()
-        new = words - self.keys()
-        parted, others = [], []
-        for word in new:
-            text = word.decode("utf-8")
-            match = self.parted(text) if text.isascii() or max(text) < "\u0100" else None
-            if match:
-                letters, marks = match.groups()
-                parted.append((word, letters.lower(), marks))
-            else:
-                others.append((word, text))
-        parts = {part for _, letters, marks in parted for part in (letters, marks)}
-        if len(self.parts) + len(parts) > _CACHED_WORDS:
-            self.parts = {"": b""}
-        parts = list(parts - self.parts.keys())
-        for at in range(0, len(parts), _JOINED):
-            some = parts[at : at + _JOINED]
-            self.parts.update(zip(some, self._together(some)))
-        known = self.parts
-        self.update((word, known[letters] + known[marks]) for word, letters, marks in parted)
-        for at in range(0, len(others), _JOINED):
-            some = others[at : at + _JOINED]
-            self.update(zip((word for word, _ in some), self._together([text for _, text in some])))
-
-    def _together(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, none of which holds white space."""
-        found = self.encode(" ".join(texts), add_special_tokens=False)
-        starts = np.cumsum([0] + [len(text) + 1 for text in texts])
-        at = np.fromiter((begin for begin, _ in found.offsets), np.int64, len(found.ids))
-        cuts = np.searchsorted(at, starts).tolist()
-        ids = np.array(found.ids, "<u4")
-        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+        text = word.decode("utf-8")
+        body = text.rstrip(_MARKS)
+        if body.isalpha() and (body.isascii() or max(body) < "\u0100"):
+            value = self.part(body.lower())
+            if len(body) < len(text):
+                value += self.part(text[len(body) :])
+        else:
+            value = _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        self[word] = value
+        return value
+
+    def part(self, part: str) -> bytes:
+        value = self.parts.get(part)
+        if value is None:
+            if len(self.parts) >= _CACHED_PARTS:
+                self.parts.clear()
+            known = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(self.letters)
+            value = self.parts[part] = _bytes([token.id for token in self.model(known)])
+        return value
+
+
+def _bytes(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
+def _words(path: str) -> _Words:
+    """The table of this worker process, which the tasks that it runs one after another share.
+
+    This module travels by value, so each task has globals of its own; a module of the process has not.
+    """
+    tables = sys.modules.setdefault("_ledgerlark_words", types.ModuleType("_ledgerlark_words")).__dict__
+    if path not in tables:
+        tables[path] = _Words(path)
+    return tables[path]
 
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of at most `capacity` ids (unsigned 32-bit, little-endian) of docs (doc_id, text), with the end id."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = _Words(tokenizer), np.array([end_id], "<u4").tobytes()
+        words, end = _words(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            held, size = [], 0
+            rows, size = ([], [], [], [], []), 0
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
-                data = text.as_py() or b""
-                held.append((doc_id, data.split()))
-                size += len(data)
+                ids = b"".join(map(words.__getitem__, (text.as_py() or b"").split())) + end
+                total = len(ids) // 4
+                for start in range(0, total, capacity):
+                    length = min(capacity, total - start)
+                    part = ids[4 * start : 4 * (start + length)]
+                    for column, value in zip(rows, (doc_id, start, length, total, part)):
+                        column.append(value)
+                size += len(ids)
                 if size >= _BATCH_BYTES:
-                    yield from _pieces(held, words, end, capacity)
-                    held, size = [], 0
-            yield from _pieces(held, words, end, capacity)
+                    yield _batch(rows)
+                    rows, size = ([], [], [], [], []), 0
+            yield _batch(rows)
 
     return docs.select("doc_id", "text").mapInArrow(pieces, _PIECE)
 
 
-def _pieces(
-    held: list[tuple[int | None, list[bytes]]], words: _Words, end: bytes, capacity: int
-) -> Iterator[pa.RecordBatch]:
-    words.learn(set().union(*(own for _, own in held)))
-    rows: tuple[list, ...] = ([], [], [], [], [])
-    for doc_id, own in held:
-        ids = b"".join(map(words.__getitem__, own)) + end
-        total = len(ids) // 4
-        for start in range(0, total, capacity):
-            length = min(capacity, total - start)
-            part = ids[4 * start : 4 * (start + length)]
-            for column, value in zip(rows, (doc_id, start, length, total, part)):
-                column.append(value)
-    yield _batch(rows)
-
-
 def _batch(rows: tuple[list, ...]) -> pa.RecordBatch:
     types = [pa.int64()] * 4 + [pa.binary()] + [pa.int64()] * (len(rows) - 5)
     names = ["doc_id", "start", "length", "doc_tokens", "ids", "sequence_id", "offset"][: len(rows)]
