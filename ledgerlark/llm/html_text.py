@@ -5,8 +5,9 @@ number of words and its link density, the same of its neighbours, and by where
 it stands: inside page furniture by tag, by a name in class or id that
 tells furniture, or inside an article. Forms, and names that merely have a part that
 tells furniture ("has-sidebar"), do not decide for an article or main element inside
-them, nor if they hold most words of the page: then they are its layout. A decision tree, grown on the small
-labelled table below, decides which blocks are main text.
+them, nor if they hold most words of the page: then they are its layout. The same holds for whole names, but for those of
+comments and of related pages. A decision tree, grown on the small labelled table below, decides which blocks are main
+text. Time grows with the length of a page, however its elements are nested.
 
 Nulls and edges: a null page is empty and has the text "". Tags that are never
 closed end with the element around them; a script, style, title or text area goes
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -56,7 +58,6 @@ _FURNITURE_NAME = re.compile(
 _BESIDE_NAME = re.compile(
     r"(?:^|[\s_-])(?:comments?|replies|reply|respon\w+|disqus|discussion|related|recommend\w*)(?:$|[\s_-])", re.I
 )
-_FORM_NAME = re.compile(r"(?:form|search\w*|login|signup)$", re.I)
 
 #: Names of the features of a block, in order.
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "furniture", "article", "heading")
@@ -72,6 +73,8 @@ LABELLED = (
     (25, 0.1, 40, 0.0, 30, 0.0, 0, 1, 0, 1),
     (60, 0.3, 50, 0.05, 5, 0.0, 0, 1, 0, 1),
     (6, 1.0, 50, 0.0, 60, 0.0, 0, 1, 0, 1),
+    (5, 1.0, 60, 0.0, 0, 0.0, 0, 1, 0, 1),
+    (3, 1.0, 70, 0.0, 65, 0.0, 0, 1, 0, 1),
     (12, 0.5, 80, 0.0, 12, 0.4, 0, 1, 0, 1),
     # first and last block of an article, next to furniture
     (14, 0.0, 9, 0.0, 70, 0.0, 0, 1, 1, 1),
@@ -80,6 +83,11 @@ LABELLED = (
     (45, 0.0, 60, 0.0, 9, 0.1, 0, 1, 0, 1),
     (5, 0.0, 60, 0.0, 10, 0.0, 0, 1, 0, 1),
     (2, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1),
+    # paragraphs of an article before, behind and between blocks of links
+    (60, 0.0, 40, 0.0, 5, 1.0, 0, 1, 0, 1),
+    (45, 0.0, 3, 1.0, 70, 0.0, 0, 1, 0, 1),
+    (30, 0.0, 5, 1.0, 4, 1.0, 0, 1, 0, 1),
+    (50, 0.1, 60, 0.0, 12, 0.9, 0, 1, 0, 1),
     # pages without an article element: long text, or shorter text among long
     (90, 0.0, 60, 0.0, 75, 0.0, 0, 0, 0, 1),
     (55, 0.05, 12, 0.0, 40, 0.0, 0, 0, 0, 1),
@@ -91,6 +99,12 @@ LABELLED = (
     (6, 0.0, 30, 0.0, 40, 0.0, 0, 0, 1, 1),
     (18, 0.0, 35, 0.0, 0, 0.0, 0, 0, 0, 1),
     (40, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1),
+    # the same beside blocks of links
+    (60, 0.0, 0, 0.0, 3, 1.0, 0, 0, 0, 1),
+    (50, 0.0, 40, 0.0, 2, 1.0, 0, 0, 0, 1),
+    (35, 0.0, 2, 1.0, 12, 0.9, 0, 0, 0, 1),
+    (70, 0.05, 60, 0.0, 9, 1.0, 0, 0, 0, 1),
+    (28, 0.0, 5, 1.0, 5, 1.0, 0, 0, 0, 1),
     # menus, lists of links and lone links outside an article
     (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0),
     (2, 1.0, 0, 0.0, 2, 1.0, 0, 0, 0, 0),
@@ -98,6 +112,13 @@ LABELLED = (
     (6, 0.8, 40, 0.0, 5, 0.9, 0, 0, 0, 0),
     (12, 0.9, 9, 0.9, 11, 1.0, 0, 0, 0, 0),
     (30, 0.9, 2, 1.0, 3, 1.0, 0, 0, 0, 0),
+    (2, 1.0, 60, 0.0, 0, 0.0, 0, 0, 0, 0),
+    (3, 1.0, 50, 0.0, 2, 1.0, 0, 0, 0, 0),
+    (9, 1.0, 40, 0.0, 0, 0.0, 0, 0, 0, 0),
+    (5, 1.0, 0, 0.0, 60, 0.0, 0, 0, 0, 0),
+    (12, 0.9, 60, 0.0, 45, 0.0, 0, 0, 0, 0),
+    (25, 0.8, 50, 0.0, 55, 0.0, 0, 0, 0, 0),
+    (2, 1.0, 45, 0.0, 70, 0.0, 0, 0, 0, 0),
     # short text at the edge of a page
     (4, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 0),
     (6, 0.2, 3, 1.0, 0, 0.0, 0, 0, 0, 0),
@@ -115,6 +136,8 @@ LABELLED = (
     (60, 0.0, 70, 0.0, 80, 0.0, 1, 1, 0, 0),
     (2, 0.0, 60, 0.0, 30, 0.0, 1, 1, 0, 0),
     (4, 1.0, 30, 0.0, 60, 0.0, 1, 1, 0, 0),
+    (3, 1.0, 40, 0.0, 0, 0.0, 1, 1, 0, 0),
+    (2, 1.0, 2, 1.0, 2, 1.0, 1, 1, 0, 0),
     (3, 0.0, 9, 0.0, 20, 0.0, 1, 0, 1, 0),
     (5, 0.0, 60, 0.0, 20, 0.0, 1, 1, 1, 0),
 )
@@ -150,11 +173,10 @@ def is_main(tree, block: tuple) -> bool:
 
 
 def _tells_furniture(names: str) -> int:
-    """0 if names do not tell furniture, 1 if just a part of one does or it tells a form, 2 if a whole one does."""
+    """0 if names do not tell furniture, 2 if they tell what stands beside a text whatever is in it, else 1."""
     if not _FURNITURE_NAME.search(names):
         return 0
-    whole = any(_FURNITURE_NAME.fullmatch(name) and not _FORM_NAME.match(name) for name in names.split())
-    return 2 if whole or _BESIDE_NAME.search(names) else 1
+    return 2 if _BESIDE_NAME.search(names) else 1
 
 
 def _ends(page: str, name: str) -> dict[int, int]:
@@ -173,9 +195,10 @@ class _Blocks:
 
     def __init__(self, page: str):
         self.found: list[list] = []
-        # element, furniture, numbers of the possible furniture around, article, hidden
-        self.open: list[tuple[str, bool, tuple[int, ...], bool, bool]] = []
-        self.possible = 0
+        # element, furniture, number of the possible furniture around (0: none), article, hidden
+        self.open: list[tuple[str, bool, int, bool, bool]] = []
+        self.count: Counter = Counter()  # of open elements by name
+        self.around = [0]  # per possible furniture the one around it
         self.parts: list[str] = []
         self.linked = 0
         self.in_link = False
@@ -207,10 +230,22 @@ class _Blocks:
         if at in ends[name]:
             return ends[name][at]
         self.end()
-        _, furniture, possible, article, _ = self.open[-1] if self.open else ("", False, (), False, False)
-        self.open.append((name, furniture, possible, article, True))
+        _, furniture, possible, article, _ = self.inside()
+        self.push((name, furniture, possible, article, True))
         return at
 
+    def inside(self) -> tuple[str, bool, int, bool, bool]:
+        return self.open[-1] if self.open else ("", False, 0, False, False)
+
+    def push(self, element: tuple[str, bool, int, bool, bool]) -> None:
+        self.open.append(element)
+        self.count[element[0]] += 1
+
+    def pop(self) -> str:
+        name = self.open.pop()[0]
+        self.count[name] -= 1
+        return name
+
     def text(self, raw: str) -> None:
         if raw and not (self.open and self.open[-1][4]):
             self.parts.append(raw)
@@ -220,22 +255,30 @@ class _Blocks:
     def end(self) -> None:
         text = " ".join(html.unescape("".join(self.parts)).split())
         if text:
-            _, furniture, possible, article, _ = self.open[-1] if self.open else ("", False, (), False, False)
+            _, furniture, possible, article, _ = self.inside()
             words = text.count(" ") + 1
             self.found.append([text, words, min(1.0, self.linked / words), (furniture, possible), article, self.heading])
         self.parts, self.linked = [], 0
 
     def settle(self) -> None:
-        """Possible furniture is none if it holds most of the words that are not in links or in sure furniture."""
-        held, whole = [0.0] * self.possible, 0.0
+        """Possible furniture is none if it holds most of the words that are not in links or in sure furniture.
+
+        On a page with an article it is none only for the article inside it.
+        """
+        held, whole = [0.0] * len(self.around), 0.0
+        elsewhere = any(article and not furniture for _, _, _, (furniture, _), article, _ in self.found)
         for _, words, links, (furniture, possible), _, _ in self.found:
             if not furniture:
                 whole += words * (1 - links)
-                for number in possible:
-                    held[number] += words * (1 - links)
+                held[possible] += words * (1 - links)
+        for number in range(len(held) - 1, 0, -1):  # an inner one has the greater number
+            held[self.around[number]] += held[number]
+        small = [False] * len(held)
+        for number in range(1, len(held)):
+            small[number] = elsewhere or held[number] <= whole / 2 or small[self.around[number]]
         for block in self.found:
             furniture, possible = block[3]
-            block[3] = furniture or any(held[number] <= whole / 2 for number in possible)
+            block[3] = furniture or small[possible]
 
     def tag(self, name: str, closing: bool, rest: str) -> None:
         if name == "a":
@@ -245,23 +288,21 @@ class _Blocks:
         self.end()
         if not closing and name in _BREAK_OUT:
             while self.open and self.open[-1][0] in _RAW:
-                self.open.pop()
+                self.pop()
         if name in _VOID:
             return
         self.heading = not closing and len(name) == 2 and name[0] == "h" and name[1].isdigit()
         if closing:
-            for place in range(len(self.open) - 1, -1, -1):
-                if self.open[place][0] == name:
-                    del self.open[place:]
-                    break
+            while self.count[name] and self.pop() != name:
+                pass
             return
         # a paragraph ends at any block, an item of a list or table at the next of its kind
         if self.open and (self.open[-1][0] == "p" or self.open[-1][0] == name and name in _ITEMS):
-            self.open.pop()
-        _, furniture, possible, article, hidden = self.open[-1] if self.open else ("", False, (), False, False)
+            self.pop()
+        _, furniture, possible, article, hidden = self.inside()
         names = " ".join(a or b or c for a, b, c in _NAME.findall(rest)) if rest else ""
         if name in _BODY:
-            furniture, possible = furniture and name != "main", ()
+            furniture, possible = furniture and name != "main", 0
         if name in ("article", "section"):
             furniture = furniture or bool(names and _COMMENT_NAME.search(names))
         if name not in ("html", "body", "article", "main"):
@@ -269,14 +310,14 @@ class _Blocks:
             furniture = furniture or (name in _FURNITURE and name not in _FORM) or (name == "header" and not article)
             furniture = furniture or told == 2
             if not furniture and (told or name in _FORM):
-                # a form or part of a name inside an article is beside its text
+                # a form or such a name inside an article is beside its text
                 if article:
                     furniture = True
                 else:
-                    possible = (*possible, self.possible)
-                    self.possible += 1
+                    self.around.append(possible)
+                    possible = len(self.around) - 1
         hidden = hidden or bool(rest and _HIDDEN.search(rest))
-        self.open.append((name, furniture, possible, article or name in _BODY, hidden))
+        self.push((name, furniture, possible, article or name in _BODY, hidden))
 
 
 def blocks(page: str | None) -> list[tuple[str, tuple]]:

@@ -322,6 +322,39 @@ def test_op6_forms_layout_names_and_unclosed_elements():
     assert html_text.main_text(f"<article><p>{text}</p><script>var x<p>{text}</p></article>", tree) == text
 
 
+def test_op6_links_decide_and_words_of_furniture_around_all_text_do_not():
+    tree = html_text.grow_tree(np.array(html_text.LABELLED, float))
+    assert {html_text.FEATURES[tree[0]], html_text.FEATURES[tree[2][0]]} == {"furniture", "links"}
+    text = " ".join(["word"] * 60)
+    after = f"<article><p>{text}</p><p><a>See the full list here</a></p></article>"
+    assert html_text.main_text(after, tree) == f"{text} See the full list here"
+    for beside in ("<div><a href=x>Home</a> <a href=y>News</a></div>", "<div><a href=x>Home</a></div>" * 3):
+        for page in (f"<body><p>{text}</p>{beside}</body>", f"<body>{beside}<p>{text}</p>{beside}</body>"):
+            assert html_text.main_text(page, tree) == text
+    for name in ("legal", "post tags", "search", "share"):
+        assert html_text.main_text(f'<div id="{name}"><article><p>{text}</p></article></div>', tree) == text
+        assert html_text.main_text(f'<div class="{name}"><p>{text}</p><p>{text}</p></div>', tree) == f"{text} {text}"
+        assert html_text.main_text(f'<p>{text}</p><p>{text}</p><div class="{name}"><p>{text}</p></div>', tree) == f"{text} {text}"
+    for name in ("comments", "related-posts"):
+        assert html_text.main_text(f"<article><p>{text}</p></article><div class={name}><p>{text} {text}</p></div>", tree) == text
+
+
+@pytest.mark.parametrize("page", ["<div>" * 50_000 + "</b2>" * 50_000, '<div class="x-nav">' * 40_000, "<p>a</x>" * 60_000])
+def test_op6_time_grows_with_the_length_of_a_page(page):
+    import time
+
+    start = time.time()
+    html_text.blocks(page + "text")
+    assert time.time() - start < 5
+
+
+def test_op6_rows_of_a_table(spark):
+    pages = spark.createDataFrame([(1, None), (2, ""), (3, "<article><p>x"), (3, "<article><p>x")], "page_id long, html string")
+    found = pages.select("page_id", html_text.extract(F.col("html")).alias("text"))
+    assert sorted(map(tuple, found.collect())) == [(1, ""), (2, ""), (3, "x"), (3, "x")]
+    assert pages.limit(0).select(html_text.extract(F.col("html"))).count() == 0
+
+
 def test_op6_keeps_articles(spark):
     found = _query("op6_html_extraction", spark).set_index("page_id")
     for row in spark.read.parquet(f"{FOLDER}/pages.parquet").collect():
