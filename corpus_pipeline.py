@@ -1,7 +1,14 @@
 """Pipeline over the documents table: toxicity, line dedup, near dedup, personal data, packing.
 
 Every stage is written as Parquet to the shared folder and read again by the
-next one. All but the last return the columns of documents.
+next one. All but the last return the columns of documents, whatever other columns there
+are and whatever their names.
+
+Nulls, empty texts and repeated rows: a null text counts as empty and, from the line stage on, is the empty
+text; empty texts are near copies of each other, of which the one with the least id stays; repeated rows are
+copies. Rows without an id are scored and packed like others, and stay only if their group has no id. Ties go to
+the least id. Empty tables give an empty result; without labels of both kinds no document is rejected unless
+all labels are toxic.
 """
 
 from __future__ import annotations
