@@ -223,6 +223,20 @@ def test_op4_few_labels_are_not_learnt_by_heart(spark):
     assert sum(r.toxic for r in held) >= 5 and all((r.score >= 0.5) == bool(r.toxic) for r in held)
 
 
+def test_op4_score_is_the_noisy_or_of_its_sentences(spark, texts):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    random = np.random.default_rng(3)
+    weights, bias, leak = random.normal(0, 0.3, toxicity.FEATURES).astype(np.float32).astype(float), -2.0, -4.0
+    for row in toxicity.score(docs, (weights, bias, leak)).collect():
+        none, best = 1 / (1 + np.exp(leak)), None
+        for start, end, words in toxicity.sentences(row.text):
+            logit = bias + sum(weights[f] for word in set(words) for f in toxicity.features(word))
+            none /= 1 + np.exp(min(logit, 700))
+            best = max(best or (-np.inf,), (logit, start, end), key=lambda x: x[0])
+        assert row.score == pytest.approx(1 - none, abs=1e-4)
+        assert row.worst == pytest.approx(1 / (1 + np.exp(-best[0])), abs=1e-4)
+
+
 def test_op4_telling_features():
     flat = np.array([1, 2, 1, 1, 2, 3] + [2, 3] * 20, np.int32)
     ends = [3, 4, 6, *range(8, 48, 2)]
@@ -381,6 +395,35 @@ def test_op7_edited_texts(spark, texts):
         assert found.n_near[doc_id] == sum((own ^ p).bit_count() <= 3 for p, _ in prints) - 1
 
 
+def _pair_print(text):
+    """128 bits, each set if over half of the hashes of neighbouring words have it."""
+    words = re.findall("[^\x20\x09-\x0d]+", text or "")
+    out = ""
+    for n in range(2):
+        hashes = []
+        for before, word in zip([None, *words], words):
+            seed = xxhash.xxh64_intdigest(n.to_bytes(4, "little"), 42)
+            for part in (before, word):
+                seed = seed if part is None else xxhash.xxh64_intdigest(part.encode(), seed)
+            hashes.append(seed)
+        out += f"{sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)):016x}"
+    return out
+
+
+def test_op7_fingerprints_against_plain_votes(spark, texts):
+    found = _query("op7_document_fingerprints", spark).set_index("doc_id")
+    order = sorted(texts)
+    for i, doc_id in enumerate(order):
+        text, after = texts[doc_id] or "", texts[order[(i + 1) % len(order)]] or ""
+        half = len(text) // 2
+        own, edited, other = (_pair_print(t) for t in (text, text[: len(text) - half] + after[:half], after))
+        row = found.loc[doc_id]
+        assert (row.fingerprint, row.edited_fingerprint) == (own, edited)
+        for near, print_ in ((row.near_edited, edited), (row.near_next, other)):
+            apart = (int(own, 16) ^ int(print_, 16)).bit_count()
+            assert near == pytest.approx(max(0.0, np.cos(np.pi * apart / 128)))
+
+
 def test_op7_votes(spark, odd, empty):
     rows = simhash_blocks.fingerprints(odd.where("doc_id is not null").dropDuplicates(["doc_id"]).select("doc_id", "text"), ["doc_id"])
     found = {r.doc_id: (r.fp0, r.fp1) for r in rows.collect()}
