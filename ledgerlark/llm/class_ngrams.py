@@ -39,7 +39,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.storage import drop_stage, write_stage
+from ledgerlark.llm.removal import drop_stage
+from ledgerlark.storage import write_stage
 
 FREQUENT = 1000
 CLASSES = 48
