@@ -7,7 +7,6 @@ join strategy of everything that reads them.
 
 from __future__ import annotations
 
-import gc
 import json
 import tempfile
 import uuid
@@ -35,19 +34,6 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
     return write_once(df, f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}")
 
 
-def drop_stage(*tables: DataFrame) -> None:
-    """Remove stage tables that nothing reads any more; shuffle files of finished steps go with the driver's garbage."""
-    if not tables:
-        return
-    context = tables[0].sparkSession.sparkContext
-    for folder in {name.rsplit("/", 1)[0] for table in tables for name in table.inputFiles()}:
-        if f"/ledgerlark/{context.applicationId}/" in folder:
-            path = context._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    context._jvm.System.gc()
-
-
 def write_once(df: DataFrame, path: str) -> DataFrame:
     """Write `df` as Parquet to `path` and return a reader with the same schema."""
     df.write.mode("overwrite").parquet(path)
