@@ -28,6 +28,7 @@ training text. With no training text every token is unseen.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.removal import drop_stage
-from ledgerlark.storage import write_stage
+from ledgerlark.storage import shared_folder, write_stage
 
 FREQUENT = 1000
 CLASSES = 48
@@ -57,8 +58,6 @@ _SMOOTHING = 4.0
 END = 0  # the end token has the first place among the frequent words
 
 
-def _tokens(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8").lower().split()
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,13 +82,15 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     local.default_factory = local.__len__
     ids, held, lengths, tokens, size = [], [], [], [], 0
     for batch in batches:
-        for doc_id, out, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            words = _tokens(text.as_py())
+        texts = batch.column(2).cast(pa.binary())
+        for doc_id, out, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
+            data = (text.as_py() or b"").lower()
+            words = data.split()
             tokens.append(np.fromiter(map(local.__getitem__, words), np.int32, len(words)))
             ids.append(doc_id)
             held.append(out)
             lengths.append(len(words))
-            size += sum(map(len, words)) + len(words) + 1
+            size += len(data) + 1
             if size >= _BLOCK_CHARS:
                 yield close()
                 number += 1
@@ -116,17 +117,20 @@ def _known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from zstandard import ZstdCompressor
 
     squeeze = ZstdCompressor(level=1).compress
-    for row in _rows(batches):
-        n = row["n_local"]
-        totals, symbols = np.zeros(n, np.int64), np.full(n, FREQUENT + BANDS - 1, np.uint16)
-        hashes, first = np.zeros(n, np.int64), np.zeros(n, bool)
-        local = np.array(row["locals"], np.int64)
-        totals[local], symbols[local], first[local], hashes[local] = row["totals"], row["symbols"], row["firsts"], row["hashes"]
-        packed = [pa.array([squeeze(x.tobytes())]) for x in (totals, symbols, hashes, first)]
-        kept = [pa.array([row["block"]]), pa.array([row["doc_ids"]], pa.list_(pa.int64())), pa.array([row["held"]], pa.list_(pa.bool_()))]
-        kept += [pa.array([row["lengths"]], pa.list_(pa.int32())), pa.array([row["tokens"]], pa.binary())]
-        names = ["block", "doc_ids", "held", "lengths", "tokens", "totals", "symbols", "hashes", "firsts"]
-        yield pa.RecordBatch.from_arrays(kept + packed, names=names)
+    for batch in batches:
+        for place in range(batch.num_rows):
+            row = batch.slice(place, 1)
+            n = row.column("n_local")[0].as_py()
+            local, total, symbol, first, key = (
+                row.column(x).flatten().to_numpy(zero_copy_only=False) for x in ("locals", "totals", "symbols", "firsts", "hashes")
+            )
+            totals, symbols = np.zeros(n, np.int64), np.full(n, FREQUENT + BANDS - 1, np.uint16)
+            hashes, firsts = np.zeros(n, np.int64), np.zeros(n, bool)
+            totals[local], symbols[local], firsts[local], hashes[local] = total, symbol, first, key
+            packed = [pa.array([squeeze(x.tobytes())]) for x in (totals, symbols, hashes, firsts)]
+            kept = [row.column(x) for x in ("block", "doc_ids", "held", "lengths", "tokens")]
+            names = ["block", "doc_ids", "held", "lengths", "tokens", "totals", "symbols", "hashes", "firsts"]
+            yield pa.RecordBatch.from_arrays(kept + packed, names=names)
 
 
 def _taught(row: dict) -> np.ndarray:
@@ -351,6 +355,14 @@ def _sums(table: DataFrame, *names: str) -> list[np.ndarray]:
     return found
 
 
+def _by_block(df: DataFrame, table: str) -> DataFrame:
+    """Table dealt by block once, in the shared folder, so that the joins of every round leave its rows where they are."""
+    spark = df.sparkSession
+    dealt = df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").sortBy("block")
+    dealt.option("path", f"{shared_folder(spark)}/{table}").saveAsTable(table, format="parquet")
+    return spark.table(table)
+
+
 def classes_of_all(texts: DataFrame, label: np.ndarray, parts: int) -> tuple[DataFrame, np.ndarray]:
     """(block, classes) of the words of every block, and the number of distinct words that are not frequent per class.
 
@@ -576,7 +588,8 @@ def score(docs: DataFrame) -> DataFrame:
         F.collect_list(F.struct(F.col("local").cast("int").alias("local"), "total", "symbol", "first", "hash")).alias("t")
     )
     kinds = {"local": "int", "total": "long", "symbol": "int", "hash": "long", "first": "boolean"}
-    texts = write_stage(
+    text_table = f"texts_{uuid.uuid4().hex}"
+    texts = _by_block(
         blocks.select("block", "doc_ids", "held", "lengths", "tokens", F.size("words").alias("n_local"))
         .join(told, "block", "left")
         .select(
@@ -589,7 +602,7 @@ def score(docs: DataFrame) -> DataFrame:
             "block long, doc_ids array<long>, held array<boolean>, lengths array<int>, tokens binary, totals binary,"
             " symbols binary, hashes binary, firsts binary",
         ),
-        "texts",
+        text_table,
     )
 
     def matrix(table: DataFrame, count: Callable, width: int) -> np.ndarray:
@@ -613,6 +626,7 @@ def score(docs: DataFrame) -> DataFrame:
         "coded",
     )
     drop_stage(texts, classes)
+    spark.sql(f"DROP TABLE {text_table}")
     pairs = matrix(coded.select("held_out", "symbols"), _pairs, FREQUENT + ALL)
     kept = np.zeros(FREQUENT)
     kept[1 : len(top) + 1] = 1
