@@ -62,8 +62,22 @@ def test_filters_and_columns_reach_the_scan(tables):
 
 
 def test_top_lines_are_cut_before_the_shuffle(tables):
-    text = plan(audits.most_negative_quantities(tables.raw))
-    assert text.count("WindowGroupLimit") == 2
+    text = plan(audits.most_negative_quantities(tables.raw, tables.sheets))
+    assert text.count("TakeOrderedAndProject") == len(tables.sheets) == 2
+    # the only sort is that of the lines taken
+    below = text[text.index("TakeOrderedAndProject") :]
+    assert "Sort " not in below and "Exchange" not in below
+
+
+@pytest.mark.parametrize("name", ["q1_customer_concentration", "q2_merch_concentration", "q3_customer_concentration",
+                                  "q4_customer_concentration", "q3_value_quartiles"])
+def test_shares_and_tiles_read_a_numbered_stage(tables, name):
+    text = plan(RESULTS[name](tables))
+    assert "rangepartitioning(Net" not in text and "rangepartitioning(Gross" not in text
+
+
+def test_the_headline_is_read_and_not_counted(tables):
+    assert "Aggregate" not in plan(RESULTS["serve_headline"](tables))
 
 
 def test_top_customers_are_not_sorted_whole(tables):
