@@ -14,7 +14,7 @@ from ledgerlark.functions.measures import number
 from ledgerlark.functions.text import starts_with
 from ledgerlark.operators.cleaning import classify_audit
 from ledgerlark.operators.profile import (
-    count_copies, null_report, numeric_summary, row_counts, to_long, top_of_each, top_per_group, value_counts,
+    count_copies, null_report, numeric_summary, row_counts, to_long, top_of_each, top_per_group,
 )
 from ledgerlark.operators.rollup import with_distinct
 from ledgerlark.schema import CLEAN_BASE, RAW

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark import constants as C
 from ledgerlark.functions.labels import association_type, commercial_action, recommendation, type_weight
-from ledgerlark.functions.measures import number, ratio
+from ledgerlark.functions.measures import ratio
 from ledgerlark.functions.text import starts_with
 from ledgerlark.operators.pairs import frequent_pairs, item_counts, multi_item_baskets
 from ledgerlark.operators.picks import first_row
