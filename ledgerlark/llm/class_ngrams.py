@@ -31,7 +31,6 @@ from __future__ import annotations
 import uuid
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
