@@ -14,7 +14,7 @@ from ledgerlark.plans.workspace import Workspace
 from ledgerlark.settings import Settings, Vocabulary
 from ledgerlark.sources.landing import BUNDLE, load_raw, load_served, register_view, write_bundle, write_table
 from ledgerlark.sources.star_view import raw_sheets
-from ledgerlark.storage import shared_folder, write_stage
+from ledgerlark.storage import shared_folder, small_tasks, write_stage
 
 # Amounts, counts and words that fit the order tables of the star schema.
 STAR_SETTINGS = Settings(
@@ -300,4 +300,5 @@ def workspace(spark: SparkSession, folder: str) -> Workspace:
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
     """Named result over a folder of star-schema tables."""
-    return as_doubles(RESULTS[name](workspace(spark, folder)))
+    with small_tasks(spark):
+        return as_doubles(RESULTS[name](workspace(spark, folder)))

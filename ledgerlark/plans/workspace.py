@@ -24,7 +24,7 @@ from ledgerlark.operators.rollup import (
 from ledgerlark.operators.profile import repeated_hashes
 from ledgerlark.plans import audits, baskets, catalogue, cohorts, customers, dashboard, kpis, products, rfm
 from ledgerlark.settings import Settings
-from ledgerlark.storage import read_kept, write_kept, write_stage
+from ledgerlark.storage import read_kept, small_tasks, write_kept, write_stage
 
 
 class Workspace:
@@ -52,7 +52,8 @@ class Workspace:
     def stage(self, name: str) -> DataFrame:
         """Stage table `name`, written on first use."""
         if name not in self._tables:
-            self._tables[name] = self._build(name)
+            with small_tasks(self.raw.sparkSession):
+                self._tables[name] = self._build(name)
         return self._tables[name]
 
     def _build(self, name: str) -> DataFrame:

@@ -8,8 +8,11 @@ join strategy of everything that reads them.
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +20,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Most bytes of files, and of shuffled rows, that a task of a stage reads. Stage tables and shuffles are dense (about 26 bytes a
+#: line), so tasks of Spark's usual size hold millions of groups and spill.
+TASK_BYTES = {
+    "spark.sql.files.maxPartitionBytes": 32 << 20,
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 << 20,
+}
+
+
+@contextmanager
+def small_tasks(spark: SparkSession) -> Iterator[None]:
+    """What runs inside reads at most `TASK_BYTES` per task; smaller values of the session stay, and all come back."""
+    before = {key: spark.conf.get(key) for key in TASK_BYTES}
+    for key, most in TASK_BYTES.items():
+        spark.conf.set(key, f"{min(most, _bytes(before[key]))}b")
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def _bytes(size: str) -> int:
+    """Bytes of a size as Spark writes it: a number, then perhaps b, k, m, g or t, as in `64MB`."""
+    number, unit = re.fullmatch(r"(\d+)\s*([a-z]?)[a-z]*", size.strip().lower()).groups()
+    return int(number) << 10 * "bkmgt".index(unit or "b")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for stage tables: `spark.checkpoint.dir`, or a temporary one in local mode only."""
     context = spark.sparkContext

@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 
+from ledgerlark import catalog, storage
 from ledgerlark.storage import read_kept, shared_folder, write_kept, write_once
 
 
@@ -62,3 +63,20 @@ def test_unfinished_tables_do_not_count(spark):
     next(folder.glob("part-*.parquet")).unlink()
     (folder / "_SUCCESS").unlink()
     assert read_kept(spark, path, "a") is None
+
+
+def test_stages_read_little_per_task_and_the_session_keeps_its_sizes(spark, monkeypatch):
+    keys, seen = list(storage.TASK_BYTES), []
+    before = [spark.conf.get(key) for key in keys]
+
+    def result(w):
+        seen.append([spark.conf.get(key) for key in keys])
+        return w.raw
+
+    monkeypatch.setitem(catalog.RESULTS, "trial", result)
+    catalog.run("trial", spark, "/root/testdata/sf0.001")
+    assert seen == [["33554432b", "16777216b"]] and [spark.conf.get(key) for key in keys] == before
+    with pytest.raises(ZeroDivisionError), storage.small_tasks(spark):
+        1 / 0
+    assert [spark.conf.get(key) for key in keys] == before
+    assert [storage._bytes(size) for size in ("7", "5b", "64MB", "2k", "1 g")] == [7, 5, 64 << 20, 2048, 1 << 30]
