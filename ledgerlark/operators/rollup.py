@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlark.functions.measures import month_of, only
 from ledgerlark.schema import PRICE
@@ -117,14 +118,14 @@ def customer_facts(orders: DataFrame) -> DataFrame:
     return roll_up(orders.filter(F.col("CustomerID").isNotNull()), "CustomerID", nulls=False)
 
 
-def product_months(tx: DataFrame) -> DataFrame:
-    """Sums per stock code and month (nulls included).
+def _product_sums(tx: DataFrame, *keys) -> DataFrame:
+    """Sums per key (nulls included).
 
     `SaleLines` counts all sale lines, `SalesLines` those with an invoice number.
     """
     sale, returned = F.col("IsRevenueEligible"), F.col("IsReturn")
     price = F.when(sale, F.col("UnitPrice"))
-    return tx.groupBy("StockCode", month_of("InvoiceDate").alias("Month")).agg(
+    return tx.groupBy(*keys).agg(
         F.count("*").alias("Lines"),
         F.count_if(sale).alias("SaleLines"),
         F.count_if(sale & F.col("InvoiceNo").isNotNull()).alias("SalesLines"),
@@ -139,15 +140,34 @@ def product_months(tx: DataFrame) -> DataFrame:
     )
 
 
+def product_sums(tx: DataFrame) -> DataFrame:
+    """Sums per stock code (null included). Lines of a code merge in each task, which those of a code and month rarely do."""
+    return _product_sums(tx, "StockCode")
+
+
+def product_months(tx: DataFrame) -> DataFrame:
+    """Sums per stock code and month (nulls included)."""
+    return _product_sums(tx, "StockCode", month_of("InvoiceDate").alias("Month"))
+
+
 def product_orders(tx: DataFrame) -> DataFrame:
     """One row per stock code and invoice: the base of order counts and of baskets."""
     return _per_invoice(tx, ["StockCode"])
 
 
-def product_facts(months: DataFrame, orders: DataFrame) -> DataFrame:
-    """One row per stock code (null included), from `product_months` and `product_orders`."""
-    measures = [name for name in months.columns if name not in ("StockCode", "Month")]
-    sums = months.groupBy("StockCode").agg(*[F.sum(name).alias(name) for name in measures])
+def _sum_type(kind: T.DataType) -> T.DataType:
+    """Type of a sum over a column of this type."""
+    return T.DecimalType(min(kind.precision + 10, 38), kind.scale) if isinstance(kind, T.DecimalType) else T.LongType()
+
+
+def product_facts(sums: DataFrame, orders: DataFrame) -> DataFrame:
+    """One row per stock code (null included), from `product_sums` or `product_months` and `product_orders`."""
+    measures = [f for f in sums.schema if f.name not in ("StockCode", "Month")]
+    if "Month" in sums.columns:
+        sums = sums.groupBy("StockCode").agg(*[F.sum(f.name).alias(f.name) for f in measures])
+    else:
+        wide = [F.col(f.name).cast(_sum_type(f.dataType)).alias(f.name) for f in measures]
+        sums = sums.select("StockCode", *wide)
     return _attach_counts(sums, _invoice_counts(orders, ["StockCode"]), ["StockCode"], True)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from ledgerlark.operators.cleaning import clean_transactions
 from ledgerlark.operators.picks import first_names, modal_names
 from ledgerlark.operators.rollup import (
-    customer_facts, name_facts, order_facts, product_facts, product_months, product_orders,
+    customer_facts, name_facts, order_facts, product_facts, product_months, product_orders, product_sums,
 )
 from ledgerlark.operators.profile import repeated_hashes
 from ledgerlark.plans import audits, baskets, catalogue, cohorts, customers, dashboard, kpis, products, rfm
@@ -114,7 +114,7 @@ STAGES: dict[str, Callable[[Workspace], DataFrame]] = {
     "customers_by_net": lambda w: customers.by_net(w.customers),
     "product_months": lambda w: product_months(w.clean),
     "product_orders": lambda w: product_orders(w.clean),
-    "products": lambda w: product_facts(w.product_months, w.product_orders),
+    "products": lambda w: product_facts(product_sums(w.clean), w.product_orders),
     "names": lambda w: name_facts(w.clean),
     "sale_names": lambda w: modal_names(w.names),
     "first_names": lambda w: first_names(w.names, w.clean),

@@ -12,7 +12,7 @@ from ledgerlark.functions.lookup import find_column, find_date_column, first_val
 from ledgerlark.operators.cleaning import clean_transactions
 from ledgerlark.operators.picks import first_names, first_row, modal_names
 from ledgerlark.operators.profile import count_copies, repeated_hashes
-from ledgerlark.operators.rollup import customer_facts, name_facts, order_facts, product_facts, product_months, product_orders, roll_up
+from ledgerlark.operators.rollup import customer_facts, name_facts, order_facts, product_facts, product_months, product_orders, product_sums, roll_up
 from ledgerlark.plans import baskets, cohorts, dashboard, rfm
 from ledgerlark.plans.workspace import Workspace
 from ledgerlark.schema import RAW
@@ -80,6 +80,19 @@ def test_product_facts_keep_a_null_code(spark):
     assert rows["A"].Orders == 3 and rows["A"].SalesOrders == 2 and rows["A"].ReturnedUnits == -1
 
 
+def test_product_facts_of_sums_per_code_and_of_months_agree(spark):
+    tx = _tx(spark, LINES)
+    direct, monthly = (product_facts(sums(tx), product_orders(tx)) for sums in (product_sums, product_months))
+    assert direct.dtypes == monthly.dtypes
+    assert sorted(map(str, direct.collect())) == sorted(map(str, monthly.collect())) and direct.count() == 4
+
+
+def test_products_and_baskets_take_no_table_twice_or_needlessly(spark):
+    tables = Workspace(_sheets(spark, LINES))
+    assert tables.taxonomy.count() == 2 and tables.basket.count() == 2
+    assert "product_months" not in tables._tables and "members" in tables._tables
+
+
 def test_name_picks(spark):
     lines = [
         ("9", "A", "ZED", 1, 5, 1, 1, "S1"), ("8", "A", "ALT", 1, 5, 1, 1, "S1"), ("7", "A", "ZED", 1, 9, 2, 1, "S1"),
