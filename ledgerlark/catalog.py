@@ -151,7 +151,7 @@ RESULTS: dict[str, Result] = {
     # Baskets.
     "basket_scope": lambda w: code_basket(w),
     "basket_scope_totals": lambda w: baskets.basket_totals(w.basket, w.settings.basket_item),
-    "basket_funnel": lambda w: baskets.basket_funnel(w.basket_members(), w.associations, w.settings.basket_item),
+    "basket_funnel": lambda w: baskets.basket_funnel(w.members, w.associations, w.settings.basket_item),
     "product_associations": lambda w: w.associations,
     "product_associations_by_code": lambda w: code_associations(w),
     "product_associations_heavy": lambda w: baskets.product_associations(
@@ -218,7 +218,8 @@ def code_basket(w: Workspace) -> DataFrame:
     """Basket table with the stock code as item, whatever the item of the settings is."""
     if w.settings.basket_item == "StockCode":
         return w.basket
-    return _once(w, "code_basket", lambda: baskets.basket_scope(baskets.basket_members(w.product_orders, w.taxonomy)))
+    members = _once(w, "code_members", lambda: baskets.basket_members(w.product_orders, w.taxonomy))
+    return _once(w, "code_basket", lambda: baskets.basket_scope(members))
 
 
 def code_associations(w: Workspace) -> DataFrame:

@@ -4,10 +4,11 @@
     clean -> orders -> customers -> rfm -> value -> risk
           |         |           `-> customers_by_all_lines, customers_by_net (sorted and numbered)
           |         `-> cohorts
-          |-> names, product_months, product_orders -> products -> taxonomy, intelligence
-          |                                         |           |-> merchandise_by_gross (sorted and numbered)
-          |                                         |           `-> quality -> master -> scope -> anomalies
-          `-> basket (product_orders, taxonomy) -> associations -> scored -> cross_sell
+          |-> product_months
+          |-> names, product_orders -> products -> taxonomy, intelligence
+          |                         |           |-> merchandise_by_gross (sorted and numbered)
+          |                         |           `-> quality -> master -> scope -> anomalies
+          `-> members (clean or product_orders, taxonomy) -> basket -> associations -> scored -> cross_sell
 """
 
 from __future__ import annotations
@@ -129,7 +130,8 @@ STAGES: dict[str, Callable[[Workspace], DataFrame]] = {
     "master": lambda w: catalogue.product_master(w.quality, w.settings.product_tiers),
     "scope": lambda w: catalogue.product_scope(w.master, w.settings.product_tiers),
     "anomalies": lambda w: catalogue.product_anomalies(w.scope),
-    "basket": lambda w: baskets.basket_scope(w.basket_members()),
+    "members": lambda w: w.basket_members(),
+    "basket": lambda w: baskets.basket_scope(w.members),
     "associations": lambda w: baskets.product_associations(
         w.basket, w.taxonomy, w.settings.basket_item, w.settings.min_pair_orders, w.settings.heavy_basket
     ),
