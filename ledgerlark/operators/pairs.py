@@ -31,6 +31,9 @@ from ledgerlark.storage import write_stage
 
 #: (basket, pair) rows from which pairs are sketched first: the join then runs twice, the shuffle carries less.
 SKETCH_FROM = 1 << 26
+#: (basket, pair) rows of a task, about. Baskets are dealt by the pairs they make, not by their bytes, from SPREAD_FROM on.
+PAIRS_PER_TASK = 1 << 20
+SPREAD_FROM = 1 << 24
 
 
 def multi_item_baskets(members: DataFrame, basket: str) -> DataFrame:
@@ -95,9 +98,13 @@ def light_pairs(members: DataFrame, threshold: int, sketch_from: int = SKETCH_FR
     `heavy_orders` of a member is the number of heavy baskets with its item. It
     bounds what heavy baskets can add, so a pair below the threshold even with
     that is dropped in the same job, before anything is written. From `sketch_from`
-    (basket, pair) rows on, most of these pairs are dropped before the shuffle.
+    (basket, pair) rows on, most of these pairs are dropped before the shuffle. A task meets about
+    `PAIRS_PER_TASK` of them, so that what it counts before the shuffle fits its memory.
     """
-    met, rows = _met(members), pair_rows(members)
+    rows = pair_rows(members)
+    if rows >= SPREAD_FROM:
+        members = members.repartition(rows // PAIRS_PER_TASK + 1, "basket")
+    met = _met(members)
     if rows >= sketch_from:
         met = PairSketch(met, threshold, rows).may_reach(met)
     counted = met.groupBy("a", "b", "ha", "hb").agg(F.count("*").alias("n"))

@@ -78,3 +78,17 @@ def test_light_pairs_meet_the_bound(spark):
 def test_multi_item_baskets(spark):
     members = spark.createDataFrame([("x", "1"), ("x", "2"), ("y", "1")], "basket string, item string")
     assert sorted(r.basket for r in multi_item_baskets(members, "basket").collect()) == ["x", "x"]
+
+
+def test_light_baskets_are_dealt_by_the_pairs_they_make(spark, monkeypatch):
+    rows = [(b, i, 0) for b, i in _baskets(3)]
+    members = write_stage(spark.createDataFrame(rows, "basket string, item string, heavy_orders bigint"), "test_members")
+    expected = _brute_force([row[:2] for row in rows], 4)
+    for sketch_from in (0, pairs.SKETCH_FROM):
+        assert {(r.a, r.b): r.n for r in light_pairs(members, 4, sketch_from).collect()} == expected
+        monkeypatch.setattr(pairs, "SPREAD_FROM", 1)
+        monkeypatch.setattr(pairs, "PAIRS_PER_TASK", 50)
+        spread = light_pairs(members, 4, sketch_from)
+        assert {(r.a, r.b): r.n for r in spread.collect()} == expected
+        tasks = pair_rows(members) // 50 + 1
+        assert f", {tasks}), REPARTITION_BY_NUM" in spread._jdf.queryExecution().executedPlan().toString()
