@@ -35,7 +35,8 @@ GROUP_TOKENS = 1 << 24
 LEAST_CUT = 16
 _CACHED_WORDS = 3 << 18
 _CACHED_PARTS = 3 << 18
-_BATCH_BYTES = 1 << 25
+_BATCH_BYTES = 1 << 22
+_BATCH_ROWS = 256
 _MARKS = ".,;:!?"
 
 _PIECE = "doc_id long, start long, length long, doc_tokens long, ids binary"
@@ -109,6 +110,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: in
     """Pieces of at most `capacity` ids (unsigned 32-bit, little-endian) of docs (doc_id, text), with the end id."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # of tasks of other stages that this worker process ran
         words, end = _words(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows, size = ([], [], [], [], []), 0
@@ -196,7 +198,7 @@ def pack(
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, tokens = TaskContext.get().partitionId() << 33, [], 0
-        for batch in batches:
+        for batch in (b.slice(at, _BATCH_ROWS) for b in batches for at in range(0, b.num_rows, _BATCH_ROWS)):
             whole: tuple[list, ...] = ([], [], [], [], [], [], [])
             for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if row[2] == capacity:

@@ -614,3 +614,15 @@ def test_op10_character_map():
     table = sentencepiece_offsets.CharMap(chars)
     assert table.longest("ﬁx".encode(), 0) == (3, b"fi")
     assert table.longest("x".encode(), 0) is None
+
+
+def test_packing_in_small_batches_loses_and_doubles_no_id(spark, monkeypatch):
+    monkeypatch.setattr(packing, "_BATCH_ROWS", 3)
+    monkeypatch.setattr(packing, "_BATCH_BYTES", 64)
+    docs = spark.createDataFrame([(i, " ".join(["word"] * (7 * i % 40))) for i in range(60)], "doc_id long, text string")
+    found = packing.pack_documents(docs.coalesce(1), tokenizer_file("word_bpe_49k.json"), capacity=16).toPandas()
+    for _, pieces in found.sort_values("start").groupby("doc_id"):
+        assert list(pieces.start) == [0, *pieces.length.cumsum()[:-1]] and pieces.length.sum() == pieces.doc_tokens.iloc[0]
+    for _, pieces in found.sort_values("offset").groupby("sequence_id"):
+        assert list(pieces.offset) == [0, *pieces.length.cumsum()[:-1]] and pieces.length.sum() <= 16
+    assert found.doc_id.nunique() == 60
