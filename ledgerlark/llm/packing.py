@@ -33,8 +33,8 @@ END_ID = 2
 GROUP_DOCS = 8192
 GROUP_TOKENS = 1 << 24
 LEAST_CUT = 16
-_CACHED_WORDS = 3 << 18
-_CACHED_PARTS = 3 << 18
+_CACHED_WORDS = 1 << 19
+_CACHED_MARKS = 1 << 10
 _BATCH_BYTES = 1 << 22
 _BATCH_ROWS = 256
 _MARKS = ".,;:!?"
@@ -53,9 +53,9 @@ class _Words(dict):
     """Ids of words as bytes. Words are encoded only when first met.
 
     A word of letters with a mark behind it is two tokens of the pre-tokenizer, encoded apart:
-    so the many words that differ in the mark alone cost one encoding. Letters of Latin-1 have
-    one normal form, their lower case, and go to the model at once; all else goes through the
-    whole tokenizer.
+    so the many words that differ in the mark or in case alone cost one encoding, kept with the
+    plain word. Letters of Latin-1 have one normal form, their lower case, and go to the model
+    at once; all else goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -65,7 +65,7 @@ class _Words(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
-        self.parts: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= _CACHED_WORDS:
@@ -73,21 +73,25 @@ class _Words(dict):
         text = word.decode("utf-8")
         body = text.rstrip(_MARKS)
         if body.isalpha() and (body.isascii() or max(body) < "\u0100"):
-            value = self.part(body.lower())
+            plain = body.lower()
+            value = self.of_part(text) if plain == text else self[plain.encode("utf-8")]
             if len(body) < len(text):
-                value += self.part(text[len(body) :])
+                value += self.of_marks(text[len(body) :])
         else:
             value = _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
         self[word] = value
         return value
 
-    def part(self, part: str) -> bytes:
-        value = self.parts.get(part)
+    def of_part(self, part: str) -> bytes:
+        known = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(self.letters)
+        return _bytes([token.id for token in self.model(known)])
+
+    def of_marks(self, marks: str) -> bytes:
+        value = self.marks.get(marks)
         if value is None:
-            if len(self.parts) >= _CACHED_PARTS:
-                self.parts.clear()
-            known = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(self.letters)
-            value = self.parts[part] = _bytes([token.id for token in self.model(known)])
+            if len(self.marks) >= _CACHED_MARKS:
+                self.marks.clear()
+            value = self.marks[marks] = self.of_part(marks)
         return value
 
 

@@ -626,3 +626,18 @@ def test_packing_in_small_batches_loses_and_doubles_no_id(spark, monkeypatch):
     for _, pieces in found.sort_values("offset").groupby("sequence_id"):
         assert list(pieces.offset) == [0, *pieces.length.cumsum()[:-1]] and pieces.length.sum() <= 16
     assert found.doc_id.nunique() == 60
+
+
+def test_packing_holds_a_plain_word_once(monkeypatch):
+    words = packing._Words(tokenizer_file("word_bpe_49k.json"))
+    texts = ["alpha", "Alpha", "alpha,", "été", "Été!?", "beta", "...", "a1", "ALPHA."]
+    for _ in range(2):
+        for text in texts:
+            assert words[text.encode()] == packing._bytes(words.tokenizer.encode(text, add_special_tokens=False).ids)
+        monkeypatch.setattr(packing, "_CACHED_WORDS", 1)  # the second time, every word empties the table
+    words = packing._Words(tokenizer_file("word_bpe_49k.json"))
+    monkeypatch.setattr(packing, "_CACHED_WORDS", 100)
+    for text in texts[:1] + texts[5:6]:
+        words[text.encode()]
+    tables = [words, *(v for k, v in vars(words).items() if isinstance(v, dict) and k != "letters")]
+    assert sum(map(len, tables)) == 2
