@@ -16,7 +16,7 @@ discount takes from every word's count is the share of unseen words.
 Counting covers the whole training text. Documents are read in blocks; a block
 holds its own list of words, and only lists and counts are shuffled: a word
 meets its counts from all blocks, at most one from each, then each block gets
-the totals of its words.
+the totals of its words, as packed lists.
 The clustering of the frequent words needs the pair counts of them and of classes
 alone, a matrix whose size does not depend on the input. A round for the others
 shuffles the counts of the classes around each word of a block, packed by ranges of
@@ -52,6 +52,8 @@ FOLDS, HELD_OUT = 7, 2
 _BLOCK_CHARS = 6 << 20
 _PAIR_DOCS = 256
 _PART_WORDS = 200_000  # words of blocks in a part of a round, about
+_LISTED = [("local", np.int32), ("total", np.int64), ("symbol", np.uint16), ("first", bool), ("hash", np.int64)]
+_LISTED_ROWS = 1 << 20
 _ENTRIES = 10_000
 _SMOOTHING = 4.0
 END = 0  # the end token has the first place among the frequent words
@@ -74,7 +76,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat = np.concatenate(tokens)
         taught = np.repeat(~np.array(held), lengths)
         counts = np.bincount(flat[taught], minlength=len(local))
-        row = [number, ids, held, lengths, squeeze(flat.tobytes()), list(local), counts]
+        row = [number, ids, held, lengths, squeeze(_planes(flat)), list(local), counts]
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
     local: dict = defaultdict()
@@ -105,28 +107,69 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(place, 1).to_pylist()[0]
 
 
+def _planes(*lists: np.ndarray) -> bytes:
+    """Numbers one after another, of each list all first bytes, then all second ones: high bytes mostly alike pack well."""
+    return b"".join(np.ascontiguousarray(v).view(np.uint8).reshape(len(v), -1).T.tobytes() if len(v) else b"" for v in lists)
+
+
+def _from_planes(raw: bytes, kinds: list[tuple[type, int]], at: int = 0) -> list[np.ndarray]:
+    """Lists of (kind, length) from what `_planes` made of them, from place `at`."""
+    found = []
+    for kind, n in kinds:
+        size = np.dtype(kind).itemsize
+        found.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).view(kind).reshape(n))
+        at += n * size
+    return found
+
+
 def _unpacked(value: bytes, kind: type) -> np.ndarray:
     from zstandard import ZstdDecompressor
 
-    return np.frombuffer(ZstdDecompressor().decompress(value), kind)
+    raw = ZstdDecompressor().decompress(value)
+    return _from_planes(raw, [(kind, len(raw) // np.dtype(kind).itemsize)])[0]
 
 
-def _known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per block, by local word number: total, symbol, hash of the word, and whether this block is the word's first."""
+def _by_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, local, total, symbol, first, hash) of a task as packed lists, one of each block in `_LISTED_ROWS` rows."""
     from zstandard import ZstdCompressor
 
     squeeze = ZstdCompressor(level=1).compress
+
+    def lists(rows: pa.Table) -> pa.RecordBatch:
+        block = rows.column("block").to_numpy()
+        order = np.argsort(block, kind="stable")
+        begin = np.flatnonzero(np.diff(block[order], prepend=-1))
+        columns = [rows.column(x).to_numpy()[order].astype(kind) for x, kind in _LISTED]
+        packed = [squeeze(_planes(*(v[a:b] for v in columns))) for a, b in zip(begin, [*begin[1:], len(block)])]
+        return pa.RecordBatch.from_arrays([pa.array(block[order][begin]), pa.array(packed, pa.binary())], names=["block", "packed"])
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= _LISTED_ROWS:
+            yield lists(pa.Table.from_batches(held))
+            held, size = [], 0
+    if size:
+        yield lists(pa.Table.from_batches(held))
+
+
+def _known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per block, by local word number: total, symbol, hash of the word, and whether this block is the word's first."""
+    from zstandard import ZstdCompressor, ZstdDecompressor
+
+    squeeze, size = ZstdCompressor(level=1).compress, sum(np.dtype(kind).itemsize for _, kind in _LISTED)
     for batch in batches:
         for place in range(batch.num_rows):
             row = batch.slice(place, 1)
             n = row.column("n_local")[0].as_py()
-            local, total, symbol, first, key = (
-                row.column(x).flatten().to_numpy(zero_copy_only=False) for x in ("locals", "totals", "symbols", "firsts", "hashes")
-            )
             totals, symbols = np.zeros(n, np.int64), np.full(n, FREQUENT + BANDS - 1, np.uint16)
             hashes, firsts = np.zeros(n, np.int64), np.zeros(n, bool)
-            totals[local], symbols[local], firsts[local], hashes[local] = total, symbol, first, key
-            packed = [pa.array([squeeze(x.tobytes())]) for x in (totals, symbols, hashes, firsts)]
+            for value in row.column("packed")[0].as_py() or []:
+                raw = ZstdDecompressor().decompress(value)
+                local, total, symbol, first, key = _from_planes(raw, [(kind, len(raw) // size) for _, kind in _LISTED])
+                totals[local], symbols[local], firsts[local], hashes[local] = total, symbol, first, key
+            packed = [pa.array([squeeze(_planes(x))]) for x in (totals, symbols, hashes, firsts)]
             kept = [row.column(x) for x in ("block", "doc_ids", "held", "lengths", "tokens")]
             names = ["block", "doc_ids", "held", "lengths", "tokens", "totals", "symbols", "hashes", "firsts"]
             yield pa.RecordBatch.from_arrays(kept + packed, names=names)
@@ -175,7 +218,7 @@ def _classes(label: np.ndarray) -> Callable:
             c = np.append(classes, END)[_taught(row)].astype(np.int32)
             grid = np.bincount(c[:-1] * ALL + c[1:], minlength=ALL * ALL)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([row["block"]]), pa.array([squeeze(classes.tobytes())]), pa.array([grid], pa.list_(pa.int64())),
+                [pa.array([row["block"]]), pa.array([squeeze(_planes(classes))]), pa.array([grid], pa.list_(pa.int64())),
                  pa.array([sizes], pa.list_(pa.int64()))],
                 names=["block", "classes", "grid", "sizes"],
             )
@@ -222,7 +265,7 @@ def _around(turn: int | None, parts: int) -> Callable:
                 e = slice(entry[x], entry[y])
                 lists = (hashes[listed[x:y]], listed[x:y].astype(np.int32), held[x:y].astype(np.int32), n[e].astype(np.int32))
                 lists += ((key[e] % (2 * ALL)).astype(np.uint8), classes[listed[x:y]])
-                packed.append(squeeze(np.array([y - x, e.stop - e.start], np.int64).tobytes() + b"".join(v.tobytes() for v in lists)))
+                packed.append(squeeze(np.array([y - x, e.stop - e.start], np.int64).tobytes() + _planes(*lists)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(parts)), pa.array(np.full(parts, row["block"])), pa.array(packed, pa.binary())],
                 names=["part", "block", "packed"],
@@ -237,11 +280,8 @@ def _listed(packed: bytes) -> tuple[np.ndarray, ...]:
 
     raw = ZstdDecompressor().decompress(packed)
     words, entries = np.frombuffer(raw, np.int64, 2)
-    found, at = [], 16
-    for kind, n in ((np.int64, words), (np.int32, words), (np.int32, words), (np.int32, entries), (np.uint8, entries), (np.uint8, words)):
-        found.append(np.frombuffer(raw, kind, n, at))
-        at += found[-1].nbytes
-    return tuple(found)
+    kinds = [(np.int64, words), (np.int32, words), (np.int32, words), (np.int32, entries), (np.uint8, entries), (np.uint8, words)]
+    return tuple(_from_planes(raw, kinds, 16))
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -315,7 +355,7 @@ def _moves(grid: np.ndarray) -> Callable:
             at = end
         move = (local.astype(np.int64) << 8) + new[word]
         cut = np.cumsum([len(x[0]) for x in lists])[:-1]
-        moves = [squeeze(x.tobytes()) for x in np.split(move, cut)]
+        moves = [squeeze(_planes(x)) for x in np.split(move, cut)]
         return pa.RecordBatch.from_arrays([pa.array(blocks), pa.array(moves, pa.binary())], names=["block", "move"])
 
     def moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -583,19 +623,11 @@ def score(docs: DataFrame) -> DataFrame:
     symbols = seen.join(F.broadcast(places), "hash", "left").select(
         "block", "local", "total", "first", "hash", F.coalesce("place", band).cast("int").alias("symbol")
     )
-    told = symbols.groupBy("block").agg(
-        F.collect_list(F.struct(F.col("local").cast("int").alias("local"), "total", "symbol", "first", "hash")).alias("t")
-    )
-    kinds = {"local": "int", "total": "long", "symbol": "int", "hash": "long", "first": "boolean"}
+    told = symbols.mapInArrow(_by_blocks, "block long, packed binary").groupBy("block").agg(F.collect_list("packed").alias("packed"))
     text_table = f"texts_{uuid.uuid4().hex}"
     texts = _by_block(
         blocks.select("block", "doc_ids", "held", "lengths", "tokens", F.size("words").alias("n_local"))
         .join(told, "block", "left")
-        .select(
-            "block", "doc_ids", "held", "lengths", "tokens", "n_local",
-            *(F.coalesce(F.col(f"t.{x}"), F.array().cast(f"array<{kind}>")).alias(x + ("es" if x == "hash" else "s"))
-              for x, kind in kinds.items()),
-        )
         .mapInArrow(
             _known,
             "block long, doc_ids array<long>, held array<boolean>, lengths array<int>, tokens binary, totals binary,"

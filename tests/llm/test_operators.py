@@ -7,6 +7,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from check import connect, difference
@@ -477,6 +478,27 @@ def test_op8_neighbours_decide_the_class_of_rare_words(spark):
     assert found[held[0]] > found[held[1]] + 1
 
 
+def test_op8_words_of_blocks_travel_packed():
+    rng, n = np.random.default_rng(5), 40_000
+    rows = {"block": rng.integers(0, 4, n), "local": np.arange(n), "total": rng.geometric(0.3, n), "symbol": rng.integers(1, 1030, n),
+            "first": rng.random(n) < 0.2, "hash": rng.integers(-(2**63), 2**63 - 1, n)}
+    whole = pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in rows.items()})
+    (packed,) = class_ngrams._by_blocks(iter([whole.slice(0, 15_000), whole.slice(15_000)]))
+    assert packed.column(0).to_pylist() == [0, 1, 2, 3]
+    assert sum(map(len, packed.column(1).to_pylist())) < 14 * n  # a row of the five columns took 26 bytes in the shuffle
+    one = pa.array(packed.column(1).to_pylist(), pa.binary())
+    told = pa.RecordBatch.from_pydict(
+        {"block": packed.column(0), "doc_ids": pa.array([[1]] * 4), "held": pa.array([[False]] * 4), "lengths": pa.array([[1]] * 4),
+         "tokens": pa.array([b""] * 4), "n_local": pa.array([n + 1] * 4), "packed": pa.array([[x] for x in one.to_pylist()])}
+    )
+    for block, row in enumerate(class_ngrams._rows(class_ngrams._known(iter([told])))):
+        mine = rows["block"] == block
+        for name, kind, key in (("totals", np.int64, "total"), ("symbols", np.uint16, "symbol"), ("hashes", np.int64, "hash"), ("firsts", bool, "first")):
+            found = class_ngrams._unpacked(row[name], kind)
+            assert len(found) == n + 1 and (found[:n][mine] == rows[key][mine]).all()
+            assert (found[:n][~mine] == (class_ngrams.FREQUENT + class_ngrams.BANDS - 1 if name == "symbols" else 0)).all()
+
+
 def test_op8_best_class_is_that_of_the_likeliest_neighbours():
     grid = np.zeros((class_ngrams.ALL, class_ngrams.ALL))
     grid[1, 3] = grid[3, 2] = grid[4, 5] = grid[5, 6] = 100
