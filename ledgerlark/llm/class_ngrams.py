@@ -29,12 +29,12 @@ training text. With no training text every token is unseen.
 from __future__ import annotations
 
 import uuid
-from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,11 +50,12 @@ ROUNDS = 12
 FEW = 0.1  # rounds end when at most this share of the words moves
 FOLDS, HELD_OUT = 7, 2
 _BLOCK_CHARS = 6 << 20
-_PAIR_DOCS = 256
+_PAIR_BYTES = 2 << 20
 _PART_WORDS = 200_000  # words of blocks in a part of a round, about
 _LISTED = [("local", np.int32), ("total", np.int64), ("symbol", np.uint16), ("first", bool), ("hash", np.int64)]
 _LISTED_ROWS = 1 << 20
-_ENTRIES = 10_000
+_ENTRIES = 1 << 16
+_CHUNK = 1024  # words whose sums by class are held at once
 _SMOOTHING = 4.0
 END = 0  # the end token has the first place among the frequent words
 
@@ -66,39 +67,41 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from zstandard import ZstdCompressor
 
     number, squeeze = TaskContext.get().partitionId() << 33, ZstdCompressor(level=1).compress
-    schema = pa.schema(
-        [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
-         ("lengths", pa.list_(pa.int32())), ("tokens", pa.binary()), ("words", pa.list_(pa.binary())),
-         ("counts", pa.list_(pa.int64()))]
-    )
-
-    def close() -> pa.RecordBatch:
-        flat = np.concatenate(tokens)
-        taught = np.repeat(~np.array(held), lengths)
+    names = ["block", "doc_ids", "held", "lengths", "tokens", "words", "counts"]
+
+    def whole(values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+    def close(docs: list[pa.RecordBatch]) -> pa.RecordBatch:
+        ids, held, texts = (pa.concat_arrays([x.column(i) for x in docs]) for i in range(3))
+        pieces = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        words, ends = pieces.flatten(), np.cumsum(pc.list_value_length(pieces).to_numpy())
+        full = pc.greater(pc.binary_length(words), 0)  # white space at either end leaves an empty piece
+        lengths = np.diff(np.append(0, np.cumsum(full.to_numpy(zero_copy_only=False)))[ends], prepend=0)
+        words = words.filter(full).dictionary_encode()
+        flat, local = words.indices.to_numpy(), words.dictionary.cast(pa.binary())
+        taught = np.repeat(~held.to_numpy(zero_copy_only=False), lengths)
         counts = np.bincount(flat[taught], minlength=len(local))
-        row = [number, ids, held, lengths, squeeze(_planes(flat)), list(local), counts]
-        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
+        lists = [whole(x) for x in (ids, held, pa.array(lengths, pa.int32()), local, pa.array(counts, pa.int64()))]
+        row = [pa.array([number]), *lists[:3], pa.array([squeeze(_planes(flat))]), *lists[3:]]
+        return pa.RecordBatch.from_arrays(row, names=names)
 
-    local: dict = defaultdict()
-    local.default_factory = local.__len__
-    ids, held, lengths, tokens, size = [], [], [], [], 0
+    docs, size = [], 0
     for batch in batches:
-        texts = batch.column(2).cast(pa.binary())
-        for doc_id, out, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
-            data = (text.as_py() or b"").lower()
-            words = data.split()
-            tokens.append(np.fromiter(map(local.__getitem__, words), np.int32, len(words)))
-            ids.append(doc_id)
-            held.append(out)
-            lengths.append(len(words))
-            size += len(data) + 1
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy() + np.int64(1))
+        at = 0
+        while at < len(ends):  # a block ends with the document that fills it
+            before = int(ends[at - 1]) if at else 0
+            stop = min(int(np.searchsorted(ends, before + _BLOCK_CHARS - size)) + 1, len(ends))
+            docs.append(batch.slice(at, stop - at))
+            size += int(ends[stop - 1]) - before
+            at = stop
             if size >= _BLOCK_CHARS:
-                yield close()
+                yield close(docs)
                 number += 1
-                local.clear()
-                ids, held, lengths, tokens, size = [], [], [], [], 0
-    if ids:
-        yield close()
+                docs, size = [], 0
+    if docs:
+        yield close(docs)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -109,7 +112,11 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 def _planes(*lists: np.ndarray) -> bytes:
     """Numbers one after another, of each list all first bytes, then all second ones: high bytes mostly alike pack well."""
-    return b"".join(np.ascontiguousarray(v).view(np.uint8).reshape(len(v), -1).T.tobytes() if len(v) else b"" for v in lists)
+    planes = []
+    for v in lists:
+        each = np.ascontiguousarray(v).view(np.uint8).reshape(len(v), v.itemsize)
+        planes += [each[:, i].tobytes() for i in range(v.itemsize)]
+    return b"".join(planes)
 
 
 def _from_planes(raw: bytes, kinds: list[tuple[type, int]], at: int = 0) -> list[np.ndarray]:
@@ -117,7 +124,10 @@ def _from_planes(raw: bytes, kinds: list[tuple[type, int]], at: int = 0) -> list
     found = []
     for kind, n in kinds:
         size = np.dtype(kind).itemsize
-        found.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).view(kind).reshape(n))
+        each = np.empty((n, size), np.uint8)
+        for i in range(size):
+            each[:, i] = np.frombuffer(raw, np.uint8, n, at + i * n)
+        found.append(each.view(kind).reshape(n))
         at += n * size
     return found
 
@@ -207,7 +217,7 @@ def _classes(label: np.ndarray) -> Callable:
         squeeze = ZstdCompressor(level=1).compress
         for row in _rows(batches):
             symbols, first = _unpacked(row["symbols"], np.uint16), _unpacked(row["firsts"], bool)
-            classes = label[symbols].astype(np.uint8) if row["classes"] is None else _unpacked(row["classes"], np.uint8).copy()
+            classes = label[symbols].astype(np.uint8) if row["classes"] is None else _unpacked(row["classes"], np.uint8)
             moved = 0
             for move in row["moves"] or []:
                 move = _unpacked(move, np.int64)
@@ -247,13 +257,14 @@ def _around(turn: int | None, parts: int) -> Callable:
         for row in _rows(batches):
             symbols, hashes = _unpacked(row["symbols"], np.uint16), _unpacked(row["hashes"], np.int64)
             classes, other, at = _unpacked(row["classes"], np.uint8), _is_other(symbols), _taught(row)
-            c = np.append(classes, END)[at].astype(np.int64)
             # the listed words by part and hash; also those that this block has in held-out documents only
             listed = np.flatnonzero(other if turn is None else other & (hashes & 1 == turn))
             part = (hashes[listed] >> 1) % parts
             order = np.lexsort((hashes[listed], part))
             listed, part = listed[order], part[order]
-            rank = np.full(len(symbols) + 1, -1)
+            kind = np.int32 if len(listed) * 2 * ALL < 1 << 31 else np.int64  # short keys sort in half the time
+            c = np.append(classes, END)[at].astype(kind)
+            rank = np.full(len(symbols) + 1, -1, kind)
             rank[listed] = np.arange(len(listed))
             place = np.flatnonzero(rank[at] >= 0)
             base = rank[at[place]] * (2 * ALL)
@@ -293,6 +304,19 @@ def likelihood(grid: np.ndarray) -> float:
     return float(_xlogx(grid).sum() - _xlogx(grid.sum(axis=1)).sum() - _xlogx(grid.sum(axis=0)).sum())
 
 
+def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sums of their numbers; none of either is negative."""
+    bits = int(n.max()).bit_length()
+    if int(key.max()).bit_length() + bits < 64:  # both in one number, which sorts faster than places do
+        both = np.sort(key << bits | n)
+        key, n = both >> bits, both & ((1 << bits) - 1)
+    else:
+        order = np.argsort(key, kind="stable")
+        key, n = key[order], n[order]
+    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return key[begin], np.add.reduceat(n, begin)
+
+
 def best_classes(grid: np.ndarray, old: np.ndarray, word: np.ndarray, code: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Class under which what stands around each word is likeliest, by a grid of class bigrams.
 
@@ -301,11 +325,13 @@ def best_classes(grid: np.ndarray, old: np.ndarray, word: np.ndarray, code: np.n
     probabilities are those of the round, smoothed as in the model: a gain that a word would bring about by
     itself, as in a class without words, does not count.
     """
-    key, place = np.unique(word * (2 * ALL) + code, return_inverse=True)
-    n = np.bincount(place, n)
-    word, code = key // (2 * ALL), key % (2 * ALL)
+    if not len(n):
+        return old
+    key, n = _summed(word * (2 * ALL) + code, n)
+    word, code = np.divmod(key, 2 * ALL)
     begin = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-    times = np.bincount(word, np.where(code < ALL, n, 0))
+    held = np.diff(begin, append=len(word))
+    times = np.add.reduceat(np.where(code < ALL, n, 0), begin)
     counts, spread = grid.sum(axis=0), _SMOOTHING * ALL
     overall = counts / max(counts.sum(), 1.0)
 
@@ -318,18 +344,32 @@ def best_classes(grid: np.ndarray, old: np.ndarray, word: np.ndarray, code: np.n
     size = np.maximum(counts, 1e-9)
     every = np.arange(ALL)
     table = np.vstack([after(grid.T, every[:, None], size), before(grid, size)])
-    gain = n[:, None] * table[code]
-    at = old[word]
-    rest = np.maximum(size[at] - times[word], 1e-9)
-    c, follows = code % ALL, code < ALL
-    cell = np.maximum(np.where(follows, grid[at, c], grid[c, at]) - n, 0)
-    gain[np.arange(len(n)), at] = n * np.where(follows, after(cell, c, rest), before(cell, rest))
-    value = np.add.reduceat(gain, begin)
+    own = np.empty(len(n))  # under the word's own class
+    for low in range(0, len(n), _ENTRIES):
+        e = slice(low, low + _ENTRIES)
+        of, c, follows = word[e], code[e] % ALL, code[e] < ALL
+        at = old[of]
+        rest = np.maximum(size[at] - times[of], 1e-9)
+        cell = np.maximum(np.where(follows, grid[at, c], grid[c, at]) - n[e], 0)
+        own[e] = n[e] * np.where(follows, after(cell, c, rest), before(cell, rest))
+    own = np.add.reduceat(own, begin)
     closed = counts == 0
     closed[[END, ALL - 1]] = True  # the classes of the end token and of unseen words
-    value[:, closed] = -np.inf
-    new, every = value.argmax(axis=1), np.arange(len(old))
-    return np.where(value[every, new] > value[every, old] + 1e-9, new, old)
+    new, order = old.copy(), np.argsort(-held, kind="stable")
+    for low in range(0, len(order), _CHUNK):
+        some = order[low : low + _CHUNK]  # words with most entries first, so that those with an i-th entry stand in front
+        value, many = np.zeros((len(some), ALL)), held[some]
+        for i in range(many[0]):
+            e = begin[some[: np.searchsorted(-many, -i)]] + i
+            gain = table[code[e]]
+            gain *= n[e, None]
+            value[: len(e)] += gain
+        every = np.arange(len(some))
+        value[every, old[some]] = own[some]
+        value[:, closed] = -np.inf
+        best = value.argmax(axis=1)
+        new[some] = np.where(value[every, best] > value[every, old[some]] + 1e-9, best, old[some])
+    return new
 
 
 def _moves(grid: np.ndarray) -> Callable:
@@ -343,16 +383,7 @@ def _moves(grid: np.ndarray) -> Callable:
         hashes, local, held, n, code, old = (np.concatenate(x) for x in zip(*lists))
         _, first, word = np.unique(hashes, return_index=True, return_inverse=True)
         old = old[first].astype(np.int64)
-        of = np.repeat(word, held)
-        order = np.argsort(of, kind="stable")
-        of, code, n = of[order], code[order].astype(np.int64), n[order]
-        new, at = old.copy(), 0
-        while at < len(of):  # whole words, as many as hold _ENTRIES or a little more
-            last = of[min(at + _ENTRIES, len(of)) - 1]
-            end = int(np.searchsorted(of, last, side="right"))
-            low = of[at]
-            new[low : last + 1] = best_classes(grid, old[low : last + 1], of[at:end] - low, code[at:end], n[at:end])
-            at = end
+        new = best_classes(grid, old, np.repeat(word, held), code.astype(np.int64), n.astype(np.int64))
         move = (local.astype(np.int64) << 8) + new[word]
         cut = np.cumsum([len(x[0]) for x in lists])[:-1]
         moves = [squeeze(_planes(x)) for x in np.split(move, cut)]
@@ -461,7 +492,7 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(known_before[ends] - known_before[starts]),
                 pa.array(base[ends] - base[starts]),
                 pa.array(rare[ends] - rare[starts]),
-                pa.array([s[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(np.append(0, ends * 2).astype(np.int32)), pa.py_buffer(s)]),
             ],
             names=["doc_id", "held_out", "n_words", "n_known", "base", "rare", "symbols"],
         )
@@ -469,17 +500,24 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of neighbouring symbols of training documents, summed per task in one matrix."""
-    width = FREQUENT + ALL
+    width, end = FREQUENT + ALL, np.uint16(END).tobytes()
     total = np.zeros(width * width, np.int64)
+
+    def add(texts: list[bytes]) -> None:
+        s = np.frombuffer(end + end.join(texts) + end, np.uint16).astype(np.int64)
+        total[:] += np.bincount(s[:-1] * width + s[1:], minlength=len(total))
+
+    texts, size = [], 0
     for batch in batches:
-        held, symbols = batch.column(0).to_pylist(), batch.column(1)
-        for at in range(0, len(held), _PAIR_DOCS):
-            found = [np.zeros(0, np.int64)]
-            for out, value in zip(held[at : at + _PAIR_DOCS], symbols[at : at + _PAIR_DOCS]):
-                if not out:
-                    s = np.frombuffer(value.as_buffer(), np.uint16).astype(np.int32)
-                    found.append(np.concatenate([[END], s]) * width + np.concatenate([s, [END]]))
-            total += np.bincount(np.concatenate(found), minlength=len(total))
+        for out, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if not out:
+                texts.append(value.as_py())
+                size += len(texts[-1]) + len(end)
+                if size >= _PAIR_BYTES:
+                    add(texts)
+                    texts, size = [], 0
+    if texts:
+        add(texts)
     pair = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(total[pair])], names=["pair", "n"])
 
@@ -570,13 +608,16 @@ class Model:
             frequent = np.log10(np.maximum(counts - discount * words, 1e-300)) - np.log10(np.maximum(per_class[label], 1e-300))
             self.emit = np.where(np.arange(len(label)) < FREQUENT, frequent, -np.log10(np.maximum(per_class[label], 1e-300)))
         self.emit[-1] = 0.0
+        self.following = self.after[:, label] + self.emit  # every symbol after every class
+        self.following[:, -1] = self.unseen
 
-    def score(self, symbols: np.ndarray) -> float:
-        before = self.label[np.concatenate([[END], symbols])]
-        current = np.concatenate([symbols, [END]])
-        seen = current != len(self.label) - 1
-        known = self.after[before[seen], self.label[current[seen]]].sum() + self.emit[current].sum()
-        return float(known + self.unseen[before[~seen]].sum())
+    def scores(self, texts: list[bytes]) -> np.ndarray:
+        """Of texts given by their packed symbols."""
+        end = np.uint16(END).tobytes()
+        symbols = np.frombuffer(end + end.join(texts) + end, np.uint16)
+        each = self.following.take(self.label[symbols[:-1]] * len(self.label) + symbols[1:])
+        ends = np.cumsum([len(x) // 2 + 1 for x in texts])
+        return np.add.reduceat(each, np.append(0, ends[:-1]))
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -666,7 +707,12 @@ def score(docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf("double")
     def probability(symbols: pd.Series) -> pd.Series:
-        return pd.Series([model.score(np.frombuffer(s, np.uint16).astype(np.int64)) for s in symbols], dtype=float)
+        texts, found, at = symbols.tolist(), [np.zeros(0)], 0
+        while at < len(texts):  # texts of about _PAIR_BYTES together
+            stop = at + 1 + int(np.searchsorted(np.cumsum([*map(len, texts[at:])]), _PAIR_BYTES))
+            found.append(model.scores(texts[at:stop]))
+            at = stop
+        return pd.Series(np.concatenate(found))
 
     ends = float(np.log10(n_train + 1.0))
     whole = float(np.log10(train_tokens + vocabulary + 1.0))

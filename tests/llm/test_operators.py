@@ -2,9 +2,12 @@
 
 import hashlib
 import re
+import time
+import tracemalloc
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from itertools import combinations
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -516,6 +519,136 @@ FORMS = {
 }
 
 
+def _plain_best_classes(grid, old, word, code, n):
+    every, counts = np.arange(class_ngrams.ALL), grid.sum(axis=0)
+    spread, found = class_ngrams._SMOOTHING * class_ngrams.ALL, old.copy()
+    for w in range(len(old)):
+        own = Counter()
+        for c, k in zip(code[word == w].tolist(), n[word == w].tolist()):
+            own[c] += k
+        times = sum(k for c, k in own.items() if c < class_ngrams.ALL)
+        value = np.zeros(class_ngrams.ALL)
+        for of in every:
+            mine = of == old[w]
+            size = max(counts[of] - mine * times, 1e-9)
+            for key, k in own.items():
+                c = key % class_ngrams.ALL
+                if key < class_ngrams.ALL:
+                    cell = max(grid[of, c] - mine * k, 0) + spread * counts[c] / counts.sum()
+                    value[of] += k * (np.log(max(cell, 1e-300)) - np.log(size + spread))
+                else:
+                    cell = max(grid[c, of] - mine * k, 0)
+                    value[of] += k * (np.log(cell + spread * size / counts.sum()) - np.log(size))
+        value[(counts == 0) | (every == class_ngrams.END) | (every == class_ngrams.ALL - 1)] = -np.inf
+        if value.max() > value[old[w]] + 1e-9:
+            found[w] = value.argmax()
+    return found
+
+
+def test_op8_best_classes_equal_a_plain_loop():
+    rng, size = np.random.default_rng(8), class_ngrams.ALL
+    grid = rng.integers(0, 400, (size, size)).astype(float)
+    grid[:, 70] = grid[70] = 0
+    n_words = 300
+    old = rng.integers(1, size - 1, n_words)
+    old[old == 70] = 71
+    word = np.concatenate([np.arange(n_words), rng.integers(0, 40, 3000)])  # some words with many entries, in no order
+    code, n = rng.integers(0, 2 * size, len(word)), rng.integers(1, 4, len(word))
+    expected = _plain_best_classes(grid, old, word, code, n)
+    assert (expected != old).mean() > 0.5
+    assert class_ngrams.best_classes(grid, old, word, code, n).tolist() == expected.tolist()
+    wide = n.astype(np.int64) << 52  # too long for one number with its key
+    assert class_ngrams._summed(word * 2 * size + code, wide)[1].sum() == wide.sum()
+    assert class_ngrams.best_classes(grid, old[:0], word[:0], code[:0], n[:0]).tolist() == []
+
+
+def test_op8_best_classes_hold_sums_of_few_words_at_once():
+    rng, n_words = np.random.default_rng(9), 40_000
+    word, code = np.repeat(np.arange(n_words), 2), rng.integers(0, 2 * class_ngrams.ALL, 2 * n_words)
+    grid = rng.integers(1, 400, (class_ngrams.ALL, class_ngrams.ALL)).astype(float)
+    tracemalloc.start()
+    class_ngrams.best_classes(grid, np.full(n_words, 60), word, code, np.ones(len(word), int))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25 << 20  # a number for every entry and class takes 52 MB
+
+
+@pytest.mark.parametrize("most", [1, 40, 6 << 20])
+def test_op8_blocks_hold_the_words_of_all_documents(monkeypatch, most):
+    monkeypatch.setattr(class_ngrams, "_BLOCK_CHARS", most)
+    monkeypatch.setattr(class_ngrams.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 3))
+    texts = [None, "", " \t\n ", "\x0bA\x1cB\x85É  a ", "ZZ a", " q", "a\rb\x0cc", "\x00 ı İ K", "x " * 30] * 2
+    held = [i % 3 == 1 for i in range(len(texts))]
+    whole = pa.RecordBatch.from_pydict({"doc_id": pa.array([None, *range(1, len(texts))]), "held": pa.array(held), "text": pa.array(texts)})
+    rows = [*class_ngrams._rows(class_ngrams._blocks(iter([whole.slice(0, 5), whole.slice(5, 0), whole.slice(5)])))]
+    assert [r["block"] for r in rows] == [(3 << 33) + i for i in range(len(rows))]
+    assert (len(rows) == len(texts)) == (most == 1) and (len(rows) == 1) == (most > 40)
+    found, at = [], 0
+    for row in rows:
+        tokens = class_ngrams._unpacked(row["tokens"], np.int32)
+        ends = np.cumsum(row["lengths"])
+        mine = [[row["words"][x] for x in tokens[a:b]] for a, b in zip(ends - row["lengths"], ends)]
+        taught = Counter(w for words, out in zip(mine, row["held"]) if not out for w in words)
+        assert [taught[w] for w in row["words"]] == row["counts"] and len({*row["words"]}) == len(row["words"])
+        assert row["doc_ids"] == whole.column(0).to_pylist()[at : at + len(mine)] and row["held"] == held[at : at + len(mine)]
+        at += len(mine)
+        found += mine
+    assert found == [(t or "").encode().lower().split() for t in texts]
+
+
+def test_op8_words_are_numbered_without_a_step_in_python_each(monkeypatch):
+    monkeypatch.setattr(class_ngrams.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    rng = np.random.default_rng(10)
+    texts = [" ".join(map(str, x)) for x in rng.integers(0, 10**6, (1000, 400)).tolist()]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(1000)), "held": pa.array([False] * 1000), "text": pa.array(texts)})
+
+    def plain():
+        local = defaultdict()
+        local.default_factory = local.__len__
+        return [[local[w] for w in text.encode().lower().split()] for text in texts]
+
+    def seconds(run):
+        begin = time.process_time()
+        run()
+        return time.process_time() - begin
+
+    ours, loop = (min(seconds(run) for _ in range(3)) for run in (lambda: [*class_ngrams._blocks(iter([batch]))], plain))
+    assert ours < loop
+
+
+def test_op8_pairs_are_added_to_the_matrix_once_for_many_documents(monkeypatch):
+    rng, calls, bincount = np.random.default_rng(11), [], np.bincount
+    texts = [rng.integers(0, class_ngrams.FREQUENT + class_ngrams.ALL, k).astype(np.uint16) for k in rng.integers(0, 5, 1200)]
+    held = [i % 7 == 0 for i in range(len(texts))]
+    expected = Counter()
+    for s, out in zip(texts, held):
+        row = [class_ngrams.END, *s.tolist(), class_ngrams.END]
+        expected.update(() if out else [a * (class_ngrams.FREQUENT + class_ngrams.ALL) + b for a, b in zip(row, row[1:])])
+    batch = pa.RecordBatch.from_pydict({"held_out": pa.array(held), "symbols": pa.array([s.tobytes() for s in texts], pa.binary())})
+    monkeypatch.setattr(np, "bincount", lambda *a, **k: calls.append(1) or bincount(*a, **k))
+    (found,) = class_ngrams._pairs(iter([batch.slice(0, 700), batch.slice(700)]))
+    assert dict(zip(*(c.to_pylist() for c in found.columns))) == expected and len(calls) == 1
+    monkeypatch.setattr(class_ngrams, "_PAIR_BYTES", 100)
+    (found,) = class_ngrams._pairs(iter([batch]))
+    assert dict(zip(*(c.to_pylist() for c in found.columns))) == expected
+
+
+def test_op8_scores_of_a_batch_are_those_of_each_text():
+    rng, width = np.random.default_rng(12), class_ngrams.FREQUENT + class_ngrams.BANDS
+    pairs = np.zeros((width, width))
+    walk = np.concatenate([[0], rng.integers(0, 40, 3000), [0]])
+    np.add.at(pairs, (walk[:-1], walk[1:]), 1)
+    model = class_ngrams.Model(pairs, (pairs.sum(axis=0) > 0).astype(float), 0.4)
+    texts = [rng.choice([*range(1, 40), width - 1], k) for k in (0, 1, 7, 300, 0)]
+    expected = []
+    for s in texts:
+        total = 0.0
+        for a, b in zip([class_ngrams.END, *s], [*s, class_ngrams.END]):
+            last = model.label[a]
+            total += model.unseen[last] if b == width - 1 else model.after[last, model.label[b]] + model.emit[b]
+        expected.append(total)
+    assert model.scores([s.astype(np.uint16).tobytes() for s in texts]) == pytest.approx(expected)
+
 def _valid(kind, value):
     digits = re.sub("[^0-9]", "", value)
     if kind == "ip":
